@@ -34,6 +34,15 @@ def _rows(columns, rows):
     return Counter(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE",
+          "boolean": "BOOLEAN"}
+
+
+def _type_differences(df, description) -> list[str]:
+    duck_types = {d[0]: str(d[1]) for d in description}
+    return [f"{c}: {t} / {duck_types.get(c)}" for c, t in df.dtypes if _TYPES.get(t) != duck_types.get(c)]
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for p in Path(sf_dir).glob("*.parquet"):
@@ -49,13 +58,14 @@ def differences(spark, con, name: str, run, sql: str, sf_dir: str) -> tuple[str
     took = time.time() - began
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
+    types = _type_differences(df, cur.description)
     want = _rows(names, cur.fetchall())
     n = sum(got.values())
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} vs {sorted(names)}", n, took
     if got != want:
         return f"rows {n} vs {sum(want.values())}; only spark {list((got - want).items())[:3]}; only sql {list((want - got).items())[:3]}", n, took
-    return None, n, took
+    return (f"types {types}" if types else None), n, took
 
 
 if __name__ == "__main__":

@@ -26,16 +26,13 @@ def message_counters(log: DataFrame, by: list[str] | None = None) -> DataFrame:
     return log.groupBy(*(by or PARTITION)).agg(*_counters())
 
 
-def counters_by_level(log: DataFrame) -> DataFrame:
-    """Counters per partition, topic, cluster, region and in all. `log` has region and cluster columns.
+def roll_up_counters(counts: DataFrame) -> DataFrame:
+    """Counters per partition, topic, cluster, region and in all, from rows per partition with `region` and `cluster`.
 
-    Rows are reduced per partition first; the levels are rolled up from those few rows.
+    The log is reduced to one row per partition first, so the levels cost nothing extra.
     """
-    base = message_counters(log, ["region", "cluster", *PARTITION])
-    rolled = base.rollup("region", "cluster", "topic_uri", "partition").agg(
-        F.grouping_id().alias("level"),
-        *[F.sum(c).alias(c) for c in ("n_messages", "n_keyed", "n_null_value")])
-    return rolled
+    return counts.rollup("region", "cluster", "topic_uri", "partition").agg(
+        F.grouping_id().alias("level"), *[F.sum(c).alias(c) for c in ("n_messages", "n_keyed", "n_null_value")])
 
 
 def size_histograms(log: DataFrame, by: list[str], points: dict[str, float] | None = None) -> DataFrame:

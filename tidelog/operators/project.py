@@ -76,19 +76,21 @@ def value_fields(
 def read_table(
     log: DataFrame, table: str | T.StructType, key_names: list[str] | None = None, prefix: str = "",
     strategy: str = "ALL", key_format: str = "json", value_format: str = "json",
-    metadata_columns: dict[str, str] | None = None, upsert: bool = False,
+    metadata_columns: dict[str, str] | None = None, upsert: bool = False, null_values: str = "error",
 ) -> DataFrame:
     """Declare a table over a log: key columns, value columns, metadata columns.
 
     A null value is an error unless `upsert`, where it is kept as a row with row_kind -D and null value columns.
+    `null_values="skip"` leaves such messages out instead; prefer it to a filter before the call, since Spark may
+    evaluate the error check and a filter in either order.
     """
     key_names = key_names or []
     k_schema = key_fields(table, key_names, prefix) if key_names else None
     v_schema = value_fields(table, key_names, strategy, prefix)
-    parsed = log
+    parsed = log.where(F.col("value").isNotNull()) if null_values == "skip" and not upsert else log
     if k_schema is not None:
         parsed = parsed.withColumn("_k", _parsed("key", k_schema, key_format))
-    checked = F.col("value") if upsert else F.coalesce(
+    checked = F.col("value") if upsert or null_values == "skip" else F.coalesce(
         "value", F.raise_error(F.lit("null value outside upsert mode")).cast("binary"))
     parsed = parsed.withColumn("_value", checked).withColumn("_v", _parsed("_value", v_schema, value_format))
     columns = []

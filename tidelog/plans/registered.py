@@ -1,4 +1,5 @@
 """Imports every query module, so that QUERIES and ORACLES are complete."""
 
-from tidelog.plans import scans  # noqa: F401
+from tidelog.plans import decoding, measures, scans, state  # noqa: F401
 from tidelog.plans.catalog import ORACLES, QUERIES  # noqa: F401
+from tidelog.plans.measures import flagship  # noqa: F401
