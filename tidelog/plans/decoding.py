@@ -501,7 +501,7 @@ def f09_canal(spark, sf):
 def d04(spark, sf):
     """A raw interceptor drops keyless rows, the decoder runs, a typed interceptor changes the key."""
     def keyed(df: DataFrame) -> DataFrame:
-        return df.where(F.col("key").isNotNull()).withColumn("n_bytes", F.coalesce(F.octet_length("value"), F.lit(0)))
+        return df.where(F.col("key").isNotNull()).withColumn("n_bytes", F.coalesce(F.octet_length("value"), F.lit(0)).cast("bigint"))
 
     def next_key(df: DataFrame) -> DataFrame:
         return df.withColumn("k", F.col("decoded_key").cast("bigint") + 1)

@@ -16,7 +16,7 @@ from tidelog.sources.topiclog import TopicLog, outbox
 CLUSTER = "plaintext:/rn:kafka:env:cloud_region1::cluster"
 
 # Numbers the fixture's rules use.
-TXN_ROWS = 100  # rows of a partition per transaction in the isolation queries
+TXN_ROWS = 20  # rows of a partition per transaction in the isolation queries
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -150,7 +150,7 @@ def a15(spark, sf):
 
 
 @query("a17_produced_vs_acknowledged", fx.sql(
-    "SELECT topic_uri, part, count(*) AS n_produced, count(*) FILTER ((off // 100) % 5 <> 4) AS n_acknowledged FROM topic_log GROUP BY 1, 2"))
+    f"SELECT topic_uri, part, count(*) AS n_produced, count(*) FILTER ((off // {fx.TXN_ROWS}) % 5 <> 4) AS n_acknowledged FROM topic_log GROUP BY 1, 2"))
 def a17(spark, sf):
     log = fx.topic_log(spark, sf)
     acknowledged = log.where(F.floor(F.col("offset") / fx.TXN_ROWS) % 5 != 4)

@@ -108,7 +108,7 @@ def _decoded(spark, sf) -> DataFrame:
 
 # --- aggregates over changelogs ----------------------------------------------------------------------------
 _WORDS = ("words AS (SELECT item_id, pos, lower(w) AS word FROM (SELECT item_id, unnest(string_split(text, ' ')) AS w, "
-          "generate_subscripts(string_split(text, ' '), 1) - 1 AS pos FROM benchmark) WHERE w <> '')")
+          "CAST(generate_subscripts(string_split(text, ' '), 1) - 1 AS INT) AS pos FROM benchmark) WHERE w <> '')")
 
 
 def _words(spark, sf) -> DataFrame:

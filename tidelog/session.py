@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -13,9 +15,13 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # INT96, the default, has no row-group statistics, so a time filter could not skip anything
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 _local_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "tidelog", master: str | None = None, **conf) -> SparkSession:
@@ -35,6 +41,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever the driver was started. Once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    here = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tidelog-ship-")) / "tidelog.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f.relative_to(here.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of this application.
 
