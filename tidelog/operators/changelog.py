@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.constants import DELETE, INSERT, UPDATE_AFTER, UPDATE_BEFORE
-from tidelog.operators.ordered import last_known, offset_slice, previous_row, range_chunks, rank
+from tidelog.operators.ordered import last_known, previous_row, range_chunks, rank, slice_hot_groups
 
 TOPIC_KEY = ["topic_uri", "key"]
 
@@ -31,8 +31,9 @@ def latest_by_key(
 def to_changelog(log: DataFrame, skip_unchanged: bool = True, slice_rows: int | None = None) -> DataFrame:
     """An upsert topic as +I, -U/+U, -D rows. A tombstone for an unknown key gives nothing, and neither does an
     update that changes nothing (switch off with `skip_unchanged=False`)."""
-    keyed = log.where(F.col("key").isNotNull()).withColumn("_slice", offset_slice(rows=slice_rows))
-    seen = previous_row(keyed, ["topic_uri", "partition", "key"], ["offset"], "_slice", "_prev", ["value"])
+    keys = ["topic_uri", "partition", "key"]
+    keyed = slice_hot_groups(log.where(F.col("key").isNotNull()), keys, rows=slice_rows)
+    seen = previous_row(keyed, keys, ["offset"], "_slice", "_prev", ["value"])
     before, after = F.col("_prev.value"), F.col("value")
 
     def change(kind: str, value: Column) -> Column:

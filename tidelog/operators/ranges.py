@@ -188,8 +188,10 @@ def cut(log: DataFrame, ranges: DataFrame) -> DataFrame:
     return scan.join(side.df, PARTITION).where(inside).select(*log.columns)
 
 
-def read_slice(log: DataFrame, start: Position, stop: Position | None = None) -> DataFrame:
-    return cut(log, resolve(log, start, stop))
+def read_slice(
+    log: DataFrame, start: Position, stop: Position | None = None, known: DataFrame | None = None,
+) -> DataFrame:
+    return cut(log, resolve(log, start, stop, known))
 
 
 def poll(log: DataFrame, n: int, start: DataFrame | None = None) -> DataFrame:
@@ -197,9 +199,9 @@ def poll(log: DataFrame, n: int, start: DataFrame | None = None) -> DataFrame:
     rows = log if start is None else cut(log, start.withColumn("stop", F.lit(None).cast("bigint")))
     if n <= WINDOW_LIMIT:  # Spark keeps n rows per partition in each task before it shuffles
         here = Window.partitionBy(*PARTITION).orderBy("offset")
-        ranked = rows.withColumn("_pos", F.row_number().over(here) - 1)
-    else:
-        ranked = rank_in_slices(rows.withColumn("_slice", offset_slice()), PARTITION, ["offset"], "_slice", "_pos")
+        ranked = rows.withColumn("_pos", F.row_number().over(here))
+        return ranked.where(F.col("_pos") <= n).select(*log.columns)
+    ranked = rank_in_slices(rows.withColumn("_slice", offset_slice()), PARTITION, ["offset"], "_slice", "_pos")
     return ranked.where(F.col("_pos") < n).select(*log.columns)
 
 

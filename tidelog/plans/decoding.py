@@ -519,4 +519,5 @@ def d06(spark, sf):
         at = F.greatest(F.col("earliest"), F.col("latest") - 10)
         return b.select("topic_uri", "partition", at.alias("position"))
 
-    return fx.out(ranges.read_slice(fx.topic_log(spark, sf), ranges.custom(tail)).select("topic_uri", "partition", "offset"))
+    return fx.out(ranges.read_slice(
+        fx.topic_log(spark, sf), ranges.custom(tail), known=fx.bounds(spark, sf)).select("topic_uri", "partition", "offset"))

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tidelog import constants as C
 from tidelog.functions.binary import encode_integer
+from tidelog.functions.uri import with_uri_parts
 from tidelog.session import scratch_dir
+from tidelog.sources.registry import REGISTRY_DDL
 from tidelog.sources.topiclog import TopicLog, outbox
 
 CLUSTER = "plaintext:/rn:kafka:env:cloud_region1::cluster"
@@ -95,6 +97,16 @@ def late_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, sf_dir, "late").read()
 
 
+def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic partitions and the parts of their names, from the store's own ranges: no scan of the rows."""
+    return with_uri_parts(store(spark, sf_dir).catalog())
+
+
+def bounds(spark: SparkSession, sf_dir: str, kind: str = "ordered") -> DataFrame:
+    """Earliest and end offsets, also from the store."""
+    return _store(spark, sf_dir, kind).bounds()
+
+
 def group_offsets(log: DataFrame) -> DataFrame:
     """Group g1 is half way through partitions 0-2 and never committed partition 3."""
     half = F.floor((F.max("offset") + 1) / 2).cast("bigint")
@@ -119,8 +131,6 @@ def registry(spark: SparkSession) -> DataFrame:
         (s, [(c, f"{c}:9092", f"plaintext:/rn:kafka:env:cloud_region1::{c}:", topics) for c, topics in by.items()])
         for s, by in streams.items()
     ]
-    from tidelog.sources.registry import REGISTRY_DDL
-
     return spark.createDataFrame(rows, REGISTRY_DDL)
 
 

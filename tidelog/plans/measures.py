@@ -243,9 +243,10 @@ def w08(spark, sf):
 def flagship(spark, sf_dir: str) -> DataFrame:
     """Pattern subscription, start by time, stop by offset, typed decode, metadata, hourly counts per topic."""
     log = fx.topic_log(spark, sf_dir)
-    wanted = subscribe.topics_matching(subscribe.catalog(log), "click|view|purchase")
+    wanted = subscribe.topics_matching(fx.catalog(spark, sf_dir), "click|view|purchase")
     mine = subscribe.subscribe(log, wanted)
-    piece = ranges.read_slice(mine, ranges.at_timestamp(datetime(2024, 1, 5)), ranges.latest())
+    known = subscribe.subscribe(fx.bounds(spark, sf_dir), wanted)
+    piece = ranges.read_slice(mine, ranges.at_timestamp(datetime(2024, 1, 5)), ranges.latest(), known)
     t = project.read_table(
         piece, "user_id BIGINT, event_id BIGINT, cents BIGINT", metadata_columns={"topic_uri": "topic-uri", "ts": "timestamp"},
         null_values="skip")

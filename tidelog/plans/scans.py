@@ -53,7 +53,7 @@ def s02(spark, sf):
     "AND cluster = 'cluster1'"))
 def s03(spark, sf):
     log = fx.topic_log(spark, sf)
-    wanted = subscribe.topics_matching(subscribe.catalog(log), "c.*|view|purch", "cluster1")
+    wanted = subscribe.topics_matching(fx.catalog(spark, sf), "c.*|view|purch", "cluster1")
     return _rows(subscribe.subscribe(log, wanted))
 
 
@@ -61,7 +61,7 @@ def s03(spark, sf):
     f"SELECT {_ROW} FROM topic_log WHERE regexp_full_match(topic_uri, '.*cluster1:(click|err)')"))
 def s03_uri(spark, sf):
     log = fx.topic_log(spark, sf)
-    return _rows(subscribe.subscribe(log, subscribe.uris_matching(subscribe.catalog(log), ".*cluster1:(click|err)")))
+    return _rows(subscribe.subscribe(log, subscribe.uris_matching(fx.catalog(spark, sf), ".*cluster1:(click|err)")))
 
 
 @query("s04_partition_set", fx.sql(
@@ -71,7 +71,7 @@ def s04(spark, sf):
     log = fx.topic_log(spark, sf)
     wanted = spark.createDataFrame(
         [(CLICK0, 0), (CLICK0, 2), (fx.CLUSTER + "1:view", 1)], "topic_uri STRING, partition INT")
-    return _rows(subscribe.subscribe(log, subscribe.explicit_partitions(subscribe.catalog(log), wanted)))
+    return _rows(subscribe.subscribe(log, subscribe.explicit_partitions(fx.catalog(spark, sf), wanted)))
 
 
 @query("s04_missing_partitions", fx.sql(
@@ -88,7 +88,7 @@ def s04_missing(spark, sf):
 def s05(spark, sf):
     log = fx.topic_log(spark, sf)
     wanted = subscribe.chosen_by(
-        subscribe.catalog(log), lambda c: c.where((F.col("rn_parts.cluster") == "cluster0") & (F.col("partition") % 2 == 1)))
+        fx.catalog(spark, sf), lambda c: c.where((F.col("rn_parts.cluster") == "cluster0") & (F.col("partition") % 2 == 1)))
     return _rows(subscribe.subscribe(log, wanted))
 
 
@@ -138,7 +138,7 @@ def s09(spark, sf):
 # --- start positions ---------------------------------------------------------------------------------------
 @query("s10_start_earliest", fx.sql(f"SELECT {_ROW} FROM topic_log"))
 def s10(spark, sf):
-    return _rows(ranges.read_slice(fx.topic_log(spark, sf), ranges.earliest()))
+    return _rows(ranges.read_slice(fx.topic_log(spark, sf), ranges.earliest(), known=fx.bounds(spark, sf)))
 
 
 @query("s11_start_latest", fx.sql(
@@ -153,7 +153,7 @@ def s11(spark, sf):
     "WHERE l.off >= coalesce(g.next_offset, b.earliest)"))
 def s12(spark, sf):
     log = fx.topic_log(spark, sf)
-    return _ids(ranges.read_slice(log, ranges.committed(fx.group_offsets(log), "g1", "earliest")))
+    return _ids(ranges.read_slice(log, ranges.committed(fx.group_offsets(log), "g1", "earliest"), known=fx.bounds(spark, sf)))
 
 
 @query("s12_start_committed_reset_latest", fx.sql(
@@ -161,7 +161,7 @@ def s12(spark, sf):
     "ON g.topic_uri = l.topic_uri AND g.part = l.part WHERE l.off >= g.next_offset"))
 def s12_latest(spark, sf):
     log = fx.topic_log(spark, sf)
-    return _ids(ranges.read_slice(log, ranges.committed(fx.group_offsets(log), "g1", "latest")))
+    return _ids(ranges.read_slice(log, ranges.committed(fx.group_offsets(log), "g1", "latest"), known=fx.bounds(spark, sf)))
 
 
 @query("s13_start_timestamp", fx.sql(
@@ -169,7 +169,7 @@ def s12_latest(spark, sf):
     f"(SELECT topic_uri, part, min(off) AS f FROM late_log WHERE ts >= {AT_SQL} GROUP BY 1, 2) s "
     "ON s.topic_uri = l.topic_uri AND s.part = l.part WHERE l.off >= s.f"))
 def s13(spark, sf):
-    return _ids(ranges.read_slice(fx.late_log(spark, sf), ranges.at_timestamp(AT)))
+    return _ids(ranges.read_slice(fx.late_log(spark, sf), ranges.at_timestamp(AT), known=fx.bounds(spark, sf, "late")))
 
 
 _SPEC = ("spec(topic_uri, part, next_offset) AS "
@@ -184,13 +184,14 @@ _SPEC = ("spec(topic_uri, part, next_offset) AS "
 def s14(spark, sf):
     log = fx.topic_log(spark, sf)
     given = ranges.offsets_from_text(spark, [CLICK0], SPEC_TEXT)
-    return _ids(ranges.read_slice(log, ranges.specific(given, fx.group_offsets(log), "g1")))
+    return _ids(ranges.read_slice(
+        log, ranges.specific(given, fx.group_offsets(log), "g1"), known=fx.bounds(spark, sf)))
 
 
 # --- stop positions ----------------------------------------------------------------------------------------
 @query("s16_stop_latest", fx.sql("SELECT topic_uri, part, off FROM topic_log"))
 def s16(spark, sf):
-    return _ids(ranges.read_slice(fx.topic_log(spark, sf), ranges.earliest(), ranges.latest()))
+    return _ids(ranges.read_slice(fx.topic_log(spark, sf), ranges.earliest(), ranges.latest(), fx.bounds(spark, sf)))
 
 
 @query("s17_stop_committed", fx.sql(
@@ -209,7 +210,8 @@ def s17(spark, sf):
     "ON s.topic_uri = l.topic_uri AND s.part = l.part WHERE s.f IS NULL OR l.off < s.f"))
 def s18(spark, sf):
     """By position: rows behind the first late-enough one are cut even if they are older."""
-    return _ids(ranges.read_slice(fx.late_log(spark, sf), ranges.earliest(), ranges.at_timestamp(UNTIL)))
+    return _ids(ranges.read_slice(
+        fx.late_log(spark, sf), ranges.earliest(), ranges.at_timestamp(UNTIL), fx.bounds(spark, sf, "late")))
 
 
 @query("s19_stop_specific", fx.sql(
@@ -291,7 +293,7 @@ def s28(spark, sf):
 @query("s29_paused", fx.sql("SELECT topic_uri, part, off FROM topic_log WHERE NOT (part = 1 AND cluster = 'cluster0')"))
 def s29(spark, sf):
     log = fx.topic_log(spark, sf)
-    paused = subscribe.catalog(log).where((F.col("partition") == 1) & (F.col("rn_parts.cluster") == "cluster0"))
+    paused = fx.catalog(spark, sf).where((F.col("partition") == 1) & (F.col("rn_parts.cluster") == "cluster0"))
     return _ids(subscribe.without(log, paused))
 
 

@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -77,9 +77,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def durable_checkpoint(df):
-    """`DataFrame.checkpoint` into the shared folder, so a lost executor cannot change what was read."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{scratch_root(spark)}/checkpoints")
-    return df.checkpoint(eager=True)
+def durable_table(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` into the shared folder and read it back, so a lost executor cannot change what was seen.
+
+    Columnar and compressed, and later steps read only the columns they need.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidelog.constants import LOG_COLUMNS, LOG_DDL
 from tidelog.operators.ordered import offset_slice, rank
-from tidelog.session import durable_checkpoint
+from tidelog.operators.small import checked_broadcast
 from tidelog.sources import files
 
 RANGES_DDL = (
@@ -71,21 +71,24 @@ class TopicLog:
     def assign_offsets(self, outbox: DataFrame, order: list[str]) -> DataFrame:
         """Continue every partition's offsets in `order` (total inside a partition)."""
         ranked = rank(outbox, ["topic_uri", "partition"], order, "_rank")
-        ends = self.bounds().select("topic_uri", "partition", "latest")
+        ends = checked_broadcast(self.bounds().select("topic_uri", "partition", "latest"))
         return (
-            ranked.join(ends, ["topic_uri", "partition"], "left")
+            ranked.join(ends.df, ["topic_uri", "partition"], "left")
             .withColumn("offset", F.coalesce(F.col("latest"), F.lit(0)) + F.col("_rank"))
             .drop("_rank", "latest")
         )
 
     def stage(self, outbox: DataFrame, txn: str, order: list[str], tasks: int | None = None) -> None:
-        """Write rows and ranges of a transaction without showing them."""
+        """Write rows and ranges of a transaction without showing them.
+
+        Offset assignment leaves rows range-partitioned by topic, partition and order, which is the layout wanted:
+        a hot partition is many files, each a sorted run of offsets. `tasks` fixes the number of writers instead.
+        """
         rows = self.assign_offsets(outbox, order).select(*LOG_COLUMNS)
-        # hot partitions are spread over tasks by offset slice; each file holds one sorted run of offsets
-        spread = ["topic_uri", "partition", offset_slice("offset")]
-        laid_out = rows.repartition(tasks, *spread) if tasks else rows.repartition(*spread)
+        if tasks:
+            rows = rows.repartition(tasks, "topic_uri", "partition", offset_slice("offset"))
         (
-            laid_out.sortWithinPartitions("topic_uri", "partition", "offset")
+            rows.sortWithinPartitions("topic_uri", "partition", "offset")
             .write.mode("overwrite").partitionBy("topic_uri", "partition")
             .parquet(f"{self.root}/data/txn={txn}")
         )
@@ -166,8 +169,3 @@ def outbox(
         topic_uri.alias("topic_uri"), timestamp.alias("timestamp"), key.alias("key"), value.alias("value"),
         (headers if headers is not None else empty).alias("headers"), *(keep or []),
     )
-
-
-def freeze(df: DataFrame) -> DataFrame:
-    """Fix a result that depends on chance or time before it is used twice."""
-    return durable_checkpoint(df)

@@ -50,8 +50,13 @@ def write_step(
             txn = f"{txn}-{uuid.uuid4().hex[:8]}"
         elif txn in log.committed():
             return
-        offsets = progress_of(batch, group_id) if group_id else None
-        if log.append(make_outbox(batch), txn, order, group_offsets=offsets) and on_commit:
+        kept = batch.persist()  # read by the range sample, the write and the progress
+        try:
+            offsets = progress_of(kept, group_id) if group_id else None
+            done = log.append(make_outbox(kept), txn, order, group_offsets=offsets)
+        finally:
+            kept.unpersist()
+        if done and on_commit:
             on_commit(batch_id)
 
     return step
