@@ -134,9 +134,11 @@ class Subscription:
     def _read_registry(self) -> set[str]:
         filesystem, path = _filesystem(self.registry)
         with filesystem.open_input_stream(path) as f:
-            lines = f.readall().decode("utf-8").splitlines()
+            lines = [x for x in f.readall().decode("utf-8").splitlines() if x]
+        if not lines:  # a file being replaced, not a registry without streams
+            raise ValueError("empty stream registry")
         found = set()
-        for line in filter(None, lines):
+        for line in lines:
             stream = json.loads(line)
             if self._wanted(stream["streamId"]):
                 for c in stream["clusterMetadataList"]:
