@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.operators import ranges
+from tidelog.operators.changelog import latest_by_key
 from tidelog.plans import fixture as fx
 from tidelog.plans.catalog import query
-from tidelog.plans.state import CHANGES
 from tidelog.plans.measures import _SEEN
+from tidelog.plans.scans import AT, AT_SQL
+from tidelog.plans.state import CHANGES, LATEST
 from tidelog.plans.writing import _rows, new_log
 from tidelog.session import scratch_dir
 from tidelog.sources import datasource
 from tidelog.sources.topiclog import TopicLog
 from tidelog.streaming import deliver as dv
+from tidelog.streaming import shuffle
 from tidelog.streaming.tables import BatchTable
-from tidelog.streaming.upsert import CHANGE_DDL, live_buffered_upsert, live_changelog
+from tidelog.streaming.temporal import live_as_of_join
+from tidelog.streaming.upsert import CHANGE_DDL, UpsertTable, live_buffered_upsert, live_changelog
 from tidelog.streaming.watermarks import PartitionWatermarks, TumblingCounts
 
 _ROW = "topic_uri, part, off, ts, k, v"
@@ -38,9 +43,10 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str, checkpoint:
     return target
 
 
-def run_capped(stream: DataFrame, step, checkpoint: str) -> list[int]:
+def run_capped(stream: DataFrame, step, checkpoint: str, mode: str = "append") -> list[int]:
     """Run micro-batch after micro-batch until nothing is left; returns rows per micro-batch."""
-    q = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
+    writer = stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint)
+    q = writer.trigger(processingTime="0 seconds").start()
     try:
         q.processAllAvailable()
         return [p.numInputRows for p in q.recentProgress if p.numInputRows > 0]
@@ -250,3 +256,72 @@ def x11(spark, sf):
     run_capped(stream, step, checkpoint)
     late = spark.read.parquet(f"{root}/rows")
     return fx.out(late.select("topic_uri", "partition", "offset", F.col("timestamp").alias("ts"), "watermark"))
+
+
+@query("u02_live_table", fx.sql("SELECT topic_uri, k, part, off, v FROM latest", LATEST))
+def u02_live(spark, sf):
+    """The current table kept by a stream in several micro-batches, compacted half way."""
+    checkpoint, table = scratch_dir(spark, "table-cp"), UpsertTable(spark, scratch_dir(spark, "table"))
+    stream = stream_of(spark, fx.store(spark, sf), maxRowsPerBatch=_rate(spark, sf), checkpoint=checkpoint)
+    run_capped(stream, table.step, checkpoint)
+    table.compact(2)
+    return fx.out(table.read().select("topic_uri", F.col("key").alias("k"), "partition", "offset", F.col("value").alias("v")))
+
+
+@query("a11_live_counts", fx.sql("SELECT topic_uri AS k, CAST(count(*) AS VARCHAR) AS v FROM topic_log GROUP BY 1"))
+def a11_live(spark, sf):
+    """A streaming count per topic written to an upsert topic after every micro-batch, and the table it amounts to."""
+    checkpoint, target = scratch_dir(spark, "counts-cp"), new_log(spark, "counts")
+    stream = stream_of(spark, fx.store(spark, sf), maxRowsPerBatch=_rate(spark, sf), checkpoint=checkpoint)
+    counts = stream.groupBy("topic_uri").agg(F.count(F.lit(1)).alias("n"))
+
+    def messages(batch: DataFrame) -> DataFrame:
+        return batch.select(
+            F.lit(fx.CLUSTER + "9:counts").alias("topic_uri"), F.lit(0).alias("partition"), F.current_timestamp().alias("timestamp"),
+            F.encode("topic_uri", "UTF-8").alias("key"), F.encode(F.col("n").cast("string"), "UTF-8").alias("value"),
+            F.lit(None).cast("map<string,binary>").alias("headers"))
+
+    run_capped(counts, dv.write_step(target, messages, ["key"], "counts"), checkpoint, mode="update")
+    latest = latest_by_key(target.read())
+    return fx.out(latest.select(F.col("key").alias("k"), F.col("value").alias("v")))
+
+
+@query("j01_live_as_of", fx.sql(
+    "SELECT l.topic_uri, l.off, l.k, CASE WHEN m.v IS NOT NULL THEN m.cents END AS version_cents FROM probes l "
+    "ASOF LEFT JOIN versions m ON l.k = m.k AND l.ts >= m.ts "
+    "WHERE l.k IS NOT NULL AND l.ts < (SELECT date_trunc('millisecond', max(ts)) FROM both_topics) - INTERVAL 5 MINUTE",
+    "both_topics AS (SELECT * FROM topic_log WHERE cluster = 'cluster0' AND event_type IN ('click', 'view') AND k IS NOT NULL)",
+    "probes AS (SELECT * FROM both_topics WHERE event_type = 'click')",
+    "versions AS (SELECT k, ts, v, cents FROM both_topics WHERE event_type = 'view')"))
+def j01_live(spark, sf):
+    """Clicks joined live to the user's `view` row as of click time; every click the watermark has passed."""
+    log = fx.store(spark, sf)
+    clicks = stream_of(spark, log, topicPattern="click", cluster="cluster0").withColumnRenamed("timestamp", "ts")
+    views = stream_of(spark, log, topicPattern="view", cluster="cluster0").withColumn(
+        "version_cents", F.from_json(F.col("value").cast("string"), "cents BIGINT")["cents"])
+    joined = live_as_of_join(clicks, views, "key", "ts", "timestamp", "offset", ["topic_uri", "offset"], ["version_cents"],
+                             F.col("value").isNull(), "5 minutes")
+    root = scratch_dir(spark, "as-of")
+    run_capped(joined, lambda batch, i: batch.write.mode("overwrite").parquet(f"{root}/batch={i}"), scratch_dir(spark, "as-of-cp"))
+    return fx.out(spark.read.parquet(root).select("topic_uri", "offset", F.col("key").alias("k"), "version_cents"))
+
+
+@query("s13_stream_from_timestamp", fx.sql(
+    "SELECT l.topic_uri, l.part, l.off FROM topic_log l JOIN "
+    f"(SELECT topic_uri, part, min(off) AS f FROM topic_log WHERE ts >= {AT_SQL} GROUP BY 1, 2) s "
+    "ON s.topic_uri = l.topic_uri AND s.part = l.part WHERE l.off >= s.f"))
+def s13_stream(spark, sf):
+    """A stream that starts at a time, through resolved offsets."""
+    log = fx.store(spark, sf)
+    start = ranges.resolve(log.read(), ranges.at_timestamp(AT), known=log.bounds())
+    at = run_to_table(spark, stream_of(spark, log, startingOffsets=datasource.offsets_json(start)), "from-time")
+    return fx.out(spark.read.parquet(at).select("topic_uri", "partition", "offset"))
+
+
+@query("x08_bucketed_shuffle", "SELECT conv_id % 10 AS k, count(*) AS n_rows, max(length(text)) AS longest FROM conversations GROUP BY 1")
+def x08(spark, sf):
+    """The batch form of the keyed shuffle: grouping the bucketed table needs no second one."""
+    c = fx.table(spark, sf, "conversations").select((F.col("conv_id") % 10).alias("k"), "text")
+    name = "tidelog_" + scratch_dir(spark, "b").rsplit("-", 1)[-1]
+    t = shuffle.write_bucketed(c, name, scratch_dir(spark, "bucketed"), "k", 8)
+    return t.groupBy("k").agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.length("text")).cast("bigint").alias("longest"))

@@ -3,10 +3,13 @@
 Options
     path                  root of the log
     topics                comma-separated topic URIs; default all
+    topicPattern          regular expression for the whole topic name; with `cluster` inside one cluster only
     streamRegistry        JSON-lines registry file; with `streamIds` (comma-separated) or `streamPattern` it is read
                           again for every micro-batch, so topics come and go while the query runs
     registryFailures      how often in a row reading the registry may fail while the last good copy is used (default 3)
-    startingOffsets       earliest (default), latest, or JSON {"<uri>|<partition>": offset}
+    pausedFile            JSON list of "<uri>|<partition>" read again for every micro-batch; paused partitions keep
+                          their position and deliver nothing
+    startingOffsets       earliest (default), latest, or JSON {"<uri>|<partition>": offset}; see `offsets_json`
     endingOffsets         latest (default) or JSON, batch only; exclusive
     discoverPartitions    true (default): partitions that appear later are read from their first offset
     rowsPerSecond         rate limit over all tasks; with `triggerSeconds` (default 1) it caps a micro-batch
@@ -29,11 +32,13 @@ import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import datasource as pds
 
 from tidelog.constants import LOG_DDL, MIN_TASK_RATE
 from tidelog.operators.ordered import SLICE_ROWS
+from tidelog.operators.small import MAX_ROWS
+from tidelog.session import ship_package
 
 _ARROW = pa.schema([
     ("topic_uri", pa.string()), ("partition", pa.int32()), ("offset", pa.int64()),
@@ -72,6 +77,15 @@ def _split_name(name: str) -> tuple[str, int]:
     return uri, int(part)
 
 
+def offsets_json(positions: DataFrame, column: str = "start") -> str:
+    """Resolved positions as the text `startingOffsets` and `endingOffsets` take, so that a stream can start at a
+    time, at committed offsets, or anywhere else. One short entry per partition; more than MAX_ROWS is refused."""
+    rows = positions.select("topic_uri", "partition", column).limit(MAX_ROWS + 1).collect()
+    if len(rows) > MAX_ROWS:
+        raise ValueError(f"more than {MAX_ROWS} partitions")
+    return json.dumps({name_of(r[0], r[1]): r[2] for r in rows if r[2] is not None})
+
+
 class LogIndex:
     """Committed ranges of a log by partition; `refresh` picks up new transactions."""
 
@@ -120,6 +134,9 @@ class Subscription:
 
     def __init__(self, options: dict):
         self.topics = set(options["topics"].split(",")) if options.get("topics") else None
+        self.name_pattern = re.compile(options["topicpattern"]) if options.get("topicpattern") else None
+        self.cluster = options.get("cluster")
+        self.paused_file = options.get("pausedfile")
         self.registry = options.get("streamregistry")
         self.ids = set(options["streamids"].split(",")) if options.get("streamids") else None
         self.pattern = re.compile(options["streampattern"]) if options.get("streampattern") else None
@@ -146,7 +163,20 @@ class Subscription:
         return found
 
     def includes(self, name: str) -> bool:
-        return self.topics is None or _split_name(name)[0] in self.topics
+        uri = _split_name(name)[0]
+        *_, cluster, topic = uri.split(":")
+        if self.name_pattern is not None and not self.name_pattern.fullmatch(topic):
+            return False
+        if self.cluster and cluster != self.cluster:
+            return False
+        return self.topics is None or uri in self.topics
+
+    def paused(self) -> set[str]:
+        if not self.paused_file:
+            return set()
+        filesystem, path = _filesystem(self.paused_file)
+        with filesystem.open_input_stream(path) as f:
+            return set(json.loads(f.readall().decode("utf-8") or "[]"))
 
     def refresh(self) -> None:
         if not self.registry:
@@ -308,8 +338,11 @@ class LogStreamReader(pds.DataSourceStreamReader):
         before = self.position if self.position is not None else _starts(self.options, bounds)
         discover = str(self.options.get("discoverpartitions", "true")).lower() == "true"
         end = dict(before)
-        available = {}
+        available, paused = {}, self.wanted.paused()
         for n, (first, nxt) in bounds.items():
+            if n in paused:
+                end.setdefault(n, first)
+                continue
             if n not in before and not discover and self.position is not None:
                 continue
             available[n] = nxt - before.get(n, first)
@@ -354,7 +387,5 @@ class TopicLogSource(pds.DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    from tidelog.session import ship_package
-
     ship_package(spark)
     spark.dataSource.register(TopicLogSource)

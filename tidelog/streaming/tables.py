@@ -13,33 +13,33 @@ class BatchTable:
     def __init__(self, spark: SparkSession, root: str, ddl: str, keep: int = 10):
         self.spark, self.root, self.ddl, self.keep = spark, root.rstrip("/"), ddl, keep
 
-    def _done(self) -> list[int]:
+    def done(self) -> list[int]:
         ids = [int(n.removeprefix("batch=")) for n in files.names(self.spark, self.root) if n.startswith("batch=")]
         return sorted(i for i in ids if files.exists(self.spark, f"{self.root}/batch={i}/_SUCCESS"))
 
     def before(self, batch_id: int) -> DataFrame:
         """State as it was before `batch_id` ran."""
-        earlier = [i for i in self._done() if i < batch_id]
-        return self._load(earlier[-1]) if earlier else self.spark.createDataFrame([], self.ddl)
+        return self.load([i for i in self.done() if i < batch_id][-1:])
 
     def latest(self) -> DataFrame:
-        done = self._done()
-        return self._load(done[-1]) if done else self.spark.createDataFrame([], self.ddl)
+        return self.load(self.done()[-1:])
 
     def all(self) -> DataFrame:
         """Rows of every batch, for tables that are appended to."""
-        done = self._done()
-        if not done:
-            return self.spark.createDataFrame([], self.ddl)
-        return self.spark.read.schema(self.ddl).parquet(*[f"{self.root}/batch={i}" for i in done])
+        return self.load(self.done())
 
-    def _load(self, batch_id: int) -> DataFrame:
-        return self.spark.read.schema(self.ddl).parquet(f"{self.root}/batch={batch_id}")
+    def load(self, batches: list[int]) -> DataFrame:
+        if not batches:
+            return self.spark.createDataFrame([], self.ddl)
+        return self.spark.read.schema(self.ddl).parquet(*[f"{self.root}/batch={i}" for i in batches])
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
 
     def trim(self) -> None:
         """Drop all but the newest states."""
-        for i in self._done()[: -self.keep]:
-            files.delete(self.spark, f"{self.root}/batch={i}")
+        for i in self.done()[: -self.keep]:
+            self.drop(i)
+
+    def drop(self, batch_id: int) -> None:
+        files.delete(self.spark, f"{self.root}/batch={batch_id}")

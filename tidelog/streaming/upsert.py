@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tidelog.constants import DELETE, INSERT, UPDATE_AFTER, UPDATE_BEFORE
+from tidelog.constants import DELETE, INSERT, LOG_COLUMNS, LOG_DDL, UPDATE_AFTER, UPDATE_BEFORE
 from tidelog.operators.changelog import buffered_upsert
-from tidelog.session import ship_package
+from tidelog.session import durable_table, ship_package
+from tidelog.streaming.tables import BatchTable
 
 CHANGE_DDL = (
     "topic_uri STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, key BINARY, change_no INT, "
@@ -84,3 +85,35 @@ def live_buffered_upsert(
     return (
         stream.where(F.col("key").isNotNull()).writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
+class UpsertTable:
+    """The current table of an upsert stream, kept as small changes and merged when read.
+
+    A micro-batch writes the last row of each key it saw, tombstones included; nothing already written is touched.
+    `compact` folds all changes into one.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.changes = BatchTable(spark, root, f"{LOG_DDL}")
+
+    def step(self, batch: DataFrame, batch_id: int) -> None:
+        self.changes.write(self._last(batch.where(F.col("key").isNotNull())), batch_id)
+
+    @staticmethod
+    def _last(rows: DataFrame) -> DataFrame:
+        columns = [c for c in LOG_COLUMNS if c not in ("topic_uri", "key")]
+        last = rows.groupBy("topic_uri", "key").agg(F.max_by(F.struct(*columns), F.col("offset")).alias("_row"))
+        return last.select("topic_uri", "key", "_row.*").select(*LOG_COLUMNS)
+
+    def read(self) -> DataFrame:
+        return self._last(self.changes.all()).where(F.col("value").isNotNull())
+
+    def compact(self, batch_id: int) -> None:
+        """Replace all changes up to and including `batch_id` by their merged state; run it between two queries."""
+        folders = [i for i in self.changes.done() if i <= batch_id]
+        merged = durable_table(self._last(self.changes.load(folders)), "compacted")
+        self.changes.write(merged, batch_id)
+        for i in folders:
+            if i != batch_id:
+                self.changes.drop(i)
