@@ -44,11 +44,16 @@ def debezium(df: DataFrame, value: str, fields: str, keep: list[str]) -> DataFra
 _TEXT_ROW = "MAP<STRING, STRING>"
 
 
-def _typed(m: Column, row: T.StructType, over: Column | None = None) -> Column:
-    """A struct from a name->text map; a name present in `over` (even as null) wins."""
+def _text_struct(row: T.StructType) -> str:
+    """The row with every field as text, the way envelopes without types carry it."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in row]).simpleString()
+
+
+def _typed(texts: Column, row: T.StructType, over: Column | None = None) -> Column:
+    """A typed struct from a struct of texts; a name present in the map `over` (even as null) wins."""
     columns = []
     for f in row:
-        own = F.try_element_at(m, F.lit(f.name))
+        own = texts[f.name]
         if over is not None:
             own = F.when(F.map_contains_key(over, f.name), F.try_element_at(over, F.lit(f.name))).otherwise(own)
         columns.append(own.cast(f.dataType).alias(f.name))
@@ -60,7 +65,7 @@ def canal(df: DataFrame, value: str, fields: str, keep: list[str]) -> DataFrame:
     changed fields put back."""
     row = T.StructType.fromDDL(fields)
     envelope = (
-        f"data ARRAY<{_TEXT_ROW}>, old ARRAY<{_TEXT_ROW}>, type STRING, database STRING, `table` STRING, "
+        f"data ARRAY<{_text_struct(row)}>, old ARRAY<{_TEXT_ROW}>, type STRING, database STRING, `table` STRING, "
         "es BIGINT, ts BIGINT, isDdl BOOLEAN"
     )
     e = df.withColumn("_e", F.from_json(F.col(value).cast("string"), envelope))
@@ -84,7 +89,7 @@ def canal(df: DataFrame, value: str, fields: str, keep: list[str]) -> DataFrame:
 def maxwell(df: DataFrame, value: str, fields: str, keep: list[str]) -> DataFrame:
     """data/old/type envelopes, one row each, time in seconds."""
     row = T.StructType.fromDDL(fields)
-    envelope = f"data {_TEXT_ROW}, old {_TEXT_ROW}, type STRING, database STRING, `table` STRING, ts BIGINT"
+    envelope = f"data {_text_struct(row)}, old {_TEXT_ROW}, type STRING, database STRING, `table` STRING, ts BIGINT"
     e = df.withColumn("_e", F.from_json(F.col(value).cast("string"), envelope))
     data, old, kind = F.col("_e.data"), F.col("_e.old"), F.col("_e.type")
     nothing = F.create_map().cast(_TEXT_ROW)

@@ -12,17 +12,24 @@ def _rank_of(p: float, total: Column) -> Column:
     return F.lit(p) * (total - 1)
 
 
+def _value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    return (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+        .withColumn("_bucket", F.floor(F.col("_v") / F.lit(BUCKET_VALUES)))
+    )
+
+
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float]) -> DataFrame:
     """Linear-interpolated percentiles of the BIGINT column `value`, one row per group.
 
     Values are counted, counts are summed per bucket of BUCKET_VALUES neighbouring values, and only the buckets
     that hold a wanted rank are looked into. Each window is bounded by the number of buckets or by BUCKET_VALUES.
     """
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_bucket", F.floor(F.col("_v") / F.lit(BUCKET_VALUES)))
-    )
+    return _percentiles(_value_counts(df, keys, value), keys, points)
+
+
+def _percentiles(counts: DataFrame, keys: list[str], points: dict[str, float]) -> DataFrame:
     per_key = Window.partitionBy(*keys)
     buckets = (
         counts.groupBy(*keys, "_bucket").agg(F.sum("_c").alias("_bc"))
@@ -57,9 +64,10 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, points: dict[s
 
 
 def histogram(df: DataFrame, keys: list[str], value: str, points: dict[str, float]) -> DataFrame:
-    """count, min, max, mean and percentiles of `value` per group."""
-    basics = df.groupBy(*keys).agg(
-        F.count(value).alias("n"), F.min(value).alias("min_value"), F.max(value).alias("max_value"),
-        F.avg(value).alias("mean_value"),
+    """count, min, max, mean and percentiles of `value` per group, all from one count per value."""
+    counts = _value_counts(df, keys, value)
+    basics = counts.groupBy(*keys).agg(
+        F.sum("_c").alias("n"), F.min("_v").alias("min_value"), F.max("_v").alias("max_value"),
+        (F.sum(F.col("_v").cast("double") * F.col("_c")) / F.sum("_c")).alias("mean_value"),
     )
-    return basics.join(exact_percentiles(df, keys, value, points), keys, "left")
+    return basics.join(_percentiles(counts, keys, points), keys, "left")

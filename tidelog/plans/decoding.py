@@ -82,7 +82,7 @@ chg AS (
 
 def order_steps(spark, sf) -> DataFrame:
     """Every order as created; F orders get a price change, P orders are deleted."""
-    o = fx.table(spark, sf, "orders").select(
+    o = fx.spread(fx.table(spark, sf, "orders")).select(
         "o_orderkey", "o_orderstatus", "o_orderpriority", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
         F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("day_ms"))
     steps = F.when(F.col("o_orderstatus").isin("F", "P"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))

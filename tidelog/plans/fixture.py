@@ -25,8 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for work done per row when a source has fewer partitions than there are cores.
+
+    Large inputs have far more partitions and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+    e = spread(table(spark, sf_dir, "events")).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
     user = F.col("user_id")
     published = F.col("ts").cast("timestamp")
     body = F.concat(

@@ -56,7 +56,7 @@ def k05(spark, sf):
 
 
 def _orders(spark, sf) -> DataFrame:
-    return fx.table(spark, sf, "orders").select(
+    return fx.spread(fx.table(spark, sf, "orders")).select(
         "o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("timestamp").alias("day"),
         F.encode(F.col("o_custkey").cast("string"), "UTF-8").alias("key"))
 

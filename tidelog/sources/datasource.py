@@ -45,11 +45,12 @@ _ARROW = pa.schema([
     ("timestamp", pa.timestamp("us", tz="UTC")), ("key", pa.binary()), ("value", pa.binary()),
     ("headers", pa.map_(pa.string(), pa.binary())),
 ])
+MIN_TASKS, MIN_TASK_ROWS = 32, 10_000  # a read is spread over this many tasks unless they would get too small
 _STORED = ["offset", "timestamp", "key", "value", "headers"]
 
 
 @dataclass
-class LogSlice(pds.InputPartition):
+class LogSlice:
     """Offsets [start, stop) of one partition and the folders that hold them."""
 
     topic_uri: str
@@ -58,8 +59,26 @@ class LogSlice(pds.InputPartition):
     stop: int
     folders: list[str]
 
-    def __init__(self, topic_uri: str, partition: int, start: int, stop: int, folders: list[str]):
-        self.topic_uri, self.partition, self.start, self.stop, self.folders = topic_uri, partition, start, stop, folders
+
+class LogTask(pds.InputPartition):
+    """The slices one task reads."""
+
+    def __init__(self, slices: list[LogSlice]):
+        self.slices = slices
+
+
+def pack(slices: list[LogSlice], rows: int) -> list[LogTask]:
+    """Slices of small partitions share a task, up to `rows` rows; at least one task even if there is nothing."""
+    total = sum(s.stop - s.start for s in slices)
+    aim = min(rows, max(MIN_TASK_ROWS, total // MIN_TASKS))
+    tasks, current, held = [], [], 0
+    for s in slices:
+        if current and held + s.stop - s.start > aim:
+            tasks.append(LogTask(current))
+            current, held = [], 0
+        current.append(s)
+        held += s.stop - s.start
+    return [*tasks, LogTask(current)]
 
 
 def _filesystem(path: str):
@@ -215,19 +234,20 @@ def share(cap: int, available: dict[str, int]) -> dict[str, int]:
     return taken
 
 
-def _read(path: str, piece: LogSlice):
+def _read(path: str, task: LogTask):
     filesystem, _ = _filesystem(path)
-    wanted = (pc.field("offset") >= piece.start) & (pc.field("offset") < piece.stop)
-    for folder in piece.folders:
-        files = ds.dataset(folder, filesystem=filesystem, format="parquet")
-        for batch in files.to_batches(columns=_STORED, filter=wanted):
-            if batch.num_rows == 0:
-                continue
-            columns = [pa.array([piece.topic_uri] * batch.num_rows, pa.string()),
-                       pa.array([piece.partition] * batch.num_rows, pa.int32())]
-            for name in _STORED:
-                columns.append(batch.column(name).cast(_ARROW.field(name).type))
-            yield pa.RecordBatch.from_arrays(columns, schema=_ARROW)
+    for piece in task.slices:
+        wanted = (pc.field("offset") >= piece.start) & (pc.field("offset") < piece.stop)
+        for folder in piece.folders:
+            files = ds.dataset(folder, filesystem=filesystem, format="parquet")
+            for batch in files.to_batches(columns=_STORED, filter=wanted):
+                if batch.num_rows == 0:
+                    continue
+                columns = [pa.array([piece.topic_uri] * batch.num_rows, pa.string()),
+                           pa.array([piece.partition] * batch.num_rows, pa.int32())]
+                for name in _STORED:
+                    columns.append(batch.column(name).cast(_ARROW.field(name).type))
+                yield pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
 
 def _stops(options: dict, bounds: dict[str, tuple[int, int]]) -> dict[str, int]:
@@ -292,7 +312,7 @@ class LogReader(pds.DataSourceReader):
         found = []
         for n in bounds:
             found += index.slices(n, *self._clip(starts[n], stops[n]), rows)
-        return found or [LogSlice("", 0, 0, 0, [])]
+        return pack(found, rows)
 
     def read(self, partition):
         return _read(self.options["path"], partition)
@@ -359,7 +379,7 @@ class LogStreamReader(pds.DataSourceStreamReader):
         found = []
         for n, stop in end.items():
             found += self.index.slices(n, start.get(n, bounds.get(n, (0, 0))[0]), stop, rows)
-        return found or [LogSlice("", 0, 0, 0, [])]
+        return pack(found, rows)
 
     def read(self, partition):
         return _read(self.options["path"], partition)
