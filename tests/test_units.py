@@ -188,7 +188,7 @@ def test_checked_broadcast_refuses_large_sides(spark):
 
 
 def test_exact_percentiles(spark, monkeypatch):
-    monkeypatch.setattr(percentiles, "BUCKET_VALUES", 10)
+    monkeypatch.setattr(percentiles, "BUCKET_BITS", 3)
     r = random.Random(3)
     rows = [(k, r.randrange(-50, 200)) for k in ["a"] * 400 + ["b"] * 7 + ["c"]]
     got = percentiles.exact_percentiles(spark.createDataFrame(rows, "k STRING, v BIGINT"), ["k"], "v", metrics.HISTOGRAM_POINTS)

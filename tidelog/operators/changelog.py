@@ -155,7 +155,7 @@ def buffered_upsert(
     """
     if max_rows <= 0:
         raise ValueError("buffering needs a positive number of rows")
-    buffered = changes.withColumn("flush_no", F.floor(F.col(position) / F.lit(max_rows)).cast("bigint"))
+    buffered = changes.withColumn("flush_no", F.call_function("div", F.col(position), F.lit(max_rows).cast("bigint")))
     last = buffered.groupBy(*writer, "flush_no", *key).agg(
         F.max_by(F.struct(position, "row_kind", *columns), F.col(position)).alias("_row"))
     out = last.select(*writer, "flush_no", *key, "_row.*")

@@ -29,7 +29,7 @@ _CHUNK_BITS = 33  # monotonically_increasing_id keeps the row number of a partit
 
 def offset_slice(offset: str | Column = "offset", rows: int | None = None) -> Column:
     column = F.col(offset) if isinstance(offset, str) else offset
-    return F.floor(column / F.lit(rows or SLICE_ROWS)).cast("bigint")
+    return F.call_function("div", column, F.lit(rows or SLICE_ROWS).cast("bigint"))
 
 
 def _before(keys: list[str], slice_col: str) -> WindowSpec:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_VALUES = 1 << 16
+BUCKET_BITS = 16  # a bucket holds 65,536 neighbouring values
 
 
 def _rank_of(p: float, total: Column) -> Column:
@@ -16,15 +16,15 @@ def _value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_bucket", F.floor(F.col("_v") / F.lit(BUCKET_VALUES)))
+        .withColumn("_bucket", F.shiftright("_v", BUCKET_BITS))
     )
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float]) -> DataFrame:
     """Linear-interpolated percentiles of the BIGINT column `value`, one row per group.
 
-    Values are counted, counts are summed per bucket of BUCKET_VALUES neighbouring values, and only the buckets
-    that hold a wanted rank are looked into. Each window is bounded by the number of buckets or by BUCKET_VALUES.
+    Values are counted, counts are summed per bucket of 2^BUCKET_BITS neighbouring values, and only the buckets
+    that hold a wanted rank are looked into. Each window is bounded by the number of buckets or by 2^BUCKET_BITS.
     """
     return _percentiles(_value_counts(df, keys, value), keys, points)
 
