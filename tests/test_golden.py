@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tidelog import constants as C
 from tidelog.constants import LOG_DDL
 from tidelog.functions import cdc
 from tidelog.operators import changelog, eventtime, produce, project, ranges
@@ -78,12 +79,12 @@ def test_key_and_full_value(spark):
 
 
 def test_metadata_columns(spark):
-    h = {"k1": b"\xc0\xff\xee", "psc.produce.timestamp": b"\x00" * 8}
+    h = {"k1": b"\xc0\xff\xee", C.PRODUCE_TIMESTAMP_HEADER: b"\x00" * 8}
     log = log_of(spark, [(0, 5, dt(2020, 1, 1), None, '{"physical_1":"a","physical_2":1,"physical_3":true}', h)])
     t = project.read_table(log, "physical_1 STRING, physical_2 INT, physical_3 BOOLEAN", metadata_columns={
-        "h": "headers", "s": "psc-headers", "o": "offset"})
+        "h": "headers", "s": C.SYSTEM_HEADERS_KEY, "o": "offset"})
     r = t.first()
-    assert (r.physical_1, r.physical_2, r.physical_3, list(r.h), list(r.s), r.o) == ("a", 1, True, ["k1"], ["psc.produce.timestamp"], 5)
+    assert (r.physical_1, r.physical_2, r.physical_3, list(r.h), list(r.s), r.o) == ("a", 1, True, ["k1"], [C.PRODUCE_TIMESTAMP_HEADER], 5)
     with pytest.raises(ValueError):
         project.metadata("leader-epoch")
 
@@ -277,3 +278,23 @@ def test_rescale_only_above_the_partition_count(spark):
     assert ranges.rescale(df, 1, cat).rdd.getNumPartitions() == 1
     assert ranges.rescale(df, 2, cat).rdd.getNumPartitions() == 2
     assert ranges.rescale(df, 4, cat, enabled=False).rdd.getNumPartitions() == 1
+
+
+def test_as_of_join_with_a_hot_key(spark):
+    """One key holds a third of all rows and many versions at equal times; compared with a scan per row."""
+    import random
+
+    r = random.Random(5)
+    key = lambda i: "hot" if i % 3 == 0 else f"k{r.randrange(30)}"
+    at = lambda: dt(2020, 1, 1, 0, r.randrange(60), r.randrange(3))
+    versions = [(key(i), at(), i, None if r.random() < 0.2 else f"v{i}") for i in range(600)]
+    left = [(i, key(i), at()) for i in range(900)]
+    j = changelog.as_of_join(
+        spark.createDataFrame(left, "i INT, k STRING, at TIMESTAMP"),
+        spark.createDataFrame(versions, "k STRING, vt TIMESTAMP, off INT, v STRING"),
+        ["k"], "at", "vt", ["off"], ["v"], F.col("v").isNull())
+    want = {}
+    for i, k, t in left:
+        seen = [(vt, off, v) for vk, vt, off, v in versions if vk == k and vt <= t]
+        want[i] = max(seen, key=lambda x: x[:2])[2] if seen else None
+    assert {r.i: r.v for r in j.collect()} == want

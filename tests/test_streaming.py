@@ -14,6 +14,7 @@ from tidelog.sources.topiclog import TopicLog
 from tidelog.streaming import deliver as dv
 from tidelog.streaming import shuffle
 from tidelog.streaming.reports import BatchReports, observed
+from tidelog.streaming.upsert import UpsertTable
 from tidelog.streaming.watermarks import PartitionWatermarks
 
 C0 = "plaintext:/rn:kafka:env:cloud_region1::cluster0:"
@@ -215,3 +216,36 @@ def test_committed_offsets_last_write_wins(spark, log):
     log.commit_offsets(row(9, 1), "c-0")
     log.commit_offsets(row(4, 2), "c-1")
     assert log.group_offsets().first().next_offset == 4
+
+
+def test_paused_partitions_keep_their_position(spark, tmp_path, log):
+    paused, checkpoint, out = tmp_path / "paused.json", str(tmp_path / "cp"), str(tmp_path / "out")
+    replace(paused, json.dumps([f"{C0}t|1"]))
+    log.append(messages(spark, "t", 6).unionByName(messages(spark, "u", 2, 50)), "l-0", ORDER)
+    read = lambda: ids(spark.read.schema(LOG_DDL).parquet(out))
+
+    def run():
+        stream = streams.stream_of(spark, log, pausedFile=str(paused), topicPattern="t", cluster="cluster0")
+        streams.run_to_table(spark, stream, "paused", checkpoint, out)
+
+    run()
+    assert read() == [0, 2, 4]
+    replace(paused, "[]")
+    log.append(messages(spark, "t", 2, 6), "l-1", ORDER)
+    run()
+    assert read() == list(range(8))
+
+
+def test_upsert_table_survives_compaction(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path / "table"))
+    row = lambda key, offset, value: (C0 + "t", 0, offset, dt(2020, 1, 1), key, value, None)
+    batch = lambda *rows: spark.createDataFrame(list(rows), LOG_DDL)
+    table.step(batch(row(b"a", 0, b"1"), row(b"b", 1, b"2"), row(b"a", 2, b"3")), 0)
+    table.step(batch(row(b"b", 3, None)), 1)
+    table.compact(1)
+    table.step(batch(row(b"c", 4, b"4")), 2)
+    table.step(batch(row(b"c", 4, b"4")), 2)
+    state = lambda: sorted((bytes(r.key), bytes(r.value)) for r in table.read().collect())
+    assert state() == [(b"a", b"3"), (b"c", b"4")]
+    table.compact(2)
+    assert state() == [(b"a", b"3"), (b"c", b"4")]

@@ -7,7 +7,8 @@ VALUE_SIZE_HEADER = "psc.message.value.size.bytes"
 SYSTEM_HEADER_PREFIX = "psc."
 
 # Metadata keys a table may declare.
-METADATA_KEYS = ["topic-uri", "partition", "headers", "psc-headers", "offset", "timestamp"]
+SYSTEM_HEADERS_KEY = "psc-headers"
+METADATA_KEYS = ["topic-uri", "partition", "headers", SYSTEM_HEADERS_KEY, "offset", "timestamp"]
 
 # Message tags.
 PAYLOAD_CORRUPTED = "PAYLOAD_CORRUPTED"

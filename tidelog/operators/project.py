@@ -16,7 +16,7 @@ _METADATA: dict[str, Callable[[], Column]] = {
     "topic-uri": lambda: F.col("topic_uri"),
     "partition": lambda: F.col("partition"),
     "headers": lambda: H.user_headers(F.col("headers")),
-    "psc-headers": lambda: H.system_headers(F.col("headers")),
+    C.SYSTEM_HEADERS_KEY: lambda: H.system_headers(F.col("headers")),
     "offset": lambda: F.col("offset"),
     "timestamp": lambda: F.col("timestamp"),
 }

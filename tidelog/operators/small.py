@@ -23,7 +23,7 @@ class Side:
         """Filter `big` by the side's distinct values of `column`, which prunes folders and row groups."""
         if self.rows is None or not self.rows or column not in self.rows[0]:
             return big
-        values = {r[column] for r in self.rows}
+        values = {r[column] for r in self.rows} - {None}
         return big.where(F.col(column).isin(sorted(values))) if len(values) <= MAX_NAMES else big
 
 

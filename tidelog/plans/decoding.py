@@ -60,12 +60,13 @@ _HAS = "event_id % 19 <> 0"
 def p03(spark, sf):
     """Topic, partition, offset, timestamp and both halves of the headers."""
     log = fx.topic_log(spark, sf)
-    m = log.select(*[project.metadata(k).alias(k.replace("-", "_")) for k in C.METADATA_KEYS])
+    names = ["topic_uri", "partition", "headers", "system_headers", "offset", "timestamp"]
+    m = log.select(*[project.metadata(k).alias(n) for k, n in zip(C.METADATA_KEYS, names)])
     size = lambda c: F.when(F.col(c).isNotNull(), F.size(c))
     return fx.out(m.select(
         "topic_uri", "partition", "offset", F.col("timestamp").alias("ts"),
         H.header(F.col("headers"), "trace").cast("string").alias("trace"),
-        size("headers").alias("n_headers"), size("psc_headers").alias("n_system")))
+        size("headers").alias("n_headers"), size("system_headers").alias("n_system")))
 
 
 _ENVELOPES = """env AS (

@@ -2,4 +2,3 @@
 
 from tidelog.plans import decoding, measures, scans, state, streams, writing  # noqa: F401
 from tidelog.plans.catalog import ORACLES, QUERIES  # noqa: F401
-from tidelog.plans.measures import flagship  # noqa: F401

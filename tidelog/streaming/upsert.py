@@ -12,7 +12,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tidelog.constants import DELETE, INSERT, LOG_COLUMNS, LOG_DDL, UPDATE_AFTER, UPDATE_BEFORE
 from tidelog.operators.changelog import buffered_upsert
-from tidelog.session import durable_table, ship_package
+from tidelog.session import ship_package
 from tidelog.streaming.tables import BatchTable
 
 CHANGE_DDL = (
@@ -91,11 +91,13 @@ class UpsertTable:
     """The current table of an upsert stream, kept as small changes and merged when read.
 
     A micro-batch writes the last row of each key it saw, tombstones included; nothing already written is touched.
-    `compact` folds all changes into one.
+    `compact` folds changes into a base. Reading takes the last row of a key over everything there is, so rows that
+    are in a base and still in a change do no harm.
     """
 
     def __init__(self, spark: SparkSession, root: str):
-        self.changes = BatchTable(spark, root, f"{LOG_DDL}")
+        self.changes = BatchTable(spark, f"{root}/changes", LOG_DDL)
+        self.base = BatchTable(spark, f"{root}/base", LOG_DDL)
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
         self.changes.write(self._last(batch.where(F.col("key").isNotNull())), batch_id)
@@ -107,13 +109,15 @@ class UpsertTable:
         return last.select("topic_uri", "key", "_row.*").select(*LOG_COLUMNS)
 
     def read(self) -> DataFrame:
-        return self._last(self.changes.all()).where(F.col("value").isNotNull())
+        return self._last(self.base.all().unionByName(self.changes.all())).where(F.col("value").isNotNull())
 
     def compact(self, batch_id: int) -> None:
-        """Replace all changes up to and including `batch_id` by their merged state; run it between two queries."""
-        folders = [i for i in self.changes.done() if i <= batch_id]
-        merged = durable_table(self._last(self.changes.load(folders)), "compacted")
-        self.changes.write(merged, batch_id)
-        for i in folders:
+        """Fold the changes up to and including `batch_id` into the base. A crash leaves nothing out: what was
+        folded is dropped only after the new base is complete."""
+        bases, folded = self.base.done(), [i for i in self.changes.done() if i <= batch_id]
+        self.base.write(self._last(self.base.load(bases).unionByName(self.changes.load(folded))), batch_id)
+        for i in bases:
             if i != batch_id:
-                self.changes.drop(i)
+                self.base.drop(i)
+        for i in folded:
+            self.changes.drop(i)
