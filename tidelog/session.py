@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 SQL_DEFAULTS = {
@@ -42,10 +44,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, wherever the driver was started. Once per application."""
+    """Make this package known to Python workers, wherever the driver was started. Once per application.
+
+    The source's planner process unpickles before it looks at shipped files, so classes travel by value as well.
+    """
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
+    cloudpickle.register_pickle_by_value(sys.modules["tidelog"])
     here = Path(__file__).resolve().parent
     archive = Path(tempfile.mkdtemp(prefix="tidelog-ship-")) / "tidelog.zip"
     with zipfile.ZipFile(archive, "w") as z:
