@@ -1,7 +1,7 @@
 """The queries of this package and the SQL of those that SQL can express."""
 
-from tidelog.llm import suffix_dedup
+from tidelog.llm import suffix_dedup, superkmer
 
-_MODULES = (suffix_dedup,)
+_MODULES = (suffix_dedup, superkmer)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLES", {}).items()}
