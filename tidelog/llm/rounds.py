@@ -25,8 +25,9 @@ from tidelog.llm.names import equal_runs
 LETTER = "bucket int, block int, payload binary"
 _LETTER = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("payload", pa.binary())])
 _ZSTD = pa.Codec("zstd", compression_level=1)
-#: Blocks for each shuffle partition; more of them need less memory each and more rows in a question.
-BLOCKS = 4
+#: Blocks for each shuffle partition, and partitions for each bucket. A round sends a row for every pair of the two, at
+#: most as many as a shuffle has parts of files; more blocks and fewer buckets shift memory from those to these.
+BLOCKS, BUCKETS = 2, 2
 
 
 class Block:
@@ -104,11 +105,11 @@ def letters(rows: Iterable[tuple[int, int, bytes]]) -> pa.Table:
 
 
 def to_blocks(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> tuple[DataFrame, int]:
-    """`doc_id`, `text`, `block`, and how many blocks there are (and so many buckets)."""
+    """`doc_id`, `text`, `block`, and the number of buckets."""
     spark = docs.sparkSession
     ship(spark)
-    n = BLOCKS * partitions(spark)
-    return two_columns(docs, id_col, text_col, carry).withColumn("block", block_of(n)), n
+    n = partitions(spark)
+    return two_columns(docs, id_col, text_col, carry).withColumn("block", block_of(BLOCKS * n)), -(-n // BUCKETS)
 
 
 def ask_first(blocks: DataFrame, question: Callable[[Block], Iterator[tuple[int, int, bytes]]]) -> DataFrame:

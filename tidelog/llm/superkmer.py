@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm import rounds
-from tidelog.llm.common import documents, with_rest
+from tidelog.llm.common import documents, partitions, with_rest
 from tidelog.llm.names import Sums, equal_runs, least_positions, mix, word_names, words_of
 from tidelog.llm.rounds import Block, Question, note, pack, unpack
 
@@ -274,7 +274,7 @@ def _rounds(docs: DataFrame, id_col: str, text_col: str, length: int, finish, sc
         raise ValueError(f"windows of at least {GRAM} words")
     blocks, n = rounds.to_blocks(docs, id_col, text_col, carry=carry)
     p = {"length": length, "buckets": n}
-    answers = rounds.settle(rounds.ask_first(blocks, partial(count_question, **p)), partial(count, crowded=CROWDED * n))
+    answers = rounds.settle(rounds.ask_first(blocks, partial(count_question, **p)), partial(count, crowded=CROWDED * rounds.BLOCKS * partitions(docs.sparkSession)))
     asked = rounds.ask_again(blocks, answers, partial(packed_question, **p), rounds.LETTER)
     answers = rounds.settle(asked, partial(count_windows, length=length))
     schema = schema.replace("REST", blocks.schema["rest"].dataType.simpleString()) if carry else schema
