@@ -11,8 +11,10 @@ from functools import lru_cache
 
 import numpy as np
 
-_MASK = (1 << 64) - 1
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+#: Sums are taken over at most this many values, apart from single longer strings; and PIECE beginnings at once.
+_USUAL = 1 << 20
+PIECE = _USUAL - (1 << 13)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -26,8 +28,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=8)
-def _powers(family: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _series(family: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for base in (_BASES[family], pow(_BASES[family], -1, 1 << 64)):
         p = np.full(size, base, np.uint64)
@@ -36,8 +37,11 @@ def _powers(family: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+_usual = lru_cache(maxsize=2)(lambda family: _series(family, _USUAL))
+
+
 def powers(family: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    p, q = _powers(family, 1 << max(16, (size - 1).bit_length()))
+    p, q = _usual(family) if size <= _USUAL else _series(family, size)
     return p[:size], q[:size]
 
 
@@ -70,6 +74,24 @@ def bytes_sums(data: np.ndarray, family: int = 0) -> Sums:
     return Sums(byte_values(family)[data], family)
 
 
+def names_between(values: np.ndarray, a: np.ndarray, b: np.ndarray, family: int = 0) -> np.ndarray:
+    """Names of [a, b), in bytes or words, with sums over a piece of the values at a time."""
+    if len(a) > 1 and (a[1:] < a[:-1]).any():
+        order = np.argsort(a, kind="stable")
+        out = np.empty(len(a), np.uint64)
+        out[order] = names_between(values, a[order], b[order], family)
+        return out
+    out = np.empty(len(a), np.uint64)
+    i = 0
+    while i < len(a):
+        lo = int(a[i])
+        j = max(i + 1, int(np.searchsorted(a, lo + PIECE)))
+        part = values[lo : int(b[i:j].max())]
+        out[i:j] = (bytes_sums(part, family) if part.dtype == np.uint8 else Sums(part, family)).name(a[i:j] - lo, b[i:j] - lo)
+        i = j
+    return mix(out)
+
+
 def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
     """The least of every `width` neighbours, by first of them, in log(width) passes."""
     if len(keys) < width:
@@ -107,18 +129,6 @@ def words_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def word_names(data: np.ndarray, a: np.ndarray, b: np.ndarray, family: int = 0, piece: int = 1 << 20) -> np.ndarray:
-    """The names of the words [a, b), with sums over about `piece` bytes at a time."""
-    out = np.empty(len(a), np.uint64)
-    i = 0
-    while i < len(a):
-        j = max(i + 1, int(np.searchsorted(b, a[i] + piece)))
-        lo, hi = int(a[i]), int(b[j - 1])
-        out[i:j] = bytes_sums(data[lo:hi], family).name(a[i:j] - lo, b[i:j] - lo)
-        i = j
-    return mix(out)
-
-
 def equal_runs(sorted_keys: np.ndarray) -> np.ndarray:
     """Where a new value begins in sorted keys."""
     new = np.ones(len(sorted_keys), bool)

@@ -29,11 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm import rounds
 from tidelog.llm.common import documents, with_rest
-from tidelog.llm.names import bytes_sums, least_positions, mix
+from tidelog.llm.names import PIECE, bytes_sums, least_positions, mix, names_between
 from tidelog.llm.rounds import Block, Question, note, unpack
 
 GRAM, KEY = 16, 5
-PIECE = 1 << 20  # window starts handled at once; bounds memory whatever the length of a document
 SPANS = "doc_id long, starts array<long>, ends array<long>"
 DIGESTS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -81,31 +80,12 @@ def find_runs(block: Block, length: int) -> tuple[Runs, np.ndarray]:
     return Runs(join(firsts, np.int64), join(lasts, np.int64), join(anchors, np.int64), block), mix(join(names, np.uint64))
 
 
-def names_of(block: Block, a: np.ndarray, b: np.ndarray, length: int, family: int = 0) -> np.ndarray:
-    """Names of [a, b), sorted by a, none longer than 2 * length."""
-    out = np.empty(len(a), np.uint64)
-    for lo in range(0, len(block.data), PIECE):
-        i, j = np.searchsorted(a, [lo, lo + PIECE])
-        if i < j:
-            s = bytes_sums(block.data[lo : lo + PIECE + 2 * length], family)
-            out[i:j] = s.name(a[i:j] - lo, b[i:j] - lo)
-    return mix(out)
-
-
-def in_order(f, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """`f` over [a, b) that are not sorted by a."""
-    o = np.argsort(a, kind="stable")
-    out = np.empty(len(a), np.uint64)
-    out[o] = f(a[o], b[o])
-    return out
-
-
 def run_question(block: Block, runs: Runs, length: int, buckets: int) -> Question:
     """Names of whole runs, which also tell where the windows stand around the anchor."""
     end = runs.last + length
     where = mix((runs.anchor - runs.first).astype(np.uint64))
     return Question(
-        names_of(block, runs.first, end, length) ^ where, buckets, block.ids[runs.doc], names_of(block, runs.first, end, length, 1).astype(np.uint32)
+        names_between(block.data, runs.first, end) ^ where, buckets, block.ids[runs.doc], names_between(block.data, runs.first, end, 1).astype(np.uint32)
     )
 
 
@@ -131,18 +111,18 @@ def second_question(block: Block, answers, _, length: int, buckets: int) -> pa.T
     return rounds.letters([*rounds.ask_least(run_question(block, runs, length, buckets), block.number), note(block.number, *save_runs(runs))])
 
 
-def pair_names(block: Block, runs: Runs, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pair_names(block: Block, runs: Runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of runs, the pairs of 16-byte ranks to ask about: name, number of the run, is it the one left of the anchor.
 
     A window that starts 16 bytes or more before its anchor holds the pair on the left, any other the one on the right.
     """
-    f = partial(names_of, block, length=length)
+    f = partial(names_between, block.data)
     left = np.flatnonzero(runs.anchor - runs.first >= GRAM)
     right = np.flatnonzero(runs.anchor - runs.last < GRAM)
     a = runs.anchor
     names = np.concatenate([
-        in_order(f, a[left] - GRAM, a[left]) ^ mix(in_order(f, a[left], a[left] + GRAM) + np.uint64(1)),
-        in_order(f, a[right], a[right] + GRAM) ^ mix(in_order(f, a[right] + GRAM, a[right] + 2 * GRAM) + np.uint64(2)),
+        f(a[left] - GRAM, a[left]) ^ mix(f(a[left], a[left] + GRAM) + np.uint64(1)),
+        f(a[right], a[right] + GRAM) ^ mix(f(a[right] + GRAM, a[right] + 2 * GRAM) + np.uint64(2)),
     ])
     return mix(names), np.concatenate([left, right]), np.repeat([True, False], [len(left), len(right)])
 
@@ -154,7 +134,7 @@ def third_question(block: Block, answers, saved, length: int, buckets: int) -> p
     smallest = q.bits(answers)[q.of] & (own == q.least[q.of])
     gone = runs.only(~smallest, block)
     rest = runs.only(smallest, block)
-    names, of, _ = pair_names(block, rest, length)
+    names, of, _ = pair_names(block, rest)
     pairs = Question(names, buckets, block.ids[rest.doc[of]])
     return rounds.letters([*rounds.ask_shared(pairs, block.number, KEY), note(block.number, *save_runs(gone), *save_runs(rest))])
 
@@ -170,14 +150,14 @@ def windows_left(runs: Runs, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def window_question(block: Block, starts: np.ndarray, length: int, buckets: int) -> Question:
-    second = names_of(block, starts, starts + length, length, 1).astype(np.uint32)
-    return Question(names_of(block, starts, starts + length, length), buckets, block.ids[block.doc_at(starts)], second)
+    second = names_between(block.data, starts, starts + length, 1).astype(np.uint32)
+    return Question(names_between(block.data, starts, starts + length), buckets, block.ids[block.doc_at(starts)], second)
 
 
 def fourth_question(block: Block, answers, saved, length: int, buckets: int) -> pa.Table:
     saved = unpack(saved)
     rest = load_runs(block, saved[3:6])
-    names, of, on_left = pair_names(block, rest, length)
+    names, of, on_left = pair_names(block, rest)
     pairs = Question(names, buckets, block.ids[rest.doc[of]])
     yes = pairs.bits(answers)[pairs.of]
     left = np.zeros(len(rest.first), bool)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm import rounds
 from tidelog.llm.common import documents, partitions, with_rest
-from tidelog.llm.names import Sums, equal_runs, least_positions, mix, word_names, words_of
+from tidelog.llm.names import Sums, equal_runs, least_positions, mix, names_between, words_of
 from tidelog.llm.rounds import Block, Question, note, pack, unpack
 
 GRAM, KEY = 8, 5
@@ -37,7 +37,7 @@ class Words:
 
     def __init__(self, block: Block):
         self.start, self.end = words_of(block.data, block.offsets[:-1])
-        self.names = word_names(block.data, self.start, self.end)
+        self.names = names_between(block.data, self.start, self.end)
         self.part = np.searchsorted(self.start, block.offsets)
 
     def doc_at(self, words: np.ndarray) -> np.ndarray:
@@ -82,7 +82,7 @@ def count_question(block: Block, length: int, buckets: int):
     """How many different packed strings of this block hold each minimiser."""
     words = Words(block)
     runs = super_kmers(words, length)
-    whole = mix(Sums(words.names).name(runs.first, runs.last + length))
+    whole = names_between(words.names, runs.first, runs.last + length)
     o = np.lexsort((whole, runs.names))
     names, whole = runs.names[o], whole[o]
     at = equal_runs(names)
@@ -121,9 +121,8 @@ def deal_again(words: Words, runs: SuperKmers, length: int) -> SuperKmers:
         run = np.repeat(np.arange(lo, lo + len(n[part])), n[part])
         least = np.full(len(windows), np.uint64(0xFFFFFFFFFFFFFFFF))
         where = np.zeros(len(windows), np.int64)
-        sums = Sums(words.names)
         for d in range(length - GRAM + 1):
-            name = mix(sums.name(windows + d, windows + d + GRAM) ^ np.uint64(0x5851F42D4C957F2D))
+            name = mix(names_between(words.names, windows + d, windows + d + GRAM) ^ np.uint64(0x5851F42D4C957F2D))
             less = name < least
             least[less] = name[less]
             where[less] = windows[less] + d
@@ -155,8 +154,7 @@ class Packed:
     """Distinct packed strings of a block in the order of the buckets, and which super-k-mer is which."""
 
     def __init__(self, words: Words, runs: SuperKmers, length: int, buckets: int):
-        sums = Sums(words.names)
-        whole = mix(sums.name(runs.first, runs.last + length)).astype(np.uint32)
+        whole = names_between(words.names, runs.first, runs.last + length).astype(np.uint32)
         # equal strings have equal minimisers; together that is a name of 96 bits
         self.q = Question(runs.names, buckets, second=whole)
         self.one = np.empty(len(self.q.names), np.int64)  # a super-k-mer that holds the string
@@ -196,6 +194,7 @@ def count_windows(rows: list[tuple[int, bytes]], length: int) -> list[bytes]:
         numbers.append(number.astype(np.int64))
         lines.append(len(number))
     body = b"\n".join(texts) + b"\n"
+    del texts
     data = np.frombuffer(body, np.uint8)
     a, b = words_of(data, np.zeros(0, np.int64))
     ends = np.flatnonzero(data == 10)
@@ -203,8 +202,8 @@ def count_windows(rows: list[tuple[int, bytes]], length: int) -> list[bytes]:
     size = np.diff(np.append(begin, len(a)))
     n = size - length + 1
     at = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
-    one = mix(Sums(word_names(data, a, b)).name(at, at + length))
-    two = mix(Sums(word_names(data, a, b, 1), 1).name(at, at + length)).astype(np.uint32)
+    one = names_between(names_between(data, a, b), at, at + length)
+    two = names_between(names_between(data, a, b, 1), at, at + length, 1).astype(np.uint32)
     order = np.lexsort((two, one))
     s, t = one[order], two[order]
     new = np.ones(len(s), bool)
@@ -272,9 +271,10 @@ def give_texts(block: Block, *state, **p) -> pa.Table:
 def _rounds(docs: DataFrame, id_col: str, text_col: str, length: int, finish, schema: str, carry: bool) -> DataFrame:
     if length < GRAM:
         raise ValueError(f"windows of at least {GRAM} words")
-    blocks, n = rounds.to_blocks(docs, id_col, text_col, carry=carry)
+    blocks, _ = rounds.to_blocks(docs, id_col, text_col, carry=carry)
+    n = partitions(docs.sparkSession)  # a bucket holds texts here, so there are more of them than in other rounds
     p = {"length": length, "buckets": n}
-    answers = rounds.settle(rounds.ask_first(blocks, partial(count_question, **p)), partial(count, crowded=CROWDED * rounds.BLOCKS * partitions(docs.sparkSession)))
+    answers = rounds.settle(rounds.ask_first(blocks, partial(count_question, **p)), partial(count, crowded=CROWDED * rounds.BLOCKS * n))
     asked = rounds.ask_again(blocks, answers, partial(packed_question, **p), rounds.LETTER)
     answers = rounds.settle(asked, partial(count_windows, length=length))
     schema = schema.replace("REST", blocks.schema["rest"].dataType.simpleString()) if carry else schema
