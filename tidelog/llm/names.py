@@ -114,9 +114,6 @@ def least_positions(names: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
 def words_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every word in `data`; a word also ends before each of `starts` (beginnings of documents)."""
     space = (data == 32) | ((data >= 9) & (data <= 13))
-    edge = np.empty(len(data) + 1, bool)
-    edge[0] = True
-    edge[1:] = True
     if len(data) == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     first = ~space

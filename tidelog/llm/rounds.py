@@ -99,6 +99,12 @@ def bucket_of(names: np.ndarray, buckets: int) -> np.ndarray:
     return (((names >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
+def share_of(names: np.ndarray, buckets: int, shares: int) -> np.ndarray:
+    """From 0 to shares - 1 (a power of two up to 256), growing with the name within a bucket."""
+    inside = ((names >> np.uint64(32)) * np.uint64(buckets)) & np.uint64(0xFFFFFFFF)
+    return ((inside * np.uint64(shares)) >> np.uint64(32)).astype(np.uint8)
+
+
 def letters(rows: Iterable[tuple[int, int, bytes]]) -> pa.Table:
     rows = list(rows)
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], t.type) for i, t in enumerate(_LETTER)], schema=_LETTER)

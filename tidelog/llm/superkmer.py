@@ -29,6 +29,8 @@ GRAM, KEY = 8, 5
 PIECE = 1 << 18  # words handled at once
 #: A minimiser is dealt out again if the packed strings that hold it are more than this many per block on average.
 CROWDED = 2
+#: A bucket is counted in so many shares, by minimiser, one after the other.
+SHARES = 16
 DIGESTS = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -178,29 +180,22 @@ def packed_question(block: Block, answers, _, length: int, buckets: int) -> pa.T
     first = runs.first[packed.one]
     body = bodies(block, words, first, runs.last[packed.one] + length - 1)
 
+    share = rounds.share_of(packed.q.names, buckets, SHARES)
+
     def payload(s: slice) -> bytes:
-        return pack(np.frombuffer(b"\n".join(body[s]), np.uint8), rounds.narrow(packed.number[s]))
+        return pack(np.frombuffer(b"\n".join(body[s]), np.uint8), rounds.narrow(packed.number[s]), share[s])
 
     where = (rounds.narrow(runs.first[:0]),) if not len(runs.first) else (runs.first.astype(np.uint32),)
     return rounds.letters([*packed.q.by_part(payload, block.number), note(block.number, *where, rounds.narrow(runs.last - runs.first), runs.names)])
 
 
-def count_windows(rows: list[tuple[int, bytes]], length: int) -> list[bytes]:
-    """For each packed string, one bit per window: does it stand twice or more?"""
-    texts, numbers, lines = [], [], []
-    for _, p in rows:
-        text, number = unpack(p)
-        texts.append(text.tobytes())
-        numbers.append(number.astype(np.int64))
-        lines.append(len(number))
-    body = b"\n".join(texts) + b"\n"
-    del texts
-    data = np.frombuffer(body, np.uint8)
+def repeated(lines: list[bytes], numbers: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Does each window of the packed strings stand twice or more, and the number of windows of each string."""
+    data = np.frombuffer(b"\n".join(lines) + b"\n", np.uint8)
     a, b = words_of(data, np.zeros(0, np.int64))
     ends = np.flatnonzero(data == 10)
     begin = np.searchsorted(a, np.append(0, ends[:-1]))  # first word of each string
-    size = np.diff(np.append(begin, len(a)))
-    n = size - length + 1
+    n = np.diff(np.append(begin, len(a))) - length + 1
     at = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
     one = names_between(names_between(data, a, b), at, at + length)
     two = names_between(names_between(data, a, b, 1), at, at + length, 1).astype(np.uint32)
@@ -209,11 +204,30 @@ def count_windows(rows: list[tuple[int, bytes]], length: int) -> list[bytes]:
     new = np.ones(len(s), bool)
     new[1:] = (s[1:] != s[:-1]) | (t[1:] != t[:-1])
     first = np.flatnonzero(new)
-    times = np.add.reduceat(np.repeat(np.concatenate(numbers), n)[order], first)
+    times = np.add.reduceat(np.repeat(numbers, n)[order], first)
     again = np.empty(len(s), bool)
     again[order] = np.repeat(times > 1, np.diff(np.append(first, len(s))))
-    per_row = np.add.reduceat(n, np.append(0, np.cumsum(lines)[:-1]))
-    return [np.packbits(x).tobytes() for x in np.split(again, np.cumsum(per_row)[:-1])]
+    return again, n
+
+
+def count_windows(rows: list[tuple[int, bytes]], length: int) -> list[bytes]:
+    """For each packed string, one bit per window: does it stand twice or more? A share of the bucket at a time."""
+    asked = [unpack(p) for _, p in rows]
+    texts = [text.tobytes().split(b"\n") for text, _, _ in asked]
+    cuts = [np.searchsorted(share, np.arange(SHARES + 1)).tolist() for _, _, share in asked]
+    bits: list[list[np.ndarray]] = [[] for _ in rows]
+    for k in range(SHARES):
+        here = [i for i, c in enumerate(cuts) if c[k] < c[k + 1]]
+        if not here:
+            continue
+        lines = [x for i in here for x in texts[i][cuts[i][k] : cuts[i][k + 1]]]
+        numbers = np.concatenate([asked[i][1][cuts[i][k] : cuts[i][k + 1]] for i in here]).astype(np.int64)
+        again, n = repeated(lines, numbers, length)
+        sizes = [cuts[i][k + 1] - cuts[i][k] for i in here]
+        per_row = np.add.reduceat(n, np.append(0, np.cumsum(sizes)[:-1]))
+        for i, x in zip(here, np.split(again, np.cumsum(per_row)[:-1]), strict=True):
+            bits[i].append(x)
+    return [np.packbits(np.concatenate(x)).tobytes() for x in bits]
 
 
 def removed_words(block: Block, words: Words, answers, saved, length: int, buckets: int) -> np.ndarray:
