@@ -1,7 +1,7 @@
 """The queries of this package and the SQL of those that SQL can express."""
 
-from tidelog.llm import merge_replay, packing, suffix_dedup, superkmer
+from tidelog.llm import arrow_files, merge_replay, packing, stream_dedup, suffix_dedup, superkmer
 
-_MODULES = (suffix_dedup, packing, merge_replay, superkmer)
+_MODULES = (suffix_dedup, packing, stream_dedup, merge_replay, superkmer, arrow_files)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLES", {}).items()}
