@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import features
-from tidelog.llm.common import documents, durable_table, ship, two_columns
+from tidelog.llm.common import documents, durable_table, ship, two_columns, with_rest
 
 #: Shares and where they are half way to their bound: x / (x + half).
 _SHARES = (
@@ -57,13 +57,10 @@ def _vectors(batches: Iterator[pa.RecordBatch], also: tuple[str, ...]) -> Iterat
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in also], lists], names=[*also, "features"])
 
 
-def with_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """`doc_id, features`; with `carry` also `text` and the other columns in `rest`. A null text counts as empty."""
+def with_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`doc_id, features`, one row per row. A null text counts as empty."""
     ship(docs.sparkSession)
-    rows = two_columns(docs, id_col, text_col, carry)
-    also = ("doc_id", "text", "rest") if carry else ("doc_id",)
-    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in also)
-    return rows.mapInArrow(partial(_vectors, also=also), f"{schema}, {_FEATURES}")
+    return two_columns(docs, id_col, text_col).mapInArrow(partial(_vectors, also=("doc_id",)), f"doc_id long, {_FEATURES}")
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -131,6 +128,19 @@ def score(rows: DataFrame, weights: np.ndarray) -> DataFrame:
     return rows.mapInArrow(partial(_score, w=weights.tolist(), keep=keep), f"{schema}, score double")
 
 
+def _score_texts(batches: Iterator[pa.RecordBatch], w: list[float], keep: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    return _score(_vectors(batches, keep), w, keep)
+
+
+def accepted(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of `docs` that score `least` or more, with all their columns, the id as long."""
+    rows = two_columns(docs, id_col, text_col, carry=True)
+    keep = tuple(rows.columns)
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
+    scored = rows.mapInArrow(partial(_score_texts, w=weights.tolist(), keep=keep), f"{schema}, score double")
+    return with_rest(docs, scored.filter(F.col("score") >= least), id_col, text_col)
+
+
 def held_out(id_col: str = "doc_id"):
     """Rows whose labels are never learnt from. A null id is held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(True))

@@ -1,7 +1,7 @@
 """The queries of this package and the SQL of those that SQL can express."""
 
-from tidelog.llm import arrow_files, line_dedup, merge_replay, packing, pu_classifier, rule_votes, stream_dedup, suffix_dedup, superkmer
+from tidelog.llm import arrow_files, jaccard_join, line_dedup, merge_replay, packing, pu_classifier, rule_votes, stream_dedup, suffix_dedup, superkmer
 
-_MODULES = (suffix_dedup, rule_votes, packing, pu_classifier, stream_dedup, line_dedup, merge_replay, superkmer, arrow_files)
+_MODULES = (suffix_dedup, jaccard_join, rule_votes, packing, pu_classifier, stream_dedup, line_dedup, merge_replay, superkmer, arrow_files)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLES", {}).items()}
