@@ -48,7 +48,7 @@ def two_columns(docs: DataFrame, id_col: str, text_col: str, carry: bool = False
     own = [F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")]
     if carry:
         others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (id_col, text_col)]
-        own.append(F.struct(*others, F.lit(0).alias("none")).alias("rest"))
+        own.append(F.struct(*others, F.lit(None).cast("int").alias("none")).alias("rest"))
     return docs.select(*own)
 
 

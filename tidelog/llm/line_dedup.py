@@ -86,7 +86,7 @@ def _split(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (id_col, text_col)]
     return docs.select(
         own.alias("doc_id"), F.coalesce(own, F.lit(-(1 << 63))).alias("d"), F.xxhash64(text).alias("r"), F.split(text, "\n").alias("lines"),
-        F.struct(*others, F.lit(0).alias("none")).alias("rest"),
+        F.struct(*others, F.lit(None).cast("int").alias("none")).alias("rest"),
     )
 
 
