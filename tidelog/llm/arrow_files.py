@@ -108,7 +108,7 @@ class Shard:
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: int, length: int) -> Iterator[pa.RecordBatch]:
     end = np.array([end_id], "<u4").tobytes()
-    width = 2 if tokenizer(path, True).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
+    width = 2 if tokenizer(path).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
     task, number, shard = TaskContext.get().partitionId(), 0, None
 
     def done(s: Shard) -> pa.RecordBatch:

@@ -19,72 +19,95 @@ REMEMBERED = 600_000
 #: Bytes of text whose pieces are in memory at once.
 PART = 1 << 22
 _THREE_SPACES = re.compile(r"\s \s")
+#: ASCII punctuation that neither joins the letters before it nor begins a contraction.
+_PUNCTUATION = ".,!?:;#$%&*|<>()"
 
 
-@lru_cache(maxsize=4)
-def tokenizer(path: str, special: bool):
+@lru_cache(maxsize=2)
+def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = not special  # if true, their strings in a text are ordinary text
+    t.encode_special_tokens = True  # their strings in a text are ordinary text
     return t
 
 
-class Memory:
-    """Piece to ids (little-endian unsigned 32-bit), encoded in batches when first met.
+class Memory(dict):
+    """Piece to ids (little-endian unsigned 32-bit), encoded when first met.
 
-    Two generations of at most REMEMBERED pieces: when the new one is full it becomes the old one, and what was not
-    met again since is forgotten.
+    Two generations: when the new one is full it becomes the old one, and what was not met again since is forgotten.
     """
 
-    def __init__(self, encode: Callable[[list], Iterable[bytes]]):
-        self.encode = encode
-        self.new: dict = {}
+    def __init__(self, encode: Callable[[list], Iterable[bytes]], size: int = REMEMBERED):
+        super().__init__()
+        self.encode, self.size = encode, size
         self.old: dict = {}
 
-    def learn(self, pieces: set) -> Callable:
-        """Piece to ids for these pieces."""
-        new, old = self.new, self.old
-        again = pieces & old.keys()
-        unknown = list(pieces.difference(new, again))
-        if len(new) + len(again) + len(unknown) > REMEMBERED:
-            self.old = new
-            self.new = {p: new[p] if p in new else old[p] for p in pieces if p in new or p in old}
-        else:
-            new.update((p, old.pop(p)) for p in again)
-        self.new.update(zip(unknown, self.encode(unknown), strict=True))
-        return self.new.__getitem__
-
-
-def by_library(path: str, texts: list[str]) -> Iterator[bytes]:
-    """Ids of each text. Many go to the library in one call, with a special token between them to tell them apart."""
-    t = tokenizer(path, True)
-    special = {k.content: i for i, k in t.get_added_tokens_decoder().items()}
-    mark, mark_id = max(special.items())
-    for lo in range(0, len(texts), 1 << 12):
-        part = texts[lo : lo + (1 << 12)]
-        odd = {k: x for k, x in enumerate(part) if any(s in x for s in special)}
-        joined = mark.join("" if k in odd else x for k, x in enumerate(part)) if odd else mark.join(part)
-        ids = np.array(t.encode(joined, add_special_tokens=False).ids, np.uint32)
-        ends = np.append(np.flatnonzero(ids == mark_id), len(ids))
-        raw, at = ids.tobytes(), 0
-        for k, end in enumerate(ends.tolist()):
-            if k in odd:
-                yield np.array(tokenizer(path, False).encode(odd[k], add_special_tokens=False).ids, np.uint32).tobytes()
+    def __missing__(self, piece):
+        ids = self.old.get(piece)
+        if ids is None:
+            (ids,) = self.encode([piece])
+        self[piece] = ids
+        return ids
+
+    def learn(self, pieces: set) -> None:
+        """Encode the new ones among the pieces at once."""
+        unknown = [p for p in pieces if p not in self and p not in self.old]
+        self.update(zip(unknown, self.encode(unknown), strict=True))
+
+    def trim(self) -> None:
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+
+
+class Library:
+    """Ids of pieces by the tokenizers library.
+
+    Most pieces are a row of Latin letters, maybe with punctuation behind. The pre-tokenizers of the files used here
+    make those two words for the model, which it is given directly; any other piece takes the whole way.
+    """
+
+    def __init__(self, path: str, begin: str, lower: bool):
+        self.full, self.model = tokenizer(path), tokenizer(path).model
+        self.begin, self.lower = begin, lower
+        self.words = Memory(lambda words: (self._model(w) for w in words))
+        # byte-level models write a byte that is not a printable character of Latin-1 as 256 and its number among those
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.letters = dict(zip([b for b in range(256) if b not in plain], range(256, 512), strict=False))
+
+    def _model(self, word: str) -> bytes:
+        spelt = word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(spelt)], np.uint32).tobytes()
+
+    def _one(self, begin: str, p: str) -> bytes:
+        w = p.rstrip(_PUNCTUATION)
+        if w.isalpha() and max(w) < "\u0250" and "\u0130" not in w:
+            ids = self.words[begin + (w.lower() if self.lower else w)]
+            return ids + self.words[p[len(w) :]] if len(w) < len(p) else ids
+        return np.array(self.full.encode(begin + p, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def __call__(self, pieces: list[str]) -> Iterator[bytes]:
+        self.words.trim()
+        for p in pieces:
+            lines = p.split("\n")
+            if len(lines) > 1 and all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+                # a line break between two other characters is a word of its own
+                yield self._one(self.begin, lines[0]) + b"".join([self.words["\n"] + self._one("", x) for x in lines[1:]])
             else:
-                yield raw[4 * at : 4 * end]
-            at = end + 1
+                yield self._one(self.begin, p)
 
 
 @lru_cache(maxsize=2)
 def _word_memory(path: str) -> Memory:
-    return Memory(lambda new: by_library(path, [p.decode() for p in new]))
+    library = Library(path, "", True)
+    return Memory(lambda new: library([p.decode() for p in new]))
 
 
 @lru_cache(maxsize=2)
 def _piece_memory(path: str) -> Memory:
-    return Memory(lambda new: by_library(path, new))
+    return Memory(Library(path, " ", False))
 
 
 def in_parts(texts: list, size: Callable = len) -> Iterator[list]:
@@ -101,31 +124,35 @@ def in_parts(texts: list, size: Callable = len) -> Iterator[list]:
 
 
 def ids_by_word(path: str, texts: pa.Array) -> Iterator[bytes]:
-    """Ids of texts by a tokenizer that drops white space: every word stands alone."""
+    """Ids of texts by a tokenizer that drops white space and case: every word stands alone."""
     memory = _word_memory(path)
+    get = memory.__getitem__
     for part in in_parts(texts.cast(pa.binary()).to_pylist()):
-        words = [x.split() for x in part]
-        get = memory.learn(set().union(*words))
-        for w in words:
-            yield b"".join(map(get, w))
+        memory.trim()
+        for x in part:
+            yield b"".join(map(get, x.split()))
 
 
-def pieces_of(text: str) -> list[str]:
-    """A text cut before its single spaces; whole if it has spaces amid other white space, where cuts may be wrong."""
+def split_at_spaces(text: str) -> tuple[str, list[str]] | None:
+    """The text before its first space, and what stands behind each space up to the next.
+
+    None if there are spaces amid other white space, where a cut before a space may be wrong.
+    """
     if _THREE_SPACES.search(text):
-        return [text]
+        return None
     head, *rest = text.split(" ")
-    return [head, *[f" {x}" for x in rest]] if head else [f" {x}" for x in rest]
+    return head, rest
 
 
-def ids_by_piece(memory: Memory, texts: pa.Array) -> Iterator[bytes]:
+def library_ids_by_piece(path: str, texts: pa.Array) -> Iterator[bytes]:
     """Ids of texts by a byte-level tokenizer that keeps white space."""
+    memory = _piece_memory(path)
+    get = memory.__getitem__
+    whole = lambda x: np.array(tokenizer(path).encode(x, add_special_tokens=False).ids, np.uint32).tobytes()
     for part in in_parts(texts.to_pylist()):
-        pieces = [pieces_of(x) for x in part]
-        get = memory.learn(set().union(*pieces))
-        for p in pieces:
-            yield b"".join(map(get, p))
-
-
-def library_ids_by_piece(path: str, texts: pa.Array) -> Iterator[bytes]:
-    return ids_by_piece(_piece_memory(path), texts)
+        memory.trim()
+        for x in part:
+            if (cut := split_at_spaces(x)) is None:
+                yield whole(x)
+            else:
+                yield whole(cut[0]) + b"".join(map(get, cut[1]))
