@@ -23,9 +23,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm.common import documents, ship, two_columns
-from tidelog.llm.tokens import Memory, in_parts, pieces_of
+from tidelog.llm.tokens import PART, Memory, in_parts, split_at_spaces
 
-_NONE = np.int64(1) << np.int64(40)  # rank of a pair that does not merge
+_NONE = np.int32(1 << 30)  # rank of a pair that does not merge
+#: Remembered pieces, and bytes of text whose new words are merged at once.
+REMEMBERED, GROUP = 300_000, 1 << 23
 
 
 class Vocabulary:
@@ -47,12 +49,12 @@ class Vocabulary:
                     made.append(r)
         order = np.argsort(keys)
         self.pairs = np.array(keys, np.int64)[order]
-        self.made = np.array(made, np.int64)[order]
+        self.made = np.array(made, np.int32)[order]
         # white space as the rank file's own library understands it
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = a * self.size + b
+        key = a.astype(np.int64) * self.size + b
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         return np.where(self.pairs[at] == key, self.made[at], _NONE)
 
@@ -79,18 +81,17 @@ def replay(v: Vocabulary, words: list[bytes]) -> list[np.ndarray]:
         return []
     lengths = np.array([len(w) for w in words])
     ends = np.cumsum(lengths)
-    token = v.byte[np.frombuffer(b"".join(words), np.uint8)]
+    token = v.byte[np.frombuffer(b"".join(words), np.uint8)].astype(np.int32)
     n = len(token)
-    of = np.repeat(np.arange(len(words)), lengths)
+    of = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
     # neighbours in the same word; n is none
-    after = np.arange(1, n + 1)
+    after = np.arange(1, n + 1, dtype=np.int32)
     after[ends[lengths > 0] - 1] = n
-    before = np.arange(-1, n - 1)
+    before = np.arange(-1, n - 1, dtype=np.int32)
     before[(ends - lengths)[lengths > 0]] = n
-    before = np.append(before, n)
-    after = np.append(after, n)
-    token = np.append(token, -1)
-    rank = np.full(n + 1, _NONE)  # of the pair that begins here
+    none = np.full(1, n, np.int32)
+    before, after, token = np.append(before, none), np.append(after, none), np.append(token, np.full(1, -1, np.int32))
+    rank = np.full(n + 1, _NONE, np.int32)  # of the pair that begins here
     first = np.flatnonzero(after[:n] < n)
     rank[first] = v.ranks(token[first], token[first + 1])
     odd = np.zeros(len(words), bool)  # words whose merges don't come in rank order
@@ -171,10 +172,17 @@ def encode_pieces(v: Vocabulary, pieces: list[str]) -> Iterator[bytes]:
         yield b"".join([ids[w] for w in s])
 
 
+def pieces_of(text: str) -> list[str]:
+    """A text cut before its spaces, each with what follows; whole where such cuts may be wrong."""
+    if (cut := split_at_spaces(text)) is None:
+        return [text]
+    return [cut[0], *[f" {x}" for x in cut[1]]]
+
+
 @lru_cache(maxsize=2)
 def _memory(path: str, pattern: str) -> Memory:
     v = vocabulary(path, pattern)
-    return Memory(lambda new: encode_pieces(v, new))
+    return Memory(lambda new: encode_pieces(v, new), REMEMBERED)
 
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
@@ -182,11 +190,13 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Itera
     for batch in batches:
         at = 0
         texts = batch.column("text")
-        for group in in_parts(texts.to_pylist(), lambda x: len(x) / 8):
+        for group in in_parts(texts.to_pylist(), lambda x: len(x) * (PART / GROUP)):
             seen: set[str] = set()
-            for part in in_parts(group):
-                seen.update(*[pieces_of(x) for x in part])
-            get = memory.learn(seen)  # one replay over the words of the whole group
+            for x in group:
+                seen.update(pieces_of(x))
+            memory.trim()
+            memory.learn(seen)  # one replay over the words of the whole group
+            get = memory.__getitem__
             ids = [b"".join(map(get, pieces_of(x))) for x in group]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(group)), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
             at += len(group)
