@@ -68,13 +68,15 @@ def copies(spark: SparkSession, path: str, checkpoint: str | None = None, id_col
     # without a single file a stream has nothing to start from
     state = collect_state(spark, path, checkpoint or scratch_dir(spark, "stream-dedup"), id_col, text_col, max_bytes)
     rows = _rows(docs, id_col, text_col)
-    # the bytes of hits: one row per digest and text, whatever the number of copies
-    hits = state.filter("n > 1").select("digest", "n")
-    texts = rows.groupBy("digest", "text").agg(_stays().alias("stays"), F.count(F.lit(1)).alias("n"))
-    differ = texts.join(hits.withColumnRenamed("n", "all"), "digest").filter("n < all").select("digest", "text", "stays", "n")
+    # the bytes of hits: texts meet whole, one row per task and text, whatever the number of copies; only what is
+    # known of a text goes on from there
+    hits = state.filter("n > 1").select("digest", F.col("n").alias("all"))
+    texts = rows.groupBy("digest", "text").agg(_stays().alias("stays"), F.count(F.lit(1)).alias("n")).select("digest", F.xxhash64("text").alias("mark"), "stays", "n")
+    differ = texts.join(hits, "digest").filter("n < all").select("digest", "mark", "stays", "n")
+    light = rows.withColumn("mark", F.xxhash64("text")).drop("text")
+    plain = light.join(state, "digest").join(differ.select("digest").distinct(), "digest", "left_anti")
+    apart = light.join(differ, ["digest", "mark"]).select(*plain.columns)
     own = F.struct("doc_id", "file", "row")
-    plain = rows.drop("text").join(state, "digest").join(differ.select("digest").distinct(), "digest", "left_anti")
-    apart = rows.join(differ, ["digest", "text"]).select(*plain.columns)
     return plain.unionByName(apart).select(
         "doc_id", F.col("stays.doc_id").alias("keep_id"), F.col("n").alias("group_size"), (own == F.col("stays")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"),
     )
