@@ -37,7 +37,9 @@ def _series(family: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-_usual = lru_cache(maxsize=2)(lambda family: _series(family, _USUAL))
+@lru_cache(maxsize=2)
+def _usual(family: int) -> tuple[np.ndarray, np.ndarray]:
+    return _series(family, _USUAL)
 
 
 def powers(family: int, size: int) -> tuple[np.ndarray, np.ndarray]:

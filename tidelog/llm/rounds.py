@@ -13,9 +13,11 @@ All of it is one lazy plan of shuffles: Spark computes a lost part again from th
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,6 @@ from tidelog.llm.names import equal_runs
 
 LETTER = "bucket int, block int, payload binary"
 _LETTER = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("payload", pa.binary())])
-_ZSTD = pa.Codec("zstd", compression_level=1)
 #: Blocks for each shuffle partition, and partitions for each bucket. A round sends a row for every pair of the two, at
 #: most as many as a shuffle has parts of files; more blocks and fewer buckets shift memory from those to these.
 BLOCKS, BUCKETS = 2, 2
@@ -34,6 +35,8 @@ class Block:
     """The documents of one block: their ids (`known` is False at a null one) and all bytes in one array."""
 
     def __init__(self, number: int, table: pa.Table):
+        # shuffles deliver rows in any order, and positions must mean the same in every round
+        table = table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("text", "ascending")]))
         self.number = number
         self.table = table
         ids = table.column("doc_id").combine_chunks()
@@ -54,6 +57,11 @@ class Block:
         return np.searchsorted(self.offsets, positions, side="right") - 1
 
 
+@lru_cache(maxsize=1)
+def _zstd() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=1)
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of any types as bytes, compressed."""
     head = [len(arrays)]
@@ -63,12 +71,12 @@ def pack(*arrays: np.ndarray) -> bytes:
         code = a.dtype.str.encode().ljust(4)[:4]
         body.append(code + np.int64(len(a)).tobytes() + a.tobytes())
     raw = bytes(head) + b"".join(body)
-    return np.int64(len(raw)).tobytes() + _ZSTD.compress(raw, asbytes=True)
+    return np.int64(len(raw)).tobytes() + _zstd().compress(raw, asbytes=True)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
     size = int(np.frombuffer(data, np.int64, 1)[0])
-    raw = memoryview(_ZSTD.decompress(memoryview(data)[8:], decompressed_size=size, asbytes=True))
+    raw = memoryview(_zstd().decompress(memoryview(data)[8:], decompressed_size=size, asbytes=True))
     out, at = [], 1
     for _ in range(raw[0]):
         kind = np.dtype(bytes(raw[at:at + 4]).decode().strip())
