@@ -179,10 +179,22 @@ def pieces_of(text: str) -> list[str]:
     return [cut[0], *[f" {x}" for x in cut[1]]]
 
 
+class Learnt(Memory):
+    """Pieces to ids, by one replay over all new pieces of a group."""
+
+    def __init__(self, path: str, pattern: str):
+        self.v = vocabulary(path, pattern)
+        super().__init__(lambda p: next(encode_pieces(self.v, [p])), REMEMBERED)
+
+    def learn(self, pieces: set[str]) -> None:
+        self.trim()
+        new = [p for p in pieces if p not in self and p not in self.old]
+        self.update(zip(new, encode_pieces(self.v, new), strict=True))
+
+
 @lru_cache(maxsize=2)
-def _memory(path: str, pattern: str) -> Memory:
-    v = vocabulary(path, pattern)
-    return Memory(lambda new: encode_pieces(v, new), REMEMBERED)
+def _memory(path: str, pattern: str) -> Learnt:
+    return Learnt(path, pattern)
 
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
@@ -194,7 +206,6 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Itera
             seen: set[str] = set()
             for x in group:
                 seen.update(pieces_of(x))
-            memory.trim()
             memory.learn(seen)  # one replay over the words of the whole group
             get = memory.__getitem__
             ids = [b"".join(map(get, pieces_of(x))) for x in group]

@@ -8,16 +8,18 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 #: Pieces in each of a worker's two generations of remembered pieces; ids do not depend on it.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 #: Bytes of text whose pieces are in memory at once.
 PART = 1 << 22
+_SPACES = re.compile(r" \s")
 _THREE_SPACES = re.compile(r"\s \s")
 #: ASCII punctuation that neither joins the letters before it nor begins a contraction.
 _PUNCTUATION = ".,!?:;#$%&*|<>()"
@@ -39,7 +41,7 @@ class Memory(dict):
     Two generations: when the new one is full it becomes the old one, and what was not met again since is forgotten.
     """
 
-    def __init__(self, encode: Callable[[list], Iterable[bytes]], size: int = REMEMBERED):
+    def __init__(self, encode: Callable[[str | bytes], bytes], size: int = REMEMBERED):
         super().__init__()
         self.encode, self.size = encode, size
         self.old: dict = {}
@@ -47,15 +49,10 @@ class Memory(dict):
     def __missing__(self, piece):
         ids = self.old.get(piece)
         if ids is None:
-            (ids,) = self.encode([piece])
+            ids = self.encode(piece)
         self[piece] = ids
         return ids
 
-    def learn(self, pieces: set) -> None:
-        """Encode the new ones among the pieces at once."""
-        unknown = [p for p in pieces if p not in self and p not in self.old]
-        self.update(zip(unknown, self.encode(unknown), strict=True))
-
     def trim(self) -> None:
         if len(self) > self.size:
             self.old = dict(self)
@@ -69,45 +66,55 @@ class Library:
     make those two words for the model, which it is given directly; any other piece takes the whole way.
     """
 
-    def __init__(self, path: str, begin: str, lower: bool):
-        self.full, self.model = tokenizer(path), tokenizer(path).model
-        self.begin, self.lower = begin, lower
-        self.words = Memory(lambda words: (self._model(w) for w in words))
+    def __init__(self, path: str, lower: bool):
+        self.full = tokenizer(path)
+        self.spelt = self.full.model.tokenize
+        self.lower = lower
+        self.words = Memory(self.word)
         # byte-level models write a byte that is not a printable character of Latin-1 as 256 and its number among those
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.letters = dict(zip([b for b in range(256) if b not in plain], range(256, 512), strict=False))
+        self.space, self.line_break = chr(self.letters[32]), chr(self.letters[10])
+
+    def word(self, word: str) -> bytes:
+        if word.isascii():
+            spelt = word.replace(" ", self.space).replace("\n", self.line_break)
+        else:
+            spelt = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.spelt(spelt)]).tobytes()
 
-    def _model(self, word: str) -> bytes:
-        spelt = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(spelt)], np.uint32).tobytes()
+    def whole(self, text: str) -> bytes:
+        return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
-    def _one(self, begin: str, p: str) -> bytes:
+    def piece(self, p: str, begin: str = "") -> bytes:
+        """Ids of `begin`, which is empty or a space, and a piece without spaces."""
         w = p.rstrip(_PUNCTUATION)
-        if w.isalpha() and max(w) < "\u0250" and "\u0130" not in w:
+        if w.isalpha() and (w.isascii() or (max(w) < "\u0250" and "\u0130" not in w)):
             ids = self.words[begin + (w.lower() if self.lower else w)]
             return ids + self.words[p[len(w) :]] if len(w) < len(p) else ids
-        return np.array(self.full.encode(begin + p, add_special_tokens=False).ids, np.uint32).tobytes()
-
-    def __call__(self, pieces: list[str]) -> Iterator[bytes]:
-        self.words.trim()
-        for p in pieces:
+        if "\n" in p:
             lines = p.split("\n")
-            if len(lines) > 1 and all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+            if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
                 # a line break between two other characters is a word of its own
-                yield self._one(self.begin, lines[0]) + b"".join([self.words["\n"] + self._one("", x) for x in lines[1:]])
-            else:
-                yield self._one(self.begin, p)
+                return self.piece(lines[0], begin) + b"".join([self.words["\n"] + self.piece(x) for x in lines[1:]])
+        return self.whole(begin + p)
+
+    def piece_of_bytes(self, p: bytes) -> bytes:
+        return self.piece(p.decode())
+
+    def piece_behind_space(self, p: str) -> bytes:
+        return self.piece(p, " ")
 
 
 @lru_cache(maxsize=2)
-def _word_memory(path: str) -> Memory:
-    library = Library(path, "", True)
-    return Memory(lambda new: library([p.decode() for p in new]))
+def _words(path: str) -> Memory:
+    return Memory(Library(path, True).piece_of_bytes)
 
 
 @lru_cache(maxsize=2)
-def _piece_memory(path: str) -> Memory:
-    return Memory(Library(path, " ", False))
+def _pieces(path: str) -> tuple[Library, Memory]:
+    library = Library(path, False)
+    return library, Memory(library.piece_behind_space)
 
 
 def in_parts(texts: list, size: Callable = len) -> Iterator[list]:
@@ -125,7 +132,7 @@ def in_parts(texts: list, size: Callable = len) -> Iterator[list]:
 
 def ids_by_word(path: str, texts: pa.Array) -> Iterator[bytes]:
     """Ids of texts by a tokenizer that drops white space and case: every word stands alone."""
-    memory = _word_memory(path)
+    memory = _words(path)
     get = memory.__getitem__
     for part in in_parts(texts.cast(pa.binary()).to_pylist()):
         memory.trim()
@@ -138,7 +145,7 @@ def split_at_spaces(text: str) -> tuple[str, list[str]] | None:
 
     None if there are spaces amid other white space, where a cut before a space may be wrong.
     """
-    if _THREE_SPACES.search(text):
+    if _SPACES.search(text) and _THREE_SPACES.search(text):
         return None
     head, *rest = text.split(" ")
     return head, rest
@@ -146,13 +153,13 @@ def split_at_spaces(text: str) -> tuple[str, list[str]] | None:
 
 def library_ids_by_piece(path: str, texts: pa.Array) -> Iterator[bytes]:
     """Ids of texts by a byte-level tokenizer that keeps white space."""
-    memory = _piece_memory(path)
+    library, memory = _pieces(path)
     get = memory.__getitem__
-    whole = lambda x: np.array(tokenizer(path).encode(x, add_special_tokens=False).ids, np.uint32).tobytes()
     for part in in_parts(texts.to_pylist()):
         memory.trim()
+        library.words.trim()
         for x in part:
             if (cut := split_at_spaces(x)) is None:
-                yield whole(x)
+                yield library.whole(x)
             else:
-                yield whole(cut[0]) + b"".join(map(get, cut[1]))
+                yield library.piece(cut[0]) + b"".join(map(get, cut[1]))
