@@ -276,3 +276,18 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_suffix_array_dedup": op1_suffix_array_dedup}
+ORACLES = {
+    "op1_suffix_array_dedup": r"""
+        WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        windows AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(length(h) // 2 - 49)) AS p FROM bytes)),
+        again AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) AS least FROM windows) WHERE least < doc_id),
+        run AS (SELECT doc_id, p, count(*) FILTER (fresh) OVER (PARTITION BY doc_id ORDER BY p) AS k
+                FROM (SELECT doc_id, p, p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, -1) AS fresh FROM again)),
+        span AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM run GROUP BY doc_id, k),
+        piece AS (SELECT doc_id, a, b, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS next FROM span),
+        kept AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+                        substr(any_value(h), 1, 2 * min(a)) || string_agg(substr(h, 2 * b + 1, coalesce(2 * (next - b), length(h))), '' ORDER BY a) AS t
+                 FROM piece JOIN bytes USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(t, h))) AS kept_sha256
+        FROM bytes LEFT JOIN kept USING (doc_id)"""
+}

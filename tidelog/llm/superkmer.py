@@ -314,3 +314,15 @@ def op9_super_kmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_super_kmer_dedup": op9_super_kmer_dedup}
+ORACLES = {
+    "op9_super_kmer_dedup": r"""
+        WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        windows AS (SELECT doc_id, p, array_to_string(w[p:p + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM words)),
+        again AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY s) AS n FROM windows) WHERE n > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS p FROM again),
+        word AS (SELECT doc_id, unnest(w) AS s, generate_subscripts(w, 1) AS p FROM words),
+        kept AS (SELECT word.doc_id, count(*) AS n_words, count(gone.p) AS n_removed, string_agg(s, ' ' ORDER BY word.p) FILTER (gone.p IS NULL) AS t
+                 FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.p = gone.p GROUP BY word.doc_id)
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM words LEFT JOIN kept USING (doc_id)"""
+}
