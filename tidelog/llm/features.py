@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 
 from tidelog.llm.names import equal_runs, mix, names_between, words_of
-from tidelog.llm.tokens import in_parts
+from tidelog.llm.tokens import parts_of
 
+PART = 1 << 21
 #: Characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
 COUNTS = (
@@ -125,11 +126,11 @@ def measure(texts: list[bytes], repeat: int = 5) -> dict[str, np.ndarray]:
 
 
 def counts(batches: Iterator[pa.RecordBatch], also: tuple[str, ...] = ("doc_id",)) -> Iterator[pa.RecordBatch]:
-    """The columns `also` and the COUNTS of `text`, about 4 MB of text at a time."""
+    """The columns `also` and the COUNTS of `text`, PART bytes of text at a time."""
     for batch in batches:
         at = 0
-        for part in in_parts(batch.column("text").cast(pa.binary()).to_pylist()):
-            got = measure(part)
+        for part in parts_of(batch.column("text").cast(pa.binary()), PART):
+            got = measure(part.to_pylist())
             columns = [batch.column(c).slice(at, len(part)) for c in also] + [pa.array(got[c]) for c in COUNTS]
             yield pa.RecordBatch.from_arrays(columns, names=[*also, *COUNTS])
             at += len(part)

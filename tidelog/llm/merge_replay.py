@@ -23,11 +23,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm.common import documents, ship, two_columns
-from tidelog.llm.tokens import PART, Memory, in_parts, split_at_spaces
+from tidelog.llm.tokens import Memory, parts_of, split_at_spaces
 
 _NONE = np.int32(1 << 30)  # rank of a pair that does not merge
 #: Remembered pieces, and bytes of text whose new words are merged at once.
-REMEMBERED, GROUP = 300_000, 1 << 23
+REMEMBERED, GROUP = 150_000, 1 << 22
 
 
 class Vocabulary:
@@ -201,8 +201,8 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Itera
     memory = _memory(path, pattern)
     for batch in batches:
         at = 0
-        texts = batch.column("text")
-        for group in in_parts(texts.to_pylist(), lambda x: len(x) * (PART / GROUP)):
+        for part in parts_of(batch.column("text"), GROUP):
+            group = part.to_pylist()
             seen: set[str] = set()
             for x in group:
                 seen.update(pieces_of(x))
@@ -230,8 +230,8 @@ def _decode(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Itera
     v = vocabulary(path, pattern)
     for batch in batches:
         at = 0
-        for part in in_parts(batch.column("ids").to_pylist()):
-            out = [decode_ids(v, np.frombuffer(x, "<u4").tolist()) for x in part]
+        for part in parts_of(batch.column("ids")):
+            out = [decode_ids(v, np.frombuffer(x.as_buffer(), "<u4").tolist()) for x in part]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), pa.array(out, pa.binary())], names=["doc_id", "decoded"])
             at += len(part)
 

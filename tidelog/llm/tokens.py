@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces in each of a worker's two generations of remembered pieces; ids do not depend on it.
 REMEMBERED = 250_000
@@ -117,26 +118,24 @@ def _pieces(path: str) -> tuple[Library, Memory]:
     return library, Memory(library.piece_behind_space)
 
 
-def in_parts(texts: list, size: Callable = len) -> Iterator[list]:
-    """Lists of texts of about PART bytes together."""
-    part, n = [], 0
-    for x in texts:
-        part.append(x)
-        n += size(x)
-        if n >= PART:
-            yield part
-            part, n = [], 0
-    if part:
-        yield part
+def parts_of(column: pa.Array, size: int = PART) -> Iterator[pa.Array]:
+    """Slices of a column of texts or bytes, of about `size` bytes each and one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        n = max(1, int(np.searchsorted(ends, before + size)) - at)
+        yield column.slice(at, n)
+        at += n
 
 
 def ids_by_word(path: str, texts: pa.Array) -> Iterator[bytes]:
     """Ids of texts by a tokenizer that drops white space and case: every word stands alone."""
     memory = _words(path)
     get = memory.__getitem__
-    for part in in_parts(texts.cast(pa.binary()).to_pylist()):
+    for part in parts_of(texts.cast(pa.binary())):
         memory.trim()
-        for x in part:
+        for x in part.to_pylist():
             yield b"".join(map(get, x.split()))
 
 
@@ -155,10 +154,10 @@ def library_ids_by_piece(path: str, texts: pa.Array) -> Iterator[bytes]:
     """Ids of texts by a byte-level tokenizer that keeps white space."""
     library, memory = _pieces(path)
     get = memory.__getitem__
-    for part in in_parts(texts.to_pylist()):
+    for part in parts_of(texts):
         memory.trim()
         library.words.trim()
-        for x in part:
+        for x in part.to_pylist():
             if (cut := split_at_spaces(x)) is None:
                 yield library.whole(x)
             else:
