@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidelog.constants import LOG_DDL
 from tidelog.operators import metrics
 from tidelog.plans import streams
-from tidelog.sources import registry
+from tidelog.sources import datasource, registry
 from tidelog.sources.topiclog import TopicLog
 from tidelog.streaming import deliver as dv
 from tidelog.streaming import shuffle
@@ -124,7 +124,7 @@ def test_live_resubscription(spark, tmp_path, log):
     reg, checkpoint, out = tmp_path / "r.json", str(tmp_path / "cp"), str(tmp_path / "out")
     write_registry(reg, ["a", "b"])
     log.append(messages(spark, "a", 4).unionByName(messages(spark, "b", 4, 100)), "l-0", ORDER)
-    stream = streams.stream_of(spark, log, streamRegistry=str(reg), streamIds="s0", registryFailures=1000)
+    stream = streams.stream_of(spark, log, streamRegistry=str(reg), streamIds="s0", registryFailures=1000, checkpoint=checkpoint)
     q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(
         processingTime="0 seconds").start()
     read = lambda: ids(spark.read.schema(LOG_DDL).parquet(out))
@@ -219,21 +219,90 @@ def test_committed_offsets_last_write_wins(spark, log):
 
 
 def test_paused_partitions_keep_their_position(spark, tmp_path, log):
+    """Paused before it was ever read, and again after, with a restart before each change."""
     paused, checkpoint, out = tmp_path / "paused.json", str(tmp_path / "cp"), str(tmp_path / "out")
-    replace(paused, json.dumps([f"{C0}t|1"]))
     log.append(messages(spark, "t", 6).unionByName(messages(spark, "u", 2, 50)), "l-0", ORDER)
     read = lambda: ids(spark.read.schema(LOG_DDL).parquet(out))
 
-    def run():
-        stream = streams.stream_of(spark, log, pausedFile=str(paused), topicPattern="t", cluster="cluster0")
+    def run(names):
+        replace(paused, json.dumps(names))
+        stream = streams.stream_of(spark, log, pausedFile=str(paused), topicPattern="t", cluster="cluster0", checkpoint=checkpoint)
         streams.run_to_table(spark, stream, "paused", checkpoint, out)
 
-    run()
+    run([f"{C0}t|1"])
     assert read() == [0, 2, 4]
-    replace(paused, "[]")
     log.append(messages(spark, "t", 2, 6), "l-1", ORDER)
-    run()
+    run([])
     assert read() == list(range(8))
+    log.append(messages(spark, "t", 4, 8), "l-2", ORDER)
+    run([f"{C0}t|1"])
+    assert read() == [*range(8), 8, 10]
+    log.append(messages(spark, "t", 2, 12), "l-3", ORDER)
+    run([])
+    assert read() == list(range(14))
+
+
+def test_a_topic_leaves_and_returns_over_restarts(spark, tmp_path, log):
+    reg, checkpoint, out = tmp_path / "r.json", str(tmp_path / "cp"), str(tmp_path / "out")
+    read = lambda: ids(spark.read.schema(LOG_DDL).parquet(out))
+
+    def run(topics):
+        write_registry(reg, topics)
+        stream = streams.stream_of(spark, log, streamRegistry=str(reg), streamIds="s0", checkpoint=checkpoint)
+        streams.run_to_table(spark, stream, "returning", checkpoint, out)
+
+    log.append(messages(spark, "a", 4).unionByName(messages(spark, "b", 4, 100)), "l-0", ORDER)
+    run(["a", "b"])
+    log.append(messages(spark, "a", 2, 4).unionByName(messages(spark, "b", 2, 104)), "l-1", ORDER)
+    run(["a"])
+    run(["a"])
+    assert read() == [0, 1, 2, 3, 4, 5, 100, 101, 102, 103]
+    run(["a", "b"])
+    assert read() == [0, 1, 2, 3, 4, 5, 100, 101, 102, 103, 104, 105]
+
+
+def test_two_capped_sources_resume_apart(spark, tmp_path, log):
+    checkpoint, root = str(tmp_path / "cp"), str(tmp_path / "out")
+    log.append(messages(spark, "a", 40).unionByName(messages(spark, "b", 60, 100)), "l-0", ORDER)
+    armed = [True]
+
+    def step(batch, i):
+        if armed[0] and i == 2:
+            armed[0] = False
+            raise RuntimeError("lost in the third micro-batch")
+        batch.write.mode("overwrite").parquet(f"{root}/batch={i}")
+
+    def run():
+        one, two = (streams.stream_of(spark, log, topicPattern=t, maxRowsPerBatch=n, checkpoint=checkpoint) for t, n in (("a", 7), ("b", 11)))
+        return streams.run_capped(one.union(two), step, checkpoint)
+
+    with pytest.raises(Exception, match="lost in the third"):
+        run()
+    assert max(run()) <= 18
+    log.append(messages(spark, "a", 5, 40), "l-1", ORDER)
+    run()
+    assert ids(spark.read.schema(LOG_DDL).parquet(root)) == [*range(45), *range(100, 160)]
+
+
+def test_moving_subscriptions_need_a_checkpoint(spark, tmp_path, log):
+    log.append(messages(spark, "t", 2), "l-0", ORDER)
+    with pytest.raises(Exception, match="needs the option checkpoint"):
+        stream = streams.stream_of(spark, log, pausedFile=str(tmp_path / "p"))
+        streams.run_to_table(spark, stream, "refused", str(tmp_path / "cp"), str(tmp_path / "out"))
+
+
+def test_start_from_a_positions_table(spark, tmp_path, log):
+    log.append(messages(spark, "t", 10), "l-0", ORDER)
+    start = spark.createDataFrame([(C0 + "t", 0, 3), (C0 + "t", 1, 4)], "topic_uri STRING, partition INT, start BIGINT")
+    at = datasource.write_positions(start, str(tmp_path / "positions"))
+    out = streams.run_to_table(spark, streams.stream_of(spark, log, startingOffsets=at), "from-table", str(tmp_path / "cp"), str(tmp_path / "out"))
+    assert ids(spark.read.schema(LOG_DDL).parquet(out)) == [6, 8, 9]
+
+
+def test_hadoop_paths_for_arrow():
+    assert datasource.arrow_uri("s3a://bucket/log") == "s3://bucket/log"
+    assert datasource.arrow_uri("hdfs://name/log") == "hdfs://name/log"
+    assert datasource.arrow_uri("/log") == "/log"
 
 
 def test_upsert_table_survives_compaction(spark, tmp_path):

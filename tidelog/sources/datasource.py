@@ -9,12 +9,15 @@ Options
     registryFailures      how often in a row reading the registry may fail while the last good copy is used (default 3)
     pausedFile            JSON list of "<uri>|<partition>" read again for every micro-batch; paused partitions keep
                           their position and deliver nothing
-    startingOffsets       earliest (default), latest, or JSON {"<uri>|<partition>": offset}; see `offsets_json`
-    endingOffsets         latest (default) or JSON, batch only; exclusive
+    startingOffsets       earliest (default), latest, JSON {"<uri>|<partition>": offset} (see `offsets_json`), or
+                          "table:" and the folder of a positions table (see `write_positions`), for any number of them
+    endingOffsets         latest (default), JSON or a table, batch only; exclusive
     discoverPartitions    true (default): partitions that appear later are read from their first offset
     rowsPerSecond         rate limit over all tasks; with `triggerSeconds` (default 1) it caps a micro-batch
     maxRowsPerBatch       the cap itself
-    checkpoint            checkpoint folder of the query; needed with a cap, so a restart continues where it stopped
+    checkpoint            checkpoint folder of the query. The source keeps its planned positions below it; needed by
+                          streams with a cap, pausedFile, streamRegistry or discoverPartitions=false
+    sourceName            tells apart two sources of one query that have the same options
     rowsPerTask           rows one task reads at most (default 1,000,000): a hot partition is split by offset
 
 Files are read in the tasks; the driver handles one range per transaction and partition.
@@ -22,6 +25,7 @@ Files are read in the tasks; the driver handles one range per transaction and pa
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from dataclasses import dataclass
@@ -34,6 +38,7 @@ import pyarrow.parquet as pq
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import datasource as pds
+from pyspark.sql import functions as F
 
 from tidelog.constants import LOG_DDL, MIN_TASK_RATE
 from tidelog.operators.ordered import SLICE_ROWS
@@ -81,9 +86,19 @@ def pack(slices: list[LogSlice], rows: int) -> list[LogTask]:
     return [*tasks, LogTask(current)]
 
 
+#: Hadoop's names of file systems that Arrow calls otherwise.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfs", "wasb": "abfs", "abfss": "abfs"}
+
+
+def arrow_uri(path: str) -> str:
+    """A Hadoop path as Arrow spells it."""
+    scheme, colon, rest = path.partition("://")
+    return _SCHEMES.get(scheme, scheme) + colon + rest
+
+
 def _filesystem(path: str):
     if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri(path)
+        return pafs.FileSystem.from_uri(arrow_uri(path))
     return pafs.LocalFileSystem(), path
 
 
@@ -97,14 +112,31 @@ def _split_name(name: str) -> tuple[str, int]:
 
 
 def offsets_json(positions: DataFrame, column: str = "start") -> str:
-    """Resolved positions as the text `startingOffsets` and `endingOffsets` take, so that a stream can start at a
-    time, at committed offsets, or anywhere else. One short entry per partition; more than MAX_ROWS is refused."""
+    """A few resolved positions as the text `startingOffsets` and `endingOffsets` take; see `write_positions` for many."""
     rows = positions.select("topic_uri", "partition", column).limit(MAX_ROWS + 1).collect()
     if len(rows) > MAX_ROWS:
-        raise ValueError(f"more than {MAX_ROWS} partitions")
+        raise ValueError(f"more than {MAX_ROWS} partitions; use write_positions")
     return json.dumps({name_of(r[0], r[1]): r[2] for r in rows if r[2] is not None})
 
 
+def write_positions(positions: DataFrame, folder: str, column: str = "start") -> str:
+    """Write resolved positions as a table; returns the text `startingOffsets` and `endingOffsets` take for it."""
+    named = positions.select("topic_uri", "partition", F.col(column).cast("bigint").alias("offset")).where("offset IS NOT NULL")
+    named.write.parquet(folder)
+    return f"table:{folder}"
+
+
+def _given(text: str) -> dict[str, int]:
+    if not text.startswith("table:"):
+        return json.loads(text)
+    filesystem, folder = _filesystem(text.removeprefix("table:"))
+    out = {}
+    for batch in ds.dataset(folder, filesystem=filesystem, format="parquet").to_batches():
+        for uri, part, offset in zip(*(batch.column(c).to_pylist() for c in ("topic_uri", "partition", "offset"))):
+            out[name_of(uri, part)] = offset
+    return out
+
+
 class LogIndex:
     """Committed ranges of a log by partition; `refresh` picks up new transactions."""
 
@@ -254,7 +286,7 @@ def _stops(options: dict, bounds: dict[str, tuple[int, int]]) -> dict[str, int]:
     text = options.get("endingoffsets", "latest")
     if text == "latest":
         return {n: b[1] for n, b in bounds.items()}
-    given = json.loads(text)
+    given = _given(text)
     return {n: min(given.get(n, b[1]), b[1]) for n, b in bounds.items()}
 
 
@@ -264,7 +296,7 @@ def _starts(options: dict, bounds: dict[str, tuple[int, int]]) -> dict[str, int]
         return {n: b[0] for n, b in bounds.items()}
     if text == "latest":
         return {n: b[1] for n, b in bounds.items()}
-    given = json.loads(text)
+    given = _given(text)
     return {n: given.get(n, b[0]) for n, b in bounds.items()}
 
 
@@ -318,17 +350,57 @@ class LogReader(pds.DataSourceReader):
         return _read(self.options["path"], partition)
 
 
+class Positions:
+    """The positions a source has planned up to, in a folder of its own below the query's checkpoint.
+
+    Spark tells a source where a micro-batch starts, but not where the last one ended when it asks for the next end.
+    A file is written before Spark records the same end, so after a failure it is at most ahead of Spark's record;
+    the rows between are still read, because Spark's own start counts for reading. Nothing ever goes back.
+    """
+
+    def __init__(self, checkpoint: str, options: dict):
+        own = {k: v for k, v in sorted(options.items()) if k not in ("rowspertask", "pausedfile", "maxrowsperbatch", "rowspersecond")}
+        name = hashlib.sha256(json.dumps(own).encode()).hexdigest()[:16]
+        self.fs, root = _filesystem(checkpoint.rstrip("/"))
+        self.folder = f"{root}/topiclog-{name}"
+
+    def _numbers(self) -> list[int]:
+        found = self.fs.get_file_info(pafs.FileSelector(self.folder, allow_not_found=True))
+        return sorted(int(f.base_name) for f in found if f.base_name.isdigit())
+
+    def load(self) -> dict[str, int] | None:
+        numbers = self._numbers()
+        if not numbers:
+            return None
+        with self.fs.open_input_stream(f"{self.folder}/{numbers[-1]}") as f:
+            return json.loads(f.readall().decode("utf-8"))
+
+    def save(self, positions: dict[str, int]) -> None:
+        """As a new file under a temporary name that is then moved, so a reader never sees half of one."""
+        numbers = self._numbers()
+        self.fs.create_dir(self.folder, recursive=True)
+        new = numbers[-1] + 1 if numbers else 0
+        with self.fs.open_output_stream(f"{self.folder}/.{new}") as f:
+            f.write(json.dumps(positions).encode())
+        self.fs.move(f"{self.folder}/.{new}", f"{self.folder}/{new}")
+        for old in numbers[:-1]:
+            self.fs.delete_file(f"{self.folder}/{old}")
+
+
 class LogStreamReader(pds.DataSourceStreamReader):
-    """Offsets are {"<uri>|<partition>": next offset}. A partition dropped from the subscription keeps its entry, so
-    it resumes where it was when it comes back."""
+    """Offsets are {"<uri>|<partition>": next offset}. A partition that is paused or leaves the subscription keeps its
+    entry, also over restarts, so it resumes where it was."""
 
     def __init__(self, options: dict):
         self.options = options
         self.index, self.wanted = LogIndex(options["path"]), Subscription(options)
         self.cap = batch_cap(options)
+        self.discover = str(options.get("discoverpartitions", "true")).lower() == "true"
+        moving = [k for k in ("pausedfile", "streamregistry") if options.get(k)]
+        if not options.get("checkpoint") and (self.cap or moving or not self.discover):
+            raise ValueError("a stream with a cap, a paused file, a registry or fixed partitions needs the option checkpoint to resume from")
+        self.stored = Positions(options["checkpoint"], options) if options.get("checkpoint") else None
         self.position: dict[str, int] | None = None
-        if self.cap and not options.get("checkpoint"):
-            raise ValueError("a capped stream needs the option checkpoint to resume from")
 
     def _look(self) -> dict[str, tuple[int, int]]:
         self.index.refresh()
@@ -336,39 +408,30 @@ class LogStreamReader(pds.DataSourceStreamReader):
         return {n: b for n, b in self.index.bounds().items() if self.wanted.includes(n)}
 
     def initialOffset(self) -> dict:
-        return _starts(self.options, self._look())
-
-    def _resumed(self) -> dict[str, int] | None:
-        """End of the last planned micro-batch, from the query's own checkpoint."""
-        if not self.options.get("checkpoint"):
-            return None
-        filesystem, folder = _filesystem(self.options["checkpoint"].rstrip("/") + "/offsets")
-        names = [f.base_name for f in filesystem.get_file_info(pafs.FileSelector(folder, allow_not_found=True))]
-        batches = sorted(int(n) for n in names if n.isdigit())
-        if not batches:
-            return None
-        with filesystem.open_input_stream(f"{folder}/{batches[-1]}") as f:
-            last = f.readall().decode("utf-8").splitlines()[2]
-        return json.loads(last)
+        starts = _starts(self.options, self._look())
+        if self.stored is not None and self.stored.load() is None:
+            self.stored.save(starts)
+        return starts
 
     def latestOffset(self) -> dict:
         bounds = self._look()
-        if self.position is None:
-            self.position = self._resumed()
+        if self.position is None and self.stored is not None:
+            self.position = self.stored.load()
         before = self.position if self.position is not None else _starts(self.options, bounds)
-        discover = str(self.options.get("discoverpartitions", "true")).lower() == "true"
         end = dict(before)
         available, paused = {}, self.wanted.paused()
         for n, (first, nxt) in bounds.items():
+            if n not in before and not self.discover and self.position is not None:
+                continue
             if n in paused:
                 end.setdefault(n, first)
                 continue
-            if n not in before and not discover and self.position is not None:
-                continue
             available[n] = nxt - before.get(n, first)
         take = share(self.cap, available) if self.cap else available
         for n, rows in take.items():
             end[n] = before.get(n, bounds[n][0]) + max(0, rows)
+        if self.stored is not None and end != self.position:
+            self.stored.save(end)
         self.position = end
         return end
 
