@@ -19,12 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import documents
+from tidelog.llm.common import documents, durable_table
 
 #: Lines of fewer characters are left alone: short ones are often within one edit of each other by chance.
 MIN_CHARS = 32
 HALVES, PARTS = 2, 16
 PLACE = ("d", "r", "p")
+#: Bits of the filter that finds shared lines again, 1 MB together.
+SLOTS = 1 << 23
 
 
 def _bound(length: Column, part: Column, parts: int) -> Column:
@@ -90,25 +92,37 @@ def _split(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _long_lines(texts: DataFrame, min_chars: int) -> DataFrame:
+    return texts.select("d", "r", F.posexplode("lines").alias("p", "line")).filter(F.char_length("line") >= min_chars)
+
+
 def first_lines(texts: DataFrame, min_chars: int) -> DataFrame:
     """The first place of every distinct line, and the keys of its halves. Equality is that of two 64-bit hashes."""
-    rows = texts.select("d", "r", F.posexplode("lines").alias("p", "line")).filter(F.char_length("line") >= min_chars)
     line = F.col("line")
     keys = [_part_key(line, role, F.lit(part), HALVES).alias(f"k{role}{part}") for role in (0, 1) for part in range(HALVES)]
-    hashed = rows.select(*PLACE, F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), *keys)
+    hashed = _long_lines(texts, min_chars).select(*PLACE, F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), *keys)
     names = [f"k{role}{part}" for role in (0, 1) for part in range(HALVES)]
     first = hashed.groupBy("h", "g").agg(F.min(F.struct(*PLACE)).alias("at"), *[F.min(k).alias(k) for k in names])
     return first.select("at.*", *names)
 
 
-def near_lines(texts: DataFrame, first: DataFrame) -> DataFrame:
+def _probably_in(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows at the places of `wanted`, and few others: by one bit for a hash of each place, in a bitmap of SLOTS bits
+    whatever the input. It spares the shuffle most of the lines; a join on the places decides."""
+    slot = F.pmod(F.xxhash64(*PLACE), F.lit(SLOTS))
+    bits = wanted.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    # at most SLOTS / 8 bytes in pages of 4 KB
+    return rows.withColumn("page", F.bitmap_bucket_number(slot)).join(F.broadcast(bits), "page").filter(F.getbit(byte, (at % 8).cast("int")) == 1).drop("page", "bits")
+
+
+def near_lines(texts: DataFrame, first: DataFrame, min_chars: int) -> DataFrame:
     """Places of first lines that have an earlier line within one edit."""
     halves = F.array(*[F.struct(F.col(f"k{role}{part}").alias("key"), F.lit(role).alias("role"), F.lit(part).alias("part")) for role in (0, 1) for part in range(HALVES)])
     half = _shared(_keys(first.select(*PLACE, halves.alias("choices")), F.col("choices")))
-    # back to their texts: the places of each document, with what they share
-    wanted = half.groupBy(*PLACE).agg(F.collect_set(F.col("role") * HALVES + F.col("part")).alias("codes"))
-    wanted = wanted.groupBy("d", "r").agg(F.collect_list(F.struct("p", "codes")).alias("wanted"))
-    rows = texts.select("d", "r", "lines").join(wanted, ["d", "r"]).select("d", "r", F.inline(F.transform("wanted", lambda w: F.struct(w["p"].alias("p"), w["codes"].alias("codes"), F.col("lines")[w["p"]].alias("line")))))
+    wanted = durable_table(half.groupBy(*PLACE).agg(F.collect_set(F.col("role") * HALVES + F.col("part")).alias("codes")), "half-shared")
+    rows = _probably_in(_long_lines(texts, min_chars), wanted).join(wanted, list(PLACE)).distinct()
     line = F.col("line")
     sixteenths = [
         F.when(F.array_contains("codes", F.lit(role * HALVES + part * HALVES // PARTS)), _choice(line, role, part, PARTS)) for role in (0, 1) for part in range(PARTS)
@@ -135,8 +149,8 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are one document, whose copies keep the same lines. One row comes back per row.
     """
     texts = _split(docs, id_col, text_col)
-    first = first_lines(texts, min_chars)
-    stay = first.select(*PLACE).join(near_lines(texts, first), list(PLACE), "left_anti")
+    first = durable_table(first_lines(texts, min_chars), "first-lines")
+    stay = first.select(*PLACE).join(near_lines(texts, first, min_chars), list(PLACE), "left_anti")
     stay = stay.groupBy("d", "r").agg(F.collect_list("p").alias("stay"))
     all_lines = F.transform("lines", lambda x, i: F.when(F.char_length(x) < min_chars, i))
     short = F.array_compact(all_lines)
