@@ -17,25 +17,17 @@ from tidelog.sources.topiclog import TopicLog, outbox
 
 CLUSTER = "plaintext:/rn:kafka:env:cloud_region1::cluster"
 
-# Numbers the fixture's rules use.
-TXN_ROWS = 20  # rows of a partition per transaction in the isolation queries
+ISOLATED_SQL = """isolated AS (
+  SELECT topic_uri, part, event_id % 3 AS n, 'p-' || CAST(event_id % 3 AS VARCHAR) AS txn, k,
+         row_number() OVER (PARTITION BY topic_uri, part ORDER BY event_id % 3, ts, event_id) - 1 AS off FROM m)"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for work done per row when a source has fewer partitions than there are cores.
-
-    Large inputs have far more partitions and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spread(table(spark, sf_dir, "events")).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+    e = table(spark, sf_dir, "events").withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
     user = F.col("user_id")
     published = F.col("ts").cast("timestamp")
     body = F.concat(
@@ -86,6 +78,11 @@ def _store(spark: SparkSession, sf_dir: str, kind: str) -> TopicLog:
             delay = F.make_dt_interval(secs=((F.col("event_id") * 37) % 600).cast("decimal(18,6)"))
             messages = messages.withColumn("arrived", F.col("timestamp") + delay)
             log.append(messages, "load-0", ["arrived", "event_id"])
+        elif kind == "isolated":
+            # three transactions, of which the last has no marker
+            for n in range(3):
+                part = messages.where(F.col("event_id") % 3 == n)
+                (log.append if n < 2 else log.stage)(part, f"p-{n}", ["timestamp", "event_id"])
         else:
             log.append(messages, "load-0", ["timestamp", "event_id"])
         _logs[at] = log
@@ -96,6 +93,11 @@ def store(spark: SparkSession, sf_dir: str) -> TopicLog:
     return _store(spark, sf_dir, "ordered")
 
 
+def isolated(spark: SparkSession, sf_dir: str) -> TopicLog:
+    """The rows in three transactions, the last of them staged and never committed; see ISOLATED_SQL."""
+    return _store(spark, sf_dir, "isolated")
+
+
 def topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log in publish order."""
     return _store(spark, sf_dir, "ordered").read()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidelog.operators import metrics, produce, ranges, subscribe
@@ -195,13 +196,17 @@ def s16(spark, sf):
 
 
 @query("s17_stop_committed", fx.sql(
-    "SELECT l.topic_uri, l.part, l.off FROM topic_log l JOIN group_offsets g "
+    "SELECT l.topic_uri, l.part, l.off FROM topic_log l JOIN ("
+    "SELECT topic_uri, part, next_offset FROM group_offsets UNION ALL SELECT topic_uri, part, latest // 5 FROM bounds WHERE part = 3) g "
     "ON g.topic_uri = l.topic_uri AND g.part = l.part WHERE l.off < g.next_offset"))
 def s17(spark, sf):
-    full = fx.topic_log(spark, sf)
-    committed = fx.group_offsets(full)
-    log = full.where("partition <> 3")
-    return _ids(ranges.read_slice(log, ranges.earliest(), ranges.committed_only(committed, "g1")))
+    """Every partition up to its own commit; partition 3 is committed late, a fifth of the way."""
+    log = fx.topic_log(spark, sf)
+    late = fx.bounds(spark, sf).where("partition = 3").select(
+        F.lit("g1").alias("group_id"), "topic_uri", "partition", F.floor(F.col("latest") / 5).cast("bigint").alias("next_offset"),
+        F.lit("2024-02-02").cast("timestamp").alias("committed_at"))
+    committed = fx.group_offsets(log).unionByName(late)
+    return _ids(ranges.read_slice(log, ranges.earliest(), ranges.committed_only(committed, "g1"), fx.bounds(spark, sf)))
 
 
 @query("s18_stop_timestamp", fx.sql(
@@ -215,13 +220,12 @@ def s18(spark, sf):
 
 
 @query("s19_stop_specific", fx.sql(
-    f"SELECT l.topic_uri, l.part, l.off FROM topic_log l JOIN spec s ON s.topic_uri = l.topic_uri AND s.part = l.part "
-    "WHERE l.off < s.next_offset", _SPEC))
+    "SELECT l.topic_uri, l.part, l.off FROM topic_log l LEFT JOIN spec s ON s.topic_uri = l.topic_uri AND s.part = l.part "
+    "JOIN bounds b ON b.topic_uri = l.topic_uri AND b.part = l.part WHERE l.off < coalesce(s.next_offset, b.latest)", _SPEC))
 def s19(spark, sf):
-    log = fx.topic_log(spark, sf).where("partition < 2")
-    one = subscribe.by_topics(log, [CLICK0])
-    stop = ranges.specific(ranges.offsets_from_text(spark, [CLICK0], SPEC_TEXT))
-    return _ids(ranges.read_slice(one, ranges.earliest(), stop))
+    """Given stops where there are any, the end of the partition elsewhere."""
+    stop = ranges.specific(ranges.offsets_from_text(spark, [CLICK0], SPEC_TEXT), reset="latest")
+    return _ids(ranges.read_slice(fx.topic_log(spark, sf), ranges.earliest(), stop, fx.bounds(spark, sf)))
 
 
 @query("s20_empty_ranges_removed", fx.sql(
@@ -261,26 +265,24 @@ def s23(spark, sf):
     return fx.out(subscribe.partition_changes(older.unionByName(gone), now))
 
 
-@query("s26_rescale", fx.sql("SELECT topic_uri, part, off FROM topic_log"))
+@query("s26_rescale", fx.sql("SELECT count(*) AS n_rows, 19::BIGINT AS n_tasks FROM topic_log"))
 def s26(spark, sf):
+    """Rows, and the tasks they are in after 19 were asked for; the topics have four partitions."""
     log = fx.topic_log(spark, sf)
-    return _ids(ranges.rescale(log, 16, subscribe.catalog(log)))
-
-
-_ISOLATED = f"(off // {fx.TXN_ROWS}) % 5 <> 4"
+    wide = ranges.rescale(log, 19, fx.catalog(spark, sf))
+    return wide.select(F.spark_partition_id().alias("task")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("task").alias("n_tasks"))
 
 
 @query("s27_read_committed", fx.sql(
-    f"SELECT topic_uri, part, off, 'p-' || CAST(off // {fx.TXN_ROWS} AS VARCHAR) AS txn FROM topic_log WHERE {_ISOLATED}"))
+    "SELECT 'committed' AS isolation, topic_uri, part, off, txn FROM isolated WHERE n < 2 UNION ALL "
+    "SELECT 'uncommitted', topic_uri, part, off, txn FROM isolated", fx.ISOLATED_SQL))
 def s27(spark, sf):
-    """Rows whose transaction has a marker; markers are a table, however many there are."""
-    number = F.floor(F.col("offset") / fx.TXN_ROWS).cast("bigint")
-    log = fx.topic_log(spark, sf).withColumn("_n", number)
-    markers = log.select("_n").distinct().where("_n % 5 <> 4")
-    from tidelog.operators.small import checked_broadcast
-
-    seen = log.join(checked_broadcast(markers).df, "_n", "left_semi")
-    return fx.out(seen.select("topic_uri", "partition", "offset", F.concat(F.lit("p-"), F.col("_n").cast("string")).alias("txn")))
+    """The log's own two readings; one transaction was staged and has no marker."""
+    log = fx.isolated(spark, sf)
+    seen = [log.read(how, with_txn=True).select(F.lit(how).alias("isolation"), "topic_uri", "partition", "offset", "txn")
+            for how in ("committed", "uncommitted")]
+    return fx.out(seen[0].unionByName(seen[1]))
 
 
 @query("s28_interleaved", fx.sql(
@@ -399,10 +401,16 @@ def j05(spark, sf):
 
 
 # --- order -------------------------------------------------------------------------------------------------
-@query("t01_partition_order", fx.sql("SELECT topic_uri, part, off, ts FROM topic_log"))
+@query("t01_partition_order", fx.sql("SELECT topic_uri, part, count(*) AS n_rows, 0::BIGINT AS n_behind FROM topic_log GROUP BY 1, 2"))
 def t01(spark, sf):
-    ordered = produce.in_partition_order(fx.topic_log(spark, sf))
-    return fx.out(ordered.select("topic_uri", "partition", "offset", F.col("timestamp").alias("ts")))
+    """Rows that come in any order; after the operator none stands behind a later one of its partition in a task."""
+    mixed = fx.topic_log(spark, sf).repartition(8, F.xxhash64("offset", "key")).sortWithinPartitions(F.xxhash64("offset", "key"))
+    ordered = produce.in_partition_order(mixed).select("topic_uri", "partition", "offset", F.spark_partition_id().alias("task"),
+                                                       F.monotonically_increasing_id().alias("place"))
+    before = F.lag("offset").over(Window.partitionBy("task", "topic_uri", "partition").orderBy("place"))
+    behind = ordered.withColumn("behind", F.coalesce(before > F.col("offset"), F.lit(False)))
+    return fx.out(behind.groupBy("topic_uri", "partition").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("behind").alias("n_behind")))
 
 
 @query("t02_first_n", fx.sql("SELECT topic_uri, part, off FROM topic_log WHERE off < 10"))
@@ -422,11 +430,11 @@ def t03(spark, sf):
 
 
 @query("t04_newest_commits", fx.sql(
-    "SELECT topic_uri AS group_id, off AS commit_id, ts AS committed_at FROM topic_log WHERE part = 0 "
-    "QUALIFY row_number() OVER (PARTITION BY topic_uri ORDER BY ts DESC, off DESC) <= 3"))
+    "SELECT topic_uri || '|' || part AS group_id, off AS commit_id, ts AS committed_at FROM topic_log "
+    "QUALIFY row_number() OVER (PARTITION BY topic_uri, part ORDER BY ts DESC, off DESC) <= 3"))
 def t04(spark, sf):
-    commits = fx.topic_log(spark, sf).where("partition = 0").select(
-        F.col("topic_uri").alias("group_id"), F.col("offset").alias("commit_id"), F.col("timestamp").alias("committed_at"))
+    commits = fx.topic_log(spark, sf).select(
+        F.concat_ws("|", "topic_uri", F.col("partition").cast("string")).alias("group_id"), F.col("offset").alias("commit_id"), F.col("timestamp").alias("committed_at"))
     return fx.out(metrics.trim_commits(commits, 3))
 
 

@@ -56,7 +56,7 @@ def k05(spark, sf):
 
 
 def _orders(spark, sf) -> DataFrame:
-    return fx.spread(fx.table(spark, sf, "orders")).select(
+    return fx.table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("timestamp").alias("day"),
         F.encode(F.col("o_custkey").cast("string"), "UTF-8").alias("key"))
 
@@ -70,6 +70,12 @@ def k07(spark, sf):
         F.countDistinct("partition").cast("int").alias("n_partitions"), F.count(F.lit(1)).alias("n_rows")))
 
 
+@query("k07_keys_use_all_partitions", "SELECT count(*) AS n_rows, 8::BIGINT AS n_used FROM orders")
+def k07_used(spark, sf):
+    placed = _orders(spark, sf).withColumn("partition", partitioners.by_key(F.col("key"), 8))
+    return placed.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("partition").alias("n_used"))
+
+
 @query("k07_keyless_rows_spread", (
     "SELECT count(*) AS n_rows, true AS all_used FROM orders"))
 def k07_spread(spark, sf):
@@ -78,12 +84,15 @@ def k07_spread(spark, sf):
         F.sum("n").alias("n_rows"), (F.count(F.lit(1)) == 4).alias("all_used"))
 
 
-@query("k08_partition_by_task", "SELECT count(*) AS n_rows, 0 AS n_split FROM orders")
+@query("k08_partition_by_task", "SELECT count(*) AS n_rows, 0 AS n_split, 4::BIGINT AS n_used FROM orders")
 def k08(spark, sf):
-    """All rows of a task share one partition."""
-    placed = _orders(spark, sf).withColumn("task", F.spark_partition_id()).withColumn("partition", partitioners.by_task(4))
-    per_task = placed.groupBy("task").agg(F.countDistinct("partition").alias("p"), F.count(F.lit(1)).alias("n"))
-    return per_task.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("p") > 1).cast("int").alias("n_split"))
+    """All rows of a task share one partition, and eight tasks use all four."""
+    tasks = _orders(spark, sf).repartition(8)
+    placed = tasks.withColumn("task", F.spark_partition_id()).withColumn("partition", partitioners.by_task(4))
+    per_task = placed.groupBy("task").agg(
+        F.countDistinct("partition").alias("p"), F.min("partition").alias("one"), F.count(F.lit(1)).alias("n"))
+    return per_task.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("p") > 1).cast("int").alias("n_split"),
+                        F.countDistinct("one").alias("n_used"))
 
 
 @query("k09_round_robin", (
@@ -156,9 +165,11 @@ def k18(spark, sf):
     return fx.out(e.select("event_id", mine.alias("event_time"), (now > F.lit("2024-06-01").cast("timestamp")).alias("stamped_now")))
 
 
-@query("k19_sink_parallelism", fx.sql(f"SELECT {_ROW} FROM topic_log"))
+@query("k19_sink_parallelism", fx.sql("SELECT count(*) AS n_rows, 3::BIGINT AS n_tasks FROM topic_log"))
 def k19(spark, sf):
-    return _rows(produce.sink_parallelism(fx.topic_log(spark, sf), 4))
+    """Rows, and the tasks that would write them when three are asked for."""
+    placed = produce.sink_parallelism(fx.topic_log(spark, sf), 3).select(F.spark_partition_id().alias("task"))
+    return placed.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("task").alias("n_tasks"))
 
 
 @query("k20_produce_headers", fx.sql(
@@ -182,11 +193,13 @@ def _shuffled(spark, sf) -> TopicLog:
     c = fx.table(spark, sf, "conversations")
     when = F.when(F.col("turn") % 2 == 0, F.timestamp_seconds(F.col("conv_id") * 100 + F.col("turn")))
     for producer in range(2):
+        mine = c.where(F.col("turn") % 2 == producer)
+        reached = mine.agg(F.max(F.col("conv_id") * 100 + F.col("turn"))).first()[0]  # one number
         shuffle.write_key_by(
-            c.where(F.col("turn") % 2 == producer), log, _SHUFFLED, F.encode(F.col("conv_id").cast("string"), "UTF-8"),
+            mine, log, _SHUFFLED, F.encode(F.col("conv_id").cast("string"), "UTF-8"),
             F.encode("text", "UTF-8"), 8, f"w{producer}-0", ["conv_id", "turn"], record_time=when,
             published=F.lit("2024-03-01").cast("timestamp"), producer=producer,
-            watermark=F.lit(f"2024-03-0{producer + 1}").cast("timestamp"))
+            watermark=F.timestamp_seconds(F.lit(reached)))
     return log
 
 
@@ -198,10 +211,10 @@ def x07(spark, sf):
 
 
 @query("x07_shuffle_watermarks", (
-    "SELECT CAST(p AS INT) AS part, CAST(w AS INT) AS producer, CASE w WHEN 0 THEN TIMESTAMP '2024-03-01' ELSE TIMESTAMP '2024-03-02' END AS watermark "
-    "FROM range(8) t(p), range(2) u(w) WHERE (SELECT count(*) FROM conversations) > 0"))
+    "SELECT CAST(p AS INT) AS part, CAST(turn % 2 AS INT) AS producer, make_timestamp(max(conv_id * 100 + turn) * 1000000) AS watermark "
+    "FROM range(8) t(p), conversations GROUP BY 1, 2"))
 def x07_marks(spark, sf):
-    """Every partition gets every producer's watermark."""
+    """Every partition gets every producer's watermark, the highest record time it has written."""
     return fx.out(shuffle.watermarks(_shuffled(spark, sf)).drop("txn"))
 
 

@@ -24,7 +24,9 @@ class PartitionWatermarks:
     """
 
     def __init__(self, spark: SparkSession, root: str, delay: str = "0 seconds", by: list[str] | None = None,
-                 idle_after: str | None = None):
+                 idle_after: str | None = None, expected: DataFrame | None = None):
+        """`expected` are the partitions that are subscribed; a group has no watermark before each has been seen."""
+        self.expected = expected
         self.state = BatchTable(spark, f"{root}/progress", PROGRESS_DDL)
         self.marks_by = by or ["topic_uri"]
         self.delay, self.idle_after = delay, idle_after
@@ -38,11 +40,14 @@ class PartitionWatermarks:
         self.state.write(merged, batch_id)
         self.state.trim()
 
-    def current(self, now=None) -> DataFrame:
-        """Watermark per `by` group, less the delay."""
-        progress = self.state.latest()
+    def current(self, now=None, before: int | None = None) -> DataFrame:
+        """Watermark per `by` group, less the delay; with `before`, as it was before that micro-batch."""
+        progress = self.state.latest() if before is None else self.state.before(before)
         moment = now if now is not None else F.current_timestamp()
         marks = overall_watermark(progress, self.marks_by, self.idle_after, moment)
+        if self.expected is not None:
+            unseen = self.expected.select(*PARTITION).distinct().join(progress, PARTITION, "left_anti")
+            marks = marks.join(unseen.select(*self.marks_by).distinct(), self.marks_by, "left_anti")
         return marks.withColumn("watermark", F.col("watermark") - F.expr(f"INTERVAL {self.delay}"))
 
     def late(self, batch: DataFrame, batch_id: int) -> DataFrame:
@@ -59,7 +64,8 @@ class PartitionWatermarks:
 class TumblingCounts:
     """Tumbling-window aggregates that close on per-partition watermarks.
 
-    Partial counts per window are state; a window is emitted once, when the group's watermark reaches its end.
+    Partial counts per window are state; a window is emitted once, when the group's watermark reaches its end. Counts
+    that come for a window emitted before go to `late`, and the window stays as it was.
     """
 
     def __init__(self, spark: SparkSession, root: str, size: str, watermarks: PartitionWatermarks, by: list[str]):
@@ -68,6 +74,7 @@ class TumblingCounts:
         row = f"{keys}, window_start TIMESTAMP, window_end TIMESTAMP, n_rows BIGINT"
         self.open = BatchTable(spark, f"{root}/open", row)
         self.closed = BatchTable(spark, f"{root}/closed", row)
+        self.late = BatchTable(spark, f"{root}/late", row)
 
     def step(self, arrival=None, now=None) -> Callable[[DataFrame, int], None]:
         def run(batch: DataFrame, batch_id: int) -> None:
@@ -83,16 +90,28 @@ class TumblingCounts:
     def _fold(self, batch: DataFrame, batch_id: int, now) -> None:
         new = batch.groupBy(*self.by, F.window("timestamp", self.size).alias("w")).agg(F.count(F.lit(1)).alias("n_rows")).select(
             *self.by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_rows")
-        self._emit(self.open.before(batch_id).unionByName(new), batch_id, now)
+        new = self._marked(new, self.watermarks.current(now, before=batch_id)).persist()
+        try:
+            self.late.write(new.where("done").drop("done"), batch_id)
+            self._emit(self.open.before(batch_id).unionByName(new.where("NOT done").drop("done")), batch_id, now)
+        finally:
+            new.unpersist()
+
+    def _marked(self, counts: DataFrame, marks: DataFrame) -> DataFrame:
+        on = [c for c in self.watermarks.marks_by if c in self.by]
+        side = checked_broadcast(marks.select(*self.watermarks.marks_by, "watermark"))
+        done = F.coalesce(F.col("window_end") <= F.col("watermark"), F.lit(False))
+        return counts.join(side.df, on, "left").withColumn("done", done).drop("watermark")
 
     def _emit(self, partial: DataFrame, batch_id: int, now) -> None:
         state = partial.groupBy(*self.by, "window_start", "window_end").agg(F.sum("n_rows").alias("n_rows"))
-        on = [c for c in self.watermarks.marks_by if c in self.by]
-        marks = checked_broadcast(self.watermarks.current(now).select(*self.watermarks.marks_by, "watermark"))
-        with_mark = state.join(marks.df, on, "left")
-        done = F.coalesce(F.col("window_end") <= F.col("watermark"), F.lit(False))
-        self.closed.write(with_mark.where(done).drop("watermark"), batch_id)
-        self.open.write(with_mark.where(~done).drop("watermark"), batch_id)
+        marked = self._marked(state, self.watermarks.current(now)).select(*state.columns, "done").persist()
+        try:
+            self.closed.write(marked.where("done").drop("done"), batch_id)
+            self.open.write(marked.where("NOT done").drop("done"), batch_id)
+        finally:
+            marked.unpersist()
+        self.open.trim()
 
     def results(self) -> DataFrame:
         return self.closed.all()
