@@ -11,7 +11,11 @@ of the orders are intersected before any set is compared.
 * A first look compares each text with one other: the smallest that shares one of its first few tokens. Links found
   give preliminary components. Pairs within one are settled, so a group of near copies costs a pair each, not all pairs.
 * Then all tokens of the prefixes count, but only those that more than one component has, and only pairs across
-  components. This finds every link that the first look missed. Similarity is computed from the whole texts.
+  components. This finds every link that the first look missed.
+* A pair is not made if no overlap that is still possible could be enough: given how many tokens of each text any
+  other text has and where in the orders the shared one stands, or given the bitmaps of the two sets. In a bitmap each
+  token of a set flips one bit, so two sets differ in at least as many tokens as their bitmaps differ in bits.
+* Similarity is computed from the whole texts.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import rounds
@@ -36,6 +40,7 @@ KEY = 3  # with the bucket's share about 2 ** 29 counters for every 100 million
 LOOK = 4  # tokens of the first look
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+SIGNATURE = 8  # 64-bit words of a set's bitmap
 _SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0x452821E638D01377, 0xBE5466CF34E90C6C)
 #: kind 0: every row (doc_id, rep, size); 1: a representative that may have links (also its text, and tokens by order).
 OUT = "kind int, doc_id long, rep long, size long, body binary, tokens binary"
@@ -189,6 +194,8 @@ def candidates(block: Block, answers, saved, buckets: int, **rule) -> pa.Table:
         chosen = prefixes(sets, entry, rarity, rule)
         doc = sets.doc[entry]
         cuts = [np.searchsorted(doc[c], np.arange(sets.n + 1)) for c in chosen]
+        others = np.bincount(doc[rarity > 1], minlength=sets.n).astype(np.uint64)
+        bits = bitmaps(sets)
         for d in reps.tolist():
             parts = [sets.names[entry[c[cut[d] : cut[d + 1]]]] for c, cut in zip(chosen, cuts, strict=True)]
             if all(len(p) for p in parts):  # a linked text shares a token in every order
@@ -196,7 +203,7 @@ def candidates(block: Block, answers, saved, buckets: int, **rule) -> pa.Table:
                 rows["doc_id"].append(int(block.ids[d]))
                 rows["size"].append(int(sets.size[d]))
                 rows["body"].append(zlib.compress(block.data[lo:hi].tobytes(), 1))
-                rows["tokens"].append(np.concatenate([np.array([len(p) for p in parts], np.uint64), *parts]).tobytes())
+                rows["tokens"].append(np.concatenate([np.array([len(p) for p in parts], np.uint64), others[d : d + 1], bits[d], *parts]).tobytes())
     m = len(rows["doc_id"])
     everyone = pa.table([
         pa.array(np.zeros(n, np.int32)), pa.array(block.ids, pa.int64(), mask=~block.known), pa.array(rep, pa.int64(), mask=~block.known),
@@ -209,10 +216,19 @@ def candidates(block: Block, answers, saved, buckets: int, **rule) -> pa.Table:
     return pa.concat_tables([everyone, some])
 
 
-def tokens_by_order(tokens: bytes, orders: int) -> list[np.ndarray]:
+def bitmaps(sets: Sets) -> np.ndarray:
+    """SIGNATURE words for each text."""
+    width = 64 * SIGNATURE
+    flips = np.bincount(sets.doc * width + (mix(sets.names) % np.uint64(width)).astype(np.int64), minlength=sets.n * width)
+    return np.packbits((flips & 1).astype(np.uint8)).view(np.uint64).reshape(sets.n, SIGNATURE)
+
+
+def tokens_by_order(tokens: bytes, orders: int) -> tuple[list[np.ndarray], int, np.ndarray]:
+    """Tokens by order, how many of all the text's tokens another text has, and its bitmap."""
     x = np.frombuffer(tokens, np.uint64)
-    ends = np.cumsum(x[:orders]).astype(np.int64) + orders
-    return [x[a:b] for a, b in zip(np.append(orders, ends[:-1]).tolist(), ends.tolist(), strict=True)]
+    begin = orders + 1 + SIGNATURE
+    ends = np.cumsum(x[:orders]).astype(np.int64) + begin
+    return [x[a:b] for a, b in zip(np.append(begin, ends[:-1]).tolist(), ends.tolist(), strict=True)], int(x[orders]), x[orders + 1 : begin]
 
 
 def _first_tokens(batches: Iterator[pa.RecordBatch], orders: int) -> Iterator[pa.RecordBatch]:
@@ -220,7 +236,7 @@ def _first_tokens(batches: Iterator[pa.RecordBatch], orders: int) -> Iterator[pa
         rows = [
             (d, s, t)
             for d, s, x in zip(batch.column("doc_id").to_pylist(), batch.column("size").to_pylist(), batch.column("tokens").to_pylist(), strict=True)
-            for t in tokens_by_order(x, orders)[0][:LOOK].view(np.int64).tolist()
+            for t in tokens_by_order(x, orders)[0][0][:LOOK].view(np.int64).tolist()
         ]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], names=["doc_id", "size", "token"])
 
@@ -251,9 +267,15 @@ def linked(pairs: DataFrame, some: DataFrame, rule: Similar) -> DataFrame:
     return rows.mapInArrow(partial(_verify, words=rule.words, percent=rule.percent), "a long, b long").distinct()
 
 
-def _fits(a: str, b: str, percent: int):
-    """Sizes that a link allows."""
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b))
+def _can_link(percent: int) -> Column:
+    """Whether sizes, the place of the shared token and the bitmaps of rows `a` and `b` allow a link."""
+    c = lambda side, name: F.col(f"{side}.{name}")
+    both = c("a", "size") + c("b", "size")
+    sizes = 100 * F.least("a.size", "b.size") >= percent * F.greatest("a.size", "b.size")
+    behind = F.least(c("a", "others") - c("a", "place"), c("b", "others") - c("b", "place"))  # the shared token with them
+    overlap = F.least("a.place", "b.place") + behind
+    differ = sum((F.bit_count(c("a", f"s{i}").bitwiseXOR(c("b", f"s{i}"))) for i in range(SIGNATURE)), F.lit(0))
+    return sizes & ((100 + percent) * overlap >= percent * both) & ((100 + percent) * differ <= (100 - percent) * both)
 
 
 def first_look(some: DataFrame, rule: Similar) -> DataFrame:
@@ -272,7 +294,11 @@ class Members:
         self.docs = table.column("doc_id").to_numpy()
         self.sizes = table.column("size").to_numpy()
         self.component = table.column("component").to_numpy()
-        split = [tokens_by_order(x, orders) for x in table.column("tokens").to_pylist()]
+        found = [tokens_by_order(x, orders) for x in table.column("tokens").to_pylist()]
+        split = [f[0] for f in found]
+        self.others = np.array([f[1] for f in found], np.int64)
+        self.bits = np.array([f[2] for f in found], np.uint64).reshape(-1, SIGNATURE)
+        self.place = np.concatenate([np.arange(len(s[k])) for k in range(orders) for s in split])
         self.row = np.concatenate([np.full(len(s[k]), i) for k in range(orders) for i, s in enumerate(split)])
         self.order = np.concatenate([np.full(sum(len(s[k]) for s in split), k) for k in range(orders)])
         self.token = np.concatenate([s[k] for k in range(orders) for s in split])
@@ -313,7 +339,8 @@ def across(some: DataFrame, comps: DataFrame, rule: Similar) -> DataFrame:
     rows = some.select("doc_id", "size", "tokens").join(comps, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     blocks = rows.withColumn("block", rounds.block_of(rounds.BLOCKS * n))
     asked = blocks.groupBy("block").applyInArrow(lambda t: _ask_mixed(t, orders, buckets), rounds.LETTER)
-    schema = "ord int, token long, doc_id long, size long, component long"
+    words = [f"s{i}" for i in range(SIGNATURE)]
+    schema = "ord int, token long, place long, doc_id long, size long, component long, others long, " + ", ".join(f"{w} long" for w in words)
 
     def still(left: pa.Table, right: pa.Table) -> pa.Table:
         m = Members(left, orders)
@@ -321,8 +348,10 @@ def across(some: DataFrame, comps: DataFrame, rule: Similar) -> DataFrame:
         got = dict(zip(right.column("bucket").to_pylist(), right.column("payload").to_pylist(), strict=True))
         keep = np.flatnonzero(q.bits(got)[q.of])
         row = m.row[keep]
-        columns = [pa.array(m.order[keep].astype(np.int32)), pa.array(m.token[keep].view(np.int64)), *[pa.array(x[row]) for x in (m.docs, m.sizes, m.component)]]
-        return pa.table(columns, names=["ord", "token", "doc_id", "size", "component"])
+        columns = [pa.array(m.order[keep].astype(np.int32)), pa.array(m.token[keep].view(np.int64)), pa.array(m.place[keep])]
+        columns += [pa.array(x[row]) for x in (m.docs, m.sizes, m.component, m.others)]
+        columns += [pa.array(m.bits[:, i].view(np.int64)[row]) for i in range(SIGNATURE)]
+        return pa.table(columns, names=["ord", "token", "place", "doc_id", "size", "component", "others", *words])
 
     open_tokens = blocks.groupBy("block").cogroup(rounds.settle(asked, mixed).groupBy("block")).applyInArrow(still, schema)
     table = durable_table(open_tokens, "open-tokens")
@@ -330,7 +359,7 @@ def across(some: DataFrame, comps: DataFrame, rule: Similar) -> DataFrame:
     for k in range(orders):
         one = table.filter(F.col("ord") == k).drop("ord")
         a, b = one.alias("a"), one.alias("b")
-        met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.component") < F.col("b.component")) & _fits("a.size", "b.size", rule.percent))
+        met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.component") < F.col("b.component")) & _can_link(rule.percent))
         met = met.select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct()
         pairs = met if pairs is None else pairs.join(met, ["a", "b"], "left_semi")
     return pairs
