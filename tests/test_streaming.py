@@ -149,7 +149,7 @@ def test_live_resubscription(spark, tmp_path, log):
 
 def test_listener_and_reports(spark, tmp_path, log):
     log.append(messages(spark, "t", 20), "l-0", ORDER)
-    seen, reports = tmp_path / "seen", BatchReports()
+    seen, reports = tmp_path / "seen", BatchReports(spark, str(tmp_path / "reports"))
     seen.mkdir()
     folder = str(seen)
 
@@ -162,10 +162,10 @@ def test_listener_and_reports(spark, tmp_path, log):
         dv.listen(observed(streams.stream_of(spark, log)), handle, str(tmp_path / "cp")).awaitTermination()
         assert len(list(seen.iterdir())) == 20
         for _ in range(100):
-            if reports.rows:
+            if reports.seen():
                 break
             __import__("time").sleep(0.1)
-        row = reports.table(spark).first()
+        row = reports.table().first()
         assert (row.n_messages, row.n_keyed, row.n_null_value) == (20, 20, 0) and row.bytes_in == 60
     finally:
         spark.streams.removeListener(reports)

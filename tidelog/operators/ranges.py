@@ -6,14 +6,13 @@ import re
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators.ordered import offset_slice, rank_in_slices
 from tidelog.operators.small import checked_broadcast
 
 PARTITION = ["topic_uri", "partition"]
-WINDOW_LIMIT = 1_000  # spark.sql.optimizer.windowGroupLimitThreshold
 Position = Callable[[DataFrame, DataFrame], DataFrame]  # (log, bounds) -> topic_uri, partition, position
 
 
@@ -194,14 +193,10 @@ def read_slice(
     return cut(log, resolve(log, start, stop, known))
 
 
-def poll(log: DataFrame, n: int, start: DataFrame | None = None) -> DataFrame:
-    """The first `n` rows of every partition from its start offset."""
+def poll(log: DataFrame, n: int, start: DataFrame | None = None, slice_rows: int | None = None) -> DataFrame:
+    """The first `n` rows of every partition from its start offset (T02, S32); a partition is ranked in slices."""
     rows = log if start is None else cut(log, start.withColumn("stop", F.lit(None).cast("bigint")))
-    if n <= WINDOW_LIMIT:  # Spark keeps n rows per partition in each task before it shuffles
-        here = Window.partitionBy(*PARTITION).orderBy("offset")
-        ranked = rows.withColumn("_pos", F.row_number().over(here))
-        return ranked.where(F.col("_pos") <= n).select(*log.columns)
-    ranked = rank_in_slices(rows.withColumn("_slice", offset_slice()), PARTITION, ["offset"], "_slice", "_pos")
+    ranked = rank_in_slices(rows.withColumn("_slice", offset_slice(rows=slice_rows)), PARTITION, ["offset"], "_slice", "_pos")
     return ranked.where(F.col("_pos") < n).select(*log.columns)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +17,11 @@ from tidelog.plans.scans import AT, AT_SQL
 from tidelog.plans.state import CHANGES, LATEST
 from tidelog.plans.writing import _rows, new_log
 from tidelog.session import scratch_dir
-from tidelog.sources import datasource
+from tidelog.sources import datasource, files
 from tidelog.sources.topiclog import TopicLog
 from tidelog.streaming import deliver as dv
 from tidelog.streaming import shuffle
+from tidelog.streaming.reports import BatchReports, observed
 from tidelog.streaming.tables import BatchTable
 from tidelog.streaming.temporal import live_as_of_join
 from tidelog.streaming.upsert import CHANGE_DDL, UpsertTable, live_buffered_upsert, live_changelog
@@ -109,6 +113,123 @@ def s25(spark, sf):
     return sizes.crossJoin(seen.agg(F.countDistinct("topic_uri", "partition", "offset").alias("n_distinct")))  # two single rows
 
 
+def _registry_line(topics: list[str]) -> str:
+    clusters = [{"clusterId": f"cluster{c}", "bootstrapServers": "b:1", "clusterUriString": f"{fx.CLUSTER}{c}:", "topics": topics} for c in (0, 1)]
+    return json.dumps({"streamId": "s0", "clusterMetadataList": clusters}) + "\n"
+
+
+_ONCE = "SELECT topic_uri, part, off, 1::BIGINT AS n_times FROM topic_log WHERE event_type IN ('click', 'view')"
+
+
+def _times(df: DataFrame) -> DataFrame:
+    return fx.out(df.groupBy("topic_uri", "partition", "offset").agg(F.count(F.lit(1)).alias("n_times")))
+
+
+@query("s24_live_resubscription", fx.sql(_ONCE))
+def s24(spark, sf):
+    """A topic leaves the registry, the stream restarts, rows arrive, the topic returns over another restart: every
+    row comes once."""
+    log, messages = new_log(spark, "returning"), fx._messages(spark, sf)
+    registry, checkpoint, at = (scratch_dir(spark, n) for n in ("registry", "returning-cp", "returning-out"))
+    middle, order = F.lit("2024-01-15").cast("timestamp"), ["timestamp", "event_id"]
+
+    def run(topics: list[str]) -> None:
+        files.write_text(spark, f"{registry}/streams.json", _registry_line(topics))
+        stream = stream_of(spark, log, streamRegistry=f"{registry}/streams.json", streamIds="s0", checkpoint=checkpoint)
+        run_to_table(spark, stream, "returning", checkpoint, at)
+
+    log.append(messages.where(F.col("timestamp") < middle), "r-0", order)
+    run(["click", "view"])
+    run(["view"])
+    log.append(messages.where(F.col("timestamp") >= middle), "r-1", order)
+    run(["view"])
+    run(["click", "view"])
+    return _times(spark.read.parquet(at))
+
+
+@query("s29_stream_pause", fx.sql(_ONCE))
+def s29_stream(spark, sf):
+    """Partitions 1 and 2 are read, paused over a restart while rows arrive, and resumed over another."""
+    log, messages = new_log(spark, "paused"), fx._messages(spark, sf).where(F.col("topic_uri").rlike(":(click|view)$"))
+    folder, checkpoint, at = (scratch_dir(spark, n) for n in ("paused", "paused-cp", "paused-out"))
+    middle, order = F.lit("2024-01-15").cast("timestamp"), ["timestamp", "event_id"]
+
+    def run(paused: list[int]) -> None:
+        names = [f"{fx.CLUSTER}{c}:{t}|{p}" for c in (0, 1) for t in ("click", "view") for p in paused]
+        files.write_text(spark, f"{folder}/paused.json", json.dumps(names))
+        run_to_table(spark, stream_of(spark, log, pausedFile=f"{folder}/paused.json", checkpoint=checkpoint), "paused", checkpoint, at)
+
+    log.append(messages.where(F.col("timestamp") < middle), "p-0", order)
+    run([])
+    log.append(messages.where(F.col("timestamp") >= middle), "p-1", order)
+    run([1, 2])
+    run([])
+    return _times(spark.read.parquet(at))
+
+
+@query("x03_commit_modes", fx.sql(
+    "SELECT mode, topic_uri, part, latest AS next_offset FROM bounds, (VALUES ('on-checkpoints'), ('periodic')) m(mode)"))
+def x03(spark, sf):
+    """What a group has committed after a read under each mode; the third commits nothing."""
+    found = []
+    for mode in (dv.ON_CHECKPOINTS, dv.PERIODIC, dv.DISABLED):
+        target = new_log(spark, f"mode-{mode}")
+        step = dv.commit_progress(target, "g", mode, every=5)
+        run_capped(stream_of(spark, fx.store(spark, sf)), step, scratch_dir(spark, f"mode-{mode}-cp"))
+        found.append(target.group_offsets().select(F.lit(mode).alias("mode"), "topic_uri", "partition", "next_offset"))
+    return fx.out(found[0].unionByName(found[1]).unionByName(found[2]))
+
+
+class TopicTally:
+    """A push listener that counts what its task is given, and leaves a file when the task is done."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def open(self, partition_id: int, epoch_id: int) -> bool:
+        self.name, self.seen = f"{epoch_id}-{partition_id}", {}
+        return True
+
+    def process(self, row) -> None:
+        self.seen[row.topic_uri] = self.seen.get(row.topic_uri, 0) + 1
+
+    def close(self, error) -> None:
+        if error is None and self.seen:
+            filesystem, at = datasource._filesystem(self.folder)
+            filesystem.create_dir(at, recursive=True)
+            with filesystem.open_output_stream(f"{at}/{self.name}.json") as f:
+                f.write("".join(json.dumps({"topic_uri": t, "n": n}) + "\n" for t, n in self.seen.items()).encode())
+
+
+@query("d05_push_listener", fx.sql("SELECT topic_uri, count(*) AS n_messages FROM topic_log GROUP BY 1"))
+def d05(spark, sf):
+    """Every message is pushed to a listener in the tasks."""
+    folder = scratch_dir(spark, "tally")
+    dv.listen(stream_of(spark, fx.store(spark, sf)), TopicTally(folder), scratch_dir(spark, "tally-cp")).awaitTermination()
+    seen = spark.read.schema("topic_uri STRING, n BIGINT").json(folder)
+    return seen.groupBy("topic_uri").agg(F.sum("n").alias("n_messages"))
+
+
+@query("d07_batch_reports", fx.sql(
+    "SELECT count(*) AS n_messages, count(k) AS n_keyed, count(*) - count(v) AS n_null_value, "
+    "CAST(sum(coalesce(strlen(k), 0) + coalesce(strlen(v), 0)) AS BIGINT) AS bytes_in, true AS several FROM topic_log"))
+def d07(spark, sf):
+    """The reports of all micro-batches of a capped read, summed up."""
+    checkpoint, reports = scratch_dir(spark, "reports-cp"), BatchReports(spark, scratch_dir(spark, "reports"))
+    stream = stream_of(spark, fx.store(spark, sf), maxRowsPerBatch=_rate(spark, sf), checkpoint=checkpoint)
+    spark.streams.addListener(reports)
+    try:
+        n = len(run_capped(observed(stream), lambda batch, i: batch.write.format("noop").mode("append").save(), checkpoint))
+        for _ in range(300):  # reports come a moment after their batch
+            if reports.seen() >= n:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(reports)
+    return reports.table().agg(*[F.sum(c).alias(c) for c in ("n_messages", "n_keyed", "n_null_value", "bytes_in")],
+                               (F.countDistinct("batch_id") > 2).alias("several"))
+
+
 @query("k03_at_least_once", fx.sql("SELECT topic_uri, part, ts, k, v, 2::BIGINT AS n_times, count(*) AS n_equal FROM topic_log GROUP BY 1, 2, 3, 4, 5"))
 def k03(spark, sf):
     """The weaker guarantee: the micro-batch is replayed by hand, and its rows arrive twice."""

@@ -37,6 +37,20 @@ def create_marker(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; an existing one is replaced by a move, so a reader never sees half of it."""
+    p, fs = _path(spark, path)
+    new = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.new")
+    stream = fs.create(new, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    fs.rename(new, p)
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     p, fs = _path(spark, path)
     return fs.delete(p, True)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections import deque
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from tidelog.sources import files
+
 
 def observed(stream: DataFrame, name: str = "messages") -> DataFrame:
     """Count messages, keyed ones, tombstones and bytes while they pass."""
@@ -18,13 +20,14 @@ def observed(stream: DataFrame, name: str = "messages") -> DataFrame:
 
 
 class BatchReports(StreamingQueryListener):
-    """Keeps one row of numbers for each of the newest micro-batches; `table` shows them as a DataFrame."""
+    """One small file per micro-batch in a shared folder, named after the query and the batch; a replayed batch
+    replaces its own. `table` reads all of them."""
 
     DDL = ("query STRING, batch_id BIGINT, n_messages BIGINT, n_keyed BIGINT, n_null_value BIGINT, bytes_in BIGINT, "
            "duration_ms BIGINT")
 
-    def __init__(self, name: str = "messages", keep: int = 10_000):
-        self.name, self.rows = name, deque(maxlen=keep)
+    def __init__(self, spark: SparkSession, folder: str, name: str = "messages"):
+        self.spark, self.folder, self.name = spark, folder.rstrip("/"), name
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -32,9 +35,11 @@ class BatchReports(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         numbers = p.observedMetrics.get(self.name)
-        if numbers is not None:
-            self.rows.append((str(p.id), p.batchId, numbers.n_messages, numbers.n_keyed, numbers.n_null_value,
-                              numbers.bytes_in, p.durationMs.get("triggerExecution")))
+        if numbers is None:
+            return
+        row = {"query": str(p.id), "batch_id": p.batchId, "n_messages": numbers.n_messages, "n_keyed": numbers.n_keyed,
+               "n_null_value": numbers.n_null_value, "bytes_in": numbers.bytes_in, "duration_ms": p.durationMs.get("triggerExecution")}
+        files.write_text(self.spark, f"{self.folder}/{p.id}-{p.batchId:012d}.json", json.dumps(row) + "\n")
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -42,5 +47,10 @@ class BatchReports(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         pass
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.rows), self.DDL)
+    def seen(self) -> int:
+        return len([n for n in files.names(self.spark, self.folder) if n.endswith(".json")])
+
+    def table(self) -> DataFrame:
+        if not self.seen():
+            return self.spark.createDataFrame([], self.DDL)
+        return self.spark.read.schema(self.DDL).option("pathGlobFilter", "*.json").json(self.folder)
