@@ -64,11 +64,19 @@ def committed_only(group_offsets: DataFrame, group_id: str) -> Position:
     return committed(group_offsets, group_id, "none")
 
 
-def at_timestamp(at: datetime | Column) -> Position:
-    """The first offset whose timestamp is not before `at`, else the end offset."""
+def at_timestamp(at: datetime | Column, recorded: DataFrame | None = None) -> Position:
+    """The first offset whose timestamp is not before `at`, else the end offset.
+
+    `recorded` are the ranges the store keeps (`TopicLog.ranges`): the offset is then looked for in the first range of
+    each partition that reaches the time, instead of in everything after it.
+    """
     instant = at if isinstance(at, Column) else F.lit(at)
 
     def resolve(log: DataFrame, b: DataFrame) -> DataFrame:
+        if recorded is not None:
+            reach = recorded.where(F.col("max_timestamp") >= instant).groupBy(*PARTITION).agg(
+                F.min(F.struct("first_offset", "next_offset")).alias("_range"))
+            log = cut(log, reach.select(*PARTITION, F.col("_range.first_offset").alias("start"), F.col("_range.next_offset").alias("stop")))
         first = log.where(F.col("timestamp") >= instant).groupBy(*PARTITION).agg(F.min("offset").alias("_first"))
         return b.join(first, PARTITION, "left").select(
             *PARTITION, F.coalesce("_first", "latest").alias("position"))
@@ -129,13 +137,13 @@ _PAIR = re.compile(r"^partition:(-?\d+),offset:(-?\d+)$")
 
 
 def parse_offset_text(text: str) -> dict[int, int]:
-    """`partition:0,offset:42;partition:1,offset:300` -> {0: 42, 1: 300}."""
+    """Positions of one topic by partition, from pairs of `partition:<number>,offset:<number>` between semicolons."""
     found = {}
     pairs = text.rstrip(";").split(";")
     for pair in pairs:
         m = _PAIR.match(pair)
         if not m:
-            raise ValueError(f"expected 'partition:0,offset:42;partition:1,offset:300', got {text!r}")
+            raise ValueError(f"not a pair of partition and offset: {pair!r} in {text!r}")
         found[int(m.group(1))] = int(m.group(2))
     return found
 

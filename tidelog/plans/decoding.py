@@ -300,6 +300,15 @@ def f02(spark, sf):
         encoded(F.col("event_id") % 30000, "short").alias("as_short"), encoded(F.col("event_type"), "string").alias("as_string"))
 
 
+@query("d03_own_payload_type", (
+    "SELECT event_id, hex(encode(reverse(event_type))) AS stored, event_type AS read FROM events"))
+def d03(spark, sf):
+    """A payload type of one's own, registered and then used by name on both ways."""
+    binary.register("mirrored", lambda c: F.reverse(F.decode(c, "UTF-8")), lambda c: F.encode(F.reverse(c), "UTF-8"))
+    e = fx.table(spark, sf, "events").withColumn("payload", binary.encode(F.col("event_type"), "mirrored"))
+    return e.select("event_id", F.hex("payload").alias("stored"), binary.decode(F.col("payload"), "mirrored").alias("read"))
+
+
 # --- topic names -------------------------------------------------------------------------------------------
 def uri_samples(spark, sf) -> DataFrame:
     """URIs in many shapes, good and bad, derived from users and event types."""
@@ -310,7 +319,7 @@ def uri_samples(spark, sf) -> DataFrame:
     text = (
         F.when(shape == 0, F.concat(F.lit("plaintext:/rn:kafka:env:cloud_region1:"), tail))
         .when(shape == 1, F.concat(F.lit("rn:kafka:prod:aws_us-west-1:pii"), tail))
-        .when(shape == 2, F.concat(F.lit("secure:/rn:memq:prod:aws_us-east-1:"), tail))
+        .when(shape == 2, F.concat(F.lit("secure:/rn:queue:prod:aws_us-east-1:"), tail))
         .when(shape == 3, F.concat(F.lit("plaintext:/xx:kafka:env:cloud_region1:"), tail))
         .when(shape == 4, F.concat(F.lit("plaintext:/rn:kafka:env:cloudregion:"), tail))
         .when(shape == 5, F.concat(F.lit("/rn:kafka:env:cloud_region1:"), tail))
@@ -323,7 +332,7 @@ _URI_SQL = """shapes AS (
   SELECT DISTINCT CASE user_id % 8
     WHEN 0 THEN 'plaintext:/rn:kafka:env:cloud_region1::c' || user_id || ':' || event_type
     WHEN 1 THEN 'rn:kafka:prod:aws_us-west-1:pii:c' || user_id || ':' || event_type
-    WHEN 2 THEN 'secure:/rn:memq:prod:aws_us-east-1::c' || user_id || ':' || event_type
+    WHEN 2 THEN 'secure:/rn:queue:prod:aws_us-east-1::c' || user_id || ':' || event_type
     WHEN 3 THEN 'plaintext:/xx:kafka:env:cloud_region1::c' || user_id || ':' || event_type
     WHEN 4 THEN 'plaintext:/rn:kafka:env:cloudregion::c' || user_id || ':' || event_type
     WHEN 5 THEN '/rn:kafka:env:cloud_region1::c' || user_id || ':' || event_type

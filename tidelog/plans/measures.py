@@ -50,7 +50,7 @@ def a02(spark, sf):
     "GROUP BY ROLLUP (region, cluster, topic_uri, part)"))
 def a03(spark, sf):
     log = fx.topic_log(spark, sf)
-    place = subscribe.catalog(log).select(
+    place = fx.catalog(spark, sf).select(
         "topic_uri", "partition", F.col("rn_parts.region").alias("region"), F.col("rn_parts.cluster").alias("cluster"))
     counts = metrics.message_counters(log).join(place, ["topic_uri", "partition"])
     return fx.out(metrics.roll_up_counters(counts))
@@ -84,7 +84,7 @@ def a05(spark, sf):
     "ON g.topic_uri = b.topic_uri AND g.part = b.part WHERE b.topic_uri IN (SELECT topic_uri FROM group_offsets)"))
 def a06(spark, sf):
     log = fx.topic_log(spark, sf)
-    return fx.out(metrics.consumer_lag(ranges.bounds(log), fx.group_offsets(log)))
+    return fx.out(metrics.consumer_lag(fx.bounds(spark, sf), fx.group_offsets(log)))
 
 
 @query("a07_offset_gauges", fx.sql(
@@ -147,7 +147,7 @@ def a14_duplicates(spark, sf):
 @query("a15_smallest_partition_count", fx.sql(
     "SELECT min(n) AS smallest FROM (SELECT topic_uri, count(DISTINCT part) AS n FROM topic_log GROUP BY 1)"))
 def a15(spark, sf):
-    return ranges.smallest_partition_count(subscribe.catalog(fx.topic_log(spark, sf)))
+    return ranges.smallest_partition_count(fx.catalog(spark, sf))
 
 
 @query("a17_produced_vs_acknowledged", fx.sql(
@@ -247,7 +247,7 @@ def flagship(spark, sf_dir: str) -> DataFrame:
     wanted = subscribe.topics_matching(fx.catalog(spark, sf_dir), "click|view|purchase")
     mine = subscribe.subscribe(log, wanted)
     known = subscribe.subscribe(fx.bounds(spark, sf_dir), wanted)
-    piece = ranges.read_slice(mine, ranges.at_timestamp(datetime(2024, 1, 5)), ranges.latest(), known)
+    piece = ranges.read_slice(mine, ranges.at_timestamp(datetime(2024, 1, 5), fx.store(spark, sf_dir).ranges()), ranges.latest(), known)
     t = project.read_table(
         piece, "user_id BIGINT, event_id BIGINT, cents BIGINT", metadata_columns={"topic_uri": "topic-uri", "ts": "timestamp"},
         null_values="skip")

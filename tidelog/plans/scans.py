@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators import metrics, produce, ranges, subscribe
 from tidelog.plans import fixture as fx
 from tidelog.plans.catalog import query
+from tidelog.session import scratch_dir
 from tidelog.sources import registry as reg
+from tidelog.sources.topiclog import TopicLog
 
 AT = datetime(2024, 1, 15, 12, 0, 0)
 AT_SQL = "TIMESTAMP '2024-01-15 12:00:00'"
@@ -79,7 +80,7 @@ def s04(spark, sf):
     "SELECT w.topic_uri, w.part FROM (SELECT DISTINCT topic_uri, part + 2 AS part FROM topic_log) w "
     "LEFT JOIN bounds b ON w.topic_uri = b.topic_uri AND w.part = b.part WHERE b.part IS NULL"))
 def s04_missing(spark, sf):
-    known = subscribe.catalog(fx.topic_log(spark, sf))
+    known = fx.catalog(spark, sf)
     wanted = known.select("topic_uri", (F.col("partition") + 2).alias("partition"))
     return fx.out(subscribe.missing_partitions(known, wanted))
 
@@ -124,7 +125,7 @@ def s08(spark, sf):
     "WHERE l.cluster IN (SELECT cluster_id FROM streams) GROUP BY 1"))
 def s08_active(spark, sf):
     active = reg.active_clusters(reg.flatten_registry(fx.registry(spark)))
-    log = subscribe.catalog(fx.topic_log(spark, sf)).select(
+    log = fx.catalog(spark, sf).select(
         F.col("rn_parts.cluster").alias("cluster_id"), "topic_uri", "partition").join(active, "cluster_id", "left_semi")
     rows = fx.topic_log(spark, sf).groupBy("topic_uri", "partition").agg(F.count(F.lit(1)).alias("n"))
     return log.join(rows, ["topic_uri", "partition"]).groupBy("cluster_id").agg(F.sum("n").alias("n_rows"))
@@ -133,7 +134,7 @@ def s08_active(spark, sf):
 @query("s09_single_cluster_registry", fx.sql(
     "SELECT DISTINCT split_part(topic_uri, ':', 8) AS stream_id, cluster AS cluster_id, topic_uri FROM topic_log"))
 def s09(spark, sf):
-    return reg.single_cluster_streams(subscribe.catalog(fx.topic_log(spark, sf)))
+    return reg.single_cluster_streams(fx.catalog(spark, sf))
 
 
 # --- start positions ---------------------------------------------------------------------------------------
@@ -142,10 +143,16 @@ def s10(spark, sf):
     return _rows(ranges.read_slice(fx.topic_log(spark, sf), ranges.earliest(), known=fx.bounds(spark, sf)))
 
 
-@query("s11_start_latest", fx.sql(
-    "SELECT topic_uri, part, latest AS start FROM bounds"))
+@query("s11_start_latest", fx.sql(f"SELECT {_ROW} FROM topic_log WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'"))
 def s11(spark, sf):
-    return fx.out(ranges.resolve(fx.topic_log(spark, sf), ranges.latest()).drop("stop"))
+    """The ends are taken, rows are appended, and reading from the ends gives those rows."""
+    log, messages = TopicLog(spark, scratch_dir(spark, "latest")), fx._messages(spark, sf)
+    middle, order = F.lit("2024-01-15").cast("timestamp"), ["timestamp", "event_id"]
+    log.append(messages.where(F.col("timestamp") < middle), "l-0", order)
+    known = log.catalog().join(log.bounds(), ["topic_uri", "partition"])
+    ends = ranges.resolve(log.read(), ranges.latest(), known=known)
+    log.append(messages.where(F.col("timestamp") >= middle), "l-1", order)
+    return _rows(ranges.cut(log.read(), ends))
 
 
 @query("s12_start_committed", fx.sql(
@@ -170,7 +177,8 @@ def s12_latest(spark, sf):
     f"(SELECT topic_uri, part, min(off) AS f FROM late_log WHERE ts >= {AT_SQL} GROUP BY 1, 2) s "
     "ON s.topic_uri = l.topic_uri AND s.part = l.part WHERE l.off >= s.f"))
 def s13(spark, sf):
-    return _ids(ranges.read_slice(fx.late_log(spark, sf), ranges.at_timestamp(AT), known=fx.bounds(spark, sf, "late")))
+    return _ids(ranges.read_slice(
+        fx.late_log(spark, sf), ranges.at_timestamp(AT, fx._store(spark, sf, "late").ranges()), known=fx.bounds(spark, sf, "late")))
 
 
 _SPEC = ("spec(topic_uri, part, next_offset) AS "
@@ -216,7 +224,8 @@ def s17(spark, sf):
 def s18(spark, sf):
     """By position: rows behind the first late-enough one are cut even if they are older."""
     return _ids(ranges.read_slice(
-        fx.late_log(spark, sf), ranges.earliest(), ranges.at_timestamp(UNTIL), fx.bounds(spark, sf, "late")))
+        fx.late_log(spark, sf), ranges.earliest(), ranges.at_timestamp(UNTIL, fx._store(spark, sf, "late").ranges()),
+        fx.bounds(spark, sf, "late")))
 
 
 @query("s19_stop_specific", fx.sql(
@@ -237,7 +246,7 @@ def s19(spark, sf):
 def s20(spark, sf):
     log = fx.topic_log(spark, sf)
     stop = ranges.committed(fx.group_offsets(log), "g1", "earliest")
-    return fx.out(ranges.resolve(log, ranges.at_timestamp(AT), stop))
+    return fx.out(ranges.resolve(log, ranges.at_timestamp(AT, fx.store(spark, sf).ranges()), stop, fx.bounds(spark, sf)))
 
 
 @query("s21_offset_text", fx.sql(
@@ -247,7 +256,7 @@ def s20(spark, sf):
     "(SELECT topic_uri, string_agg('partition:' || part || ',offset:' || latest, ';') AS txt FROM bounds GROUP BY 1))"))
 def s21(spark, sf):
     """Positions written as offset text, one text per topic, and read back."""
-    ends = ranges.bounds(fx.topic_log(spark, sf))
+    ends = fx.bounds(spark, sf)
     piece = F.concat(F.lit("partition:"), F.col("partition").cast("string"), F.lit(",offset:"), F.col("latest").cast("string"))
     texts = ends.groupBy("topic_uri").agg(F.array_join(F.collect_list(piece), ";").alias("txt"))
     return fx.out(ranges.offset_text_columns(texts, "topic_uri", "txt"))
@@ -345,7 +354,7 @@ def s32(spark, sf):
     "SELECT topic_uri, cluster, split_part(topic_uri, ':', 8) AS topic, count(DISTINCT part) AS n_partitions "
     "FROM topic_log GROUP BY 1, 2, 3"))
 def s33(spark, sf):
-    c = subscribe.catalog(fx.topic_log(spark, sf))
+    c = fx.catalog(spark, sf)
     return c.groupBy("topic_uri", F.col("rn_parts.cluster").alias("cluster"), F.col("rn_parts.topic").alias("topic")).agg(
         F.countDistinct("partition").alias("n_partitions"))
 
@@ -378,7 +387,7 @@ def s34_store(spark, sf):
     "SELECT topic_uri, part, off FROM topic_log WHERE topic_uri IN (SELECT topic_uri FROM bounds WHERE part = 3 AND latest > 20)"))
 def j03(spark, sf):
     log = fx.topic_log(spark, sf)
-    wanted = ranges.bounds(log).where("partition = 3 AND latest > 20").select("topic_uri")
+    wanted = fx.bounds(spark, sf).where("partition = 3 AND latest > 20").select("topic_uri")
     return _ids(subscribe.subscribe(log, wanted))
 
 
@@ -395,7 +404,7 @@ def j04(spark, sf):
 def j05(spark, sf):
     log = fx.topic_log(spark, sf)
     part = ["topic_uri", "partition"]
-    quarter = ranges.bounds(log).select(
+    quarter = fx.bounds(spark, sf).select(
         *part, F.floor(F.col("latest") / 4).cast("bigint").alias("start"), F.floor(F.col("latest") / 2).cast("bigint").alias("stop"))
     return _ids(ranges.cut(log, quarter))
 
@@ -467,5 +476,5 @@ def u04(spark, sf):
     "(SELECT DISTINCT cluster_id, topic_uri FROM stream_topics) b ON a.cluster_id = b.cluster_id AND a.topic_uri = b.topic_uri"))
 def u05(spark, sf):
     before = reg.flatten_registry(fx.registry(spark))
-    after = reg.single_cluster_streams(subscribe.catalog(fx.topic_log(spark, sf))).where("stream_id <> 'view'")
+    after = reg.single_cluster_streams(fx.catalog(spark, sf)).where("stream_id <> 'view'")
     return reg.topic_changes(before, after)
