@@ -16,10 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import scratch_dir
+from tidelog.llm.common import durable_table, scratch_dir
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State on disk, without space reserved ahead in each of the many stores.
+_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -38,8 +41,9 @@ def _stays() -> Column:
 def collect_state(spark: SparkSession, path: str, checkpoint: str, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = 1 << 36) -> DataFrame:
     """Run the stream over the files below `path` that the checkpoint does not have yet; returns the whole state,
     `digest, stays (doc_id, file, row), n`. `max_bytes` bounds a micro-batch."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in _SETTINGS}
+    for k, v in _SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         schema = spark.read.parquet(path).schema
         # as a pattern the path may be a single file, too
@@ -47,14 +51,17 @@ def collect_state(spark: SparkSession, path: str, checkpoint: str, id_col: str =
         state = _rows(source, id_col, text_col).groupBy("digest").agg(_stays().alias("stays"), F.count(F.lit(1)).alias("n"))
         run = state.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         run.awaitTermination()
+        kept = spark.read.format("statestore").load(checkpoint)
+        stays, n = kept.schema["value"].dataType.names[:2]
+        digest = kept.schema["key"].dataType.names[0]
+        # written down, as the store's own files are opened with the settings above
+        return durable_table(kept.select(F.col(f"key.{digest}").alias("digest"), F.col(f"value.{stays}").alias("stays"), F.col(f"value.{n}").alias("n")), "state")
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
-    kept = spark.read.format("statestore").load(checkpoint)
-    stays, n = kept.schema["value"].dataType.names[:2]
-    return kept.select(F.col("key").getField(kept.schema["key"].dataType.names[0]).alias("digest"), F.col("value").getField(stays).alias("stays"), F.col("value").getField(n).alias("n"))
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def copies(spark: SparkSession, path: str, checkpoint: str | None = None, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = 1 << 36) -> DataFrame:
@@ -72,7 +79,7 @@ def copies(spark: SparkSession, path: str, checkpoint: str | None = None, id_col
     # known of a text goes on from there
     hits = state.filter("n > 1").select("digest", F.col("n").alias("all"))
     texts = rows.groupBy("digest", "text").agg(_stays().alias("stays"), F.count(F.lit(1)).alias("n")).select("digest", F.xxhash64("text").alias("mark"), "stays", "n")
-    differ = texts.join(hits, "digest").filter("n < all").select("digest", "mark", "stays", "n")
+    differ = durable_table(texts.join(hits, "digest").filter("n < all").select("digest", "mark", "stays", "n"), "differ")
     light = rows.withColumn("mark", F.xxhash64("text")).drop("text")
     plain = light.join(state, "digest").join(differ.select("digest").distinct(), "digest", "left_anti")
     apart = light.join(differ, ["digest", "mark"]).select(*plain.columns)
