@@ -299,6 +299,33 @@ def test_start_from_a_positions_table(spark, tmp_path, log):
     assert ids(spark.read.schema(LOG_DDL).parquet(out)) == [6, 8, 9]
 
 
+def test_a_stream_goes_on_after_compaction(spark, tmp_path, log):
+    checkpoint, out = str(tmp_path / "cp"), str(tmp_path / "out")
+
+    def run():
+        streams.run_to_table(spark, streams.stream_of(spark, log, checkpoint=checkpoint), "compacted", checkpoint, out)
+        return ids(spark.read.schema(LOG_DDL).parquet(out))
+
+    for n in range(12):
+        log.append(messages(spark, "t", 3, 3 * n), f"b-{n}", ORDER)
+    assert run() == list(range(36))
+    assert log.compact() == "compact-00000001" and log.compact() is None
+    log.append(messages(spark, "t", 4, 36), "b-12", ORDER)
+    assert len(log.live()) == 2 and len(log.committed()) == 13
+    index = datasource.LogIndex(log.root)
+    listed = []
+    index._names, names = lambda folder: listed.append(folder) or names(folder), index._names
+    index.refresh()
+    assert sum(f.startswith("data/txn=") and "/" not in f[9:] for f in listed) == 2  # two transactions, not thirteen
+    assert len(log.drop_replaced()) == 12
+    assert run() == list(range(40))
+    assert ids(log.read()) == list(range(40)) and not log.append(messages(spark, "t", 3), "b-0", ORDER)
+    assert log.compact() == "compact-00000002"
+    assert log.drop_replaced() == ["b-12", "compact-00000001"] and log.staged() == []
+    assert ids(log.read()) == list(range(40)) and run() == list(range(40))
+    assert log.bounds().agg(F.sum("latest")).first()[0] == 40
+
+
 def test_hadoop_paths_for_arrow():
     assert datasource.arrow_uri("s3a://bucket/log") == "s3://bucket/log"
     assert datasource.arrow_uri("hdfs://name/log") == "hdfs://name/log"

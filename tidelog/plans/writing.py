@@ -13,6 +13,7 @@ from tidelog.operators import produce
 from tidelog.plans import fixture as fx
 from tidelog.plans.catalog import query
 from tidelog.session import scratch_dir
+from tidelog.sources import datasource
 from tidelog.sources.topiclog import TopicLog, outbox
 from tidelog.streaming import shuffle
 
@@ -42,6 +43,23 @@ def k01(spark, sf):
     return _rows(log.read())
 
 
+@query("k01_compaction", fx.sql(f"SELECT 'batch' AS how, {_ROW} FROM topic_log UNION ALL SELECT 'source', {_ROW} FROM topic_log"))
+def k01_compaction(spark, sf):
+    """Six appends, compacted after the third and again after the last, the replaced files dropped; read by Spark and
+    through the source."""
+    log, messages = new_log(spark, "compaction"), fx._messages(spark, sf)
+    order, day = ["timestamp", "event_id"], F.dayofmonth("timestamp")
+    for n in range(6):
+        log.append(messages.where((day > 5 * n) & (day <= (5 * n + 5 if n < 5 else 31))), f"c-{n}", order)
+        if n in (2, 5):
+            log.compact()
+    log.drop_replaced()
+    log.append(messages, "c-1", order)  # committed before, so nothing happens
+    datasource.register(spark)
+    source = spark.read.format("topiclog").option("path", log.root).load()
+    return _rows(log.read()).withColumn("how", F.lit("batch")).unionByName(_rows(source).withColumn("how", F.lit("source")))
+
+
 @query("k05_abort_lingering", fx.sql(f"SELECT {_ROW} FROM topic_log WHERE ts < TIMESTAMP '2024-01-15 00:00:00'"))
 def k05(spark, sf):
     """Staged work of a lost writer, also under its old prefix, is not seen and is dropped on restart."""

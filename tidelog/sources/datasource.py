@@ -143,14 +143,25 @@ class LogIndex:
     def __init__(self, path: str):
         self.fs, self.root = _filesystem(path.rstrip("/"))
         self.known: set[str] = set()
+        self.manifest = 0
         self.ranges: dict[str, list[tuple[int, int, str]]] = {}
 
     def _names(self, folder: str) -> list[str]:
         found = self.fs.get_file_info(pafs.FileSelector(f"{self.root}/{folder}", allow_not_found=True))
         return sorted(f.base_name for f in found)
 
+    def _read_manifest(self) -> list[str]:
+        """After a compaction, forget what is known and begin with the transactions that hold the rows now."""
+        numbers = [int(n) for n in self._names("manifest") if n.isdigit()]
+        if not numbers or max(numbers) == self.manifest:
+            return []
+        with self.fs.open_input_stream(f"{self.root}/manifest/{max(numbers)}") as f:
+            content = json.loads(f.readall().decode("utf-8"))
+        self.manifest, self.known, self.ranges = max(numbers), set(content["replaced"]), {}
+        return content["live"]
+
     def refresh(self) -> None:
-        for txn in self._names("commits"):
+        for txn in self._read_manifest() + self._names("commits"):
             if txn in self.known or txn.startswith("."):
                 continue
             folders = {}

@@ -37,6 +37,16 @@ def create_marker(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _path(spark, path)
+    size = fs.getFileStatus(p).getLen()
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8") if size else ""
+    finally:
+        stream.close()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file; an existing one is replaced by a move, so a reader never sees half of it."""
     p, fs = _path(spark, path)

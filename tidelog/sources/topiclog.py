@@ -3,13 +3,19 @@
     <root>/data/txn=<id>/topic_uri=<uri>/partition=<n>/*.parquet     rows, sorted by offset
     <root>/ranges/txn=<id>/*.parquet                                 offsets a transaction added, per partition
     <root>/commits/<id>                                              empty file; its creation commits
+    <root>/manifest/<n>                                              JSON: which transactions hold the rows of others
 
 A transaction is visible from the moment its marker exists. Writing the same transaction again replaces what was
 staged, or does nothing once committed, so a replayed batch is never doubled (K01, K04-K06, S27).
+
+`compact` writes the rows of many transactions, with their offsets, into one. The manifest that says so appears by one
+move, so a reader sees either the many or the one. Replaced transactions still count as committed.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,32 +38,47 @@ class TopicLog:
         self.spark, self.root = spark, root.rstrip("/")
 
     # --- what is there -------------------------------------------------------------------------------------
+    def manifest(self) -> tuple[int, dict[str, list[str]]]:
+        """Number and content of the newest manifest: `live` transactions stand for the `replaced` ones."""
+        numbers = sorted(int(n) for n in files.names(self.spark, f"{self.root}/manifest") if n.isdigit())
+        if not numbers:
+            return 0, {"live": [], "replaced": []}
+        return numbers[-1], json.loads(files.read_text(self.spark, f"{self.root}/manifest/{numbers[-1]}"))
+
     def committed(self) -> list[str]:
-        return files.names(self.spark, f"{self.root}/commits")
+        """All transactions that were ever committed."""
+        return sorted({*files.names(self.spark, f"{self.root}/commits"), *self.manifest()[1]["replaced"]})
+
+    def live(self) -> list[str]:
+        """The transactions whose files hold the committed rows."""
+        known = self.manifest()[1]
+        replaced = set(known["replaced"])
+        return known["live"] + [t for t in files.names(self.spark, f"{self.root}/commits") if t not in replaced]
 
     def staged(self) -> list[str]:
         """Transactions with data but no marker."""
-        done = set(self.committed())
+        done = {*self.committed(), *self.live()}
         found = [n.removeprefix("txn=") for n in files.names(self.spark, f"{self.root}/data")]
         return [t for t in found if t not in done]
 
     def _load(self, kind: str, ddl: str, txns: list[str]) -> DataFrame:
         base = f"{self.root}/{kind}"
-        paths = [f"{base}/txn={t}" for t in txns]
+        have = set(files.names(self.spark, base))  # a transaction may be offsets only
+        paths = [f"{base}/txn={t}" for t in txns if f"txn={t}" in have]
         if not paths:
             return self.spark.createDataFrame([], ddl)
         return self.spark.read.schema(ddl).option("basePath", base).parquet(*paths)
 
     def read(self, isolation: str = "committed", with_txn: bool = False) -> DataFrame:
         """Rows of committed transactions, or with `uncommitted` of staged ones as well."""
-        txns = self.committed()
+        txns = self.live()
         if isolation == "uncommitted":
             txns = txns + self.staged()
         df = self._load("data", LOG_DDL + ", txn STRING", txns)
         return df.select(*LOG_COLUMNS, *(["txn"] if with_txn else []))
 
     def ranges(self) -> DataFrame:
-        return self._load("ranges", RANGES_DDL, self.committed())
+        return self._load("ranges", RANGES_DDL, self.live())
 
     def bounds(self) -> DataFrame:
         """Earliest and end offset per partition, from the transaction ranges (no scan of the rows)."""
@@ -87,6 +108,9 @@ class TopicLog:
         rows = self.assign_offsets(outbox, order).select(*LOG_COLUMNS)
         if tasks:
             rows = rows.repartition(tasks, "topic_uri", "partition", offset_slice("offset"))
+        self._write(rows, txn)
+
+    def _write(self, rows: DataFrame, txn: str) -> None:
         (
             rows.sortWithinPartitions("topic_uri", "partition", "offset")
             .write.mode("overwrite").partitionBy("topic_uri", "partition")
@@ -122,6 +146,34 @@ class TopicLog:
             self.stage_offsets(group_offsets, txn)
         return self.commit(txn)
 
+    def compact(self, at_least: int = 2) -> str | None:
+        """Write the rows of all live transactions into one, unless there are fewer than `at_least`; returns its id.
+
+        Offsets stay, so readers with positions go on. Files of the replaced transactions stay until `drop_replaced`.
+        """
+        number, known = self.manifest()
+        old = self.live()
+        if len(old) < at_least:
+            return None
+        txn = f"compact-{number + 1:08d}"
+        rows = self._load("data", LOG_DDL + ", txn STRING", old).select(*LOG_COLUMNS)
+        self._write(rows.repartition("topic_uri", "partition", offset_slice("offset")), txn)
+        replaced = sorted({*known["replaced"], *(t for t in old if t not in known["live"])})
+        files.write_text(self.spark, f"{self.root}/manifest/{number + 1}", json.dumps({"live": [txn], "replaced": replaced}))
+        return txn
+
+    def drop_replaced(self) -> list[str]:
+        """Delete the files of replaced transactions, once no reader that began before `compact` is left; returns them."""
+        known = self.manifest()[1]
+        keep = {*self.live()}
+        older = [t for t in (n.removeprefix("txn=") for n in files.names(self.spark, f"{self.root}/data"))
+                 if t not in keep and (t in set(known["replaced"]) or t.startswith("compact-"))]
+        for txn in older:
+            for kind in ("data", "ranges"):
+                files.delete(self.spark, f"{self.root}/{kind}/txn={txn}")
+            files.delete(self.spark, f"{self.root}/commits/{txn}")
+        return older
+
     def abort_lingering(self, prefixes: list[str]) -> list[str]:
         """Drop staged transactions whose id starts with one of `prefixes`; returns their ids."""
         dropped = [t for t in self.staged() if any(t.startswith(f"{p}-") for p in prefixes)]
