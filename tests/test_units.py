@@ -187,15 +187,17 @@ def test_checked_broadcast_refuses_large_sides(spark):
     assert "BroadcastHashJoin" in plan(spark.range(100).join(small.df, "id"))
 
 
-def test_exact_percentiles(spark, monkeypatch):
-    monkeypatch.setattr(percentiles, "BUCKET_BITS", 3)
+def test_exact_percentiles(spark):
+    """Near values, values all over 64 bits, both, and a single one."""
     r = random.Random(3)
-    rows = [(k, r.randrange(-50, 200)) for k in ["a"] * 400 + ["b"] * 7 + ["c"]]
+    near, far = lambda: r.randrange(-50, 200), lambda: r.randrange(-(1 << 52), 1 << 52)
+    rows = [("a", near()) for _ in range(400)] + [("b", far()) for _ in range(90)] + [("c", r.choice([near, far])()) for _ in range(50)] + [("d", -7)]
     got = percentiles.exact_percentiles(spark.createDataFrame(rows, "k STRING, v BIGINT"), ["k"], "v", metrics.HISTOGRAM_POINTS)
     for row in got.collect():
         values = [v for k, v in rows if k == row.k]
         for name, p in metrics.HISTOGRAM_POINTS.items():
-            assert abs(row[name] - np.percentile(values, p * 100)) < 1e-9
+            want = np.percentile(values, p * 100)
+            assert abs(row[name] - want) <= 1e-9 * max(1, abs(want))
 
 
 def test_gaps(spark):

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_BITS = 16  # a bucket holds 65,536 neighbouring values
+from tidelog.session import durable_table
+
+STEP_BITS = 16  # a range of values is looked into by 65,536 parts at a time, four times for 64 bits
 
 
 def _rank_of(p: float, total: Column) -> Column:
@@ -15,37 +17,33 @@ def _rank_of(p: float, total: Column) -> Column:
 def _value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return (
         df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_bucket", F.shiftright("_v", BUCKET_BITS))
+        .groupBy(*keys, F.col(value).cast("bigint").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     )
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float]) -> DataFrame:
     """Linear-interpolated percentiles of the BIGINT column `value`, one row per group.
 
-    Values are counted, counts are summed per bucket of 2^BUCKET_BITS neighbouring values, and only the buckets
-    that hold a wanted rank are looked into. Each window is bounded by the number of buckets or by 2^BUCKET_BITS.
+    Values are counted once, and the counts written down. Then the wanted ranks are followed from the widest ranges
+    of values to single ones, only ranges that hold a wanted rank being parted. A window is over at most 2^STEP_BITS
+    parts of one range, wherever the values lie.
     """
-    return _percentiles(_value_counts(df, keys, value), keys, points)
+    return _percentiles(durable_table(_value_counts(df, keys, value), "value-counts"), keys, points)
 
 
 def _percentiles(counts: DataFrame, keys: list[str], points: dict[str, float]) -> DataFrame:
-    per_key = Window.partitionBy(*keys)
-    buckets = (
-        counts.groupBy(*keys, "_bucket").agg(F.sum("_c").alias("_bc"))
-        .withColumn("_total", F.sum("_bc").over(per_key))
-        .withColumn("_base", F.coalesce(
-            F.sum("_bc").over(per_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    )
     ranks = [f(_rank_of(p, F.col("_total"))) for p in points.values() for f in (F.floor, F.ceil)]
-    wanted = buckets.where(
-        F.exists(F.array(*ranks), lambda r: (r >= F.col("_base")) & (r < F.col("_base") + F.col("_bc")))
-    ).drop("_bc")
-    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        counts.join(wanted, [*keys, "_bucket"])
-        .withColumn("_end", F.col("_base") + F.sum("_c").over(in_bucket))
-    )
+    wanted = counts.groupBy(*keys).agg(F.sum("_c").alias("_total")).select(
+        *keys, F.lit(0).cast("bigint").alias("_up"), "_total", F.lit(0).cast("bigint").alias("_base"))
+    for level in range(64 - STEP_BITS, -1, -STEP_BITS):
+        above = F.shiftright("_v", level + STEP_BITS) if level + STEP_BITS < 64 else F.lit(0).cast("bigint")
+        parts = counts.groupBy(*keys, above.alias("_up"), F.shiftright("_v", level).alias("_part")).agg(F.sum("_c").alias("_c"))
+        to_here = Window.partitionBy(*keys, "_up").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+        placed = parts.join(wanted, [*keys, "_up"]).withColumn("_end", F.col("_base") + F.sum("_c").over(to_here))
+        begin = F.col("_end") - F.col("_c")
+        placed = placed.where(F.exists(F.array(*ranks), lambda r: (r >= begin) & (r < F.col("_end"))))  # noqa: B023
+        wanted = placed.select(*keys, F.col("_part").alias("_up"), "_total", begin.alias("_base"))
+    placed = placed.withColumnRenamed("_part", "_v")
 
     def value_at(rank: Column) -> Column:
         return F.min(F.when((rank < F.col("_end")) & (rank >= F.col("_end") - F.col("_c")), F.col("_v")))
@@ -65,7 +63,7 @@ def _percentiles(counts: DataFrame, keys: list[str], points: dict[str, float]) -
 
 def histogram(df: DataFrame, keys: list[str], value: str, points: dict[str, float]) -> DataFrame:
     """count, min, max, mean and percentiles of `value` per group, all from one count per value."""
-    counts = _value_counts(df, keys, value)
+    counts = durable_table(_value_counts(df, keys, value), "value-counts")
     basics = counts.groupBy(*keys).agg(
         F.sum("_c").alias("n"), F.min("_v").alias("min_value"), F.max("_v").alias("max_value"),
         (F.sum(F.col("_v").cast("double") * F.col("_c")) / F.sum("_c")).alias("mean_value"),
