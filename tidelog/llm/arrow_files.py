@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidelog.llm.common import documents, durable_table, partitions, scratch_dir, ship, two_columns
+from tidelog.llm.common import documents, durable_table, give_back, partitions, scratch_dir, ship, two_columns
 from tidelog.llm.tokens import library_ids_by_piece, tokenizer
 
 #: Sequences in a batch; ids in a file, after which a range goes on in another file.
@@ -126,6 +126,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: in
                 shard = None
     if shard is not None:
         yield done(shard)
+    give_back()
 
 
 def write(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", length: int = 2048) -> DataFrame:

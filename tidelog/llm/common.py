@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def give_back() -> None:
+    """Return memory that a Python worker no longer needs to the system; workers stay while other stages run."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

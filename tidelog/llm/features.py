@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from tidelog.llm.common import give_back
 from tidelog.llm.names import equal_runs, mix, names_between, words_of
 from tidelog.llm.tokens import parts_of
 
@@ -134,6 +135,7 @@ def counts(batches: Iterator[pa.RecordBatch], also: tuple[str, ...] = ("doc_id",
             columns = [batch.column(c).slice(at, len(part)) for c in also] + [pa.array(got[c]) for c in COUNTS]
             yield pa.RecordBatch.from_arrays(columns, names=[*also, *COUNTS])
             at += len(part)
+    give_back()
 
 
 SCHEMA = ", ".join(f"{c} long" for c in COUNTS)

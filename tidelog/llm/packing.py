@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import documents, ship, two_columns
+from tidelog.llm.common import documents, give_back, ship, two_columns
 from tidelog.llm.tokens import ids_by_word
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
@@ -47,6 +47,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, longest:
                 rows, size = [], 0
         if rows:
             yield _batch(rows)
+    give_back()
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
