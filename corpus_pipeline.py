@@ -25,7 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of 32 characters or more that stand earlier, but for one edit, go. Texts that lose all lines stay, empty."""
+    """Lines that stand earlier go; of 32 characters or more, also those that do but for one edit. Texts that lose all
+    lines stay, empty."""
     return _counted(line_dedup.remove_lines(docs))
 
 

@@ -455,6 +455,18 @@ def test_line_dedup_edits(spark):
     assert got == Counter((i, tuple(k)) for i, _, k in brute.kept_lines(pairs, 4))
 
 
+def test_line_dedup_short_lines(spark):
+    """Equal short lines go, near ones and those without a word stay."""
+    a = "All rights reserved.\n\nX.\n \t\n" + "y" * 31
+    b = "X.\nAll rights reserved!\nAll rights reserved.\n\n \t\n\u00a0\nX."
+    df = spark.createDataFrame([(2, b), (1, a), (3, "\u00a0\n" + "y" * 31 + "\n" + "y" * 30), (4, None)], "doc_id long, text string")
+    kept = lambda **p: {r.doc_id: r.keep for r in line_dedup.kept_lines(df, **p).collect()}
+    assert kept() == {1: [0, 1, 2, 3, 4], 2: [1, 3, 4, 5], 3: [2], 4: [0]}
+    assert kept(exact_chars=3) == {1: [0, 1, 2, 3, 4], 2: [0, 1, 3, 4, 5, 6], 3: [0, 2], 4: [0]}
+    assert kept(exact_chars=32) == {1: [0, 1, 2, 3, 4], 2: [0, 1, 2, 3, 4, 5, 6], 3: [0, 1, 2], 4: [0]}
+    assert {r.doc_id: r.text for r in line_dedup.remove_lines(df).collect()}[3] == "y" * 30
+
+
 def test_line_dedup_is_native(docs):
     plan = line_dedup.kept_lines(docs)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))

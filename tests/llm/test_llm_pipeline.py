@@ -50,6 +50,13 @@ def test_lines(spark, docs, pairs):
     assert bag(out.select("doc_id", "text", "n_chars")) == want
 
 
+def test_short_lines(spark):
+    """No line with a word is left twice."""
+    out = STAGE["line dedup"](spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    left = Counter(x for r in out.select("text").collect() for x in r.text.split("\n") if brute.WORD.search(x))
+    assert left and max(left.values()) == 1
+
+
 def test_near_duplicates(spark, docs, pairs):
     out = STAGE["n-gram Jaccard join"](spark, docs, SF)
     assert out.columns == docs.columns

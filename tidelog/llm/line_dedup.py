@@ -1,7 +1,8 @@
 """Line deduplication by a deletion-neighbourhood join, in DataFrame functions only.
 
 A line goes if an equal line, or one within one edit (a character put in, left out or replaced), stands earlier: in a
-text of smaller id, or before it in its own. Of equal lines only the first takes part in what follows.
+text of smaller id, or before it in its own. Equal lines are found at any length, if they hold a word; of them only the
+first takes part in what follows, and only if it is long, as short lines are often within one edit by chance.
 
 Two lines of at most one edit share a *variant*: with the character at some place left out they are equal, or one of
 them is the other with a character left out. The hashes of all variants are the keys of the join. The key of a replaced
@@ -19,10 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import documents, durable_table
+from tidelog.llm.common import WORD, documents, durable_table
 
-#: Lines of fewer characters are left alone: short ones are often within one edit of each other by chance.
+#: Lines of fewer characters go for equality only: short ones are often within one edit of each other by chance.
 MIN_CHARS = 32
+#: Lines of fewer characters, and shorter ones than MIN_CHARS without a word, are left alone.
+EXACT_CHARS = 1
 HALVES, PARTS = 2, 16
 PLACE = ("d", "r", "p")
 #: Bits of the filter that finds shared lines again, 1 MB together.
@@ -96,11 +99,20 @@ def _long_lines(texts: DataFrame, min_chars: int) -> DataFrame:
     return texts.select("d", "r", F.posexplode("lines").alias("p", "line")).filter(F.char_length("line") >= min_chars)
 
 
-def first_lines(texts: DataFrame, min_chars: int) -> DataFrame:
-    """The first place of every distinct line, and the keys of its halves. Equality is that of two 64-bit hashes."""
+def _compared(line: Column, min_chars: int, exact_chars: int) -> Column:
+    """Whether a line takes part, if only for equality."""
+    return (F.char_length(line) >= min_chars) | ((F.char_length(line) >= exact_chars) & line.rlike(WORD))
+
+
+def first_lines(texts: DataFrame, min_chars: int, exact_chars: int) -> DataFrame:
+    """The first place of every distinct line, and the keys of its halves, null for lines that go for equality only.
+
+    Equality is that of two 64-bit hashes.
+    """
     line = F.col("line")
-    keys = [_part_key(line, role, F.lit(part), HALVES).alias(f"k{role}{part}") for role in (0, 1) for part in range(HALVES)]
-    hashed = _long_lines(texts, min_chars).select(*PLACE, F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), *keys)
+    keys = [F.when(F.char_length(line) >= min_chars, _part_key(line, role, F.lit(part), HALVES)).alias(f"k{role}{part}") for role in (0, 1) for part in range(HALVES)]
+    lines = texts.select("d", "r", F.posexplode("lines").alias("p", "line")).filter(_compared(line, min_chars, exact_chars))
+    hashed = lines.select(*PLACE, F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), *keys)
     names = [f"k{role}{part}" for role in (0, 1) for part in range(HALVES)]
     first = hashed.groupBy("h", "g").agg(F.min(F.struct(*PLACE)).alias("at"), *[F.min(k).alias(k) for k in names])
     return first.select("at.*", *names)
@@ -120,7 +132,7 @@ def _probably_in(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 def near_lines(texts: DataFrame, first: DataFrame, min_chars: int) -> DataFrame:
     """Places of first lines that have an earlier line within one edit."""
     halves = F.array(*[F.struct(F.col(f"k{role}{part}").alias("key"), F.lit(role).alias("role"), F.lit(part).alias("part")) for role in (0, 1) for part in range(HALVES)])
-    half = _shared(_keys(first.select(*PLACE, halves.alias("choices")), F.col("choices")))
+    half = _shared(_keys(first.filter("k00 IS NOT NULL").select(*PLACE, halves.alias("choices")), F.col("choices")))
     wanted = durable_table(half.groupBy(*PLACE).agg(F.collect_set(F.col("role") * HALVES + F.col("part")).alias("codes")), "half-shared")
     rows = _probably_in(_long_lines(texts, min_chars), wanted).join(wanted, list(PLACE)).distinct()
     line = F.col("line")
@@ -141,21 +153,23 @@ def near_lines(texts: DataFrame, first: DataFrame, min_chars: int) -> DataFrame:
     return pairs.filter(earlier & (F.levenshtein("line", F.col("partner.line"), 1) >= 0)).select(*PLACE).distinct()
 
 
-def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def kept_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int = EXACT_CHARS,
+) -> DataFrame:
     """`doc_id, lines, keep, rest`: the \\n-split lines of each row, and in ascending order the places of those that stay.
 
-    A line of fewer than `min_chars` characters always stays. A null text is empty and has one empty line. A null id
+    A line of fewer than `min_chars` characters goes only if an equal one stands earlier; one of fewer than both
+    `exact_chars` and `min_chars`, or of fewer than `min_chars` without a word, always stays. A null text is empty and has one empty line. A null id
     counts as the smallest; rows of equal id come in the order of a hash of their text, and rows of equal id and text
     are one document, whose copies keep the same lines. One row comes back per row.
     """
     texts = _split(docs, id_col, text_col)
-    first = durable_table(first_lines(texts, min_chars), "first-lines")
+    first = durable_table(first_lines(texts, min_chars, exact_chars), "first-lines")
     stay = first.select(*PLACE).join(near_lines(texts, first, min_chars), list(PLACE), "left_anti")
     stay = stay.groupBy("d", "r").agg(F.collect_list("p").alias("stay"))
-    all_lines = F.transform("lines", lambda x, i: F.when(F.char_length(x) < min_chars, i))
-    short = F.array_compact(all_lines)
+    alone = F.array_compact(F.transform("lines", lambda x, i: F.when(~_compared(x, min_chars, exact_chars), i)))
     joined = texts.join(stay, ["d", "r"], "left")
-    keep = F.array_sort(F.concat(short, F.coalesce("stay", F.array().cast("array<int>"))))
+    keep = F.array_sort(F.concat(alone, F.coalesce("stay", F.array().cast("array<int>"))))
     return joined.select("doc_id", "lines", keep.alias("keep"), "rest")
 
 
@@ -163,15 +177,17 @@ def _kept_text() -> Column:
     return F.array_join(F.transform("keep", lambda i: F.col("lines")[i]), "\n")
 
 
-def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def remove_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, exact_chars: int = EXACT_CHARS,
+) -> DataFrame:
     """`docs` with the texts made of the lines that stay. Every row and every other column stays, the id as long."""
-    out = kept_lines(docs, id_col, text_col, min_chars)
+    out = kept_lines(docs, id_col, text_col, min_chars, exact_chars)
     own = {id_col: F.col("doc_id"), text_col: _kept_text()}
     return out.select(*[own.get(c, F.col(f"rest.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = kept_lines(documents(spark, sf_dir))
+    out = kept_lines(documents(spark, sf_dir), exact_chars=MIN_CHARS)  # its SQL leaves all shorter lines alone
     lines, kept = F.size("lines").cast("long"), F.size("keep").cast("long")
     return out.select("doc_id", lines.alias("n_lines"), (lines - kept).alias("n_removed"), F.sha2(_kept_text(), 256).alias("kept_sha256"))
 
