@@ -158,6 +158,29 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("far", [0, 1 << 62])
+def test_jaccard_components_never_look_alike(far):
+    """Two components whose ids agree in 32 bits of their mix share a token; so do two rows of one component."""
+    ids = np.arange(1 << 18, dtype=np.int64) + far
+    low = names.mix(ids.view(np.uint64)).astype(np.uint32)
+    order = np.argsort(low, kind="stable")
+    clash = np.flatnonzero(low[order][1:] == low[order][:-1])
+    assert len(clash)
+    a, b = ids[order[clash[0]]], ids[order[clash[0] + 1]]
+    tokens = lambda *t: np.array([len(t), len(t), *[0] * jaccard_join.SIGNATURE, *t], np.uint64).tobytes()
+    block = lambda number, component, *t: pa.table(
+        {"block": pa.array([number], pa.int32()), "doc_id": [component], "size": [9], "component": pa.array([component], pa.int64()), "tokens": [tokens(*t)]}
+    )
+    blocks = [block(0, a, 5, 6), block(1, b, 5), block(2, a, 6, 7)]
+    asked = [jaccard_join._ask_mixed(t, 1, 1).to_pylist()[0]["payload"] for t in blocks]
+    got = jaccard_join.mixed(list(enumerate(asked)))
+    shared = {}
+    for t, bits in zip(blocks, got, strict=True):
+        m = jaccard_join.Members(t, 1)
+        shared[t["block"][0].as_py()] = dict(zip(m.token.tolist(), m.question(1).bits({0: bits})[m.question(1).of].tolist(), strict=True))
+    assert shared == {0: {5: True, 6: False}, 1: {5: True}, 2: {6: False, 7: False}}
+
+
 # 3: rules
 
 

@@ -311,21 +311,20 @@ class Members:
 def _ask_mixed(table: pa.Table, orders: int, buckets: int) -> pa.Table:
     q = Members(table, orders).question(buckets)
     number = table.column("block")[0].as_py()
-    mark = mix(q.least.view(np.uint64)).astype(np.uint32)
-    return rounds.letters(q.by_part(lambda s: pack(rounds.short_keys(q.names[s], 5), mark[s], np.packbits(q.many[s])), number))
+    return rounds.letters(q.by_part(lambda s: pack(rounds.short_keys(q.names[s], 5), np.packbits(q.many[s]), *rounds.id_offsets(q.least[s])), number))
 
 
 def mixed(rows: list[tuple[int, bytes]]) -> list[bytes]:
-    """For each token asked about: does a second component have it?"""
+    """For each token asked about: does a second component have it? Component ids travel whole: a clash would cost links."""
     asked = [unpack(p) for _, p in rows]
-    sizes = [len(m) for _, m, _ in asked]
-    keys = np.concatenate([rounds.long_keys(k, 5) for k, _, _ in asked])
-    mark = np.concatenate([m for _, m, _ in asked])
-    many = np.concatenate([np.unpackbits(x, count=n) for (_, _, x), n in zip(asked, sizes, strict=True)])
+    sizes = [len(a[3]) for a in asked]
+    keys = np.concatenate([rounds.long_keys(a[0], 5) for a in asked])
+    many = np.concatenate([np.unpackbits(a[1], count=n) for a, n in zip(asked, sizes, strict=True)])
+    least = np.concatenate([a[2][0] + a[3].astype(np.int64) for a in asked])
     order = np.argsort(keys, kind="stable")
     at = equal_runs(keys[order])
-    m = mark[order]
-    yes = (np.minimum.reduceat(m, at) != np.maximum.reduceat(m, at)) | (np.maximum.reduceat(many[order], at) > 0)
+    c = least[order]
+    yes = (np.minimum.reduceat(c, at) != np.maximum.reduceat(c, at)) | (np.maximum.reduceat(many[order], at) > 0)
     out = np.empty(len(keys), bool)
     out[order] = np.repeat(yes, np.diff(np.append(at, len(keys))))
     return [np.packbits(x).tobytes() for x in np.split(out, np.cumsum(sizes)[:-1])]
