@@ -6,7 +6,7 @@ import brute_turns as brute
 import pytest
 from conftest import SF
 
-from tidelog.llm import repair
+from tidelog.llm import prefix_trie, repair
 from tidelog.session import durable_table
 
 DDL = "conv_id long, turn long, role string, text string"
@@ -84,3 +84,40 @@ def test_all_short_walks():
             assert (cost, letters) == want[:2]
             assert len(states) == len(letters)
         level = [(*c, k) for c in level for k in range(12)] if len(level) < 200 else []
+
+
+# 11: prefix trie
+
+
+@pytest.mark.parametrize(("narrow", "wide"), [(8, 1024), (1, 4), (2, 32)])
+def test_trie(turns, rows, narrow, wide):
+    got = bag(prefix_trie.trie(*prefix_trie.rebuilt(turns), narrow, wide))
+    assert got == Counter(brute.trie(rows))
+
+
+def test_trie_small(small, small_rows):
+    want = Counter(brute.trie(small_rows))
+    assert any(r[3] > 1 and r[1] > 1 for r in want)
+    assert bag(prefix_trie.trie(*prefix_trie.rebuilt(small))) == want
+
+
+def test_trie_of_long_copies(spark, monkeypatch):
+    """Equal, nested and parting conversations deeper than a band, and many that end in one node."""
+    monkeypatch.setattr(prefix_trie, "IDS", 4)
+    said = {1: 70, 2: 70, 3: 41, 4: 70, 5: 0, **dict.fromkeys(range(6, 30), 3), 31: 33, -4: 3}
+    rows = [(c, d, f"{'x' if c == 4 and d > 40 else ''}{d}") for c, n in said.items() for d in range(1, n + 1)]
+    df = spark.createDataFrame([(c, d, s, len(s)) for c, d, s in rows], "cid long, depth long, said string, bytes long").repartition(4)
+    convs = spark.createDataFrame([(c,) for c in said], "cid long")
+    got = {(r.depth, r.conv_id): r for r in prefix_trie.trie(convs, df, 2, 16).collect()}
+    assert len(got) == 1 + 70 + 30
+    assert got[3, -4].ends_sha256 == brute.sha(",".join(map(str, [-4, *range(6, 30)])))
+    assert (got[0, -4].n_convs, got[0, -4].n_leaves, got[0, -4].n_children) == (len(said), 2, 1)
+    assert (got[40, 1].n_convs, got[40, 1].n_children, got[41, 4].parent_conv_id, got[41, 1].n_convs) == (4, 2, 1, 3)
+    assert got[70, 1].saved_tokens == 2
+
+
+def test_trie_of_nothing(spark):
+    nothing = spark.createDataFrame([], DDL)
+    assert prefix_trie.trie(*prefix_trie.rebuilt(nothing)).collect() == []
+    one = prefix_trie.trie(*prefix_trie.rebuilt(spark.createDataFrame([(None, 1, "user", "x"), (3, None, None, None)], DDL))).collect()
+    assert [(r.conv_id, r.n_convs) for r in one][:1] == [(3, 1)]

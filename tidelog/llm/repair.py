@@ -27,8 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import durable_table
-from tidelog.llm.tokens import parts_of
-from tidelog.llm.turns import CONV, numbered, plain_turns, text_digest
+from tidelog.llm.turns import CONV, joined_digests, numbered, plain_turns, text_digest
 
 #: Rows of a slice, and slices (or groups of them) that one table stands for.
 SLICE, FAN = 4096, 1024
@@ -359,39 +358,9 @@ def repair(plain: DataFrame, order: list[str], size: int = SLICE, fan: int = FAN
     return Repair(rows, told, solve(told, size, fan), size)
 
 
-def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One digest for each run of a conversation; batches of a partition come in order."""
-    key, digest = None, None
-    for batch in batches:
-        at, out = 0, []
-        for part in parts_of(batch.column("text")):
-            n = len(part)
-            keys = zip(batch.column("absent").slice(at, n).to_pylist(), batch.column("cid").slice(at, n).to_pylist(), strict=True)
-            for own, role, text in zip(keys, batch.column("role").slice(at, n).to_pylist(), part.to_pylist(), strict=True):
-                if own == key:
-                    digest.update(b"\n")
-                else:
-                    if key is not None:
-                        out.append((*key, digest.hexdigest()))
-                    key, digest = own, hashlib.sha256()
-                digest.update(f"{role}:".encode())
-                digest.update(text.encode())
-            at += n
-        yield _batch(out, _HASHES)
-    if key is not None:
-        yield _batch([(*key, digest.hexdigest())], _HASHES)
-
-
-_HASHES = "absent boolean, cid long, repaired_sha256 string"
-
-
 def line_hashes(turns: DataFrame) -> DataFrame:
-    """SHA-256 of the `role:text` lines of each conversation.
-
-    Such a digest can only be taken in order, so a conversation passes through one task; it does so row by row, and
-    nothing but the running digest is kept.
-    """
-    return turns.repartition(*CONV).sortWithinPartitions(*CONV, "pos", "part").select(*CONV, "role", "text").mapInArrow(_hash_lines, _HASHES)
+    """`absent, cid, digest`: SHA-256 of the `role:text` lines of each conversation."""
+    return joined_digests(turns, CONV, ["pos", "part"], F.concat("role", F.lit(":"), "text"), "\n")
 
 
 def damaged(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -421,7 +390,7 @@ def reports(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     longs = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
     return out.select(
         F.when(~F.col("absent"), F.col("cid")).alias("conv_id"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in longs],
-        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256"),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("digest", F.lit(hashlib.sha256().hexdigest())).alias("repaired_sha256"),
     )
 
 
@@ -455,7 +424,9 @@ numbered AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role0, said, copy) - 1 AS pos FROM dealt),
 firsts AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) = 1 AS first,
-         regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last,
+         regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS last,
          CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'x' END AS initial FROM numbered),
 r AS (
   SELECT *, CASE WHEN last = '' THEN 'blank' WHEN NOT first THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS fault,
