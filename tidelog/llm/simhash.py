@@ -33,7 +33,7 @@ from tidelog.llm.tokens import parts_of
 
 WORDS, SEED, BUDGET = 3, 42, 2
 #: Leaves that two nodes may hold together when their pair goes to a task, and bits of a step over tables.
-LEAVES, STEP = 1 << 15, 4
+LEAVES, STEP = 1 << 14, 4
 #: Bytes of a text whose words are in memory, and node pairs that are walked, at once.
 PIECE, PAIRS = 1 << 20, 1 << 15
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -174,9 +174,9 @@ def _at_home(depth: int, budget: int) -> Callable[[pa.Table], pa.Table]:
 
 def _join_home(group: pa.Table, depth: int, budget: int) -> pa.Table:
     """What the leaves of one node are joined to, among themselves and among those of its partners."""
-    side = np.asarray(group["partner"].combine_chunks())
-    marks = np.asarray(group["mark"].combine_chunks()).view(np.uint64)
-    mine, theirs = np.unique(marks[~side]), np.unique(marks[side])
+    mine, theirs = (np.unique(np.asarray(pc.list_flatten(group.filter(pc.equal(group["partner"], side))["marks"])).astype(np.int64)).view(np.uint64) for side in (False, True))
+    mine.sort()
+    theirs.sort()
     every = np.concatenate([mine, theirs])
     forest = Forest(len(every))
     if pc.any(group["itself"]).as_py():
@@ -246,12 +246,15 @@ def links(marks: DataFrame, budget: int = BUDGET, leaves: int = LEAVES) -> DataF
     marks = durable_table(marks.select("mark").distinct(), "marks")
     out = []
     for depth, pairs in node_pairs(marks, budget, leaves, marks.count()):
-        placed = marks.select(_prefix(depth).alias("node"), "mark")
         swap = F.xxhash64("p", "q") % 2 == 0  # either node may be the pair's home, or the first ones would have most to do
         homes = pairs.select(F.when(swap, F.col("q")).otherwise(F.col("p")).alias("home"), F.when(swap, F.col("p")).otherwise(F.col("q")).alias("node"))
         own = homes.groupBy("home").agg(F.max(F.col("home") == F.col("node")).alias("itself"))
-        mine = placed.withColumnRenamed("node", "home").join(own, "home").select("home", "mark", F.lit(False).alias("partner"), "itself")
-        others = homes.filter("home <> node").join(placed, "node").select("home", "mark", F.lit(True).alias("partner"), F.lit(False).alias("itself"))
+        # a node of a pair that is done holds a bounded number of leaves, which travel as one array
+        needed = homes.select(F.explode(F.array("home", "node")).alias("node")).distinct()
+        held = marks.select(_prefix(depth).alias("node"), "mark").join(needed, "node").groupBy("node").agg(F.collect_list("mark").alias("marks"))
+        held = durable_table(held, "held")
+        mine = held.withColumnRenamed("node", "home").join(own, "home").select("home", "marks", F.lit(False).alias("partner"), "itself")
+        others = homes.filter("home <> node").join(held, "node").select("home", "marks", F.lit(True).alias("partner"), F.lit(False).alias("itself"))
         rows = mine.unionByName(others)
         out.append(rows.groupBy("home").applyInArrow(_at_home(depth, budget), "a long, b long"))
     return reduce(DataFrame.unionByName, out)
