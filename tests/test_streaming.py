@@ -1,13 +1,18 @@
 """Streams: failures, subscriptions that change, listeners, reports, shuffles."""
 
 import json
+import os
 from datetime import datetime as dt
+from datetime import timedelta
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tidelog.constants import LOG_DDL
-from tidelog.operators import metrics
+from tidelog.operators import metrics, ranges
 from tidelog.plans import streams
 from tidelog.sources import datasource, registry
 from tidelog.sources.topiclog import TopicLog
@@ -273,7 +278,7 @@ def test_two_capped_sources_resume_apart(spark, tmp_path, log):
         batch.write.mode("overwrite").parquet(f"{root}/batch={i}")
 
     def run():
-        one, two = (streams.stream_of(spark, log, topicPattern=t, maxRowsPerBatch=n, checkpoint=checkpoint) for t, n in (("a", 7), ("b", 11)))
+        one, two = (streams.stream_of(spark, log, topicPattern=t, maxRowsPerBatch=n, checkpoint=checkpoint, sourceName=t) for t, n in (("a", 7), ("b", 11)))
         return streams.run_capped(one.union(two), step, checkpoint)
 
     with pytest.raises(Exception, match="lost in the third"):
@@ -313,19 +318,145 @@ def test_a_stream_goes_on_after_compaction(spark, tmp_path, log):
     log.append(messages(spark, "t", 4, 36), "b-12", ORDER)
     assert len(log.live()) == 2 and len(log.committed()) == 13
     index = datasource.LogIndex(log.root)
-    listed = []
-    index._names, names = lambda folder: listed.append(folder) or names(folder), index._names
     index.refresh()
-    assert sum(f.startswith("data/txn=") and "/" not in f[9:] for f in listed) == 2  # two transactions, not thirteen
+    assert len(index.opened) == 2  # two tables of ranges, not thirteen
     assert len(log.drop_replaced()) == 12
     assert run() == list(range(40))
     assert ids(log.read()) == list(range(40)) and not log.append(messages(spark, "t", 3), "b-0", ORDER)
-    assert log.compact() == "compact-00000002"
+    assert log.compact() is None and log.compact(everything=True) == "compact-00000002"
     assert log.drop_replaced() == ["b-12", "compact-00000001"] and log.staged() == []
     assert ids(log.read()) == list(range(40)) and run() == list(range(40))
     assert log.bounds().agg(F.sum("latest")).first()[0] == 40
 
 
+def test_states_of_transactions(spark, log):
+    """Uncommitted readings over two compactions, a crash inside one, and a staged transaction all the while."""
+    for n in range(3):
+        log.append(messages(spark, "t", 10, 10 * n), f"a-{n}", ORDER)
+        if n == 0:
+            log.stage(messages(spark, "t", 5, 100), "s-0", ORDER)
+        else:
+            log.compact(at_least=1)
+        assert ids(log.read()) == list(range(10 * n + 10))
+        assert ids(log.read("uncommitted")) == [*range(10 * n + 10), *range(100, 105)]
+    publish, log._publish = log._publish, lambda *_: (_ for _ in ()).throw(RuntimeError("lost inside compact"))
+    with pytest.raises(RuntimeError):
+        log.compact(everything=True)
+    log._publish = publish
+    assert ids(log.read("uncommitted")) == [*range(30), *range(100, 105)] and log.staged() == ["s-0"]
+    assert [log.state(t) for t in ("a-0", "a-2", "s-0", "x-0")] == ["replaced", "replaced", "staged", None]
+    settle, log._settle = log._settle, lambda known: None  # lost before any marker is moved
+    log.append(messages(spark, "t", 2, 30), "a-3", ORDER)
+    log.fold(at_least=1)
+    log._settle = settle
+    assert log.state("a-3") == "committed" and ids(log.read()) == list(range(32))
+    index = datasource.LogIndex(log.root)
+    index.refresh()
+    assert sum(b[1] for b in index.bounds().values()) == 32
+    assert set(log.drop_replaced()) >= {"a-0", "a-1", "a-2"} and log.abort_lingering(["s"]) == ["s-0"]
+    assert log.state("s-0") == "aborted" and ids(log.read("uncommitted")) == list(range(32))
+    log.append(messages(spark, "t", 5, 100), "s-0", ORDER)
+    assert log.state("s-0") == "committed" and ids(log.read()) == [*range(32), *range(100, 105)]
+    with pytest.raises(ValueError):
+        log.append(messages(spark, "t", 1), "compact-9", ORDER)
+
+
+def small_transactions(root, n):
+    """`n` committed transactions of two rows each, as the log writes them, without a Spark job for each."""
+    topic, folder = C0 + "t", "topic_uri=" + quote(C0 + "t", safe="")
+    for i in range(n):
+        for part in range(2):
+            at = f"{root}/data/txn=m-{i:05d}/{folder}/partition={part}"
+            os.makedirs(at)
+            stamp = pa.array([dt(2020, 1, 1) + timedelta(seconds=i)], pa.timestamp("us", "UTC"))
+            value = pa.array([str(2 * i + part).encode()])
+            pq.write_table(pa.table({"offset": pa.array([i]), "timestamp": stamp, "key": value, "value": value, "headers": pa.array([None], pa.map_(pa.string(), pa.binary()))}), f"{at}/part-0.parquet")
+        os.makedirs(f"{root}/ranges/txn=m-{i:05d}")
+        two = lambda x: [x, x]
+        pq.write_table(pa.table({
+            "topic_uri": two(topic), "partition": pa.array([0, 1], pa.int32()), "first_offset": two(i), "next_offset": two(i + 1), "n_rows": two(1),
+            "min_timestamp": pa.array(two(stamp[0].as_py()), pa.timestamp("us", "UTC")), "max_timestamp": pa.array(two(stamp[0].as_py()), pa.timestamp("us", "UTC")),
+            "file": [f"{folder}/partition={p}/part-0.parquet" for p in range(2)]}), f"{root}/ranges/txn=m-{i:05d}/part-0.parquet")
+        os.makedirs(f"{root}/commits", exist_ok=True)
+        open(f"{root}/commits/m-{i:05d}", "w").close()
+
+
+def test_two_thousand_transactions(spark, tmp_path, log):
+    """Planning opens a bounded number of files, times and polls read a few, rows are rewritten a few times."""
+    small_transactions(log.root, 2000)
+    commits, held = f"{log.root}/commits", f"{log.root}/held"
+    os.rename(commits, held)
+    os.makedirs(commits)
+    names = sorted(os.listdir(held))
+    for at in range(0, 2000, 64):  # folded as `commit` does, every 64
+        for name in names[at : at + 64]:
+            os.rename(f"{held}/{name}", f"{commits}/{name}")
+        log.fold()
+    index = datasource.LogIndex(log.root)
+    index.refresh()
+    assert len(index.opened) < 8 + 64  # parts of a few tiers, and transactions that are not in one yet
+    assert index.bounds() == {f"{C0}t|{p}": (0, 2000) for p in range(2)}
+    assert len(index.slices(f"{C0}t|0", 0, 2000, 500)) == 4
+    at = dt(2020, 1, 1, 0, 20)
+    found = ranges.resolve(log.read(), ranges.at_timestamp(at, log), known=log.bounds())
+    assert {r.start for r in found.collect()} == {1200}
+    reached = log.read_files(ranges._first_reaching(log, log.catalog(), F.lit(at)))
+    assert len(reached.inputFiles()) == 2
+    assert ids(ranges.poll(log.read(), 3, store=log)) == list(range(6))
+    start = log.catalog().withColumn("start", F.lit(1990).cast("bigint"))
+    assert ids(ranges.poll(log.read(), 4, start, store=log)) == list(range(3980, 3988))
+    assert log.compact() is not None
+    zones = log.ranges()
+    assert zones.count() <= 16 and len(log.live()) == 1
+    assert {r.start for r in ranges.resolve(log.read(), ranges.at_timestamp(at, log), known=log.bounds()).collect()} == {1200}
+    assert ids(log.read()) == list(range(4000))
+
+
+def test_products_of_a_level_become_one(spark, log):
+    for n in range(8):
+        log.append(messages(spark, "t", 2, 2 * n), f"a-{n}", ORDER)
+        log.compact(at_least=1)
+    assert len(log.live()) == 1 and log.manifest()[1]["levels"] == {log.live()[0]: 2}
+    assert ids(log.read()) == list(range(16))
+
+
+def test_settings_change_between_runs(spark, tmp_path, log):
+    """Rates, registry patience, tasks and a wider, then narrower pattern: every row comes once."""
+    checkpoint, root, runs = str(tmp_path / "cp"), str(tmp_path / "out"), [0]
+
+    def run(**options):
+        runs[0] += 1
+        step = lambda batch, i: batch.write.mode("overwrite").parquet(f"{root}/batch={i}")
+        streams.run_capped(streams.stream_of(spark, log, checkpoint=checkpoint, **options), step, checkpoint)
+        return ids(spark.read.schema(LOG_DDL).parquet(root))
+
+    log.append(messages(spark, "a", 40).unionByName(messages(spark, "b", 20, 100)), "l-0", ORDER)
+    assert run(topicPattern="a", maxRowsPerBatch=10) == list(range(40))
+    assert run(topicPattern="a", maxRowsPerBatch=10, registryFailures=5) == list(range(40))
+    assert run(topicPattern="a|b", rowsPerSecond=1000, tasks=4, triggerSeconds=1) == [*range(40), *range(100, 120)]
+    log.append(messages(spark, "a", 4, 40).unionByName(messages(spark, "b", 2, 120)), "l-1", ORDER)
+    assert run(topicPattern="b", maxRowsPerBatch=7, rowsPerTask=5) == [*range(40), *range(100, 122)]
+    assert run(topics=f"{C0}a,{C0}b", maxRowsPerBatch=9) == [*range(44), *range(100, 122)]
+
+
+def test_positions_are_taken_over_from_the_record(spark, tmp_path, log):
+    """A query that had no option `checkpoint` so far."""
+    checkpoint, out = str(tmp_path / "cp"), str(tmp_path / "out")
+    log.append(messages(spark, "a", 20), "l-0", ORDER)
+    streams.run_to_table(spark, streams.stream_of(spark, log), "taken", checkpoint, out)
+    log.append(messages(spark, "a", 5, 20), "l-1", ORDER)
+    streams.run_to_table(spark, streams.stream_of(spark, log, checkpoint=checkpoint, maxRowsPerBatch=100), "taken", checkpoint, out)
+    assert ids(spark.read.schema(LOG_DDL).parquet(out)) == list(range(25))
+
+
+def test_sources_without_names_are_refused(spark, tmp_path, log):
+    checkpoint = str(tmp_path / "cp")
+    log.append(messages(spark, "a", 4).unionByName(messages(spark, "b", 4, 100)), "l-0", ORDER)
+    one, two = (streams.stream_of(spark, log, topicPattern=t, checkpoint=checkpoint) for t in ("a", "b"))
+    with pytest.raises(Exception, match="sourceName"):
+        streams.run_to_table(spark, one.union(two), "refused", checkpoint, str(tmp_path / "out"))
+
+
 def test_hadoop_paths_for_arrow():
     assert datasource.arrow_uri("s3a://bucket/log") == "s3://bucket/log"
     assert datasource.arrow_uri("hdfs://name/log") == "hdfs://name/log"

@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from datetime import datetime
+from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators.ordered import offset_slice, rank_in_slices
@@ -64,19 +65,34 @@ def committed_only(group_offsets: DataFrame, group_id: str) -> Position:
     return committed(group_offsets, group_id, "none")
 
 
-def at_timestamp(at: datetime | Column, recorded: DataFrame | None = None) -> Position:
+class Store(Protocol):
+    """A stored log that knows what its files hold; see `TopicLog`."""
+
+    def ranges(self) -> DataFrame: ...
+
+    def read_files(self, chosen: DataFrame) -> DataFrame: ...
+
+
+def _first_reaching(store: Store, wanted: DataFrame, instant: Column) -> DataFrame:
+    """Of each wanted partition the first file that reaches `instant`; no later one can hold the offset looked for.
+
+    `instant` may be a column of `wanted`.
+    """
+    reach = store.ranges().join(wanted, PARTITION).where(F.col("max_timestamp") >= instant)
+    file = F.min(F.struct("first_offset", "next_offset", "file", "txn")).alias("_file")
+    return reach.groupBy(*PARTITION).agg(file).select(*PARTITION, "_file.*")
+
+
+def at_timestamp(at: datetime | Column, store: Store | None = None) -> Position:
     """The first offset whose timestamp is not before `at`, else the end offset.
 
-    `recorded` are the ranges the store keeps (`TopicLog.ranges`): the offset is then looked for in the first range of
-    each partition that reaches the time, instead of in everything after it.
+    With the log's `store`, one file of each partition is read, however many there are.
     """
     instant = at if isinstance(at, Column) else F.lit(at)
 
     def resolve(log: DataFrame, b: DataFrame) -> DataFrame:
-        if recorded is not None:
-            reach = recorded.where(F.col("max_timestamp") >= instant).groupBy(*PARTITION).agg(
-                F.min(F.struct("first_offset", "next_offset")).alias("_range"))
-            log = cut(log, reach.select(*PARTITION, F.col("_range.first_offset").alias("start"), F.col("_range.next_offset").alias("stop")))
+        if store is not None:
+            log = store.read_files(_first_reaching(store, b.select(*PARTITION), instant))
         first = log.where(F.col("timestamp") >= instant).groupBy(*PARTITION).agg(F.min("offset").alias("_first"))
         return b.join(first, PARTITION, "left").select(
             *PARTITION, F.coalesce("_first", "latest").alias("position"))
@@ -107,14 +123,16 @@ def custom(f: Position) -> Position:
     return f
 
 
-def seek(targets: DataFrame) -> Position:
+def seek(targets: DataFrame, store: Store | None = None) -> Position:
     """Mixed seeks, one row per partition: kind in beginning, end, offset, timestamp, after; `target` is an offset,
-    or microseconds since the epoch for `timestamp`. `after` resumes behind the given message."""
+    or microseconds since the epoch for `timestamp`. `after` resumes behind the given message. With the log's `store`,
+    a time costs one file of its partition."""
     def resolve(log: DataFrame, b: DataFrame) -> DataFrame:
         side = checked_broadcast(targets.select(*PARTITION, "kind", "target"))
         timed = side.df.where("kind = 'timestamp'").select(*PARTITION, F.timestamp_micros("target").alias("_at"))
+        rows = side.narrow(log, "topic_uri") if store is None else store.read_files(_first_reaching(store, timed, F.col("_at")))
         first = (
-            side.narrow(log, "topic_uri").select(*PARTITION, "offset", "timestamp")
+            rows.select(*PARTITION, "offset", "timestamp")
             .join(timed, PARTITION).where("timestamp >= _at")
             .groupBy(*PARTITION).agg(F.min("offset").alias("_first"))
         )
@@ -201,9 +219,24 @@ def read_slice(
     return cut(log, resolve(log, start, stop, known))
 
 
-def poll(log: DataFrame, n: int, start: DataFrame | None = None, slice_rows: int | None = None) -> DataFrame:
-    """The first `n` rows of every partition from its start offset (T02, S32); a partition is ranked in slices."""
+def poll(log: DataFrame, n: int, start: DataFrame | None = None, slice_rows: int | None = None, store: Store | None = None) -> DataFrame:
+    """The first `n` rows of every partition from its start offset.
+
+    With the log's `store`, only files that may hold them are read. Up to Spark's own limit of a window's groups, every
+    task keeps its first `n` rows of a partition before anything is shuffled; beyond it, partitions are ranked in slices.
+    """
+    if store is not None:
+        files = store.ranges()
+        begin = files.select(*PARTITION).distinct().withColumn("_start", F.lit(0).cast("bigint")) if start is None else start.select(*PARTITION, F.col("start").alias("_start"))
+        later = files.join(begin, PARTITION).where(F.col("next_offset") > F.col("_start"))
+        # rows that are sure to come before a file: those of whole files after the start
+        sure = F.when(F.col("first_offset") >= F.col("_start"), F.col("n_rows")).otherwise(0)
+        before = Window.partitionBy(*PARTITION).orderBy("first_offset").rowsBetween(Window.unboundedPreceding, -1)
+        log = store.read_files(later.withColumn("_sure", F.coalesce(F.sum(sure).over(before), F.lit(0))).where(F.col("_sure") < n))
     rows = log if start is None else cut(log, start.withColumn("stop", F.lit(None).cast("bigint")))
+    if n <= int(log.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        place = F.row_number().over(Window.partitionBy(*PARTITION).orderBy("offset"))
+        return rows.withColumn("_pos", place).where(F.col("_pos") <= n).select(*log.columns)
     ranked = rank_in_slices(rows.withColumn("_slice", offset_slice(rows=slice_rows)), PARTITION, ["offset"], "_slice", "_pos")
     return ranked.where(F.col("_pos") < n).select(*log.columns)
 

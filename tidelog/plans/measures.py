@@ -247,7 +247,7 @@ def flagship(spark, sf_dir: str) -> DataFrame:
     wanted = subscribe.topics_matching(fx.catalog(spark, sf_dir), "click|view|purchase")
     mine = subscribe.subscribe(log, wanted)
     known = subscribe.subscribe(fx.bounds(spark, sf_dir), wanted)
-    piece = ranges.read_slice(mine, ranges.at_timestamp(datetime(2024, 1, 5), fx.store(spark, sf_dir).ranges()), ranges.latest(), known)
+    piece = ranges.read_slice(mine, ranges.at_timestamp(datetime(2024, 1, 5), fx.store(spark, sf_dir)), ranges.latest(), known)
     t = project.read_table(
         piece, "user_id BIGINT, event_id BIGINT, cents BIGINT", metadata_columns={"topic_uri": "topic-uri", "ts": "timestamp"},
         null_values="skip")

@@ -178,7 +178,7 @@ def s12_latest(spark, sf):
     "ON s.topic_uri = l.topic_uri AND s.part = l.part WHERE l.off >= s.f"))
 def s13(spark, sf):
     return _ids(ranges.read_slice(
-        fx.late_log(spark, sf), ranges.at_timestamp(AT, fx._store(spark, sf, "late").ranges()), known=fx.bounds(spark, sf, "late")))
+        fx.late_log(spark, sf), ranges.at_timestamp(AT, fx._store(spark, sf, "late")), known=fx.bounds(spark, sf, "late")))
 
 
 _SPEC = ("spec(topic_uri, part, next_offset) AS "
@@ -224,7 +224,7 @@ def s17(spark, sf):
 def s18(spark, sf):
     """By position: rows behind the first late-enough one are cut even if they are older."""
     return _ids(ranges.read_slice(
-        fx.late_log(spark, sf), ranges.earliest(), ranges.at_timestamp(UNTIL, fx._store(spark, sf, "late").ranges()),
+        fx.late_log(spark, sf), ranges.earliest(), ranges.at_timestamp(UNTIL, fx._store(spark, sf, "late")),
         fx.bounds(spark, sf, "late")))
 
 
@@ -246,7 +246,7 @@ def s19(spark, sf):
 def s20(spark, sf):
     log = fx.topic_log(spark, sf)
     stop = ranges.committed(fx.group_offsets(log), "g1", "earliest")
-    return fx.out(ranges.resolve(log, ranges.at_timestamp(AT, fx.store(spark, sf).ranges()), stop, fx.bounds(spark, sf)))
+    return fx.out(ranges.resolve(log, ranges.at_timestamp(AT, fx.store(spark, sf)), stop, fx.bounds(spark, sf)))
 
 
 @query("s21_offset_text", fx.sql(
@@ -267,10 +267,12 @@ def s21(spark, sf):
     f"(SELECT 1 FROM topic_log o WHERE o.topic_uri = t.topic_uri AND o.part = t.part AND o.ts < {AT_SQL} AND o.part < 3) "
     "UNION ALL SELECT topic_uri, part + 4, 'removed' FROM bounds WHERE part = 0"))
 def s23(spark, sf):
-    log = fx.topic_log(spark, sf)
-    older = log.where((F.col("timestamp") < F.lit(AT)) & (F.col("partition") < 3)).select("topic_uri", "partition").distinct()
-    gone = log.where("partition = 0").select("topic_uri", (F.col("partition") + 4).alias("partition")).distinct()
-    now = log.select("topic_uri", "partition").distinct()
+    """What is there now comes from the store; what was there at a time, from the first times of its files."""
+    store = fx.store(spark, sf)
+    early = F.min("min_timestamp") < F.lit(AT)
+    older = store.ranges().where("partition < 3").groupBy("topic_uri", "partition").agg(early.alias("early")).where("early").drop("early")
+    now = store.catalog()
+    gone = now.where("partition = 0").select("topic_uri", (F.col("partition") + 4).alias("partition"))
     return fx.out(subscribe.partition_changes(older.unionByName(gone), now))
 
 
@@ -319,13 +321,12 @@ _SEEK = (
     f"coalesce((SELECT min(off) FROM topic_log l WHERE l.topic_uri = b.topic_uri AND l.part = b.part AND ts >= {AT_SQL}), b.latest) "
     "END AS start FROM bounds b JOIN targets t ON t.topic_uri = b.topic_uri AND t.part = b.part", _SEEK))
 def s30(spark, sf):
-    log = fx.topic_log(spark, sf)
-    p = F.col("partition")
-    targets = log.select("topic_uri", "partition").distinct().select(
+    store, p = fx.store(spark, sf), F.col("partition")
+    targets = store.catalog().select(
         "topic_uri", "partition",
         F.when(p == 0, "after").when(p == 1, "timestamp").when(p == 2, "offset").otherwise("end").alias("kind"),
         F.when(p == 0, 7).when(p == 1, F.unix_micros(F.lit(AT).cast("timestamp"))).when(p == 2, 3).cast("bigint").alias("target"))
-    return fx.out(ranges.resolve(log, ranges.seek(targets)).drop("stop"))
+    return fx.out(ranges.resolve(store.read(), ranges.seek(targets, store), known=store.bounds()).drop("stop"))
 
 
 @query("s31_partition_batches", fx.sql(
@@ -347,7 +348,7 @@ def s31_one(spark, sf):
 def s32(spark, sf):
     log = fx.topic_log(spark, sf)
     start = fx.group_offsets(log).select("topic_uri", "partition", F.col("next_offset").alias("start"))
-    return _ids(ranges.poll(log, 25, start))
+    return _ids(ranges.poll(log, 25, start, store=fx.store(spark, sf)))
 
 
 @query("s33_topic_catalog", fx.sql(
@@ -366,14 +367,12 @@ def s33(spark, sf):
     "ON s.topic_uri = b.topic_uri AND s.part = b.part LEFT JOIN group_offsets g "
     "ON g.topic_uri = b.topic_uri AND g.part = b.part"))
 def s34(spark, sf):
-    log = fx.topic_log(spark, sf)
-    both = ["topic_uri", "partition"]
-    at = F.min(F.when(F.col("timestamp") >= F.lit(AT), F.col("offset")))  # one pass for all three
-    listed = log.groupBy(*both).agg(
-        F.min("offset").alias("earliest"), (F.max("offset") + 1).alias("latest"), at.alias("_at"))
-    mine = fx.group_offsets(log).select(*both, F.col("next_offset").alias("committed"))
-    return fx.out(listed.join(mine, both, "left").select(
-        *both, "earliest", "latest", F.coalesce("_at", "latest").alias("at_time"), "committed"))
+    """Bounds from the store, the time from one file of each partition, and what the group has committed."""
+    store, both = fx.store(spark, sf), ["topic_uri", "partition"]
+    known = store.bounds()
+    at = ranges.at_timestamp(AT, store)(store.read(), known).withColumnRenamed("position", "at_time")
+    mine = fx.group_offsets(store.read()).select(*both, F.col("next_offset").alias("committed"))
+    return fx.out(known.join(at, both).join(mine, both, "left").select(*both, "earliest", "latest", "at_time", "committed"))
 
 
 @query("s34_bounds_from_store", fx.sql("SELECT topic_uri, part, earliest, latest FROM bounds"))
@@ -424,7 +423,7 @@ def t01(spark, sf):
 
 @query("t02_first_n", fx.sql("SELECT topic_uri, part, off FROM topic_log WHERE off < 10"))
 def t02(spark, sf):
-    return _ids(ranges.poll(fx.topic_log(spark, sf), 10))
+    return _ids(ranges.poll(fx.topic_log(spark, sf), 10, store=fx.store(spark, sf)))
 
 
 @query("t03_fair_merge", fx.sql(
@@ -464,9 +463,9 @@ def u01(spark, sf):
 @query("u04_partition_difference", fx.sql(
     f"SELECT topic_uri, part FROM bounds EXCEPT SELECT topic_uri, part FROM topic_log WHERE topic_uri = '{CLICK0}' OR part = 2"))
 def u04(spark, sf):
-    log = fx.topic_log(spark, sf)
-    known = log.where((F.col("topic_uri") == CLICK0) | (F.col("partition") == 2)).select("topic_uri", "partition").distinct()
-    return fx.out(subscribe.partition_changes(known, log.select("topic_uri", "partition").distinct()).drop("change"))
+    now = fx.store(spark, sf).catalog()
+    known = now.where((F.col("topic_uri") == CLICK0) | (F.col("partition") == 2))
+    return fx.out(subscribe.partition_changes(known, now).drop("change"))
 
 
 @query("u05_cluster_topic_changes", fx.sql(

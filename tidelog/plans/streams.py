@@ -444,7 +444,7 @@ def j01_live(spark, sf):
 def s13_stream(spark, sf):
     """A stream that starts at a time, through resolved offsets."""
     log = fx.store(spark, sf)
-    start = ranges.resolve(log.read(), ranges.at_timestamp(AT, log.ranges()), known=log.bounds())
+    start = ranges.resolve(log.read(), ranges.at_timestamp(AT, log), known=log.bounds())
     positions = datasource.write_positions(start, scratch_dir(spark, "positions"))
     at = run_to_table(spark, stream_of(spark, log, startingOffsets=positions), "from-time")
     return fx.out(spark.read.parquet(at).select("topic_uri", "partition", "offset"))

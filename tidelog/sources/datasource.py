@@ -17,19 +17,20 @@ Options
     maxRowsPerBatch       the cap itself
     checkpoint            checkpoint folder of the query. The source keeps its planned positions below it; needed by
                           streams with a cap, pausedFile, streamRegistry or discoverPartitions=false
-    sourceName            tells apart two sources of one query that have the same options
+    sourceName            name of the source's positions; needed where a query reads one log by several sources. All other
+                          options may change from one run to the next
     rowsPerTask           rows one task reads at most (default 1,000,000): a hot partition is split by offset
 
-Files are read in the tasks; the driver handles one range per transaction and partition.
+Files are read in the tasks; the driver handles one range per file of the log's index.
 """
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
-from urllib.parse import unquote
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -56,13 +57,13 @@ _STORED = ["offset", "timestamp", "key", "value", "headers"]
 
 @dataclass
 class LogSlice:
-    """Offsets [start, stop) of one partition and the folders that hold them."""
+    """Offsets [start, stop) of one partition and the files that hold them."""
 
     topic_uri: str
     partition: int
     start: int
     stop: int
-    folders: list[str]
+    files: list[str]
 
 
 class LogTask(pds.InputPartition):
@@ -138,56 +139,73 @@ def _given(text: str) -> dict[str, int]:
 
 
 class LogIndex:
-    """Committed ranges of a log by partition; `refresh` picks up new transactions."""
+    """Committed files of a log by partition; `refresh` picks up new transactions and parts of the index.
+
+    What is read are the parts that the newest manifest names, each once, and the ranges of transactions that are not in
+    them yet, of which there are few.
+    """
 
     def __init__(self, path: str):
         self.fs, self.root = _filesystem(path.rstrip("/"))
-        self.known: set[str] = set()
-        self.manifest = 0
+        self.opened: dict[str, list[tuple[str, int, int, str]]] = {}
         self.ranges: dict[str, list[tuple[int, int, str]]] = {}
 
     def _names(self, folder: str) -> list[str]:
         found = self.fs.get_file_info(pafs.FileSelector(f"{self.root}/{folder}", allow_not_found=True))
         return sorted(f.base_name for f in found)
 
-    def _read_manifest(self) -> list[str]:
-        """After a compaction, forget what is known and begin with the transactions that hold the rows now."""
-        numbers = [int(n) for n in self._names("manifest") if n.isdigit()]
-        if not numbers or max(numbers) == self.manifest:
-            return []
-        with self.fs.open_input_stream(f"{self.root}/manifest/{max(numbers)}") as f:
-            content = json.loads(f.readall().decode("utf-8"))
-        self.manifest, self.known, self.ranges = max(numbers), set(content["replaced"]), {}
-        return content["live"]
+    def _manifest(self) -> int:
+        return max((int(n) for n in self._names("manifest") if n.isdigit()), default=0)
+
+    def _snapshot(self) -> tuple[list[str], list[str]]:
+        """Folders of ranges: parts, and transactions of their own; both from one moment."""
+        while True:
+            number, known = self._manifest(), {"parts": [], "moving": []}
+            if number:
+                with self.fs.open_input_stream(f"{self.root}/manifest/{number}") as f:
+                    known = json.loads(f.readall().decode("utf-8"))
+            commits = self._names("commits")
+            if self._manifest() == number:
+                own = [t for t in commits if t not in set(known["moving"]) and not t.startswith(".")]
+                return [f"index/{name}" for name, _ in known["parts"]], [f"ranges/txn={t}" for t in own]
+
+    def _open(self, folder: str) -> list[tuple[str, int, int, str]]:
+        out = []
+        for n in self._names(folder):
+            if n.endswith(".parquet"):
+                for r in pq.ParquetFile(f"{self.root}/{folder}/{n}", filesystem=self.fs).read().to_pylist():
+                    txn = r["txn"] if "txn" in r else folder.removeprefix("ranges/txn=")
+                    out.append((name_of(r["topic_uri"], r["partition"]), r["first_offset"], r["next_offset"], f"{self.root}/data/txn={txn}/{r['file']}"))
+        return out
 
     def refresh(self) -> None:
-        for txn in self._read_manifest() + self._names("commits"):
-            if txn in self.known or txn.startswith("."):
-                continue
-            folders = {}
-            for t in self._names(f"data/txn={txn}"):
-                if t.startswith("topic_uri="):
-                    for p in self._names(f"data/txn={txn}/{t}"):
-                        uri = unquote(t.removeprefix("topic_uri="))
-                        folders[name_of(uri, int(p.removeprefix("partition=")))] = f"{self.root}/data/txn={txn}/{t}/{p}"
-            files = [f"{self.root}/ranges/txn={txn}/{n}" for n in self._names(f"ranges/txn={txn}") if n.endswith(".parquet")]
-            for f in files:
-                for r in pq.read_table(f, filesystem=self.fs).to_pylist():
-                    name = name_of(r["topic_uri"], r["partition"])
-                    self.ranges.setdefault(name, []).append((r["first_offset"], r["next_offset"], folders[name]))
-            self.known.add(txn)
+        parts, own = self._snapshot()
+        wanted = parts + own
+        if list(self.opened) == wanted:
+            return
+        self.opened = {f: self.opened[f] if f in self.opened else self._open(f) for f in wanted}
+        self.ranges = {}
+        for rows in self.opened.values():
+            for name, first, nxt, file in rows:
+                self.ranges.setdefault(name, []).append((first, nxt, file))
+        for found in self.ranges.values():
+            found.sort()
 
     def bounds(self) -> dict[str, tuple[int, int]]:
-        return {n: (min(r[0] for r in rs), max(r[1] for r in rs)) for n, rs in self.ranges.items()}
+        return {n: (rs[0][0], max(r[1] for r in rs)) for n, rs in self.ranges.items()}
 
     def slices(self, name: str, start: int, stop: int, rows: int) -> list[LogSlice]:
+        """Pieces of [start, stop) with the files that hold them; files of a partition lie one behind the other."""
         uri, part = _split_name(name)
+        found = self.ranges.get(name, [])
+        firsts = [r[0] for r in found]
         out = []
         for low in range(start, stop, rows):
             high = min(low + rows, stop)
-            folders = [f for first, nxt, f in self.ranges.get(name, []) if first < high and nxt > low]
-            if folders:
-                out.append(LogSlice(uri, part, low, high, folders))
+            first = max(0, bisect_right(firsts, low) - 1)
+            files = [f for _, nxt, f in found[first : bisect_left(firsts, high)] if nxt > low]
+            if files:
+                out.append(LogSlice(uri, part, low, high, files))
         return out
 
 
@@ -281,16 +299,14 @@ def _read(path: str, task: LogTask):
     filesystem, _ = _filesystem(path)
     for piece in task.slices:
         wanted = (pc.field("offset") >= piece.start) & (pc.field("offset") < piece.stop)
-        for folder in piece.folders:
-            files = ds.dataset(folder, filesystem=filesystem, format="parquet")
-            for batch in files.to_batches(columns=_STORED, filter=wanted):
-                if batch.num_rows == 0:
-                    continue
-                columns = [pa.array([piece.topic_uri] * batch.num_rows, pa.string()),
-                           pa.array([piece.partition] * batch.num_rows, pa.int32())]
-                for name in _STORED:
-                    columns.append(batch.column(name).cast(_ARROW.field(name).type))
-                yield pa.RecordBatch.from_arrays(columns, schema=_ARROW)
+        for batch in ds.dataset(piece.files, filesystem=filesystem, format="parquet").to_batches(columns=_STORED, filter=wanted):
+            if batch.num_rows == 0:
+                continue
+            columns = [pa.array([piece.topic_uri] * batch.num_rows, pa.string()),
+                       pa.array([piece.partition] * batch.num_rows, pa.int32())]
+            for name in _STORED:
+                columns.append(batch.column(name).cast(_ARROW.field(name).type))
+            yield pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
 
 def _stops(options: dict, bounds: dict[str, tuple[int, int]]) -> dict[str, int]:
@@ -367,32 +383,55 @@ class Positions:
     Spark tells a source where a micro-batch starts, but not where the last one ended when it asks for the next end.
     A file is written before Spark records the same end, so after a failure it is at most ahead of Spark's record;
     the rows between are still read, because Spark's own start counts for reading. Nothing ever goes back.
+
+    The folder goes by the source's name alone: rates, patterns, registries, tasks may be others in the next run. Without
+    a file of its own (a query that had no option `checkpoint` before) a source takes over what Spark has recorded.
     """
 
     def __init__(self, checkpoint: str, options: dict):
-        own = {k: v for k, v in sorted(options.items()) if k not in ("rowspertask", "pausedfile", "maxrowsperbatch", "rowspersecond")}
-        name = hashlib.sha256(json.dumps(own).encode()).hexdigest()[:16]
-        self.fs, root = _filesystem(checkpoint.rstrip("/"))
-        self.folder = f"{root}/topiclog-{name}"
-
-    def _numbers(self) -> list[int]:
-        found = self.fs.get_file_info(pafs.FileSelector(self.folder, allow_not_found=True))
+        name = options.get("sourcename")
+        self.fs, self.checkpoint = _filesystem(checkpoint.rstrip("/"))
+        self.folder = f"{self.checkpoint}/topiclog-{quote(name, safe='') if name else 'source'}"
+        #: What the source is about, by which two sources of one name are told apart.
+        self.scope = {k: options[k] for k in ("path", "topics", "topicpattern", "cluster", "streamregistry", "streamids", "streampattern") if options.get(k)}
+
+    def _numbers(self, folder: str) -> list[int]:
+        found = self.fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
         return sorted(int(f.base_name) for f in found if f.base_name.isdigit())
 
+    def _text(self, path: str) -> str:
+        with self.fs.open_input_stream(path) as f:
+            return f.readall().decode("utf-8")
+
     def load(self) -> dict[str, int] | None:
-        numbers = self._numbers()
-        if not numbers:
+        """Where the last run has planned to; None for a query of which Spark has recorded nothing yet. A file that is
+        there even so is from a run that ended at once, or belongs to another source, which is refused."""
+        numbers, recorded = self._numbers(self.folder), self._numbers(f"{self.checkpoint}/offsets")
+        last = json.loads(self._text(f"{self.folder}/{numbers[-1]}")) if numbers else None
+        if not recorded:
+            if last and last["scope"] != self.scope:
+                raise ValueError("another source of this query keeps its positions under the same name; give each an option sourceName")
             return None
-        with self.fs.open_input_stream(f"{self.folder}/{numbers[-1]}") as f:
-            return json.loads(f.readall().decode("utf-8"))
+        return last["positions"] if last else self._recorded()
+
+    def _recorded(self) -> dict[str, int] | None:
+        """The furthest positions in Spark's own record, which has a line for each source behind two others."""
+        furthest: dict[str, int] = {}
+        for n in self._numbers(f"{self.checkpoint}/offsets"):
+            lines = [json.loads(x) for x in self._text(f"{self.checkpoint}/offsets/{n}").splitlines()[2:] if x.startswith("{")]
+            if len(lines) > 1:
+                raise ValueError("positions of one of several sources are not known; run it with the options it had before")
+            for name, offset in (lines[0] if lines else {}).items():
+                furthest[name] = max(offset, furthest.get(name, 0))
+        return furthest or None
 
     def save(self, positions: dict[str, int]) -> None:
         """As a new file under a temporary name that is then moved, so a reader never sees half of one."""
-        numbers = self._numbers()
+        numbers = self._numbers(self.folder)
         self.fs.create_dir(self.folder, recursive=True)
         new = numbers[-1] + 1 if numbers else 0
         with self.fs.open_output_stream(f"{self.folder}/.{new}") as f:
-            f.write(json.dumps(positions).encode())
+            f.write(json.dumps({"scope": self.scope, "positions": positions}).encode())
         self.fs.move(f"{self.folder}/.{new}", f"{self.folder}/{new}")
         for old in numbers[:-1]:
             self.fs.delete_file(f"{self.folder}/{old}")
@@ -412,23 +451,27 @@ class LogStreamReader(pds.DataSourceStreamReader):
             raise ValueError("a stream with a cap, a paused file, a registry or fixed partitions needs the option checkpoint to resume from")
         self.stored = Positions(options["checkpoint"], options) if options.get("checkpoint") else None
         self.position: dict[str, int] | None = None
+        self.starts: dict[str, int] | None = None
 
     def _look(self) -> dict[str, tuple[int, int]]:
         self.index.refresh()
         self.wanted.refresh()
         return {n: b for n, b in self.index.bounds().items() if self.wanted.includes(n)}
 
+    def _begin(self, bounds: dict[str, tuple[int, int]]) -> None:
+        """Spark asks for the first end before it asks for the start; both must mean the same moment."""
+        if self.starts is None:
+            self.starts = _starts(self.options, bounds)
+            self.position = self.stored.load() if self.stored is not None else None
+
     def initialOffset(self) -> dict:
-        starts = _starts(self.options, self._look())
-        if self.stored is not None and self.stored.load() is None:
-            self.stored.save(starts)
-        return starts
+        self._begin(self._look())
+        return self.starts
 
     def latestOffset(self) -> dict:
         bounds = self._look()
-        if self.position is None and self.stored is not None:
-            self.position = self.stored.load()
-        before = self.position if self.position is not None else _starts(self.options, bounds)
+        self._begin(bounds)
+        before = self.position if self.position is not None else self.starts
         end = dict(before)
         available, paused = {}, self.wanted.paused()
         for n, (first, nxt) in bounds.items():
@@ -447,6 +490,8 @@ class LogStreamReader(pds.DataSourceStreamReader):
         return end
 
     def partitions(self, start: dict, end: dict):
+        if any(end.get(n, -1) < offset for n, offset in start.items()):
+            raise ValueError("the source would go back behind rows it has read; give it the option checkpoint, which keeps positions")
         self.index.refresh()
         rows = int(self.options.get("rowspertask", SLICE_ROWS))
         bounds = self.index.bounds()

@@ -64,3 +64,13 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 def delete(spark: SparkSession, path: str) -> bool:
     p, fs = _path(spark, path)
     return fs.delete(p, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> bool:
+    """Move a file, unless it was moved before; its new folder is made."""
+    p, fs = _path(spark, path)
+    if not fs.exists(p):
+        return False
+    target, _ = _path(spark, to)
+    fs.mkdirs(target.getParent())
+    return fs.rename(p, target)

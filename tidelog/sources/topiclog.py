@@ -1,15 +1,23 @@
 """The stored topic log: parquet by transaction, topic and partition, visible through commit markers.
 
     <root>/data/txn=<id>/topic_uri=<uri>/partition=<n>/*.parquet     rows, sorted by offset
-    <root>/ranges/txn=<id>/*.parquet                                 offsets a transaction added, per partition
+    <root>/ranges/txn=<id>/*.parquet                                 one row for each of these files: offsets and times
+    <root>/open/<id>                                                 empty file: the transaction has been begun
     <root>/commits/<id>                                              empty file; its creation commits
-    <root>/manifest/<n>                                              JSON: which transactions hold the rows of others
+    <root>/done/<id>, replaced/<id>                                  markers whose transaction is in the index, or was
+    <root>/aborted/<id>                                              begun, and dropped again
+    <root>/index/<part>/*.parquet                                    ranges of many transactions
+    <root>/manifest/<n>                                              JSON: the parts of the index; the newest counts
 
 A transaction is visible from the moment its marker exists. Writing the same transaction again replaces what was
-staged, or does nothing once committed, so a replayed batch is never doubled (K01, K04-K06, S27).
-
-`compact` writes the rows of many transactions, with their offsets, into one. The manifest that says so appears by one
-move, so a reader sees either the many or the one. Replaced transactions still count as committed.
+staged, or does nothing once committed, so a replayed batch is never doubled (K01, K04-K06, S27). Its state is always
+written down, and never guessed from the presence of files: `state`.
+
+`fold` puts the ranges of many transactions into one part of the index, and parts into larger ones, by tiers, so that
+planning opens some FAN files for each tenfold of transactions. `compact` does the same with the rows: it writes those
+of many small transactions, with their offsets, into one, and products of a level into one of the next, so that a row is
+rewritten a logarithmic number of times. Either appears by one move of a manifest. Markers go from `commits` to `done`
+afterwards; the manifest names those that may not have gone yet, so a reader counts each transaction once.
 """
 
 from __future__ import annotations
@@ -21,13 +29,18 @@ from pyspark.sql import functions as F
 
 from tidelog.constants import LOG_COLUMNS, LOG_DDL
 from tidelog.operators.ordered import offset_slice, rank
-from tidelog.operators.small import checked_broadcast
+from tidelog.operators.small import MAX_ROWS, checked_broadcast
 from tidelog.sources import files
 
 RANGES_DDL = (
     "topic_uri STRING, partition INT, first_offset BIGINT, next_offset BIGINT, n_rows BIGINT, "
-    "min_timestamp TIMESTAMP, max_timestamp TIMESTAMP, txn STRING"
+    "min_timestamp TIMESTAMP, max_timestamp TIMESTAMP, file STRING, txn STRING"
 )
+STAGED, COMMITTED, REPLACED, ABORTED = "staged", "committed", "replaced", "aborted"
+#: Ids of this form are the log's own.
+PRODUCT = "compact-"
+#: Parts (or products) of a tier that become one of the next, and markers that are folded at once.
+FAN, PENDING = 8, 64
 OFFSETS_DDL = "group_id STRING, topic_uri STRING, partition INT, next_offset BIGINT, committed_at TIMESTAMP"
 
 
@@ -38,56 +51,109 @@ class TopicLog:
         self.spark, self.root = spark, root.rstrip("/")
 
     # --- what is there -------------------------------------------------------------------------------------
-    def manifest(self) -> tuple[int, dict[str, list[str]]]:
-        """Number and content of the newest manifest: `live` transactions stand for the `replaced` ones."""
+    def manifest(self) -> tuple[int, dict]:
+        """Number and content of the newest manifest: `parts` of the index with their tiers, `levels` of products, and
+        `moving`, transactions of the index whose markers may still be among `commits`."""
         numbers = sorted(int(n) for n in files.names(self.spark, f"{self.root}/manifest") if n.isdigit())
         if not numbers:
-            return 0, {"live": [], "replaced": []}
+            return 0, {"parts": [], "levels": {}, "moving": []}
         return numbers[-1], json.loads(files.read_text(self.spark, f"{self.root}/manifest/{numbers[-1]}"))
 
+    def _snapshot(self) -> tuple[int, dict, list[str]]:
+        """The manifest, and the committed transactions it does not know; both from one moment."""
+        while True:
+            number, known = self.manifest()
+            commits = files.names(self.spark, f"{self.root}/commits")
+            if self.manifest()[0] == number:
+                moving = set(known["moving"])
+                return number, known, [t for t in commits if t not in moving]
+
+    def is_committed(self, txn: str) -> bool:
+        # markers only move on in this order, so one that moves meanwhile is met as well
+        return any(files.exists(self.spark, f"{self.root}/{at}/{txn}") for at in ("commits", "done", "replaced"))
+
     def committed(self) -> list[str]:
-        """All transactions that were ever committed."""
-        return sorted({*files.names(self.spark, f"{self.root}/commits"), *self.manifest()[1]["replaced"]})
+        """All transactions that were ever committed. To ask for one, use `is_committed`."""
+        return sorted({t for at in ("commits", "done", "replaced") for t in files.names(self.spark, f"{self.root}/{at}")})
 
     def live(self) -> list[str]:
         """The transactions whose files hold the committed rows."""
-        known = self.manifest()[1]
-        replaced = set(known["replaced"])
-        return known["live"] + [t for t in files.names(self.spark, f"{self.root}/commits") if t not in replaced]
+        _, known, pending = self._snapshot()
+        return self._indexed(known) + pending
+
+    def _indexed(self, known: dict) -> list[str]:
+        """Transactions whose files the index lists; names only, one for each transaction that was not compacted."""
+        if not known["parts"]:
+            return []
+        return sorted(r.txn for r in self._parts(known["parts"]).select("txn").distinct().collect())
+
+    def state(self, txn: str) -> str | None:
+        """`staged`, `committed`, `replaced` (its rows are in a product), `aborted`, or None for an unknown one."""
+        if txn.startswith(PRODUCT):
+            return COMMITTED if txn in self.live() else REPLACED if self._with("data", [txn]) else None
+        for state, folders in ((COMMITTED, ("commits", "done")), (REPLACED, ("replaced",)), (STAGED, ("open",)), (ABORTED, ("aborted",))):
+            if any(files.exists(self.spark, f"{self.root}/{at}/{txn}") for at in folders):
+                return state
+        return None
 
     def staged(self) -> list[str]:
-        """Transactions with data but no marker."""
-        done = {*self.committed(), *self.live()}
-        found = [n.removeprefix("txn=") for n in files.names(self.spark, f"{self.root}/data")]
-        return [t for t in found if t not in done]
+        """Transactions that were begun and are neither committed nor aborted."""
+        return [t for t in files.names(self.spark, f"{self.root}/open") if not self.is_committed(t)]
 
     def _load(self, kind: str, ddl: str, txns: list[str]) -> DataFrame:
         base = f"{self.root}/{kind}"
-        have = set(files.names(self.spark, base))  # a transaction may be offsets only
-        paths = [f"{base}/txn={t}" for t in txns if f"txn={t}" in have]
+        paths = [f"{base}/txn={t}" for t in txns]
         if not paths:
             return self.spark.createDataFrame([], ddl)
         return self.spark.read.schema(ddl).option("basePath", base).parquet(*paths)
 
+    def _with(self, kind: str, txns: list[str]) -> list[str]:
+        """Those that have files of this kind; a transaction may be offsets only."""
+        return [t for t in txns if files.exists(self.spark, f"{self.root}/{kind}/txn={t}")]
+
     def read(self, isolation: str = "committed", with_txn: bool = False) -> DataFrame:
         """Rows of committed transactions, or with `uncommitted` of staged ones as well."""
-        txns = self.live()
-        if isolation == "uncommitted":
-            txns = txns + self.staged()
-        df = self._load("data", LOG_DDL + ", txn STRING", txns)
+        _, known, pending = self._snapshot()
+        others = pending + (self.staged() if isolation == "uncommitted" else [])
+        df = self._load("data", LOG_DDL + ", txn STRING", self._indexed(known) + self._with("data", dict.fromkeys(others)))
         return df.select(*LOG_COLUMNS, *(["txn"] if with_txn else []))
 
+    def _parts(self, parts: list) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], RANGES_DDL)
+        return self.spark.read.schema(RANGES_DDL).parquet(*[f"{self.root}/index/{name}" for name, _ in parts])
+
+    def _ranges_of(self, parts: list, txns: list[str]) -> DataFrame:
+        own = self._load("ranges", RANGES_DDL, self._with("ranges", txns))
+        return own if not parts else self._parts(parts).unionByName(own)
+
     def ranges(self) -> DataFrame:
-        return self._load("ranges", RANGES_DDL, self.live())
+        """Offsets and times of every file that holds committed rows."""
+        _, known, pending = self._snapshot()
+        return self._ranges_of(known["parts"], pending)
 
     def bounds(self) -> DataFrame:
-        """Earliest and end offset per partition, from the transaction ranges (no scan of the rows)."""
+        """Earliest and end offset per partition, from the ranges (no scan of the rows)."""
         return self.ranges().groupBy("topic_uri", "partition").agg(
             F.min("first_offset").alias("earliest"), F.max("next_offset").alias("latest"))
 
     def catalog(self) -> DataFrame:
         return self.ranges().select("topic_uri", "partition").distinct()
 
+    def read_files(self, chosen: DataFrame) -> DataFrame:
+        """The rows of some of the files in `ranges`, and no others are opened. With too many to name one by one, all
+        files of their offsets are looked into."""
+        some = chosen.select("txn", "file", "topic_uri", "partition").distinct().limit(MAX_ROWS + 1).collect()
+        if len(some) > MAX_ROWS:
+            side = chosen.select("topic_uri", "partition", F.col("first_offset").alias("_from"), F.col("next_offset").alias("_to"))
+            inside = (F.col("offset") >= F.col("_from")) & (F.col("offset") < F.col("_to"))
+            return self.read().join(side, ["topic_uri", "partition"]).where(inside).select(*LOG_COLUMNS)
+        base = f"{self.root}/data"
+        paths = [f"{base}/txn={r.txn}/{r.file}" for r in some]
+        if not paths:
+            return self.spark.createDataFrame([], LOG_DDL)
+        return self.spark.read.schema(LOG_DDL + ", txn STRING").option("basePath", base).parquet(*paths).select(*LOG_COLUMNS)
+
     # --- writing -------------------------------------------------------------------------------------------
     def assign_offsets(self, outbox: DataFrame, order: list[str]) -> DataFrame:
         """Continue every partition's offsets in `order` (total inside a partition)."""
@@ -105,31 +171,39 @@ class TopicLog:
         Offset assignment leaves rows range-partitioned by topic, partition and order, which is the layout wanted:
         a hot partition is many files, each a sorted run of offsets. `tasks` fixes the number of writers instead.
         """
+        if txn.startswith(PRODUCT):
+            raise ValueError(f"ids that begin with {PRODUCT!r} are the log's own")
+        self._begin(txn)
         rows = self.assign_offsets(outbox, order).select(*LOG_COLUMNS)
         if tasks:
             rows = rows.repartition(tasks, "topic_uri", "partition", offset_slice("offset"))
         self._write(rows, txn)
 
+    def _begin(self, txn: str) -> None:
+        files.create_marker(self.spark, f"{self.root}/open/{txn}")
+        files.delete(self.spark, f"{self.root}/aborted/{txn}")
+
     def _write(self, rows: DataFrame, txn: str) -> None:
         (
             rows.sortWithinPartitions("topic_uri", "partition", "offset")
             .write.mode("overwrite").partitionBy("topic_uri", "partition")
             .parquet(f"{self.root}/data/txn={txn}")
         )
-        written = self._load("data", LOG_DDL + ", txn STRING", [txn]) if self._has_rows(txn) else rows.limit(0)
+        written = self._load("data", LOG_DDL + ", txn STRING", [txn])
         (
-            written.groupBy("topic_uri", "partition").agg(
+            written.select("topic_uri", "partition", "offset", "timestamp", _file_of(txn).alias("file")).groupBy("topic_uri", "partition", "file").agg(
                 F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("next_offset"),
                 F.count(F.lit(1)).alias("n_rows"),
                 F.min("timestamp").alias("min_timestamp"), F.max("timestamp").alias("max_timestamp"),
             ).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/ranges/txn={txn}")
         )
 
-    def _has_rows(self, txn: str) -> bool:
-        return any(n.startswith("topic_uri=") for n in files.names(self.spark, f"{self.root}/data/txn={txn}"))
-
     def commit(self, txn: str) -> bool:
-        return files.create_marker(self.spark, f"{self.root}/commits/{txn}")
+        """Show a transaction; False if it was committed before. Every so many of them are folded into the index."""
+        new = not self.is_committed(txn) and files.create_marker(self.spark, f"{self.root}/commits/{txn}")
+        files.delete(self.spark, f"{self.root}/open/{txn}")
+        self.fold()
+        return new
 
     def append(
         self, outbox: DataFrame, txn: str, order: list[str],
@@ -139,56 +213,101 @@ class TopicLog:
 
         `group_offsets` become visible with the rows, under the same marker (consume-transform-produce).
         """
-        if txn in self.committed():
+        if self.is_committed(txn):
             return False
         self.stage(outbox, txn, order, tasks)
         if group_offsets is not None:
             self.stage_offsets(group_offsets, txn)
         return self.commit(txn)
 
-    def compact(self, at_least: int = 2) -> str | None:
-        """Write the rows of all live transactions into one, unless there are fewer than `at_least`; returns its id.
+    def _settle(self, known: dict) -> None:
+        """Markers of the newest manifest go where they belong, also after a crash, before there is a next one."""
+        for txn in known["moving"]:
+            files.move(self.spark, f"{self.root}/commits/{txn}", f"{self.root}/done/{txn}")
+
+    def _publish(self, number: int, parts: list, levels: dict, moving: list[str]) -> None:
+        content = {"parts": parts, "levels": levels, "moving": moving}
+        files.write_text(self.spark, f"{self.root}/manifest/{number}", json.dumps(content))
+        self._settle(content)
+
+    def fold(self, at_least: int = PENDING) -> str | None:
+        """Put the ranges of committed transactions into the index once there are `at_least` of them; rows stay where
+        they are. Returns the new part."""
+        number, known, pending = self._snapshot()
+        if len(pending) < at_least:
+            return None
+        self._settle(known)
+        taken, tier = [], 0
+        while len(same := [p for p in known["parts"] if p[1] == tier]) + 1 >= FAN:
+            taken, tier = taken + same, tier + 1
+        name = f"part-{number + 1:08d}"
+        self._ranges_of(taken, pending).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/{name}")
+        self._publish(number + 1, [p for p in known["parts"] if p not in taken] + [[name, tier]], known["levels"], pending)
+        return name
+
+    def compact(self, at_least: int = 2, everything: bool = False) -> str | None:
+        """Write the rows of the transactions not compacted yet into one product, unless there are fewer than
+        `at_least`; returns its id. FAN products of a level become one of the next. With `everything` all rows do.
 
         Offsets stay, so readers with positions go on. Files of the replaced transactions stay until `drop_replaced`.
         """
-        number, known = self.manifest()
-        old = self.live()
+        number, known, pending = self._snapshot()
+        levels = known["levels"]
+        small = [t for t in self._indexed(known) if t not in levels] + self._with("data", pending)
+        old, level = list(small), 1
+        if everything:
+            old, level = old + sorted(levels), max([0, *levels.values()]) + 1
         if len(old) < at_least:
             return None
-        txn = f"compact-{number + 1:08d}"
+        while not everything and len(same := [t for t, n in levels.items() if n == level]) + 1 >= FAN:
+            old, level = old + same, level + 1
+        self._settle(known)
+        txn = f"{PRODUCT}{number + 1:08d}"
         rows = self._load("data", LOG_DDL + ", txn STRING", old).select(*LOG_COLUMNS)
         self._write(rows.repartition("topic_uri", "partition", offset_slice("offset")), txn)
-        replaced = sorted({*known["replaced"], *(t for t in old if t not in known["live"])})
-        files.write_text(self.spark, f"{self.root}/manifest/{number + 1}", json.dumps({"live": [txn], "replaced": replaced}))
+        name = f"part-{number + 1:08d}"
+        rest = self._ranges_of(known["parts"], pending).join(F.broadcast(self.spark.createDataFrame([(t,) for t in old], "txn STRING")), "txn", "left_anti")
+        rest.select(*_RANGE_COLUMNS).unionByName(self._load("ranges", RANGES_DDL, [txn])).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/{name}")
+        tier = max([0, *(t for _, t in known["parts"])])
+        self._publish(number + 1, [[name, tier]], {t: n for t, n in levels.items() if t not in old} | {txn: level}, pending)
+        for t in old:
+            files.move(self.spark, f"{self.root}/done/{t}", f"{self.root}/replaced/{t}")
         return txn
 
     def drop_replaced(self) -> list[str]:
-        """Delete the files of replaced transactions, once no reader that began before `compact` is left; returns them."""
-        known = self.manifest()[1]
-        keep = {*self.live()}
-        older = [t for t in (n.removeprefix("txn=") for n in files.names(self.spark, f"{self.root}/data"))
-                 if t not in keep and (t in set(known["replaced"]) or t.startswith("compact-"))]
+        """Delete the files of replaced transactions and of products that were never finished, once no reader that
+        began before `compact` is left; returns them. Parts and manifests that no longer count go as well."""
+        number, known, pending = self._snapshot()
+        keep = {*self._indexed(known), *pending, *files.names(self.spark, f"{self.root}/open")}
+        older = [t for t in (n.removeprefix("txn=") for n in files.names(self.spark, f"{self.root}/data")) if t not in keep]
         for txn in older:
             for kind in ("data", "ranges"):
                 files.delete(self.spark, f"{self.root}/{kind}/txn={txn}")
-            files.delete(self.spark, f"{self.root}/commits/{txn}")
+        for name in set(files.names(self.spark, f"{self.root}/index")) - {name for name, _ in known["parts"]}:
+            files.delete(self.spark, f"{self.root}/index/{name}")
+        for name in files.names(self.spark, f"{self.root}/manifest"):
+            if name.isdigit() and int(name) < number:
+                files.delete(self.spark, f"{self.root}/manifest/{name}")
         return older
 
     def abort_lingering(self, prefixes: list[str]) -> list[str]:
         """Drop staged transactions whose id starts with one of `prefixes`; returns their ids."""
         dropped = [t for t in self.staged() if any(t.startswith(f"{p}-") for p in prefixes)]
         for txn in dropped:
+            files.create_marker(self.spark, f"{self.root}/aborted/{txn}")
             for kind in ("data", "ranges", "group_offsets"):
                 files.delete(self.spark, f"{self.root}/{kind}/txn={txn}")
+            files.delete(self.spark, f"{self.root}/open/{txn}")
         return dropped
 
     # --- group offsets -------------------------------------------------------------------------------------
     def stage_offsets(self, offsets: DataFrame, txn: str) -> None:
+        self._begin(txn)
         offsets.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/group_offsets/txn={txn}")
 
     def commit_offsets(self, offsets: DataFrame, txn: str) -> bool:
         """Commit offsets on their own (no rows)."""
-        if txn in self.committed():
+        if self.is_committed(txn):
             return False
         self.stage_offsets(offsets, txn)
         return self.commit(txn)
@@ -203,6 +322,15 @@ class TopicLog:
         return latest_commits(self.offset_commits())
 
 
+_RANGE_COLUMNS = [c.split()[0] for c in RANGES_DDL.split(", ")]
+
+
+def _file_of(txn: str) -> Column:
+    """The name of a row's file below its transaction, as it is on disk; Spark gives it as part of a URI."""
+    escaped = F.substring_index(F.col("_metadata.file_path"), f"/txn={txn}/", -1)
+    return F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
+
+
 def latest_commits(commits: DataFrame) -> DataFrame:
     """Last commit per group and partition wins."""
     return commits.groupBy("group_id", "topic_uri", "partition").agg(

@@ -48,7 +48,7 @@ def write_step(
         txn = transaction_id(prefix, batch_id)
         if guarantee != EXACTLY_ONCE:
             txn = f"{txn}-{uuid.uuid4().hex[:8]}"
-        elif txn in log.committed():
+        elif log.is_committed(txn):
             return
         kept = batch.persist()  # read by the range sample, the write and the progress
         try:

@@ -24,7 +24,7 @@ def write_key_by(
 
     The watermark is written for every partition, next to the rows and under the same marker.
     """
-    if txn in log.committed():
+    if log.is_committed(txn):
         return False
     spark = log.spark
     time = record_time if record_time is not None else F.lit(None).cast("timestamp")
