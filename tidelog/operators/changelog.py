@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.constants import DELETE, INSERT, UPDATE_AFTER, UPDATE_BEFORE
+from tidelog.operators.buffering import buffers
 from tidelog.operators.ordered import last_known, previous_row, range_chunks, rank, slice_hot_groups
 
 TOPIC_KEY = ["topic_uri", "key"]
@@ -146,22 +147,23 @@ def flush_kind(row_kind: Column) -> Column:
     return F.when(row_kind.isin(INSERT, UPDATE_AFTER), UPDATE_AFTER).otherwise(DELETE)
 
 
-def buffered_upsert(
-    changes: DataFrame, writer: list[str], key: list[str], position: str, max_rows: int, columns: list[str],
-) -> DataFrame:
-    """Keep the last change per key inside every buffer of `max_rows` consecutive rows of a writer.
-
-    `position` numbers a writer's rows without gaps. A buffer of N rows holds at most N keys.
-    """
-    if max_rows <= 0:
-        raise ValueError("buffering needs a positive number of rows")
-    buffered = changes.withColumn("flush_no", F.call_function("div", F.col(position), F.lit(max_rows).cast("bigint")))
+def last_changes(buffered: DataFrame, writer: list[str], key: list[str], position: str, columns: list[str]) -> DataFrame:
+    """Of every buffer (`flush_no`) the last change of each key, as an update or a delete."""
     last = buffered.groupBy(*writer, "flush_no", *key).agg(
         F.max_by(F.struct(position, "row_kind", *columns), F.col(position)).alias("_row"))
     out = last.select(*writer, "flush_no", *key, "_row.*")
     return out.withColumn("row_kind", flush_kind(F.col("row_kind")))
 
 
+def buffered_upsert(
+    changes: DataFrame, writer: list[str], key: list[str], position: str, max_keys: int, columns: list[str],
+    slice_rows: int | None = None,
+) -> DataFrame:
+    """What an upsert sink writes that keeps the last change per key in a buffer and empties it when it holds
+    `max_keys` keys, and at the end. `position` orders a writer's rows. See `buffering`."""
+    return last_changes(buffers(changes, writer, key, position, max_keys, slice_rows), writer, key, position, columns)
+
+
 def validate_buffer_options(max_rows: int, interval_ms: int) -> bool:
     """Buffering is on only when both options are set, off when neither is; one alone is an error."""
     if (max_rows > 0) != (interval_ms > 0):

@@ -76,15 +76,27 @@ def k15(spark, sf):
     return fx.out(c.select("topic_uri", "partition", "offset", "change_no", F.col("key").alias("k"), payload.alias("v")))
 
 
-@query("k16_buffered_upsert", fx.sql(
-    "SELECT topic_uri, part, k, flush_no, off, CASE WHEN v IS NULL THEN '-D' ELSE '+U' END AS row_kind, v FROM ("
-    "SELECT *, off // 25 AS flush_no, row_number() OVER (PARTITION BY topic_uri, part, k, off // 25 ORDER BY off DESC) AS rn "
-    "FROM topic_log) WHERE rn = 1 AND k IS NOT NULL"))
+def buffered_sql(max_keys: int) -> str:
+    """Row by row: the row that brings the last distinct key closes its writer's buffer."""
+    return fx.sql(
+        "SELECT topic_uri, part, k, flush_no, off, CASE WHEN v IS NULL THEN '-D' ELSE '+U' END AS row_kind, v FROM ("
+        "SELECT r.*, w.flush_no, row_number() OVER (PARTITION BY r.topic_uri, r.part, r.k, w.flush_no ORDER BY r.off DESC) AS rn "
+        "FROM keyed r JOIN walk w ON w.topic_uri = r.topic_uri AND w.part = r.part AND w.i = r.i) WHERE rn = 1",
+        "keyed AS (SELECT *, row_number() OVER (PARTITION BY topic_uri, part ORDER BY off) AS i FROM topic_log WHERE k IS NOT NULL)",
+        "walk AS (SELECT DISTINCT topic_uri, part, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS flush_no, CAST([] AS VARCHAR[]) AS held, "
+        "CAST(0 AS BIGINT) AS next_no FROM keyed UNION ALL "
+        "SELECT r.topic_uri, r.part, r.i, w.next_no, CASE WHEN filled THEN [] ELSE now END, w.next_no + filled::INT FROM ("
+        "SELECT w.*, r.i AS at, CASE WHEN list_contains(held, r.k) THEN held ELSE list_append(held, r.k) END AS now, "
+        f"len(now) >= {max_keys} AS filled FROM walk w JOIN keyed r ON r.topic_uri = w.topic_uri AND r.part = w.part AND r.i = w.i + 1) w "
+        "JOIN keyed r ON r.topic_uri = w.topic_uri AND r.part = w.part AND r.i = w.at)").replace("WITH b AS", "WITH RECURSIVE b AS", 1)
+
+
+@query("k16_buffered_upsert", buffered_sql(10))
 def k16(spark, sf):
-    """Only the last change per key inside every buffer of 25 rows."""
+    """Only the last change per key of every buffer, which is emptied when it holds ten keys."""
     log = fx.topic_log(spark, sf).where(F.col("key").isNotNull()).withColumn(
         "row_kind", F.when(F.col("value").isNull(), "-D").otherwise("+I"))
-    flushed = changelog.buffered_upsert(log, ["topic_uri", "partition"], ["key"], "offset", 25, ["value"])
+    flushed = changelog.buffered_upsert(log, ["topic_uri", "partition"], ["key"], "offset", 10, ["value"])
     return fx.out(flushed.select("topic_uri", "partition", F.col("key").alias("k"), "flush_no", "offset", "row_kind",
                                  F.col("value").alias("v")))
 

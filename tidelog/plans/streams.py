@@ -14,7 +14,7 @@ from tidelog.plans import fixture as fx
 from tidelog.plans.catalog import query
 from tidelog.plans.measures import _SEEN
 from tidelog.plans.scans import AT, AT_SQL
-from tidelog.plans.state import CHANGES, LATEST
+from tidelog.plans.state import CHANGES, LATEST, buffered_sql
 from tidelog.plans.writing import _rows, new_log
 from tidelog.session import scratch_dir
 from tidelog.sources import datasource, files
@@ -24,7 +24,7 @@ from tidelog.streaming import shuffle
 from tidelog.streaming.reports import BatchReports, observed
 from tidelog.streaming.tables import BatchTable
 from tidelog.streaming.temporal import live_as_of_join
-from tidelog.streaming.upsert import CHANGE_DDL, UpsertTable, live_buffered_upsert, live_changelog
+from tidelog.streaming.upsert import CHANGE_DDL, BufferedUpsert, UpsertTable, live_changelog
 from tidelog.streaming.watermarks import PartitionWatermarks, TumblingCounts
 
 _ROW = "topic_uri, part, off, ts, k, v"
@@ -327,18 +327,20 @@ def x05(spark, sf):
                                  F.col("value").alias("v")))
 
 
-@query("x06_live_buffered_upsert", fx.sql(
-    "SELECT topic_uri, part, k, flush_no, off, CASE WHEN v IS NULL THEN '-D' ELSE '+U' END AS row_kind, v FROM ("
-    "SELECT *, off // 40 AS flush_no, row_number() OVER (PARTITION BY topic_uri, part, k, off // 40 ORDER BY off DESC) AS rn "
-    "FROM topic_log) WHERE rn = 1 AND k IS NOT NULL"))
+@query("x06_live_buffered_upsert", buffered_sql(7))
 def x06(spark, sf):
-    root = scratch_dir(spark, "buffered")
+    """The buffers of every partition carried over several micro-batches, and drained at the end of the input."""
+    root, checkpoint = scratch_dir(spark, "buffered"), scratch_dir(spark, "buffered-cp")
+    out = f"{root}/out"
+    sink = BufferedUpsert(
+        spark, f"{root}/state", ["topic_uri", "partition"], ["key"], "offset", 7, ["value"],
+        "topic_uri STRING, partition INT, key BINARY, offset BIGINT, row_kind STRING, value BINARY",
+        lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch={i}"))
     kind = F.when(F.col("value").isNull(), "-D").otherwise("+I")
-    live_buffered_upsert(
-        stream_of(spark, fx.store(spark, sf)).withColumn("row_kind", kind),
-        lambda df, i: df.write.mode("overwrite").parquet(f"{root}/batch={i}"),
-        scratch_dir(spark, "buffered-cp"), ["value"], 40).awaitTermination()
-    return fx.out(spark.read.parquet(root).select(
+    stream = stream_of(spark, fx.store(spark, sf), maxRowsPerBatch=_rate(spark, sf), checkpoint=checkpoint)
+    run_capped(stream.where(F.col("key").isNotNull()).withColumn("row_kind", kind), sink.step, checkpoint)
+    sink.drain()
+    return fx.out(spark.read.parquet(out).select(
         "topic_uri", "partition", F.col("key").alias("k"), "flush_no", "offset", "row_kind", F.col("value").alias("v")))
 
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidelog.constants import DELETE, INSERT, LOG_COLUMNS, LOG_DDL, UPDATE_AFTER, UPDATE_BEFORE
-from tidelog.operators.changelog import buffered_upsert
+from tidelog.operators.buffering import buffers
+from tidelog.operators.changelog import last_changes
 from tidelog.session import ship_package
 from tidelog.streaming.tables import BatchTable
 
@@ -72,19 +73,59 @@ def live_changelog(stream: DataFrame, skip_unchanged: bool = True) -> DataFrame:
         statefulProcessor=LastValue(skip_unchanged), outputStructType=CHANGE_DDL, outputMode="append", timeMode="None")
 
 
-def live_buffered_upsert(
-    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, columns: list[str],
-    max_rows: int, interval: str | None = None,
-) -> StreamingQuery:
-    """Flush the last change per key whenever `interval` has passed (the trigger) or `max_rows` rows are buffered."""
-    def step(batch: DataFrame, batch_id: int) -> None:
-        flushed = buffered_upsert(batch, ["topic_uri", "partition"], ["key"], "offset", max_rows, columns)
-        write(flushed, batch_id)
+class BufferedUpsert:
+    """An upsert sink's buffers in a stream: each writer's is emptied when it holds `max_keys` keys, or when `interval`
+    seconds have passed since it was last emptied.
 
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return (
-        stream.where(F.col("key").isNotNull()).writeStream.foreachBatch(step)
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    What is buffered at the end of a micro-batch, the last change of each key, goes on to the next one: a table of the
+    folder `root`, one state a micro-batch, so that a replayed one begins with the state it began with before. The
+    position of a carried change stands before all later ones of its writer. Flushes are numbered per writer.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, writer: list[str], key: list[str], position: str, max_keys: int, columns: list[str],
+        schema: str, write: Callable[[DataFrame, int], None], interval: float | None = None, clock: Callable[[], float] = time.time,
+    ):
+        self.writer, self.key, self.position, self.max_keys, self.columns = writer, key, position, max_keys, columns
+        self.write, self.interval, self.clock = write, interval, clock
+        self.rows = [*writer, *key, position, "row_kind", *columns]
+        self.state = BatchTable(spark, root, f"{schema}, next_no BIGINT, since DOUBLE")
+
+    def step(self, batch: DataFrame, batch_id: int) -> None:
+        """The body of a foreachBatch; `batch` has the writer, key, position and other columns, and `row_kind`."""
+        now = self.clock()
+        before = self.state.before(batch_id)
+        changes = before.select(*self.rows, "next_no", "since").where("row_kind IS NOT NULL").unionByName(
+            batch.select(*self.rows), allowMissingColumns=True)
+        numbered = buffers(changes.drop("next_no", "since"), self.writer, self.key, self.position, self.max_keys)
+        known = before.groupBy(*self.writer).agg(F.max("next_no").alias("next_no"), F.max("since").alias("since"))
+        whole = F.count_distinct(*self.key) >= self.max_keys
+        sizes = numbered.groupBy(*self.writer, "flush_no").agg(whole.alias("whole"))
+        last = F.coalesce("since", F.lit(now))
+        late = F.lit(False) if self.interval is None else last <= now - self.interval
+        told = sizes.join(known, self.writer, "left").withColumn("goes", F.col("whole") | late)
+        shift = F.coalesce("next_no", F.lit(0))
+        kept = numbered.join(told.select(*self.writer, "flush_no", "goes", shift.alias("shift")), [*self.writer, "flush_no"]).persist()
+        try:
+            flushed = kept.where("goes").withColumn("flush_no", F.col("flush_no") + F.col("shift"))
+            self.write(last_changes(flushed, self.writer, self.key, self.position, self.columns), batch_id)
+            open_rows = kept.where("NOT goes").groupBy(*self.writer, *self.key).agg(F.max_by(F.struct(self.position, "row_kind", *self.columns), F.col(self.position)).alias("_row"))
+            counts = told.groupBy(*self.writer).agg(F.count_if("goes").alias("_gone"))
+            marks = counts.join(known, self.writer, "full").select(
+                *self.writer, (F.coalesce("next_no", F.lit(0)) + F.coalesce("_gone", F.lit(0))).alias("next_no"),
+                F.when(F.col("_gone") > 0, F.lit(now)).otherwise(last).alias("since"))
+            # a writer with nothing buffered keeps its number and time in a row without a change
+            left = marks.join(open_rows.select(*self.writer, *self.key, "_row.*"), self.writer, "left")
+            self.state.write(left.select(*self.rows, "next_no", "since"), batch_id)
+        finally:
+            kept.unpersist()
+        self.state.trim()
+
+    def drain(self) -> None:
+        """Empty all buffers at the end of the input."""
+        batch_id = max(self.state.done(), default=-1) + 1
+        rest = self.state.latest().where("row_kind IS NOT NULL").withColumn("flush_no", F.col("next_no"))
+        self.write(last_changes(rest, self.writer, self.key, self.position, self.columns), batch_id)
 
 
 class UpsertTable:
