@@ -11,6 +11,7 @@ import public_tokenizers as P
 import pyarrow as pa
 import pytest
 import tiktoken
+import xxhash
 from conftest import SF
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -334,7 +335,9 @@ def test_packing_query(spark, small_pairs):
 
 def check_files(found, pairs):
     t, start, want = library("byte_bpe_50k.json"), 0, []
-    for i, x in sorted(pairs, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+    # rows of one id come by a hash of their text
+    text_hash = lambda x: int(np.uint64(xxhash.xxh64_intdigest((x or "").encode(), 42)).astype(np.int64))
+    for i, x in sorted(pairs, key=lambda r: (r[0] is not None, r[0] or 0, text_hash(r[1]))):
         own = np.array(t.encode(x or "", add_special_tokens=False).ids + [2], "<u4")
         want.append((i, start, len(own), own.tobytes()))
         start += len(own)
@@ -372,6 +375,45 @@ def test_arrow_files_query(spark, small_pairs):
     assert bag(arrow_files.op10_arrow_stream_files(spark, SF)) == want
 
 
+def test_long_pieces_are_not_remembered():
+    """What a worker holds is bounded in bytes, whatever the length of pieces."""
+    memory = tokens.Memory(lambda p: p.encode() * 2, 1 << 20)
+    for i in range(30_000):
+        assert memory[f"{i:06d}"] == f"{i:06d}".encode() * 2
+        assert memory["x" * 2000 + str(i)].endswith(str(i).encode())
+        memory.trim()
+        assert memory.held <= (1 << 20) + 400
+    assert max(map(len, [*memory, *memory.old])) <= tokens.LONGEST
+    learnt = merge_replay.Learnt(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    long = ["word" * 50 + str(i) for i in range(5)]
+    learnt.learn({"short", *long})
+    assert set(learnt) == {"short"} and set(learnt.long) == set(long)
+    assert learnt[long[0]] == learnt.long[long[0]]
+
+
+def test_names_of_regular_strings():
+    """Thue-Morse words and their mirrors, which sums of bytes cannot tell apart."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+        mirror = word.translate(str.maketrans("ab", "ba"))
+        data = np.frombuffer((word + mirror).encode(), np.uint8)
+        begin = np.array([0, len(word)])
+        for family in (0, 1):
+            one, two = names.names_between(data, begin, begin + len(word), family)
+            assert one != two
+            one, two = names.names_between(names.mix(data.astype(np.uint64)), begin, begin + len(word), family)
+            assert one != two
+    counts = features.measure([f"{word}\n{mirror}".encode()])
+    assert counts["n_dup_lines"].tolist() == [0] and counts["n_distinct_words"].tolist() == [2]
+
+
+def test_keep_one_with_clashing_columns(spark):
+    text = " ".join(map(str, range(30)))
+    docs = spark.createDataFrame([(1, text, 0, 0), (2, text, 1, 1), (None, text, 2, 2)], "doc_id long, text string, gone long, _gone long")
+    assert sorted(r._gone for r in jaccard_join.keep_one(docs).collect()) == [0, 2]
+
+
 # 5: classifier
 
 

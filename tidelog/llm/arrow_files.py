@@ -16,6 +16,7 @@ replaces a file by an equal one and a reader never sees half of one.
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidelog.llm.common import documents, durable_table, give_back, partitions, scratch_dir, ship, two_columns
-from tidelog.llm.tokens import library_ids_by_piece, tokenizer
+from tidelog.llm.tokens import forget, library_ids_by_piece, tokenizer
 
 #: Sequences in a batch; ids in a file, after which a range goes on in another file.
 BATCH, SHARD = 64, 1 << 24
@@ -64,12 +65,15 @@ class Shard:
         self.parts: list[np.ndarray] = []
         self.sizes: list[int] = []
         self.waiting = self.total = 0
-        self.doc_ids: list[int | None] = []
+        self.doc_ids, self.nulls = array("q"), 0  # null ids come first
 
     def add(self, doc_id: int | None, ids: bytes) -> tuple[int, int]:
         """Returns where the document begins in the file, and its number of ids."""
         x = np.frombuffer(ids, "<u4").astype(self.kind)
-        self.doc_ids.append(doc_id)
+        if doc_id is None:
+            self.nulls += 1
+        else:
+            self.doc_ids.append(doc_id)
         self.parts.append(x)
         self.sizes.append(len(x))
         self.waiting += len(x)
@@ -101,7 +105,8 @@ class Shard:
             self._write(-(-self.waiting // self.length))
         self.stream.close()
         with pa.ipc.new_stream(self.file, _DOCUMENTS) as s:
-            s.write_batch(pa.RecordBatch.from_arrays([pa.array(self.doc_ids, pa.int64())], schema=_DOCUMENTS))
+            ids = pa.concat_arrays([pa.nulls(self.nulls, pa.int64()), pa.array(np.frombuffer(self.doc_ids, np.int64))])
+            s.write_batch(pa.RecordBatch.from_arrays([ids], schema=_DOCUMENTS))
         self.file.close()
         self.system.move(self.temporary, self.final)
 
@@ -113,7 +118,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: in
 
     def done(s: Shard) -> pa.RecordBatch:
         s.close()
-        return pa.RecordBatch.from_arrays([pa.array([s.name]), pa.array([len(s.doc_ids)], pa.int64()), pa.array([s.total], pa.int64())], names=["shard", "n_docs", "n_tokens"])
+        return pa.RecordBatch.from_arrays([pa.array([s.name]), pa.array([s.nulls + len(s.doc_ids)], pa.int64()), pa.array([s.total], pa.int64())], names=["shard", "n_docs", "n_tokens"])
 
     for batch in batches:
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), library_ids_by_piece(path, batch.column("text")), strict=True):
@@ -132,55 +137,87 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: in
 def write(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", length: int = 2048) -> DataFrame:
     """Write the ids of all texts below `folder`; returns the manifest `shard, n_docs, n_tokens, start`.
 
-    Shards in the order of their names hold ascending ids (null ids first; rows of equal id by their text). Every
+    Shards in the order of their names hold ascending ids (null ids first; rows of equal id by a hash of their text, so
+    that a third of all rows may have one id, or none, and still fill many shards). Every
     document is followed by `end_id`; a null or empty text is that alone. An empty table has no shards.
     """
     spark = docs.sparkSession
     ship(spark)
     rows = two_columns(docs, id_col, text_col)
-    laid = rows.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    order = [F.col("doc_id"), F.xxhash64("text")]
+    laid = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
     write_shards = partial(_write, folder=folder, path=path, end_id=end_id, length=length)
     manifest = durable_table(laid.mapInArrow(write_shards, "shard string, n_docs long, n_tokens long"), "manifest")
-    # one row per file, so the running sum is over as many rows as there are files
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long"))
+    # sums over the tasks, one row each, and over the files of a task
+    named = manifest.withColumn("task", F.substring("shard", 1, 8))
+    earlier = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tasks = named.groupBy("task").agg(F.sum("n_tokens").alias("n_tokens")).select("task", earlier(Window.orderBy("task")).alias("before"))
+    within = named.withColumn("within", earlier(Window.partitionBy("task").orderBy("shard")))
+    return within.join(tasks, "task").select("shard", "n_docs", "n_tokens", (F.col("before") + F.col("within")).cast("long").alias("start"))
 
 
-def open_shard(content) -> tuple[pa.Table, list[int | None]]:
-    """The sequences of a shard file, as views of its bytes, and its documents."""
-    source = pa.BufferReader(content)
-    sequences = pa.ipc.open_stream(source).read_all()
-    return sequences, pa.ipc.open_stream(source).read_all().column("doc_id").to_pylist()
+def _open(system: fs.FileSystem, at: str):
+    return pa.memory_map(at) if isinstance(system, fs.LocalFileSystem) else system.open_input_file(at)
 
 
-def flat(column: pa.ChunkedArray) -> np.ndarray:
-    chunks = [c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]
-    return chunks[0] if len(chunks) == 1 else np.concatenate(chunks)
+def open_shard(source) -> tuple[Iterator[pa.RecordBatch], pa.Array]:
+    """The batches of a shard file, which are views of it where it is mapped, and its documents."""
+    for _ in pa.ipc.open_stream(source):
+        pass  # the documents stand behind the sequences
+    doc_ids = pa.ipc.open_stream(source).read_next_batch().column("doc_id")
+    source.seek(0)
+    return iter(pa.ipc.open_stream(source)), doc_ids
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
+    """Place and ids of each document, from one batch of sequences at a time."""
+    begun, place, parts = 0, 0, []
+    for batch in batches:
+        ids, ends = (batch.column(c).flatten() for c in ("ids", "ends"))
+        ids = ids.to_numpy().astype("<u4")
+        at = 0
+        for end in (np.flatnonzero(ends.to_numpy(zero_copy_only=False)) + 1).tolist():
+            parts.append(ids[at:end].tobytes())
+            yield begun, b"".join(parts)
+            begun, at, parts = place + end, end, []
+        parts.append(ids[at:].tobytes())
+        place += len(ids)
+
+
+_READ = ["shard", "doc_id", "at", "n_tokens", "ids"]
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()  # the same worker may have written
     for batch in batches:
-        for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
-            sequences, doc_ids = open_shard(content.as_buffer())
-            ids, last = flat(sequences.column("ids")), np.flatnonzero(flat(sequences.column("ends"))) + 1
-            first = np.append(0, last[:-1])
-            for lo in range(0, len(doc_ids), 1 << 12):
-                hi = min(lo + (1 << 12), len(doc_ids))
-                spans = list(zip(first[lo:hi].tolist(), last[lo:hi].tolist(), strict=True))
-                columns = [
-                    pa.array([shard] * (hi - lo)), pa.array(doc_ids[lo:hi], pa.int64()), pa.array(first[lo:hi]), pa.array(last[lo:hi] - first[lo:hi]),
-                    pa.array([ids[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["shard", "doc_id", "at", "n_tokens", "ids"])
+        for path in batch.column("path").to_pylist():
+            system, at = _file_system(path)
+            shard = at.rsplit("/", 1)[1].removesuffix(".arrows")
+            with _open(system, at) as source:
+                sequences, doc_ids = open_shard(source)
+                rows, size = [], 0
+                for doc_id, (begun, ids) in zip(doc_ids, _documents(sequences), strict=True):
+                    rows.append((shard, doc_id.as_py(), begun, len(ids) // 4, ids))
+                    size += len(ids)
+                    if size > 1 << 22:
+                        yield _rows(rows)
+                        rows, size = [], 0
+                yield _rows(rows)
+    give_back()
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=_READ)
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """`shard, doc_id, at, n_tokens, ids`: every document in the files, its place in the shard, and its ids as
-    little-endian unsigned 32-bit integers. Files come through Spark's own reader, from any store it knows."""
+    little-endian unsigned 32-bit integers. Spark lists the files and deals them out by size; tasks map or open them, and
+    hold one batch of sequences at a time."""
     ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrows").load(folder)
-    shards = files.select(F.regexp_extract("path", r"([^/]+)\.arrows$", 1).alias("shard"), "content")
-    return shards.mapInArrow(_read, "shard string, doc_id long, at long, n_tokens long, ids binary")
+    return files.select("path").mapInArrow(_read, "shard string, doc_id long, at long, n_tokens long, ids binary")
 
 
 def op10_arrow_stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:

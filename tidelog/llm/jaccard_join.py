@@ -386,8 +386,11 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Similar = Similar()) -> DataFrame:  # noqa: B008
     """`docs` with the smallest id of each group; rows without an id stay."""
-    found = groups(docs, id_col, text_col, rule).filter("doc_id <> component").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+    gone = "gone"
+    while gone in docs.columns:
+        gone += "_"
+    found = groups(docs, id_col, text_col, rule).filter("doc_id <> component").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(found, docs[id_col].cast("long") == found[gone], "left_anti")
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,11 +23,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm.common import documents, ship, two_columns
-from tidelog.llm.tokens import Memory, parts_of, split_at_spaces
+from tidelog.llm.tokens import LONGEST, Memory, parts_of, split_at_spaces
 
 _NONE = np.int32(1 << 30)  # rank of a pair that does not merge
-#: Remembered pieces, and bytes of text whose new words are merged at once.
-REMEMBERED, GROUP = 150_000, 1 << 22
+#: Bytes of remembered pieces, and of text whose new words are merged at once.
+REMEMBERED, GROUP = 32 << 20, 1 << 22
 
 
 class Vocabulary:
@@ -180,16 +180,26 @@ def pieces_of(text: str) -> list[str]:
 
 
 class Learnt(Memory):
-    """Pieces to ids, by one replay over all new pieces of a group."""
+    """Pieces to ids, by one replay over all new pieces of a group. Long ones are kept for the group only."""
 
     def __init__(self, path: str, pattern: str):
         self.v = vocabulary(path, pattern)
-        super().__init__(lambda p: next(encode_pieces(self.v, [p])), REMEMBERED)
+        self.long: dict[str, bytes] = {}
+        super().__init__(self._one, REMEMBERED)
+
+    def _one(self, piece: str) -> bytes:
+        ids = self.long.get(piece)
+        return next(encode_pieces(self.v, [piece])) if ids is None else ids
 
     def learn(self, pieces: set[str]) -> None:
         self.trim()
+        self.long.clear()
         new = [p for p in pieces if p not in self and p not in self.old]
-        self.update(zip(new, encode_pieces(self.v, new), strict=True))
+        for piece, ids in zip(new, encode_pieces(self.v, new), strict=True):
+            if len(piece) <= LONGEST:
+                self.keep(piece, ids)
+            else:
+                self.long[piece] = ids
 
 
 @lru_cache(maxsize=2)

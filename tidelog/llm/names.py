@@ -2,7 +2,9 @@
 
 A value in 2^64 arithmetic is given to every byte (or word), multiplied by a power of an odd base and summed up, so
 the name of [a, b) is a difference of two sums times an inverse power. Equal strings have equal names wherever they
-stand. `strong` adds a second, independent family; names of both together are used where a decision rests on them.
+stand. A second, independent family is added where a decision rests on them. Such sums are equal for some pairs of long
+and regular strings (Thue-Morse words and their mirrors), whatever the base, so strings longer than LONG are named by a
+hash of their own bytes instead.
 """
 
 from __future__ import annotations
@@ -10,11 +12,14 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 #: Sums are taken over at most this many values, apart from single longer strings; and PIECE beginnings at once.
 _USUAL = 1 << 20
 PIECE = _USUAL - (1 << 13)
+#: Bytes (or words) of a string up to which sums name it.
+LONG = 256
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -78,6 +83,14 @@ def bytes_sums(data: np.ndarray, family: int = 0) -> Sums:
 
 def names_between(values: np.ndarray, a: np.ndarray, b: np.ndarray, family: int = 0) -> np.ndarray:
     """Names of [a, b), in bytes or words, with sums over a piece of the values at a time."""
+    long = b - a > LONG
+    if long.any():
+        out = np.empty(len(a), np.uint64)
+        out[~long] = names_between(values, a[~long], b[~long], family)
+        values = np.ascontiguousarray(values)
+        own = (xxhash.xxh64_intdigest(values[x:y], _BASES[family]) for x, y in zip(a[long].tolist(), b[long].tolist(), strict=True))
+        out[long] = np.fromiter(own, np.uint64, int(long.sum()))
+        return out
     if len(a) > 1 and (a[1:] < a[:-1]).any():
         order = np.argsort(a, kind="stable")
         out = np.empty(len(a), np.uint64)

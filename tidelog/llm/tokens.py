@@ -16,8 +16,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces in each of a worker's two generations of remembered pieces; ids do not depend on it.
-REMEMBERED = 250_000
+#: Bytes of each of a worker's two generations of remembered pieces, and the longest piece (in characters or bytes) that
+#: is remembered at all; ids do not depend on either.
+REMEMBERED, LONGEST = 40 << 20, 64
+#: What an entry takes besides its characters and ids.
+_ENTRY = 190
 #: Bytes of text whose pieces are in memory at once.
 PART = 1 << 22
 _SPACES = re.compile(r" \s")
@@ -39,25 +42,32 @@ def tokenizer(path: str):
 class Memory(dict):
     """Piece to ids (little-endian unsigned 32-bit), encoded when first met.
 
-    Two generations: when the new one is full it becomes the old one, and what was not met again since is forgotten.
+    Two generations: when the new one has reached its bytes it becomes the old one, and what was not met again since is
+    forgotten. Long pieces are encoded each time.
     """
 
     def __init__(self, encode: Callable[[str | bytes], bytes], size: int = REMEMBERED):
         super().__init__()
-        self.encode, self.size = encode, size
+        self.encode, self.size, self.held = encode, size, 0
         self.old: dict = {}
 
     def __missing__(self, piece):
         ids = self.old.get(piece)
         if ids is None:
             ids = self.encode(piece)
-        self[piece] = ids
+        if len(piece) <= LONGEST:
+            self.keep(piece, ids)
         return ids
 
+    def keep(self, piece, ids: bytes) -> None:
+        self[piece] = ids
+        self.held += len(piece) + len(ids) + _ENTRY
+
     def trim(self) -> None:
-        if len(self) > self.size:
+        if self.held > self.size:
             self.old = dict(self)
             self.clear()
+            self.held = 0
 
 
 class Library:
@@ -118,6 +128,13 @@ def _pieces(path: str) -> tuple[Library, Memory]:
     return library, Memory(library.piece_behind_space)
 
 
+def forget() -> None:
+    """Let go of all remembered pieces, for a stage that needs none in the same worker."""
+    _words.cache_clear()
+    _pieces.cache_clear()
+    tokenizer.cache_clear()
+
+
 def parts_of(column: pa.Array, size: int = PART) -> Iterator[pa.Array]:
     """Slices of a column of texts or bytes, of about `size` bytes each and one row at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
