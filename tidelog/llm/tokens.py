@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 #: Bytes of each of a worker's two generations of remembered pieces, and the longest piece (in characters or bytes) that
 #: is remembered at all; ids do not depend on either.
-REMEMBERED, LONGEST = 40 << 20, 64
+REMEMBERED, LONGEST = 120 << 20, 64
 #: What an entry takes besides its characters and ids.
 _ENTRY = 190
 #: Bytes of text whose pieces are in memory at once.
@@ -56,7 +56,8 @@ class Memory(dict):
         if ids is None:
             ids = self.encode(piece)
         if len(piece) <= LONGEST:
-            self.keep(piece, ids)
+            self[piece] = ids
+            self.held += len(piece) + len(ids) + _ENTRY
         return ids
 
     def keep(self, piece, ids: bytes) -> None:
@@ -82,6 +83,7 @@ class Library:
         self.spelt = self.full.model.tokenize
         self.lower = lower
         self.words = Memory(self.word)
+        self.spaced = Memory(self.piece_behind_space)
         # byte-level models write a byte that is not a printable character of Latin-1 as 256 and its number among those
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.letters = dict(zip([b for b in range(256) if b not in plain], range(256, 512), strict=False))
@@ -101,7 +103,7 @@ class Library:
         """Ids of `begin`, which is empty or a space, and a piece without spaces."""
         w = p.rstrip(_PUNCTUATION)
         if w.isalpha() and (w.isascii() or (max(w) < "\u0250" and "\u0130" not in w)):
-            ids = self.words[begin + (w.lower() if self.lower else w)]
+            ids = self.spaced[w] if begin else self.words[w.lower() if self.lower else w]
             return ids + self.words[p[len(w) :]] if len(w) < len(p) else ids
         if "\n" in p:
             lines = p.split("\n")
@@ -114,6 +116,8 @@ class Library:
         return self.piece(p.decode())
 
     def piece_behind_space(self, p: str) -> bytes:
+        if p.isalpha() and (p.isascii() or (max(p) < "\u0250" and "\u0130" not in p)):
+            return self.word(" " + p)
         return self.piece(p, " ")
 
 
@@ -124,8 +128,9 @@ def _words(path: str) -> Memory:
 
 @lru_cache(maxsize=2)
 def _pieces(path: str) -> tuple[Library, Memory]:
+    """A library, and its memory of pieces behind a space."""
     library = Library(path, False)
-    return library, Memory(library.piece_behind_space)
+    return library, library.spaced
 
 
 def forget() -> None:
