@@ -29,12 +29,21 @@ def latest_by_key(
     return latest.select(*keys, "_row.*").where(F.col("value").isNotNull())
 
 
-def to_changelog(log: DataFrame, skip_unchanged: bool = True, slice_rows: int | None = None) -> DataFrame:
+CHANGE_KEY = ["topic_uri", "partition", "key"]
+
+
+def to_changelog(
+    log: DataFrame, skip_unchanged: bool = True, slice_rows: int | None = None, known: DataFrame | None = None,
+) -> DataFrame:
     """An upsert topic as +I, -U/+U, -D rows. A tombstone for an unknown key gives nothing, and neither does an
-    update that changes nothing (switch off with `skip_unchanged=False`)."""
-    keys = ["topic_uri", "partition", "key"]
-    keyed = slice_hot_groups(log.where(F.col("key").isNotNull()), keys, rows=slice_rows)
-    seen = previous_row(keyed, keys, ["offset"], "_slice", "_prev", ["value"])
+    update that changes nothing (switch off with `skip_unchanged=False`). `known` are earlier rows, one of a key, that
+    the changes are against; they give none themselves."""
+    keys = CHANGE_KEY
+    rows = log.where(F.col("key").isNotNull()).withColumn("_old", F.lit(False))
+    if known is not None:
+        rows = rows.unionByName(known.withColumn("_old", F.lit(True)))
+    keyed = slice_hot_groups(rows, keys, rows=slice_rows)
+    seen = previous_row(keyed, keys, ["offset"], "_slice", "_prev", ["value"]).where("NOT _old")
     before, after = F.col("_prev.value"), F.col("value")
 
     def change(kind: str, value: Column) -> Column:

@@ -23,8 +23,8 @@ from tidelog.streaming import deliver as dv
 from tidelog.streaming import shuffle
 from tidelog.streaming.reports import BatchReports, observed
 from tidelog.streaming.tables import BatchTable
-from tidelog.streaming.temporal import live_as_of_join
-from tidelog.streaming.upsert import CHANGE_DDL, BufferedUpsert, UpsertTable, live_changelog
+from tidelog.streaming.temporal import LiveAsOfJoin, both_sides
+from tidelog.streaming.upsert import CHANGE_DDL, BufferedUpsert, LiveChangelog, UpsertTable
 from tidelog.streaming.watermarks import PartitionWatermarks, TumblingCounts
 
 _ROW = "topic_uri, part, off, ts, k, v"
@@ -318,10 +318,11 @@ def x01(spark, sf):
 
 @query("x05_live_changelog", fx.sql("SELECT * FROM changes", CHANGES))
 def x05(spark, sf):
-    """The upsert topic normalised live, in several micro-batches, against keyed state."""
+    """The upsert topic normalised live, in several micro-batches, against the last values of their keys."""
     checkpoint, root = scratch_dir(spark, "live-cp"), scratch_dir(spark, "live")
-    stream = stream_of(spark, fx.store(spark, sf), maxRowsPerBatch=_rate(spark, sf) * 2, checkpoint=checkpoint)
-    run_capped(live_changelog(stream), lambda batch, i: batch.write.mode("overwrite").parquet(f"{root}/batch={i}"), checkpoint)
+    stream = stream_of(spark, fx.store(spark, sf), maxRowsPerBatch=_rate(spark, sf), checkpoint=checkpoint)
+    live = LiveChangelog(spark, scratch_dir(spark, "live-state"), lambda df, i: df.write.mode("overwrite").parquet(f"{root}/batch={i}"), compact_every=2)
+    run_capped(stream, live.step, checkpoint)
     changes = spark.read.schema(CHANGE_DDL).parquet(root)
     return fx.out(changes.select("topic_uri", "partition", "offset", F.col("key").alias("k"), "change_no", "row_kind",
                                  F.col("value").alias("v")))
@@ -425,18 +426,25 @@ def a11_live(spark, sf):
     "probes AS (SELECT * FROM both_topics WHERE event_type = 'click')",
     "versions AS (SELECT ck, ts, v, cents FROM both_topics WHERE event_type = 'view')"))
 def j01_live(spark, sf):
-    """Clicks joined live to the user's `view` row as of click time; every click the watermark has passed. Users are
-    told apart by cluster, so the key is the cluster's name, of eight letters, and the user's."""
-    log = fx.store(spark, sf)
-    both = F.concat(F.encode(F.element_at(F.split("topic_uri", ":"), -2), "UTF-8"), F.col("key"))
-    clicks = stream_of(spark, log, topicPattern="click").withColumnRenamed("timestamp", "ts").withColumn("key", both)
-    views = stream_of(spark, log, topicPattern="view").withColumn("key", both).withColumn(
-        "version_cents", F.from_json(F.col("value").cast("string"), "cents BIGINT")["cents"])
-    joined = live_as_of_join(clicks, views, "key", "ts", "timestamp", "offset", ["topic_uri", "partition", "offset"], ["version_cents"],
-                             F.col("value").isNull(), "5 minutes")
-    root = scratch_dir(spark, "as-of")
-    run_capped(joined, lambda batch, i: batch.write.mode("overwrite").parquet(f"{root}/batch={i}"), scratch_dir(spark, "as-of-cp"))
-    return fx.out(spark.read.parquet(root).select("topic_uri", "partition", "offset", F.expr("substring(key, 9)").alias("k"), "version_cents"))
+    """Clicks joined live to the user's `view` row as of click time; every click the watermark has passed. The log grows
+    twice between runs. Users are told apart by cluster, so there are two key columns."""
+    log, root, checkpoint = new_log(spark, "as-of-log"), scratch_dir(spark, "as-of"), scratch_dir(spark, "as-of-cp")
+    messages = fx._messages(spark, sf).where(F.col("topic_uri").rlike(":(click|view)$"))
+    cluster = F.element_at(F.split("topic_uri", ":"), -2)
+
+    def run() -> None:
+        clicks, views = (stream_of(spark, log, topicPattern=t, checkpoint=checkpoint, sourceName=t).withColumn("cluster", cluster) for t in ("click", "view"))
+        views = views.withColumn("version_cents", F.from_json(F.col("value").cast("string"), "cents BIGINT")["cents"])
+        place = ["topic_uri", "partition", "offset"]
+        both = both_sides(clicks, views, ["cluster", "key"], "timestamp", "timestamp", place, [*place, "timestamp"], ["version_cents"], F.col("value").isNull())
+        write = lambda df, i: df.write.mode("overwrite").parquet(f"{root}/out/batch={i}")
+        run_capped(both, LiveAsOfJoin(spark, root, ["cluster", "key"], both, "5 MINUTES", write, compact_every=1).step, checkpoint)
+
+    days = [F.lit(d).cast("timestamp") for d in ("2024-01-01", "2024-01-12", "2024-01-22", "2024-03-01")]
+    for n, (low, high) in enumerate(zip(days, days[1:])):
+        log.append(messages.where((F.col("timestamp") >= low) & (F.col("timestamp") < high)), f"j-{n}", ["timestamp", "event_id"])
+        run()
+    return fx.out(spark.read.parquet(f"{root}/out").select("topic_uri", "partition", "offset", F.col("key").alias("k"), "version_cents"))
 
 
 @query("s13_stream_from_timestamp", fx.sql(

@@ -2,103 +2,99 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-
-from tidelog.session import ship_package
-from tidelog.streaming.upsert import STATE_PROVIDER
-
-_EVENT_DDL = "k BINARY, t TIMESTAMP, is_version BOOLEAN, ord BIGINT, payload STRING"
-OUT_DDL = "k BINARY, t TIMESTAMP, payload STRING, version STRING"
-
-
-class VersionedJoin(StatefulProcessor):
-    """Per key: versions not yet superseded for good, and rows that wait for the watermark."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.versions = handle.getListState("versions", "us BIGINT, ord BIGINT, payload STRING")
-        self.waiting = handle.getListState("waiting", "us BIGINT, payload STRING")
-
-    @staticmethod
-    def _micros(t) -> int:
-        return pd.Timestamp(t).value // 1000
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        due = set()
-        for pdf in rows:
-            for t, is_version, order, payload in zip(pdf["t"], pdf["is_version"], pdf["ord"], pdf["payload"]):
-                us = self._micros(t)
-                if is_version:
-                    self.versions.appendValue((us, int(order), payload))
-                else:
-                    self.waiting.appendValue((us, payload))
-                    due.add(us // 1000 + 1)
-        if due:
-            self.handle.registerTimer(max(due))
-            self.handle.registerTimer(min(due))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        mark = timerValues.getCurrentWatermarkInMs() * 1000
-        versions = sorted(tuple(v) for v in self.versions.get())
-        waiting = sorted((tuple(w) for w in self.waiting.get()), key=lambda w: w[0])
-        out, left, i, current = [], [], 0, None
-        for us, payload in waiting:
-            if us >= mark:
-                left.append((us, payload))
-                continue
-            while i < len(versions) and versions[i][0] <= us:
-                current = versions[i][2]
-                i += 1
-            out.append((key[0], pd.Timestamp(us * 1000), payload, current))
-        # of the versions the watermark has passed only the last one can still be asked for
-        passed = [v for v in versions if v[0] < mark]
-        kept = passed[-1:] + [v for v in versions if v[0] >= mark]
-        if kept:
-            self.versions.put(kept)
-        else:
-            self.versions.clear()
-        if left:
-            self.waiting.put(left)
-            self.handle.registerTimer(left[0][0] // 1000 + 1)
-        else:
-            self.waiting.clear()
-        if out:
-            yield pd.DataFrame(out, columns=["k", "t", "payload", "version"])
-
-    def close(self) -> None:
-        pass
-
-
-def live_as_of_join(
-    left: DataFrame, versions: DataFrame, key: str, left_time: str, version_time: str, version_order: str,
-    left_columns: list[str], version_columns: list[str], deleted: Column, delay: str,
+
+from tidelog.operators.changelog import as_of_join
+from tidelog.streaming.tables import BatchTable
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def both_sides(
+    left: DataFrame, versions: DataFrame, key: list[str], left_time: str, version_time: str, version_order: list[str],
+    left_columns: list[str], version_columns: list[str], deleted: Column,
 ) -> DataFrame:
-    """Streaming `as_of_join` for one binary key column.
+    """The two streams as one, which is what `LiveAsOfJoin.step` takes: the key columns, `t`, `is_version`, `ord`, `l`, `v`.
 
-    A left row is emitted once the watermark (the highest event time of both streams less `delay`) has passed it, so
-    versions may arrive up to `delay` out of order. Rows without a key have no version and are not emitted here.
-    Work per key and micro-batch is bounded by the source's row cap.
+    Rows without a key or a time have no version and do not take part.
     """
-    spark = left.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
-    ship_package(spark)
-    text = lambda columns: F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    rows = left.select(
-        F.col(key).alias("k"), F.col(left_time).alias("t"), F.lit(False).alias("is_version"),
-        F.lit(0).cast("bigint").alias("ord"), text(left_columns).alias("payload"))
-    known = versions.select(
-        F.col(key).alias("k"), F.col(version_time).alias("t"), F.lit(True).alias("is_version"),
-        F.col(version_order).cast("bigint").alias("ord"), F.when(~deleted, text(version_columns)).alias("payload"))
-    events = rows.unionByName(known).where(F.col("k").isNotNull()).withWatermark("t", delay)
-    joined = events.groupBy("k").transformWithStateInPandas(
-        statefulProcessor=VersionedJoin(), outputStructType=OUT_DDL, outputMode="append", timeMode="EventTime")
-    shape = lambda df, columns: T.StructType([T.StructField(c, df.schema[c].dataType) for c in columns])
-    l, v = F.from_json("payload", shape(left, left_columns)), F.from_json("version", shape(versions, version_columns))
-    return joined.select(F.col("k").alias(key), l.alias("l"), v.alias("v")).select(key, "l.*", "v.*")
+    order = F.struct(*version_order)
+    none = lambda df, c: F.lit(None).cast(df.select(c.alias("x")).schema["x"].dataType)
+    l, v = F.struct(*left_columns), F.when(~deleted, F.struct(*version_columns))
+    rows = left.select(*key, F.col(left_time).alias("t"), F.lit(False).alias("is_version"), none(versions, order).alias("ord"), l.alias("l"), none(versions, v).alias("v"))
+    known = versions.select(*key, F.col(version_time).alias("t"), F.lit(True).alias("is_version"), order.alias("ord"), none(left, l).alias("l"), v.alias("v"))
+    both = rows.unionByName(known).where(F.col("t").isNotNull())
+    for k in key:
+        both = both.where(F.col(k).isNotNull())
+    return both
+
+
+class LiveAsOfJoin:
+    """`as_of_join` over micro-batches, for any key columns.
+
+    A left row is written once the watermark, the highest event time of both sides less `delay`, has passed it; versions
+    may arrive up to `delay` out of order. What waits is a table of one state a micro-batch; versions are a table that
+    grows by each micro-batch and is folded every `compact_every`: of those the watermark has passed only the last of a
+    key can still be asked for. The join is the batch operator's, which spreads a hot key over many tasks. A left row
+    that comes when the watermark has passed it goes to `late`, if there is one, and is not answered otherwise.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, key: list[str], sample: DataFrame, delay: str, write: Callable[[DataFrame, int], None],
+        late: Callable[[DataFrame, int], None] | None = None, compact_every: int = 16,
+    ):
+        """`sample` is the stream of `both_sides`, of which only the schema is used."""
+        self.key, self.write, self.late, self.compact_every = key, write, late, compact_every
+        self.delay = F.expr(f"INTERVAL {delay}")
+        self.waiting = BatchTable(spark, f"{root}/waiting", _ddl(sample.select(*key, "t", "l")))
+        version = _ddl(sample.select(*key, "t", "ord", "v"))
+        self.versions, self.base = BatchTable(spark, f"{root}/versions", version), BatchTable(spark, f"{root}/base", version)
+        self.marks = BatchTable(spark, f"{root}/marks", "high TIMESTAMP")
+
+    def _bound(self, high) -> Column:
+        return F.lit(high).cast("timestamp") - self.delay
+
+    def _fold(self, batch_id: int, bound: Column) -> None:
+        """Versions of the micro-batches before `batch_id` into the base, less those nothing can ask for any more."""
+        bases, folded = self.base.done(), [i for i in self.versions.done() if i < batch_id]
+        rows = self.base.load(bases).unionByName(self.versions.load(folded))
+        passed = rows.where(F.col("t") < bound).groupBy(*self.key).agg(F.max(F.struct("t", "ord")).alias("m"), F.max_by(F.struct("t", "ord", "v"), F.struct("t", "ord")).alias("x"))
+        kept = rows.where(F.col("t") >= bound).unionByName(passed.select(*self.key, "x.*"))
+        self.base.write(kept.dropDuplicates([*self.key, "t", "ord"]), batch_id - 1)
+        for i in bases:
+            if i != batch_id - 1:
+                self.base.drop(i)
+        for i in folded:
+            self.versions.drop(i)
+
+    def step(self, batch: DataFrame, batch_id: int) -> None:
+        """The body of a foreachBatch; a replayed micro-batch finds what it found before."""
+        before = self.marks.before(batch_id).agg(F.max("high")).first()[0]
+        if before is not None and len([i for i in self.versions.done() if i < batch_id]) >= self.compact_every:
+            self._fold(batch_id, self._bound(before))
+        kept = batch.persist()
+        try:
+            reached = kept.agg(F.date_trunc("millisecond", F.max("t"))).first()[0]
+            high = max((x for x in (before, reached) if x is not None), default=None)
+            self.versions.write(kept.where("is_version").select(*self.key, "t", "ord", "v"), batch_id)
+            rows = kept.where("NOT is_version").select(*self.key, "t", "l")
+            if before is not None:
+                if self.late is not None:
+                    self.late(rows.where(F.col("t") < self._bound(before)), batch_id)
+                rows = rows.where(F.col("t") >= self._bound(before))
+            waiting = self.waiting.before(batch_id).unionByName(rows)
+            known = self.base.all().unionByName(self.versions.load([i for i in self.versions.done() if i <= batch_id]))
+            ready = F.col("t") < self._bound(high) if high is not None else F.lit(False)
+            told = as_of_join(waiting.where(ready), known.withColumnRenamed("t", "vt"), self.key, "t", "vt", ["ord"], ["v"], F.col("v").isNull())
+            self.write(told.select(*self.key, "l.*", "v.*"), batch_id)
+            self.waiting.write(waiting.where(~ready), batch_id)
+            self.marks.write(kept.sparkSession.createDataFrame([(high,)], "high TIMESTAMP"), batch_id)
+        finally:
+            kept.unpersist()
+        self.waiting.trim()
+        self.marks.trim()

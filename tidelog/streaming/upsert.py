@@ -3,74 +3,20 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tidelog.constants import DELETE, INSERT, LOG_COLUMNS, LOG_DDL, UPDATE_AFTER, UPDATE_BEFORE
+from tidelog.constants import LOG_COLUMNS, LOG_DDL
 from tidelog.operators.buffering import buffers
-from tidelog.operators.changelog import last_changes
-from tidelog.session import ship_package
+from tidelog.operators.changelog import CHANGE_KEY, last_changes, to_changelog
 from tidelog.streaming.tables import BatchTable
 
 CHANGE_DDL = (
     "topic_uri STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, key BINARY, change_no INT, "
     "row_kind STRING, value BINARY"
 )
-STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-class LastValue(StatefulProcessor):
-    """Remembers the last value of a key and emits the changes against it.
-
-    A key's rows of one micro-batch are handled together, so the source's row cap bounds the work of a hot key.
-    """
-
-    def __init__(self, skip_unchanged: bool = True):
-        self.skip_unchanged = skip_unchanged
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "value BINARY")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        topic, partition, k = key
-        pdf = pd.concat(list(rows)).sort_values("offset")
-        before = self.last.get()[0] if self.last.exists() else None
-        out = []
-        for offset, ts, value in zip(pdf["offset"], pdf["timestamp"], pdf["value"]):
-            after = bytes(value) if value is not None else None
-            kinds = []
-            if before is None and after is not None:
-                kinds = [(INSERT, after)]
-            elif before is not None and after is None:
-                kinds = [(DELETE, before)]
-            elif before is not None and not (self.skip_unchanged and bytes(before) == after):
-                kinds = [(UPDATE_BEFORE, before), (UPDATE_AFTER, after)]
-            out += [(topic, partition, offset, ts, k, i, kind, v) for i, (kind, v) in enumerate(kinds)]
-            before = after
-        if before is None:
-            self.last.clear()
-        else:
-            self.last.update((before,))
-        if out:
-            names = ["topic_uri", "partition", "offset", "timestamp", "key", "change_no", "row_kind", "value"]
-            yield pd.DataFrame(out, columns=names)
-
-    def close(self) -> None:
-        pass
-
-
-def live_changelog(stream: DataFrame, skip_unchanged: bool = True) -> DataFrame:
-    """A streaming upsert topic as +I, -U/+U, -D rows; keyed state lives in RocksDB on the executors."""
-    spark = stream.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
-    ship_package(spark)
-    keyed = stream.where(F.col("key").isNotNull()).select("topic_uri", "partition", "key", "offset", "timestamp", "value")
-    return keyed.groupBy("topic_uri", "partition", "key").transformWithStateInPandas(
-        statefulProcessor=LastValue(skip_unchanged), outputStructType=CHANGE_DDL, outputMode="append", timeMode="None")
 
 
 class BufferedUpsert:
@@ -136,22 +82,27 @@ class UpsertTable:
     are in a base and still in a change do no harm.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keys: tuple[str, ...] = ("topic_uri", "key")):
         self.changes = BatchTable(spark, f"{root}/changes", LOG_DDL)
         self.base = BatchTable(spark, f"{root}/base", LOG_DDL)
+        self.keys = list(keys)
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
         self.changes.write(self._last(batch.where(F.col("key").isNotNull())), batch_id)
 
-    @staticmethod
-    def _last(rows: DataFrame) -> DataFrame:
-        columns = [c for c in LOG_COLUMNS if c not in ("topic_uri", "key")]
-        last = rows.groupBy("topic_uri", "key").agg(F.max_by(F.struct(*columns), F.col("offset")).alias("_row"))
-        return last.select("topic_uri", "key", "_row.*").select(*LOG_COLUMNS)
+    def _last(self, rows: DataFrame) -> DataFrame:
+        columns = [c for c in LOG_COLUMNS if c not in self.keys]
+        last = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*columns), F.col("offset")).alias("_row"))
+        return last.select(*self.keys, "_row.*").select(*LOG_COLUMNS)
 
     def read(self) -> DataFrame:
         return self._last(self.base.all().unionByName(self.changes.all())).where(F.col("value").isNotNull())
 
+    def before(self, batch_id: int, wanted: DataFrame) -> DataFrame:
+        """The table as it was before a micro-batch, for the keys in `wanted`. Unless compacted beyond, as ever."""
+        older = self.base.all().unionByName(self.changes.load([i for i in self.changes.done() if i < batch_id]))
+        return self._last(older.join(wanted.select(*self.keys).distinct(), self.keys, "left_semi")).where(F.col("value").isNotNull())
+
     def compact(self, batch_id: int) -> None:
         """Fold the changes up to and including `batch_id` into the base. A crash leaves nothing out: what was
         folded is dropped only after the new base is complete."""
@@ -162,3 +113,30 @@ class UpsertTable:
                 self.base.drop(i)
         for i in folded:
             self.changes.drop(i)
+
+
+class LiveChangelog:
+    """A streaming upsert topic as +I, -U/+U, -D rows: each micro-batch against the last values of its keys.
+
+    Last values are a table in the shared folder `root`, merged when read and folded every `compact_every` micro-batches.
+    The changes are found by the batch operator, so a key that fills a micro-batch is cut into slices, all in the JVM.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, write: Callable[[DataFrame, int], None], skip_unchanged: bool = True,
+        slice_rows: int | None = None, compact_every: int = 16,
+    ):
+        self.table = UpsertTable(spark, root, tuple(CHANGE_KEY))
+        self.write, self.skip_unchanged, self.slice_rows, self.compact_every = write, skip_unchanged, slice_rows, compact_every
+
+    def step(self, batch: DataFrame, batch_id: int) -> None:
+        """The body of a foreachBatch; a replayed micro-batch finds the values it found before."""
+        if len([i for i in self.table.changes.done() if i < batch_id]) >= self.compact_every:
+            self.table.compact(batch_id - 1)
+        kept = batch.where(F.col("key").isNotNull()).select(*LOG_COLUMNS).persist()
+        try:
+            known = self.table.before(batch_id, kept)
+            self.write(to_changelog(kept, self.skip_unchanged, self.slice_rows, known), batch_id)
+            self.table.step(kept, batch_id)
+        finally:
+            kept.unpersist()
