@@ -4,6 +4,7 @@ import random
 import struct
 import uuid
 from datetime import datetime as dt
+from datetime import timedelta
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidelog import constants as C
 from tidelog.functions import binary, headers, offsets, partitioners, uri
-from tidelog.operators import metrics, ordered, percentiles, project, subscribe
+from tidelog.operators import eventtime, metrics, ordered, percentiles, project, subscribe
 from tidelog.operators.small import checked_broadcast
 from tidelog.sources import datasource, kafka
 from tidelog.streaming import deliver
@@ -27,7 +28,8 @@ def one(spark, column):
 @pytest.mark.parametrize("kind,fmt,values", [
     ("byte", ">b", [0, 1, -1, 127, -128]), ("short", ">h", [0, 1, -1, 32767, -32768]),
     ("integer", ">i", [0, 1, -1, 2**31 - 1, -2**31]), ("long", ">q", [0, 1, -1, 2**63 - 1, -2**63]),
-    ("float", ">f", [0.0, 1.5, -2.25]), ("double", ">d", [0.0, 1.5, -2.25, 1e300, 5e-324]),
+    ("float", ">f", [0.0, 1.5, -2.25, 2.0**-149, 2.0**-126, 3.4028234663852886e38, float("inf"), -float("inf")]),
+    ("double", ">d", [0.0, 1.5, -2.25, 1e300, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, -float("inf"), 0.1, -1 / 3]),
 ])
 def test_fixed_width_payloads(spark, kind, fmt, values):
     rows = [(v, struct.pack(fmt, v)) for v in values] + [(None, None)]
@@ -37,6 +39,51 @@ def test_fixed_width_payloads(spark, kind, fmt, values):
         assert r.d == r.v and (r.e is None if r.b is None else bytes(r.e) == bytes(r.b))
 
 
+def test_floating_bits(spark):
+    """Random bits, negative zero and NaN, without a Python worker."""
+    rnd = random.Random(8)
+    for kind, fmt, width in (("float", ">f", 4), ("double", ">d", 8)):
+        raw = [rnd.randbytes(width) for _ in range(3000)] + [struct.pack(fmt, -0.0), b"\x00" * (width - 1), b""]
+        df = spark.createDataFrame([(b,) for b in raw], "b binary")
+        out = df.select("b", binary.decode(F.col("b"), kind).alias("d"), binary.encode(binary.decode(F.col("b"), kind), kind).alias("e"))
+        assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+        for r in out.collect():
+            b = bytes(r.b)
+            if len(b) != width:
+                assert r.d is None and r.e is None
+            elif (want := struct.unpack(fmt, b)[0]) != want:
+                assert r.d != r.d
+            else:
+                assert struct.pack(fmt, r.d) == b and bytes(r.e) == b
+
+
+def test_merged_watermark_of_many_producers(spark):
+    """The plan does not grow with the producers; slices may be silent for some."""
+    rnd = random.Random(2)
+    plans = []
+    for n in (2, 40):
+        rows = [(w, i, rnd.randrange(n), dt(2024, 1, 1) + timedelta(seconds=i // 3 + rnd.randint(0, 50)), i // 37) for w in "ab" for i in range(900)]
+        df = spark.createDataFrame(rows, "w STRING, i INT, p INT, mark TIMESTAMP, slice BIGINT")
+        merged = eventtime.merged_producer_watermark(df, ["w"], ["i"], "slice", "p", "mark", n)
+        want, tops, least = [], {}, {}
+        for w, i, p, mark, _ in rows:
+            mine = tops.setdefault(w, {})
+            mine[p] = max(mark, mine.get(p, mark))
+            if len(mine) == n and (w not in least or min(mine.values()) > least[w]):
+                least[w] = min(mine.values())
+                want.append((w, i, least[w]))
+        assert len(want) > 4
+        assert sorted((r.w, r.i, r.merged) for r in merged.collect()) == sorted(want)
+        plans.append(merged._jdf.queryExecution().optimizedPlan().toString().count("\n"))
+    assert plans[0] == plans[1]
+
+
+def test_repeated_kafka_headers(spark):
+    df = spark.createDataFrame([([("a", b"1"), ("b", b"2"), ("a", b"3")],), ([],), (None,)], "headers ARRAY<STRUCT<key: STRING, value: BINARY>>")
+    got = [r.h for r in df.select(kafka.header_map(F.col("headers")).alias("h")).collect()]
+    assert [h and {k: bytes(v) for k, v in h.items()} for h in got] == [{"a": b"3", "b": b"2"}, {}, None]
+
+
 def test_wrong_length_is_null_and_tagged(spark):
     log = spark.createDataFrame([("t", 0, 0, b"k", b"\x00\x01"), ("t", 0, 1, b"k", None), ("t", 0, 2, b"\xff", b"\x00\x00\x00\x07")],
                                 "topic_uri STRING, partition INT, offset BIGINT, key BINARY, value BINARY")

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,28 +26,33 @@ def encode_integer(number: Column, width: int) -> Column:
     return F.unhex(F.right(digits, F.lit(2 * width)))
 
 
-def _floating_decoder(width: int):
-    @F.pandas_udf("double")
-    def decode(payload: pd.Series) -> pd.Series:
-        ok = payload.map(lambda b: b is not None and len(b) == width).to_numpy(dtype=bool)
-        out = np.full(len(payload), np.nan)
-        joined = b"".join(bytes(b) for b in payload[ok])
-        out[ok] = np.frombuffer(joined, dtype=f">f{width}").astype("float64")
-        result = pd.Series(out, dtype="object")
-        result[~ok] = None
-        return result
+#: Bytes of a floating number: bits of its exponent and of its fraction.
+_FLOATING = {4: (8, 23), 8: (11, 52)}
 
-    return decode
 
+def decode_floating(payload: Column, width: int) -> Column:
+    """IEEE 754 number of exactly `width` bytes as a double, which holds either width exactly; null for other lengths.
 
-def _floating_encoder(width: int):
-    @F.pandas_udf("binary")
-    def encode(number: pd.Series) -> pd.Series:
-        raw = number.to_numpy(dtype="float64").astype(f">f{width}").tobytes()
-        parts = [raw[i:i + width] for i in range(0, len(raw), width)]
-        return pd.Series([None if n else p for p, n in zip(parts, number.isna())], dtype="object")
+    Sign, exponent and fraction are taken from the bits, and powers of two are exact, so nothing is rounded.
+    """
+    exponent_bits, fraction_bits = _FLOATING[width]
+    bits = decode_integer(payload, width)
+    exponent = F.shiftright(bits, fraction_bits).bitwiseAND(F.lit((1 << exponent_bits) - 1).cast("bigint"))
+    fraction = bits.bitwiseAND(F.lit((1 << fraction_bits) - 1).cast("bigint")).cast("double")
+    least = 2 - (1 << (exponent_bits - 1)) - fraction_bits  # of the smallest number
+    special = F.when(fraction == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan")))
+    size = (
+        F.when(exponent == (1 << exponent_bits) - 1, special)
+        .when(exponent == 0, fraction * F.pow(F.lit(2.0), F.lit(float(least))))
+        .otherwise((fraction + float(1 << fraction_bits)) * F.pow(F.lit(2.0), (exponent + (least - 1)).cast("double"))))
+    return F.when(F.octet_length(payload) == width, F.when(bits < 0, F.lit(-1.0)).otherwise(F.lit(1.0)) * size)
 
-    return encode
+
+def encode_floating(number: Column, width: int) -> Column:
+    """The IEEE 754 bytes of a number, big-endian; every NaN is written as the same one."""
+    kind, method = ("float", "floatToIntBits") if width == 4 else ("double", "doubleToLongBits")
+    bits = F.java_method(F.lit(f"java.lang.{kind.title()}"), F.lit(method), number.cast(kind))
+    return F.when(number.isNotNull(), encode_integer(bits, width))
 
 
 # Java's UUID reader takes short hex groups and pads them; text longer than 36 is refused.
@@ -70,8 +73,8 @@ DECODERS: dict[str, Callable[[Column], Column]] = {
     "short": lambda c: decode_integer(c, 2).cast("smallint"),
     "integer": lambda c: decode_integer(c, 4).cast("int"),
     "long": lambda c: decode_integer(c, 8),
-    "float": lambda c: _floating_decoder(4)(c).cast("float"),
-    "double": lambda c: _floating_decoder(8)(c),
+    "float": lambda c: decode_floating(c, 4).cast("float"),
+    "double": lambda c: decode_floating(c, 8),
     "string": lambda c: F.make_valid_utf8(c.cast("string")),
     "uuid": decode_uuid,
 }
@@ -82,8 +85,8 @@ ENCODERS: dict[str, Callable[[Column], Column]] = {
     "short": lambda c: encode_integer(c, 2),
     "integer": lambda c: encode_integer(c, 4),
     "long": lambda c: encode_integer(c, 8),
-    "float": lambda c: _floating_encoder(4)(c.cast("double")),
-    "double": lambda c: _floating_encoder(8)(c.cast("double")),
+    "float": lambda c: encode_floating(c, 4),
+    "double": lambda c: encode_floating(c, 8),
     "string": lambda c: F.encode(c.cast("string"), "UTF-8"),
     "uuid": lambda c: F.encode(c.cast("string"), "UTF-8"),
 }

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.operators.ordered import fold_over_slices, offset_slice, running_max
+from tidelog.operators.ordered import offset_slice, running_max
+from tidelog.session import ship_package
 
 PARTITION = ["topic_uri", "partition"]
 
@@ -49,44 +53,50 @@ def overall_watermark(progress: DataFrame, by: list[str], idle_after: str | None
         F.min("max_time").alias("watermark"), F.count(F.lit(1)).alias("n_partitions"))
 
 
+def _merge_slice(n: int, producer: str, watermark: str, order: list[str], width: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def merge(rows: pa.Table, known: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "ascending") for c in order])
+        tops = dict(zip(known["_producer"].to_pylist(), known["_top"].to_pylist(), strict=True)) if len(known) else {}
+        least = min(tops.values()) if len(tops) == n else None
+        places, merged = [], []
+        marks = rows[watermark].cast(pa.int64()).to_pylist()
+        for i, (p, mark) in enumerate(zip(rows[producer].to_pylist(), marks, strict=True)):
+            if p is None or mark is None or mark <= (top := tops.get(p, mark - 1)):
+                continue
+            tops[p] = mark
+            # only the producer that was behind all others can raise the merged one
+            if len(tops) == n and (least is None or top == least):
+                now = min(tops.values())
+                if least is None or now > least:
+                    least = now
+                    places.append(i)
+                    merged.append(now)
+        out = rows.select(list(range(width))).take(pa.array(places, pa.int64()))
+        return out.append_column("merged", pa.array(merged, pa.int64()).cast(rows.schema.field(watermark).type))
+
+    return merge
+
+
 def merged_producer_watermark(
     marks: DataFrame, keys: list[str], order: list[str], slice_col: str, producer: str, watermark: str, n: int,
 ) -> DataFrame:
     """Watermarks a reader may emit: min over all `n` producers once each has reported, whenever it rises.
 
-    `n` is the writers' parallelism (producers numbered from 0); one running maximum is kept for each.
+    `n` is the writers' parallelism. What a slice begins with is a row for each producer, its highest watermark in the
+    slices before; the plan is the same for any number of producers, and a slice holds one number for each.
     """
-    per_producer = F.struct(*[F.when(F.col(producer) == p, F.col(watermark)).alias(f"p{p}") for p in range(n)])
-    fields = [f"p{p}" for p in range(n)]
-
-    def best(struct: Column, over=None) -> Column:
-        cols = []
-        for f in fields:
-            top = F.max(struct[f])
-            cols.append((top.over(over) if over is not None else top).alias(f))
-        return F.struct(*cols)
-
-    def merge(here: Column, before: Column) -> Column:
-        tops = [F.greatest(here[f], before[f]) for f in fields]
-        everyone = tops[0].isNotNull()
-        for t in tops[1:]:
-            everyone = everyone & t.isNotNull()
-        return F.when(everyone, F.least(*tops) if n > 1 else tops[0])
-
-    running = fold_over_slices(
-        marks, keys, order, slice_col, "merged",
-        local=lambda w: best(per_producer, w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        summary=best(per_producer),
-        fold=lambda s, w: best(s, w),
-        combine=merge,
-    )
-    # a rise is where the merged value was not reached by the row before
-    previous = fold_over_slices(
-        running, keys, order, slice_col, "_previous",
-        local=lambda w: F.max("merged").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-        summary=F.max("merged"),
-        fold=lambda s, w: F.max(s).over(w),
-        combine=lambda here, before: F.greatest(here, before),
-    )
-    rose = F.col("merged").isNotNull() & (F.col("_previous").isNull() | (F.col("merged") > F.col("_previous")))
-    return previous.where(rose).drop("_previous")
+    ship_package(marks.sparkSession)
+    columns = marks.columns
+    place = [*keys, slice_col, "_producer"]
+    micros = F.unix_micros(F.max(watermark).cast("timestamp"))
+    tops = marks.where(F.col(producer).isNotNull()).groupBy(*keys, slice_col, F.col(producer).alias("_producer")).agg(micros.alias("_own"))
+    # a producer may be silent in a slice, so there is a row for each slice and producer of a group
+    grid = marks.select(*keys, slice_col).distinct().join(tops.select(*keys, "_producer").distinct(), keys)
+    before = Window.partitionBy(*keys, "_producer").orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
+    carried = grid.join(tops, place, "left").select(*place, F.max("_own").over(before).alias("_top")).where("_top IS NOT NULL")
+    names = [f"_k{i}" for i in range(len(keys) + 1)]  # the two sides come from the same rows
+    carried = carried.select(*[F.col(c).alias(x) for c, x in zip([*keys, slice_col], names)], "_producer", "_top")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marks.schema.fields)
+    merge = _merge_slice(n, producer, watermark, order, len(columns))
+    kind = marks.schema[watermark].dataType.simpleString()
+    return marks.groupBy(*keys, slice_col).cogroup(carried.groupBy(*names)).applyInArrow(merge, f"{schema}, merged {kind}")

@@ -46,13 +46,19 @@ def read_options(
     return opts
 
 
+def header_map(headers: Column) -> Column:
+    """Kafka's list of headers as a map. A name may come several times; its last value counts."""
+    last = F.filter(headers, lambda h, i: ~F.exists(F.slice(headers, i + 2, F.size(headers)), lambda x: x["key"] == h["key"]))
+    return F.map_from_entries(F.transform(last, lambda h: F.struct(h["key"], h["value"])))
+
+
 def read_log(spark: SparkSession, cluster_uri: str, streaming: bool = False, **options) -> DataFrame:
     """Kafka records as topic-log rows; `cluster_uri` ends in a colon and becomes the topics' prefix."""
     reader = spark.readStream if streaming else spark.read
     raw = reader.format("kafka").options(**read_options(**options)).load()
     return raw.select(
         F.concat(F.lit(cluster_uri), "topic").alias("topic_uri"), "partition", "offset", "timestamp", "key", "value",
-        F.map_from_entries(F.transform("headers", lambda h: F.struct(h["key"], h["value"]))).alias("headers"),
+        header_map(F.col("headers")).alias("headers"),
     )
 
 
