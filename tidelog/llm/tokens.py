@@ -16,9 +16,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of each of a worker's two generations of remembered pieces, and the longest piece (in characters or bytes) that
-#: is remembered at all; ids do not depend on either.
-REMEMBERED, LONGEST = 120 << 20, 64
+#: Bytes of each of a worker's two generations of remembered pieces, or of words of a tokenizer that drops white space,
+#: and the longest piece (in characters or bytes) that is remembered at all; ids do not depend on any.
+REMEMBERED, WORDS, LONGEST = 200 << 20, 64 << 20, 64
 #: What an entry takes besides its characters and ids.
 _ENTRY = 190
 #: Bytes of text whose pieces are in memory at once.
@@ -123,7 +123,7 @@ class Library:
 
 @lru_cache(maxsize=2)
 def _words(path: str) -> Memory:
-    return Memory(Library(path, True).piece_of_bytes)
+    return Memory(Library(path, True).piece_of_bytes, WORDS)
 
 
 @lru_cache(maxsize=2)
