@@ -99,7 +99,7 @@ def test_run(spark):
 
 def test_all_operators_are_registered():
     have = set(contract.queries())
-    assert {n.split("_")[0] for n in registered.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in registered.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(registered.QUERIES) | {"pipeline"} <= have and set(registered.ORACLES) <= set(contract.oracle_sql())
 
 
