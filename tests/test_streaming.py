@@ -207,6 +207,44 @@ def test_bucketed_table_needs_no_shuffle(spark, tmp_path):
     spark.sql("DROP TABLE tidelog_bucketed")
 
 
+def _partition_sizes(df) -> list[int]:
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+
+def test_skewed_buckets(spark, tmp_path):
+    """Two hot keys, one of them null: buckets stay even, cold keys need no shuffle, results are those of the input."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(-1)).otherwise(F.col("id") % 400)
+    df = spark.range(0, 12000, numPartitions=8).select(key.cast("bigint").alias("k"), "id")
+    at = str(tmp_path / "s")
+    t = shuffle.write_skewed(df, "tidelog_skewed", at, "k", 8)
+    assert {r.k: r.n_rows for r in t.keys.collect()} == {None: 4000, -1: 4000}
+    assert sorted(tuple(r) for r in t.rows().select("id").collect()) == [(i,) for i in range(12000)]
+    for side in (t.cold, t.hot):
+        sizes = sorted(_partition_sizes(side))
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert "Exchange" not in t.cold.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    want = {r.k: (r.n, r.s) for r in df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("s")).collect()}
+    got = t.aggregate(F.count(F.lit(1)).alias("n"), F.sum("id").alias("s")).collect()
+    assert len(got) == len(want) and {r.k: (r.n, r.s) for r in got} == want
+    other = spark.createDataFrame([(-1, "a"), (-1, "b"), (2, "c"), (None, "d"), (9999, "e")], "k BIGINT, name STRING")
+    again = shuffle.read_skewed(spark, "tidelog_skewed", at, "k")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        rows = lambda j: sorted((str(tuple(r)) for r in j.select(sorted(j.columns)).collect()))
+        assert rows(again.join(other, how)) == rows(df.join(other, "k", how))
+    with pytest.raises(ValueError):
+        t.join(other, "full")
+    spark.sql("DROP TABLE tidelog_skewed")
+
+
+def test_skewed_buckets_without_hot_keys_or_rows(spark, tmp_path):
+    even = spark.range(4000).select((F.col("id") % 500).alias("k"), "id")
+    for name, df in (("even", even), ("none", even.limit(0))):
+        t = shuffle.write_skewed(df, f"tidelog_{name}", str(tmp_path / name), "k", 4)
+        assert t.keys.count() == t.hot.count() == 0 and t.cold.count() == df.count()
+        assert t.aggregate(F.count(F.lit(1)).alias("n")).count() == df.select("k").distinct().count()
+        spark.sql(f"DROP TABLE tidelog_{name}")
+
+
 def test_offset_commits_can_be_switched_off(spark, tmp_path, log):
     log.append(messages(spark, "t", 10), "l-0", ORDER)
     for mode, want in [(dv.DISABLED, 0), (dv.ON_CHECKPOINTS, 2), (dv.PERIODIC, 2)]:

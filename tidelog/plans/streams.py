@@ -467,3 +467,29 @@ def x08(spark, sf):
     name = "tidelog_" + scratch_dir(spark, "b").rsplit("-", 1)[-1]
     t = shuffle.write_bucketed(c, name, scratch_dir(spark, "bucketed"), "k", 8)
     return t.groupBy("k").agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.length("text")).cast("bigint").alias("longest"))
+
+
+_HOT_ORDERS = "CASE WHEN l_orderkey % 3 = 0 THEN NULL WHEN l_orderkey % 5 = 0 THEN 5 ELSE l_orderkey END"
+
+
+def _skewed_lines(spark, sf) -> shuffle.SkewedBuckets:
+    """Lines by order; a third of them have no order, and a seventh the same one."""
+    lines = fx.table(spark, sf, "lineitem").select(F.expr(_HOT_ORDERS).alias("k"), F.col("l_quantity").cast("bigint").alias("qty"))
+    name = "tidelog_" + scratch_dir(spark, "s").rsplit("-", 1)[-1]
+    return shuffle.write_skewed(lines, name, scratch_dir(spark, "skewed"), "k", 8)
+
+
+@query("x08_skewed_groups", f"""SELECT {_HOT_ORDERS} AS k, count(*) AS n_rows, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty
+FROM lineitem GROUP BY 1""")
+def x08_groups(spark, sf):
+    """Grouping buckets whose hot keys lie apart: no shuffle for the others, and no task with a whole hot key."""
+    return _skewed_lines(spark, sf).aggregate(F.count(F.lit(1)).alias("n_rows"), F.sum("qty").alias("qty"))
+
+
+@query("x08_skewed_join", f"""SELECT o.o_orderstatus AS status, count(*) AS n_rows, CAST(sum(l.qty) AS BIGINT) AS qty
+FROM (SELECT {_HOT_ORDERS} AS k, CAST(l_quantity AS BIGINT) AS qty FROM lineitem) l LEFT JOIN orders o ON l.k = o.o_orderkey GROUP BY 1""")
+def x08_join(spark, sf):
+    """Lines with their orders, hot ones met where they lie."""
+    orders = fx.table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"))
+    met = _skewed_lines(spark, sf).join(orders, "left")
+    return met.groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("qty").alias("qty"))

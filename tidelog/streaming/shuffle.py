@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.binary import decode_integer, encode_integer
 from tidelog.functions.headers import header
 from tidelog.functions.partitioners import by_key
+from tidelog.operators.small import checked_broadcast
 from tidelog.sources import files
 from tidelog.sources.topiclog import TopicLog
 
 _RECORD_TIME = "record.timestamp"
+#: A key is hot from this part of an even bucket on.
+SHARE = 4
 MARKS_DDL = "partition INT, producer INT, watermark TIMESTAMP, txn STRING"
 
 
@@ -72,7 +77,67 @@ def keys_in_several_partitions(rows: DataFrame) -> DataFrame:
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, n: int) -> DataFrame:
     """The batch form: a table bucketed by key, which joins and groups on the key without another shuffle.
 
-    Buckets hold whole keys, so prefer `write_key_by` when one key dominates.
+    Rows are dealt to their buckets before the write, so there is one file a bucket whatever the number of tasks.
+    Buckets hold whole keys; where one key may dominate, use `write_skewed`.
     """
-    df.write.mode("overwrite").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
+    dealt = df.repartition(n, key)
+    dealt.write.mode("overwrite").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
     return df.sparkSession.table(table)
+
+
+@dataclass
+class SkewedBuckets:
+    """A keyed table whose hot keys lie apart from its buckets. No key is in both `cold` and `hot`.
+
+    `cold` is bucketed by `key`. `hot` keeps the rows of the hot keys as the writing tasks had them, in files that Spark
+    splits by size. `keys` maps each hot key to its number of rows; there are fewer than SHARE times as many as buckets.
+    """
+
+    key: str
+    cold: DataFrame
+    hot: DataFrame
+    keys: DataFrame
+
+    def rows(self) -> DataFrame:
+        return self.cold.unionByName(self.hot)
+
+    def aggregate(self, *aggregates: Column) -> DataFrame:
+        """One row per key, null included. Cold keys are grouped where they lie; of hot ones each task sends one row
+        per key, as long as the aggregates combine before the shuffle."""
+        cold, hot = (side.groupBy(self.key).agg(*aggregates) for side in (self.cold, self.hot))
+        return cold.unionByName(hot)
+
+    def join(self, other: DataFrame, how: str = "inner") -> DataFrame:
+        """Inner, left, semi or anti join with `other`, which has the key under the same name and otherwise other names.
+        Null keys match nothing.
+
+        Buckets stay where they are, and `other` is shuffled to them, unless it is bucketed alike. Rows of hot keys stay
+        as well: what `other` has of hot keys is sent to all of them if its size allows, and joined by shuffle if not.
+        """
+        if how not in ("inner", "left", "left_semi", "left_anti"):
+            raise ValueError(f"rows without a partner in the buckets cannot be told here: {how}")
+        wanted = other.join(F.broadcast(self.keys.select(self.key)), self.key, "left_semi")
+        return self.cold.join(other, self.key, how).unionByName(self.hot.join(checked_broadcast(wanted).df, self.key, how))
+
+
+def write_skewed(df: DataFrame, table: str, path: str, key: str, n: int) -> SkewedBuckets:
+    """`write_bucketed` for keys of any frequency: a key with more than 1 / (SHARE * n) of the rows is hot.
+
+    Keys are counted first, on the key column alone. Hot rows are written without a shuffle, by the tasks that read
+    them. Null is a key like any other. `df` is read up to three times, so it has to give the same rows each time.
+    An empty table gives empty parts.
+    """
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    total = df.count()
+    # fewer than SHARE * n rows by the threshold itself, so they are broadcast below
+    counted.where(F.col("n_rows") > total / (SHARE * n)).coalesce(1).write.mode("overwrite").parquet(f"{path}/keys")
+    hot = F.broadcast(df.sparkSession.read.parquet(f"{path}/keys").select(F.col(key).alias("_hot_key")))
+    is_hot = df[key].eqNullSafe(hot["_hot_key"])
+    write_bucketed(df.join(hot, is_hot, "left_anti"), table, f"{path}/cold", key, n)
+    df.join(hot, is_hot, "left_semi").write.mode("overwrite").parquet(f"{path}/hot")
+    return read_skewed(df.sparkSession, table, path, key)
+
+
+def read_skewed(spark: SparkSession, table: str, path: str, key: str) -> SkewedBuckets:
+    """What `write_skewed` wrote, for any later job."""
+    return SkewedBuckets(key, spark.table(table), spark.read.parquet(f"{path}/hot"), spark.read.parquet(f"{path}/keys"))
