@@ -153,7 +153,7 @@ def within_one(a: str, b: str) -> bool:
 
 
 def kept_lines(rows, min_chars: int = 32) -> list[tuple]:
-    """(doc_id, lines, kept places) per row."""
+    """(doc_id, lines, kept places) per row. Short lines with a word go for equality alone."""
 
     def place(i, t, p):
         return (-(1 << 63) if i is None else i, xxhash.xxh64_intdigest(t.encode(), 42) - (1 << 64) * (xxhash.xxh64_intdigest(t.encode(), 42) >= 1 << 63), p)
@@ -162,14 +162,15 @@ def kept_lines(rows, min_chars: int = 32) -> list[tuple]:
     first: dict[str, tuple] = {}
     for i, t in texts:
         for p, x in enumerate(t.split("\n")):
-            if len(x) >= min_chars:
+            if len(x) >= min_chars or WORD.search(x):
                 first[x] = min(first.get(x, place(i, t, p)), place(i, t, p))
     by_length = defaultdict(list)
     for x in first:
-        by_length[len(x)].append(x)
-    gone = {at for x, at in first.items() for n in (-1, 0, 1) for y in by_length[len(x) + n] if first[y] < at and within_one(x, y)}
+        if len(x) >= min_chars:
+            by_length[len(x)].append(x)
+    gone = {at for x, at in first.items() if len(x) >= min_chars for n in (-1, 0, 1) for y in by_length[len(x) + n] if first[y] < at and within_one(x, y)}
     stays = set(first.values()) - gone
-    return [(i, t.split("\n"), [p for p, x in enumerate(t.split("\n")) if len(x) < min_chars or place(i, t, p) in stays]) for i, t in texts]
+    return [(i, t.split("\n"), [p for p, x in enumerate(t.split("\n")) if x not in first or place(i, t, p) in stays]) for i, t in texts]
 
 
 def base_counts(t: str | None, repeat: int = 5) -> tuple:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidelog.llm import (
-    arrow_files, features, jaccard_join, line_dedup, merge_replay, names, packing, pu_classifier, rounds, rule_votes,
+    arrow_files, common, features, jaccard_join, line_dedup, merge_replay, names, packing, pu_classifier, rounds, rule_votes,
     stream_dedup, suffix_dedup, superkmer, tokens,
 )
 from tidelog.llm.components import components
@@ -520,6 +520,21 @@ def test_line_dedup_edits(spark):
     assert got == Counter((i, tuple(k)) for i, _, k in brute.kept_lines(pairs, 4))
 
 
+def test_probably_in(spark, monkeypatch):
+    """No wanted row is lost, at any size of the bitmap, and few others pass."""
+    rows = spark.range(20_000).select("id", F.col("id").cast("string").alias("s"))
+    wanted = spark.range(0, 20_000, 100).select("id", F.col("id").cast("string").alias("s"))
+    want = set(range(0, 20_000, 100))
+    for most, passed in ((common.MOST_SLOTS, 210), (1 << 16, 300), (100, 20_000)):  # the last: more rows than bits
+        monkeypatch.setattr(common, "LEAST_SLOTS", min(most, common.LEAST_SLOTS))
+        monkeypatch.setattr(common, "MOST_SLOTS", most)
+        got = common.probably_in(rows, wanted, ["id", "s"])
+        assert got.columns == rows.columns
+        got = {r.id for r in got.collect()}
+        assert want <= got and len(got) <= passed
+    assert common.probably_in(rows, wanted.limit(0), ["id"]).count() in (0, 20_000)
+
+
 def test_line_dedup_short_lines(spark):
     """Equal short lines go, near ones and those without a word stay."""
     a = "All rights reserved.\n\nX.\n \t\n" + "y" * 31

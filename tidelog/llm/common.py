@@ -72,3 +72,26 @@ def with_rest(docs: DataFrame, out: DataFrame, id_col: str, text_col: str) -> Da
 def block_of(n: int) -> Column:
     """A number from 0 to n - 1, the same for rows of the same `doc_id`."""
     return F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")
+
+
+#: Bits of the filter of `probably_in`: 1 MB at least, 32 MB at most.
+LEAST_SLOTS, MOST_SLOTS = 1 << 23, 1 << 28
+
+
+def probably_in(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose `keys` are in `wanted`, a written table, and a few others: by one bit for a hash of the keys, in a
+    bitmap of some 16 bits a wanted row. It spares a shuffle most of the rows; a join on the keys decides.
+
+    The bitmap is broadcast and never larger than MOST_SLOTS bits. Beyond a wanted row for every bit it would let most
+    rows pass, so then all of them do.
+    """
+    n = wanted.count()
+    if n > MOST_SLOTS:
+        return rows
+    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (16 * n).bit_length()))
+    slot = F.pmod(F.xxhash64(*keys), F.lit(slots))
+    bits = wanted.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
+    at = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    # at most slots / 8 bytes in pages of 4 KB
+    return rows.withColumn("page", F.bitmap_bucket_number(slot)).join(F.broadcast(bits), "page").filter(F.getbit(byte, (at % 8).cast("int")) == 1).drop("page", "bits")

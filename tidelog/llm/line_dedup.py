@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import WORD, documents, durable_table
+from tidelog.llm.common import WORD, documents, durable_table, probably_in
 
 #: Lines of fewer characters go for equality only: short ones are often within one edit of each other by chance.
 MIN_CHARS = 32
@@ -28,8 +28,6 @@ MIN_CHARS = 32
 EXACT_CHARS = 1
 HALVES, PARTS = 2, 16
 PLACE = ("d", "r", "p")
-#: Bits of the filter that finds shared lines again, 1 MB together.
-SLOTS = 1 << 23
 
 
 def _bound(length: Column, part: Column, parts: int) -> Column:
@@ -118,23 +116,12 @@ def first_lines(texts: DataFrame, min_chars: int, exact_chars: int) -> DataFrame
     return first.select("at.*", *names)
 
 
-def _probably_in(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows at the places of `wanted`, and few others: by one bit for a hash of each place, in a bitmap of SLOTS bits
-    whatever the input. It spares the shuffle most of the lines; a join on the places decides."""
-    slot = F.pmod(F.xxhash64(*PLACE), F.lit(SLOTS))
-    bits = wanted.select(slot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
-    at = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    # at most SLOTS / 8 bytes in pages of 4 KB
-    return rows.withColumn("page", F.bitmap_bucket_number(slot)).join(F.broadcast(bits), "page").filter(F.getbit(byte, (at % 8).cast("int")) == 1).drop("page", "bits")
-
-
 def near_lines(texts: DataFrame, first: DataFrame, min_chars: int) -> DataFrame:
     """Places of first lines that have an earlier line within one edit."""
     halves = F.array(*[F.struct(F.col(f"k{role}{part}").alias("key"), F.lit(role).alias("role"), F.lit(part).alias("part")) for role in (0, 1) for part in range(HALVES)])
     half = _shared(_keys(first.filter("k00 IS NOT NULL").select(*PLACE, halves.alias("choices")), F.col("choices")))
     wanted = durable_table(half.groupBy(*PLACE).agg(F.collect_set(F.col("role") * HALVES + F.col("part")).alias("codes")), "half-shared")
-    rows = _probably_in(_long_lines(texts, min_chars), wanted).join(wanted, list(PLACE)).distinct()
+    rows = probably_in(_long_lines(texts, min_chars), wanted, list(PLACE)).join(wanted, list(PLACE)).distinct()
     line = F.col("line")
     sixteenths = [
         F.when(F.array_contains("codes", F.lit(role * HALVES + part * HALVES // PARTS)), _choice(line, role, part, PARTS)) for role in (0, 1) for part in range(PARTS)
@@ -187,7 +174,7 @@ def remove_lines(
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = kept_lines(documents(spark, sf_dir), exact_chars=MIN_CHARS)  # its SQL leaves all shorter lines alone
+    out = kept_lines(documents(spark, sf_dir))
     lines, kept = F.size("lines").cast("long"), F.size("keep").cast("long")
     return out.select("doc_id", lines.alias("n_lines"), (lines - kept).alias("n_removed"), F.sha2(_kept_text(), 256).alias("kept_sha256"))
 
@@ -198,8 +185,9 @@ ORACLES = {
     "op7_line_dedup": f"""
         WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
         line AS (SELECT doc_id, unnest(lines) AS s, generate_subscripts(lines, 1) AS p FROM split),
-        firsts AS (SELECT s, length(s) AS n, min((doc_id, p)) AS place FROM line WHERE length(s) >= {MIN_CHARS} GROUP BY s),
-        lengths AS (SELECT *, unnest([n, n - 1]) AS l FROM firsts),
+        firsts AS (SELECT s, length(s) AS n, min((doc_id, p)) AS place FROM line
+                   WHERE length(s) >= {MIN_CHARS} OR regexp_matches(s, '[^ \\x09-\\x0D]') GROUP BY s),
+        lengths AS (SELECT *, unnest([n, n - 1]) AS l FROM firsts WHERE n >= {MIN_CHARS}),
         half AS (SELECT *, unnest(['<' || substr(s, 1, l // 2), '>' || substr(s, n - l + l // 2 + 1)]) AS k FROM lengths),
         pair AS (SELECT DISTINCT a.s AS x, b.s AS y, a.n AS nx, b.n AS ny, b.place FROM half a JOIN half b ON a.l = b.l AND a.k = b.k AND a.place < b.place),
         near AS (

@@ -4,7 +4,7 @@ Documents arrive as a stream of files. The state, in RocksDB and checkpointed in
 each digest and never expires: how many texts had it, and of the largest id the id and the locator (file and row) of
 its content. A later run over new files goes on from the same checkpoint. A digest met more than once is a hit, and
 for hits the bytes themselves are compared before anything counts as a copy: texts of one digest that differ are
-classes of their own.
+classes of their own. Texts that are no hits are not shuffled, but for the few that a filter on digests lets pass.
 
 Rows of equal text collapse within each task before they are shuffled, so a text that makes up a third of the corpus
 costs one row per task; the join that tells every row its class carries digests and ids only and lets Spark split a
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import durable_table, scratch_dir
+from tidelog.llm.common import durable_table, probably_in, scratch_dir
 
 #: State on disk, without space reserved ahead in each of the many stores.
 _SETTINGS = {
@@ -75,10 +75,10 @@ def copies(spark: SparkSession, path: str, checkpoint: str | None = None, id_col
     # without a single file a stream has nothing to start from
     state = collect_state(spark, path, checkpoint or scratch_dir(spark, "stream-dedup"), id_col, text_col, max_bytes)
     rows = _rows(docs, id_col, text_col)
-    # the bytes of hits: texts meet whole, one row per task and text, whatever the number of copies; only what is
-    # known of a text goes on from there
-    hits = state.filter("n > 1").select("digest", F.col("n").alias("all"))
-    texts = rows.groupBy("digest", "text").agg(_stays().alias("stays"), F.count(F.lit(1)).alias("n")).select("digest", F.xxhash64("text").alias("mark"), "stays", "n")
+    # the bytes of hits alone: their texts meet whole, one row per task and text, whatever the number of copies; only
+    # what is known of a text goes on from there
+    hits = durable_table(state.filter("n > 1").select("digest", F.col("n").alias("all")), "hits")
+    texts = probably_in(rows, hits, ["digest"]).groupBy("digest", "text").agg(_stays().alias("stays"), F.count(F.lit(1)).alias("n")).select("digest", F.xxhash64("text").alias("mark"), "stays", "n")
     differ = durable_table(texts.join(hits, "digest").filter("n < all").select("digest", "mark", "stays", "n"), "differ")
     light = rows.withColumn("mark", F.xxhash64("text")).drop("text")
     plain = light.join(state, "digest").join(differ.select("digest").distinct(), "digest", "left_anti")
