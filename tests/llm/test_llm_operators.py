@@ -134,6 +134,37 @@ def test_jaccard_groups_small_and_chains(spark, small_pairs):
     assert len({c for _, _, c in want}) < len(pairs) - 50
 
 
+def test_jaccard_orders_decide(spark, monkeypatch):
+    """A text is opened only if the prefixes of the pair meet under every order, and no link is lost by that."""
+    rnd = random.Random(4)
+    pairs = []
+    for i in range(120):
+        base = [f"a{rnd.randrange(60)}" for _ in range(40)]
+        for j in range(3):
+            pairs.append((10 * i + j, " ".join(w if rnd.random() > 0.02 * j else f"b{rnd.randrange(60)}" for w in base)))
+    df = spark.createDataFrame(pairs, "doc_id long, text string")
+    rule = jaccard_join.Similar(2, 70, 3)
+    seen = []
+    links = jaccard_join.linked
+    monkeypatch.setattr(jaccard_join, "linked", lambda p, some, r: links(seen.append((p, some)) or p, some, r))
+    got = bag(jaccard_join.groups(df, rule=rule))
+    want = brute.jaccard_groups(pairs, 2, 70)
+    assert got == Counter(want) and len({c for _, _, c in want}) < 300
+    tokens = {r.doc_id: bytes(r.tokens) for r in seen[0][1].collect()}
+    asked = [[(r.a, r.b) for r in p.collect()] for p, _ in seen]
+    share = lambda a, b: [bool(np.isin(x, y).any()) for x, y in zip(*(jaccard_join.tokens_by_order(tokens[d], 3)[0] for d in (a, b)), strict=True)]
+    by_order = np.array([share(a, b) for a, b in asked[0]])
+    agreed = np.array([jaccard_join.orders_agree(tokens[a], tokens[b], 3) for a, b in asked[0]])
+    assert (agreed == by_order.all(1)).all() and by_order.any(1).all()
+    assert agreed.sum() < by_order.any(1).sum()  # one order would let more through
+    assert all(all(share(a, b)) for a, b in asked[1])
+
+
+def test_jaccard_runs_of_texts():
+    assert list(jaccard_join._runs([], 9)) == []
+    assert list(jaccard_join._runs([20, 4, 5, 1, 30, 2], 9)) == [(0, 1), (1, 3), (3, 4), (4, 5), (5, 6)]
+
+
 def test_jaccard_keep_one(docs, pairs):
     out = jaccard_join.keep_one(docs)
     assert out.columns == docs.columns
@@ -295,32 +326,32 @@ def test_byte_bpe_query(spark, small_pairs, ranks):
 
 
 def check_pieces(found, pairs):
-    t = library("word_bpe_49k.json")
-    want = Counter((i, tuple(t.encode(x or "", add_special_tokens=False).ids + [1])) for i, x in pairs)
-    by_sequence = {r.sequence_id for r in found}
-    assert len(by_sequence) == len(found)  # one piece each
-    assert all(r.offset == 0 and r.length & (r.length - 1) == 0 and r.length <= 2048 and len(r.ids) == 4 * r.length for r in found)
-    got, rest = Counter(), sorted(found, key=lambda r: r.sequence_id)
-    at = 0
-    while at < len(rest):  # pieces of a document follow each other
-        doc = [rest[at]]
-        while sum(r.length for r in doc) < doc[0].doc_tokens:
-            at += 1
-            doc.append(rest[at])
-        at += 1
-        assert [r.start for r in doc] == np.cumsum([0] + [r.length for r in doc])[:-1].tolist()
-        assert sorted((r.length for r in doc), reverse=True) == [r.length for r in doc]
-        assert max(Counter(r.length for r in doc if r.length < 2048).values(), default=1) == 1
-        got[(doc[0].doc_id, tuple(x for r in doc for x in ids(r.ids)))] += 1
-    assert got == want
+    """Every piece of every document by the binary digits of its length, and nothing else."""
+    t, want = library("word_bpe_49k.json"), Counter()
+    for i, x in pairs:
+        own = np.array([*t.encode(x or "", add_special_tokens=False).ids, 1], "<u4")
+        at, n = 0, len(own)
+        while at < n:
+            k = next(k for k in (1 << b for b in range(11, -1, -1)) if k <= n - at)
+            want[(i, at, k, n, own[at : at + k].tobytes())] += 1
+            at += k
+    assert len({r.sequence_id for r in found}) == len(found)  # one piece each
+    assert all(r.offset == 0 for r in found)
+    assert Counter((r.doc_id, r.start, r.length, r.doc_tokens, bytes(r.ids)) for r in found) == want
 
 
 def test_packing(docs, pairs, tmp_path):
-    packed = packing.pieces(docs, P.path("word_bpe_49k.json"))
+    at = str(tmp_path / "buckets")
+    packed = packing.pieces(docs, P.path("word_bpe_49k.json"), buckets=at)
     check_pieces(packed.collect(), pairs)
-    packing.write_buckets(packed, str(tmp_path / "buckets"))
-    back = docs.sparkSession.read.parquet(str(tmp_path / "buckets"))
-    assert back.filter("length * 4 <> octet_length(ids)").count() == 0 and back.count() == packed.count()
+    rows = bag(packed.select("doc_id", "start", "length"))
+    for bucket in (tmp_path / "buckets").glob("length=*"):  # every bucket holds the pieces of its length, all of them
+        n = int(bucket.name.removeprefix("length="))
+        back = docs.sparkSession.read.parquet(str(bucket)).select("doc_id", "start", F.octet_length("ids"))
+        assert bag(back) == Counter((i, a, 4 * k) for i, a, k in rows.elements() if k == n)
+    one = packing.read_buckets(docs.sparkSession, at, 64)
+    assert bag(one.select("doc_id", "start")) == Counter((i, a) for i, a, k in rows.elements() if k == 64)
+    assert "PartitionFilters: [isnotnull(length" in one._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError):
         packing.pieces(docs, P.path("word_bpe_49k.json"), longest=1000)
 

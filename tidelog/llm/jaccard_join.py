@@ -8,13 +8,15 @@ of the orders are intersected before any set is compared.
   own. A token of a single text links nothing, and an ordinary text's first tokens are all of that kind, so it takes no
   further part.
 * Texts of the same words are one class with one representative. It alone goes on.
-* A first look compares each text with one other: the smallest that shares one of its first few tokens. Links found
-  give preliminary components. Pairs within one are settled, so a group of near copies costs a pair each, not all pairs.
+* A first look compares each text with one other: the one that is most often, over all orders, the smallest to share
+  one of its first few tokens. Links found give preliminary components. Pairs within one are settled, so a group of near
+  copies costs a pair each, not all pairs.
 * Then all tokens of the prefixes count, but only those that more than one component has, and only pairs across
   components. This finds every link that the first look missed.
 * A pair is not made if no overlap that is still possible could be enough: given how many tokens of each text any
   other text has and where in the orders the shared one stands, or given the bitmaps of the two sets. In a bitmap each
   token of a set flips one bit, so two sets differ in at least as many tokens as their bitmaps differ in bits.
+* Whatever proposed a pair, no text of it is opened unless the whole prefixes share a token under every order.
 * Similarity is computed from the whole texts.
 """
 
@@ -37,7 +39,8 @@ from tidelog.llm.names import equal_runs, mix, names_between, words_of
 from tidelog.llm.rounds import Block, Question, note, pack, unpack
 
 KEY = 3  # with the bucket's share about 2 ** 29 counters for every 100 million tokens; a clash only makes a token look less rare
-LOOK = 4  # tokens of the first look
+LOOK = 4  # tokens of the first look, of each order
+OPENED = 1 << 20  # bytes of compressed texts that are compared at a time; a single pair may be larger
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 SIGNATURE = 8  # 64-bit words of a set's bitmap
@@ -231,21 +234,47 @@ def tokens_by_order(tokens: bytes, orders: int) -> tuple[list[np.ndarray], int,
     return [x[a:b] for a, b in zip(np.append(begin, ends[:-1]).tolist(), ends.tolist(), strict=True)], int(x[orders]), x[orders + 1 : begin]
 
 
+def in_order(tokens: np.ndarray, order: int) -> np.ndarray:
+    """Names that keep the tokens of each order apart."""
+    return mix(tokens ^ mix(np.full(1, order + 1, np.uint64)))
+
+
 def _first_tokens(batches: Iterator[pa.RecordBatch], orders: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [
-            (d, s, t)
-            for d, s, x in zip(batch.column("doc_id").to_pylist(), batch.column("size").to_pylist(), batch.column("tokens").to_pylist(), strict=True)
-            for t in tokens_by_order(x, orders)[0][0][:LOOK].view(np.int64).tolist()
+            (d, t)
+            for d, x in zip(batch.column("doc_id").to_pylist(), batch.column("tokens").to_pylist(), strict=True)
+            for k, prefix in enumerate(tokens_by_order(x, orders)[0])
+            for t in in_order(prefix[:LOOK], k).view(np.int64).tolist()
         ]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], names=["doc_id", "size", "token"])
-
-
-def _verify(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Of rows (a, b, body_a, body_b), the pairs that are linked."""
-    for whole in batches:
-        for lo in range(0, whole.num_rows, 256):
-            batch = whole.slice(lo, 256)
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(2)], names=["doc_id", "token"])
+
+
+def orders_agree(a: bytes, b: bytes, orders: int) -> bool:
+    """Whether two texts share a token of their prefixes under every order, as all that are linked do."""
+    return all(np.isin(x, y).any() for x, y in zip(tokens_by_order(a, orders)[0], tokens_by_order(b, orders)[0], strict=True))
+
+
+def _runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Runs of neighbours of at most `most` together, or of a single one."""
+    lo = total = 0
+    for i, n in enumerate(sizes):
+        if i > lo and total + n > most:
+            yield lo, i
+            lo, total = i, 0
+        total += n
+    if sizes:
+        yield lo, len(sizes)
+
+
+def _verify(batches: Iterator[pa.RecordBatch], words: int, percent: int, orders: int) -> Iterator[pa.RecordBatch]:
+    """Of rows (a, b, body_a, body_b, tokens_a, tokens_b), the pairs that are linked."""
+    for found in batches:
+        sides = zip(found.column("tokens_a").to_pylist(), found.column("tokens_b").to_pylist(), strict=True)
+        whole = found.filter(pa.array([orders_agree(x, y, orders) for x, y in sides], pa.bool_()))
+        sizes = [len(x) + len(y) for x, y in zip(whole.column("body_a").to_pylist(), whole.column("body_b").to_pylist(), strict=True)]
+        for lo, hi in _runs(sizes, OPENED):
+            batch = whole.slice(lo, hi - lo)
             n = batch.num_rows
             bodies = [zlib.decompress(x) for c in ("body_a", "body_b") for x in batch.column(c).to_pylist()]
             offsets = np.append(0, np.cumsum([len(x) for x in bodies]))
@@ -260,11 +289,10 @@ def _verify(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iter
 
 
 def linked(pairs: DataFrame, some: DataFrame, rule: Similar) -> DataFrame:
-    """Of pairs `a, b` of representatives those whose sets are similar enough, from their whole texts."""
-    a = some.select(F.col("doc_id").alias("a"), F.col("body").alias("body_a"))
-    b = some.select(F.col("doc_id").alias("b"), F.col("body").alias("body_b"))
-    rows = pairs.join(b, "b").join(a, "a").select("a", "b", "body_a", "body_b")
-    return rows.mapInArrow(partial(_verify, words=rule.words, percent=rule.percent), "a long, b long").distinct()
+    """Of pairs `a, b` of representatives those that all orders agree on and whose sets are similar enough."""
+    side = lambda x: some.select(F.col("doc_id").alias(x), F.col("body").alias(f"body_{x}"), F.col("tokens").alias(f"tokens_{x}"))
+    rows = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "body_a", "body_b", "tokens_a", "tokens_b")
+    return rows.mapInArrow(partial(_verify, words=rule.words, percent=rule.percent, orders=rule.orders), "a long, b long").distinct()
 
 
 def _can_link(percent: int) -> Column:
@@ -279,8 +307,8 @@ def _can_link(percent: int) -> Column:
 
 
 def first_look(some: DataFrame, rule: Similar) -> DataFrame:
-    """One pair per text: the smallest id that shares most of its first tokens."""
-    tokens = some.select("doc_id", "size", "tokens").mapInArrow(partial(_first_tokens, orders=rule.orders), "doc_id long, size long, token long")
+    """One pair per text: the smallest id that shares most of its first tokens of all orders."""
+    tokens = some.select("doc_id", "tokens").mapInArrow(partial(_first_tokens, orders=rule.orders), "doc_id long, token long")
     least = tokens.groupBy("token").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     votes = tokens.join(least, "token").filter("a < doc_id").groupBy("doc_id", "a").agg(F.count(F.lit(1)).alias("n"))
     best = votes.groupBy("doc_id").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("best"))
@@ -302,7 +330,7 @@ class Members:
         self.row = np.concatenate([np.full(len(s[k]), i) for k in range(orders) for i, s in enumerate(split)])
         self.order = np.concatenate([np.full(sum(len(s[k]) for s in split), k) for k in range(orders)])
         self.token = np.concatenate([s[k] for k in range(orders) for s in split])
-        self.name = mix(self.token ^ mix(self.order.astype(np.uint64) + np.uint64(1)))
+        self.name = np.concatenate([in_order(s[k], k) for k in range(orders) for s in split])
 
     def question(self, buckets: int) -> Question:
         return Question(self.name, buckets, self.component[self.row])
