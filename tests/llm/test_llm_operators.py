@@ -160,6 +160,24 @@ def test_jaccard_orders_decide(spark, monkeypatch):
     assert all(all(share(a, b)) for a, b in asked[1])
 
 
+def test_jaccard_groups_in_pieces(spark, monkeypatch):
+    """Texts of two edits are linked by those of one only, which the first look cannot know. Further looks join the pieces,
+    so the last step is left with few pairs and not those of all texts."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(80):
+        words = list(base)
+        for at in rng.choice(200, 2 if i < 40 else 1, replace=False):
+            words[at] = f"x{i}y{at}"
+        texts.append((i, " ".join(words)))
+    made, links = [], jaccard_join.linked
+    monkeypatch.setattr(jaccard_join, "linked", lambda p, some, r: made.append(p.count()) or links(p, some, r))
+    got = bag(jaccard_join.groups(spark.createDataFrame(texts, "doc_id long, text string"), rule=jaccard_join.Similar(3, 90)))
+    assert got == Counter(brute.jaccard_groups(texts, 3, 90))
+    assert all(n <= len(texts) for n in made)
+
+
 def test_jaccard_runs_of_texts():
     assert list(jaccard_join._runs([], 9)) == []
     assert list(jaccard_join._runs([20, 4, 5, 1, 30, 2], 9)) == [(0, 1), (1, 3), (3, 4), (4, 5), (5, 6)]

@@ -11,8 +11,10 @@ of the orders are intersected before any set is compared.
 * A first look compares each text with one other: the one that is most often, over all orders, the smallest to share
   one of its first few tokens. Links found give preliminary components. Pairs within one are settled, so a group of near
   copies costs a pair each, not all pairs.
-* Then all tokens of the prefixes count, but only those that more than one component has, and only pairs across
-  components. This finds every link that the first look missed.
+* Then all tokens of the prefixes count, but only those that more than one component has. In further looks each text is
+  compared with one other again: the most similar, by bitmap, of the texts of other components that its tokens have drawn,
+  each one. So a group that the first look left in pieces grows together by a pair for each text and look.
+* At last all pairs across the components that are left count. This finds every link that the looks missed.
 * A pair is not made if no overlap that is still possible could be enough: given how many tokens of each text any
   other text has and where in the orders the shared one stands, or given the bitmaps of the two sets. In a bitmap each
   token of a set flips one bit, so two sets differ in at least as many tokens as their bitmaps differ in bits.
@@ -40,6 +42,7 @@ from tidelog.llm.rounds import Block, Question, note, pack, unpack
 
 KEY = 3  # with the bucket's share about 2 ** 29 counters for every 100 million tokens; a clash only makes a token look less rare
 LOOK = 4  # tokens of the first look, of each order
+LOOKS = 3  # further looks at most; pairs that they leave are all made
 OPENED = 1 << 20  # bytes of compressed texts that are compared at a time; a single pair may be larger
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -295,6 +298,11 @@ def linked(pairs: DataFrame, some: DataFrame, rule: Similar) -> DataFrame:
     return rows.mapInArrow(partial(_verify, words=rule.words, percent=rule.percent, orders=rule.orders), "a long, b long").distinct()
 
 
+def _differ() -> Column:
+    """Bits in which the bitmaps of rows `a` and `b` differ."""
+    return sum((F.bit_count(F.col(f"a.s{i}").bitwiseXOR(F.col(f"b.s{i}"))) for i in range(SIGNATURE)), F.lit(0))
+
+
 def _can_link(percent: int) -> Column:
     """Whether sizes, the place of the shared token and the bitmaps of rows `a` and `b` allow a link."""
     c = lambda side, name: F.col(f"{side}.{name}")
@@ -302,8 +310,7 @@ def _can_link(percent: int) -> Column:
     sizes = 100 * F.least("a.size", "b.size") >= percent * F.greatest("a.size", "b.size")
     behind = F.least(c("a", "others") - c("a", "place"), c("b", "others") - c("b", "place"))  # the shared token with them
     overlap = F.least("a.place", "b.place") + behind
-    differ = sum((F.bit_count(c("a", f"s{i}").bitwiseXOR(c("b", f"s{i}"))) for i in range(SIGNATURE)), F.lit(0))
-    return sizes & ((100 + percent) * overlap >= percent * both) & ((100 + percent) * differ <= (100 - percent) * both)
+    return sizes & ((100 + percent) * overlap >= percent * both) & ((100 + percent) * _differ() <= (100 - percent) * both)
 
 
 def first_look(some: DataFrame, rule: Similar) -> DataFrame:
@@ -358,12 +365,17 @@ def mixed(rows: list[tuple[int, bytes]]) -> list[bytes]:
     return [np.packbits(x).tobytes() for x in np.split(out, np.cumsum(sizes)[:-1])]
 
 
-def across(some: DataFrame, comps: DataFrame, rule: Similar) -> DataFrame:
-    """Pairs of different components that share a token of the prefix in every order."""
+def _placed(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """`rows` with their `component`; a text without links is its own."""
+    return rows.join(comps, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+
+
+def open_tokens(some: DataFrame, comps: DataFrame, rule: Similar) -> DataFrame:
+    """The tokens of all prefixes that more than one component has, a row for each text and order."""
     spark = some.sparkSession
     n = rounds.partitions(spark)
     buckets, orders = -(-n // rounds.BUCKETS), rule.orders
-    rows = some.select("doc_id", "size", "tokens").join(comps, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    rows = _placed(some.select("doc_id", "size", "tokens"), comps)
     blocks = rows.withColumn("block", rounds.block_of(rounds.BLOCKS * n))
     asked = blocks.groupBy("block").applyInArrow(lambda t: _ask_mixed(t, orders, buckets), rounds.LETTER)
     words = [f"s{i}" for i in range(SIGNATURE)]
@@ -380,10 +392,27 @@ def across(some: DataFrame, comps: DataFrame, rule: Similar) -> DataFrame:
         columns += [pa.array(m.bits[:, i].view(np.int64)[row]) for i in range(SIGNATURE)]
         return pa.table(columns, names=["ord", "token", "place", "doc_id", "size", "component", "others", *words])
 
-    open_tokens = blocks.groupBy("block").cogroup(rounds.settle(asked, mixed).groupBy("block")).applyInArrow(still, schema)
-    table = durable_table(open_tokens, "open-tokens")
-    pairs = None
-    for k in range(orders):
+    found = blocks.groupBy("block").cogroup(rounds.settle(asked, mixed).groupBy("block")).applyInArrow(still, schema)
+    return durable_table(found.drop("component"), "open-tokens")
+
+
+def another_look(tokens: DataFrame, comps: DataFrame, rule: Similar, draw: int) -> DataFrame:
+    """One pair per text. Each open token draws one of its texts; of those that its tokens drew, a text is paired with the
+    one whose bitmap is most like its own, if it is of another component and may be linked."""
+    rows = _placed(tokens, comps)
+    row = F.struct(*(c for c in rows.columns if c not in ("ord", "token")))
+    drawn = rows.groupBy("ord", "token").agg(F.min_by(row, F.struct(F.xxhash64(F.lit(draw), "ord", "token", "doc_id"), "doc_id")).alias("one"))
+    a = drawn.select("ord", "token", "one.*").alias("a")
+    met = a.join(rows.alias("b"), (F.col("a.ord") == F.col("b.ord")) & (F.col("a.token") == F.col("b.token"))
+                 & (F.col("a.component") != F.col("b.component")) & _can_link(rule.percent))
+    found = met.select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"), _differ().alias("n"))
+    return found.groupBy("b").agg(F.min(F.struct("n", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+
+
+def across(tokens: DataFrame, comps: DataFrame, rule: Similar) -> DataFrame:
+    """Pairs of different components that share a token of the prefix in every order."""
+    table, pairs = _placed(tokens, comps), None
+    for k in range(rule.orders):
         one = table.filter(F.col("ord") == k).drop("ord")
         a, b = one.alias("a"), one.alias("b")
         met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.component") < F.col("b.component")) & _can_link(rule.percent))
@@ -407,7 +436,15 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule
     everyone, some = out.filter("kind = 0").select("doc_id", "rep", "size"), out.filter("kind = 1").select("doc_id", "size", "body", "tokens")
     same = everyone.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     near = durable_table(linked(first_look(some, rule), some, rule), "links")
-    rest = durable_table(linked(across(some, components(near), rule), some, rule), "links")
+    comps = components(near)
+    tokens = open_tokens(some, comps, rule)
+    for draw in range(LOOKS):
+        more = durable_table(linked(another_look(tokens, comps, rule, draw), some, rule), "links")
+        if more.isEmpty():
+            break
+        near = near.unionByName(more)
+        comps = components(near)
+    rest = durable_table(linked(across(tokens, comps, rule), some, rule), "links")
     comps = components(same.unionByName(near).unionByName(rest))
     return everyone.join(comps, "doc_id", "left").select("doc_id", F.col("size").alias("n_tokens"), F.coalesce("component", "doc_id").alias("component"))
 
